@@ -139,10 +139,10 @@ ORACLE = r"""
 WITH t AS (SELECT doc_id, lang AS stratum, coalesce(text, '') AS text,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 base AS (
-  SELECT doc_id, stratum, len(w) AS n_words, list_sum(list_transform(w, x -> length(x))) AS word_chars, w,
+  SELECT doc_id, stratum, len(w) AS n_words, list_sum(list_transform(w, lambda x: length(x))) AS word_chars, w,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          length(regexp_replace(text, '[^A-ZÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ]', '', 'g')) AS n_capitals,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM t),
 grams AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM base WHERE len(w) >= 3),
 named AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM grams),
@@ -171,7 +171,7 @@ counted AS (
 m AS (SELECT count(DISTINCT (coalesce(stratum, '?'), rule)) AS tests FROM counted),
 tested AS (
   SELECT *, CASE WHEN k >= n * (0.02 / 6) THEN 0 ELSE (list_sum(list_transform(range(k + 1),
-           i -> exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02 / 6) + (n - i) * ln(1 - 0.02 / 6)))) <= 0.05 / tests)::INT END AS passes
+           lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02 / 6) + (n - i) * ln(1 - 0.02 / 6)))) <= 0.05 / tests)::INT END AS passes
   FROM counted, m),
 chosen AS (
   SELECT stratum, rule, arg_min(cutoff, step) AS cutoff
