@@ -4,7 +4,8 @@ Trusted positives are texts labelled good; everything else is unlabelled web tex
 of positives among the unlabelled (class prior) is estimated by the best-bin rule: the smallest ratio of the
 unlabelled's to the positives' mass above a score, with the bins' confidence bounds added. With it the non-negative
 unbiased risk, prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)), is minimised by a logistic
-model over binned surface features of the whole text.
+model over binned surface features of the whole text; its scores are made probabilities by the monotone ratio of the
+positives' density, times the prior, to the unlabelled's.
 
 Fitted on a bounded sample (``positives`` and ``unlabelled`` texts at most, about, by hash of the id) on the driver;
 every text is scored in its partition.
@@ -118,7 +119,25 @@ def estimate_prior(z_p: np.ndarray, z_u: np.ndarray, delta: float = 0.1) -> floa
     return float(np.clip(q_u[best] / q_p[best], 0.01, 0.99))
 
 
-def fit(x_p: np.ndarray, x_u: np.ndarray, bins: int = BINS, rounds: int = 300, rate: float = 0.05, decay: float = 1e-4) -> dict:
+def calibration(z_p: np.ndarray, z_u: np.ndarray, prior: float, bins: int = 400) -> tuple[np.ndarray, np.ndarray]:
+    """Points of the non-decreasing function prior * density of P / density of U of the score, at most 1: neighbouring
+    bins whose ratios fall are pooled."""
+    edges = np.unique(np.quantile(np.concatenate([z_p, z_u]), np.linspace(0, 1, bins + 1)))
+    at_p, at_u = (np.bincount(np.searchsorted(edges[1:-1], z, "right"), minlength=max(1, len(edges) - 1)) for z in (z_p, z_u))
+    pools: list[list[float]] = []
+    for j, (a, b) in enumerate(zip(prior * at_p / len(z_p), at_u / len(z_u), strict=True)):
+        pools.append([a, b, j, j])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            a, b, _, end = pools.pop()
+            pools[-1] = [pools[-1][0] + a, pools[-1][1] + b, pools[-1][2], end]
+    x, y = [], []
+    for a, b, j, k in pools:
+        x += [edges[j], edges[min(k + 1, len(edges) - 1)]]
+        y += [min(1.0, a / b) if b else 1.0] * 2
+    return np.array(x), np.array(y)
+
+
+def fit(x_p: np.ndarray, x_u: np.ndarray, bins: int = BINS, rounds: int = 500, rate: float = 0.05, decay: float = 1e-4) -> dict:
     """The model: edges, weights, bias, prior."""
     if not len(x_p) or not len(x_u):
         return {"edges": [], "weights": np.zeros(0), "bias": float(np.log(DEFAULT_PRIOR / (1 - DEFAULT_PRIOR))), "prior": DEFAULT_PRIOR}
@@ -138,13 +157,14 @@ def fit(x_p: np.ndarray, x_u: np.ndarray, bins: int = BINS, rounds: int = 300, r
         return prior * (sigmoid(zp) - 1) / n_p - prior * sigmoid(zp) / n_p, sigmoid(zu) / n_u
 
     w, b = descend(at_p, at_u, width, non_negative, rounds, rate, decay)
-    return {"edges": edges, "weights": w, "bias": b, "prior": prior}
+    return {"edges": edges, "weights": w, "bias": b, "prior": prior, "points": calibration(score(at_p), score(at_u), prior)}
 
 
 def scores(model: dict, x: np.ndarray) -> np.ndarray:
     z = np.full(len(x), model["bias"])
     if model["edges"]:
         z += model["weights"][one_hot(x, model["edges"])].sum(1)
+        return 0.99 * np.interp(z, *model["points"]) + 0.01 * sigmoid(z)  # the second part keeps the order within a pool
     return sigmoid(z)
 
 
