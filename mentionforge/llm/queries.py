@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from mentionforge.llm import fingerprints, quality_rules, source_mixing
+from mentionforge.llm import fingerprints, language_mixture, pu_quality, quality_rules, simhash_tiles, slack_packing, source_mixing, warc_archive
 
 QUERIES = {
     "op1_fingerprints": fingerprints.query,
+    "op2_warc_archive": warc_archive.query,
+    "op3_simhash_neardup": simhash_tiles.query,
     "op5_quality_rules": quality_rules.query,
+    "op6_slack_packing": slack_packing.query,
+    "op7_language_mixture": language_mixture.query,
+    "op8_pu_quality": pu_quality.query,
     "op10_source_mixing": source_mixing.query,
 }
 
 ORACLES = {
+    "op2_warc_archive": warc_archive.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op10_source_mixing": source_mixing.ORACLE,
 }
