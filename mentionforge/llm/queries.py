@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from mentionforge.llm import fingerprints, language_mixture, pu_quality, quality_rules, simhash_tiles, slack_packing, source_mixing, warc_archive
+import corpus_pipeline
+from mentionforge.llm import fingerprints, language_mixture, license_scan, pitman_yor_lm, pu_quality, quality_rules, simhash_tiles, slack_packing, source_mixing, warc_archive
 
 QUERIES = {
     "op1_fingerprints": fingerprints.query,
     "op2_warc_archive": warc_archive.query,
     "op3_simhash_neardup": simhash_tiles.query,
+    "op4_license_scan": license_scan.query,
     "op5_quality_rules": quality_rules.query,
     "op6_slack_packing": slack_packing.query,
     "op7_language_mixture": language_mixture.query,
     "op8_pu_quality": pu_quality.query,
+    "op9_pitman_yor_lm": pitman_yor_lm.query,
     "op10_source_mixing": source_mixing.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
