@@ -1,4 +1,528 @@
 """All queries over the driver's tables, by name, and the SQL that each is compared with."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mentionforge.functions import arrays, text
+from mentionforge.operators import calibration, code_tables, dense, drug_tables, gates, lexical, linking, measures, models, rows, spans
+from mentionforge.plans.standins import CONSO_SQL, DUMP_SQL, conso, dump, rel, table
+from mentionforge.sources import files
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with the SQL that gives the same rows."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+#: White space as the engines' comparison spells it: ASCII, and Unicode's that occurs in prose.
+SQL_SPACE = r"[\t\n\x0b\f\r \x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+SQL_NORM = rf"trim(regexp_replace(nfc_normalize(text), '{SQL_SPACE}', ' ', 'g'))"
+SQL_TOKENS = f"list_filter(string_split(lower({SQL_NORM}), ' '), lambda x: x <> '')"
+
+
+@query(f"SELECT doc_id, {SQL_NORM} AS norm FROM documents")
+def normalize_text(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("norm"))
+
+
+@query("SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
+def dedupe_keep_first(spark: SparkSession, d: str) -> DataFrame:
+    return rows.keep_first(table(spark, d, "documents"), ["text"], ["doc_id"]).select("doc_id", "lang", "source")
+
+
+@query(f"""WITH {CONSO_SQL},
+cur AS (SELECT DISTINCT rxcui, str FROM conso WHERE sab = 'RXNORM' AND tty = 'IN' AND suppress = 'N'),
+syn AS (SELECT c.rxcui, s.str AS syn FROM cur c JOIN conso s ON s.rxcui = c.rxcui AND s.sab = 'RXNORM' AND s.tty IN ('SY', 'TMSY') AND s.str <> c.str)
+SELECT 'c_' || rxcui AS doc_id, str AS text, rxcui AS code, 'candidate' AS role,
+       coalesce((SELECT string_agg(DISTINCT syn, '|' ORDER BY syn) FROM syn WHERE syn.rxcui = cur.rxcui), '') AS synonyms FROM cur""")
+def candidate_export(spark: SparkSession, d: str) -> DataFrame:
+    return drug_tables.candidates(conso(spark, d)).withColumn("synonyms", F.array_join("synonyms", "|"))
+
+
+@query(f"""WITH {CONSO_SQL},
+brand AS (SELECT DISTINCT rxcui, rxaui, str FROM conso WHERE sab = 'RXNORM' AND tty IN ('BN', 'SBD', 'SBDC', 'SBDF', 'SBDG')),
+link AS (SELECT DISTINCT b.rxaui, r.rxcui2 AS target FROM brand b JOIN rel r ON r.rxcui1 = b.rxcui AND r.sab = 'RXNORM'),
+kept AS (SELECT l.rxaui, l.target, t.tty FROM link l JOIN (SELECT DISTINCT rxcui, tty FROM conso WHERE sab = 'RXNORM' AND suppress = 'N' AND tty IN ('IN', 'MIN')) t ON t.rxcui = l.target)
+SELECT 'b_' || b.rxaui AS doc_id, b.str AS text, 'alias' AS role,
+       coalesce((SELECT string_agg(DISTINCT target, '|' ORDER BY target) FROM kept k WHERE k.rxaui = b.rxaui AND k.tty = 'IN'), '') AS resolve_in,
+       coalesce((SELECT string_agg(DISTINCT target, '|' ORDER BY target) FROM kept k WHERE k.rxaui = b.rxaui AND k.tty = 'MIN'), '') AS resolve_min
+FROM (SELECT DISTINCT rxaui, str FROM brand) b WHERE EXISTS (SELECT 1 FROM kept k WHERE k.rxaui = b.rxaui)""")
+def alias_export(spark: SparkSession, d: str) -> DataFrame:
+    found = drug_tables.aliases(conso(spark, d), rel(spark, d))
+    return found.withColumns({c: F.array_join(c, "|") for c in ("resolve_in", "resolve_min")})
+
+
+@query(f"""WITH {CONSO_SQL},
+brand AS (SELECT rxaui, rxcui, str FROM conso WHERE tty = 'BN'),
+link AS (SELECT DISTINCT b.rxaui, b.str, r.rela, r.rxcui2 AS target FROM brand b JOIN rel r ON r.rxcui1 = b.rxcui AND r.sab = 'RXNORM')
+SELECT l.rxaui AS brand_rxaui, l.str AS brand_str, l.rela, l.target AS generic_rxcui, g.tty AS generic_tty, g.suppress AS generic_suppress, g.str AS generic_str
+FROM link l JOIN conso g ON g.rxcui = l.target AND g.sab = 'RXNORM' AND g.tty IN ('IN', 'MIN') AND g.suppress = 'N'""")
+def trace_join(spark: SparkSession, d: str) -> DataFrame:
+    c = conso(spark, d)
+    return drug_tables.trace(c, rel(spark, d), c.filter("tty = 'BN'").select("rxaui"))
+
+
+@query("""SELECT coalesce(e.code, v.code) AS code, name_en, name_vi
+FROM (SELECT CAST(o_custkey AS VARCHAR) AS code, min(o_orderpriority) AS name_en FROM orders GROUP BY o_custkey) e
+FULL JOIN (SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS name_vi FROM customer WHERE c_nationkey < 20) v ON e.code = v.code""")
+def full_outer_keys(spark: SparkSession, d: str) -> DataFrame:
+    en = table(spark, d, "orders").groupBy(F.col("o_custkey").cast("string").alias("code")).agg(F.min("o_orderpriority").alias("description"))
+    vi = table(spark, d, "customer").filter("c_nationkey < 20").select(F.col("c_custkey").cast("string").alias("code"), F.col("c_name").alias("description"))
+    return code_tables.join_languages(en, vi)
+
+
+#: Ten-wide blocks of some letters with gaps between, and one that spans letters: a stand-in for a code hierarchy.
+BLOCKS = [(f"ch{c}", f"{c}{lo:02}-{c}{lo + 7:02}") for c in "ABCDEFGHKM" for lo in range(0, 100, 10)] + [("chX", "V51-X30"), ("chX", "X99")]
+SQL_BLOCKS = "blocks AS (" + " UNION ALL ".join(
+    ["SELECT 'ch' || c AS chapter, c || lpad(lo::VARCHAR, 2, '0') || '-' || c || lpad((lo + 7)::VARCHAR, 2, '0') AS block, c AS letter, lo AS low, lo + 7 AS high FROM (SELECT unnest(string_split('ABCDEFGHKM', '')) AS c), (SELECT unnest(range(0, 100, 10)) AS lo)"]
+    + [f"SELECT 'chX', '{b}', '{x}', {lo}, {hi}" for b, x, lo, hi in (("V51-X30", "V", 51, 99), ("V51-X30", "W", 0, 99), ("V51-X30", "X", 0, 30), ("X99", "X", 99, 99))]
+) + ")"
+SQL_CODE = "chr((65 + p_size % 26)::INT) || lpad((p_partkey % 100)::VARCHAR, 2, '0')"
+
+
+def part_codes(spark: SparkSession, d: str) -> DataFrame:
+    code = F.concat(F.char((F.lit(65) + F.col("p_size") % 26).cast("long")), F.lpad((F.col("p_partkey") % 100).cast("string"), 2, "0"))
+    return table(spark, d, "part").select("p_partkey", code.alias("code"), "p_size")
+
+
+@query(f"WITH {SQL_BLOCKS}, c AS (SELECT p_partkey, {SQL_CODE} AS code FROM part) SELECT p_partkey, code, chapter, block FROM c LEFT JOIN blocks ON letter = code[1] AND code[2:3]::INT BETWEEN low AND high")
+def range_lookup(spark: SparkSession, d: str) -> DataFrame:
+    return code_tables.lookup(part_codes(spark, d).drop("p_size"), code_tables.hierarchy(spark, BLOCKS))
+
+
+SQL_TURN_LINE = "CASE WHEN role = 'user' THEN chr((65 + conv_id % 26)::INT) || lpad((turn % 100)::VARCHAR, 2, '0') || CASE WHEN turn % 3 = 0 THEN '†' ELSE '' END || ' ' || text ELSE text END"
+
+
+@query(f"""WITH l AS (SELECT conv_id, turn, {SQL_TURN_LINE} AS t FROM conversations),
+m AS (SELECT *, nullif(regexp_extract(t, '^([A-Z]\\d{{2}}(?:\\.\\d{{1,4}})?)[†*]?\\s+.*$', 1), '') AS own FROM l),
+f AS (SELECT conv_id, turn, last_value(own IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS code,
+             CASE WHEN own IS NOT NULL THEN regexp_extract(t, '^[A-Z]\\d{{2}}(?:\\.\\d{{1,4}})?[†*]?\\s+(.*)$', 1) ELSE t END AS part FROM m)
+SELECT conv_id, code, md5(trim(string_agg(part, ' ' ORDER BY turn))) AS digest FROM f WHERE code IS NOT NULL GROUP BY conv_id, code""")
+def code_stream(spark: SparkSession, d: str) -> DataFrame:
+    code = F.concat(F.char((F.lit(65) + F.col("conv_id") % 26).cast("long")), F.lpad((F.col("turn") % 100).cast("string"), 2, "0"), F.when(F.col("turn") % 3 == 0, "†").otherwise(""))
+    lines = table(spark, d, "conversations").withColumn("text", F.when(F.col("role") == "user", F.concat(code, F.lit(" "), "text")).otherwise(F.col("text")))
+    found = code_tables.code_entries(lines, ["conv_id"], line="turn")
+    return found.select("conv_id", "code", F.md5(F.col("description").cast("binary")).alias("digest"))
+
+
+@query("""WITH w AS (SELECT l_suppkey AS page, floor(l_extendedprice / 100 / 10)::BIGINT AS b, count(*) AS n FROM lineitem GROUP BY 1, 2),
+m AS (SELECT *, max(n) OVER (PARTITION BY page) AS most FROM w),
+g AS (SELECT page, b, CASE WHEN b - lag(b) OVER (PARTITION BY page ORDER BY b) > 1 THEN b * 10.0::DOUBLE END AS edge FROM m WHERE n > most * 0.05)
+SELECT page, coalesce(arg_min(edge, {'d': abs(edge - 500.0), 'b': b}) FILTER (WHERE edge IS NOT NULL), 500.0::DOUBLE) AS split_x FROM g GROUP BY page""")
+def column_gap(spark: SparkSession, d: str) -> DataFrame:
+    words = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("page"), (F.col("l_extendedprice") / 100).alias("x0"), F.lit(1000.0).alias("page_width"))
+    return code_tables.column_split(words)
+
+
+SQL_NOTED = "CASE doc_id % 4 WHEN 0 THEN lang || ' name Excl.: ' || source WHEN 1 THEN 'Bao gồm: ' || source WHEN 2 THEN lang || ' [See ' || source ELSE source END"
+
+
+@query(f"""WITH t AS (SELECT doc_id, {SQL_NOTED} AS t FROM documents),
+m AS (SELECT *, regexp_extract(t, '(?s)^(.*?)(Bao gồm\\s*:|Excl\\.?\\s*:?|\\[See)(.*)$', 1) AS a, regexp_extract(t, '(?s)(Bao gồm\\s*:|Excl\\.?\\s*:?|\\[See).*$', 0) AS z FROM t)
+SELECT doc_id, nullif(trim(CASE WHEN z = '' THEN t ELSE a END), '') AS head, nullif(trim(z), '') AS tail FROM m""")
+def head_tail(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("doc_id") % 4
+    noted = F.when(k == 0, F.concat("lang", F.lit(" name Excl.: "), "source")).when(k == 1, F.concat(F.lit("Bao gồm: "), "source")).when(k == 2, F.concat("lang", F.lit(" [See "), "source")).otherwise(F.col("source"))
+    return table(spark, d, "documents").select("doc_id", text.split_head_tail(noted).alias("s")).select("doc_id", "s.*")
+
+
+SQL_DOSED = "CASE p_size % 5 WHEN 0 THEN p_name || ' ' || p_size || 'mg po bid' WHEN 1 THEN p_size || '/125 mg ' || p_name WHEN 2 THEN p_size || '% ' || p_name || ' x 3 ngày' WHEN 3 THEN p_name || ' q8h PRN  iv' ELSE p_size || ' ml' END"
+
+
+@query(f"""WITH t AS (SELECT p_partkey, trim(regexp_replace({SQL_DOSED}, '\\s+', ' ', 'g')) AS m FROM part),
+s AS (SELECT p_partkey, m, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(m,
+  '(?i)\\b\\d+(?:[.,]\\d+)?\\s*(?:mg/ml|mcg/ml|g/ml|mg|mcg|µg|ug|g|ml|l|iu|ui|%)\\b', ' ', 'g'), '\\b\\d+(?:[.,]\\d+)?\\s*/\\s*\\d+(?:[.,]\\d+)?\\b', ' ', 'g'),
+  '(?i)\\b(?:po|iv|im|sc|sl|pr|td|inh)\\b', ' ', 'g'), '(?i)\\b(?:bid|tid|qid|qd|od|daily|qam|qpm|qhs|q\\d+h|prn|x\\s*\\d+\\s*(?:lần|viên|ngày))\\b', ' ', 'g'), '\\s+', ' ', 'g')) AS q FROM t)
+SELECT p_partkey, m AS raw, CASE WHEN q = '' THEN m ELSE q END AS stripped FROM s""")
+def strip_dose(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part").withColumn("k", F.col("p_size") % 5).withColumn("z", F.col("p_size").cast("string"))
+    mention = (
+        F.when(F.col("k") == 0, F.concat("p_name", F.lit(" "), "z", F.lit("mg po bid"))).when(F.col("k") == 1, F.concat("z", F.lit("/125 mg "), "p_name"))
+        .when(F.col("k") == 2, F.concat("z", F.lit("% "), "p_name", F.lit(" x 3 ngày"))).when(F.col("k") == 3, F.concat("p_name", F.lit(" q8h PRN  iv"))).otherwise(F.concat("z", F.lit(" ml")))
+    )
+    return p.select("p_partkey", text.raw(mention).alias("raw"), text.strip_dose(mention).alias("stripped"))
+
+
+SQL_BM25 = f"""dt AS (SELECT doc_id, {SQL_TOKENS} AS t FROM documents), qt AS (SELECT item_id, {SQL_TOKENS} AS t FROM benchmark),
+st AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM dt),
+tf AS (SELECT doc_id, dl, tok, count(*) AS tf FROM (SELECT doc_id, len(t) AS dl, unnest(t) AS tok FROM dt) GROUP BY ALL),
+df AS (SELECT tok, count(*) AS df FROM tf GROUP BY tok),
+q AS (SELECT item_id, tok, count(*) AS times FROM (SELECT item_id, unnest(t) AS tok FROM qt) GROUP BY ALL),
+sc AS (SELECT q.item_id, tf.doc_id, sum(times * ln(1 + (n - df + 0.5) / (df + 0.5)) * (tf / (tf + 1.5 * (1 - 0.75 + 0.75 * dl / mean)))) AS score
+       FROM q JOIN tf USING (tok) JOIN df USING (tok), st GROUP BY 1, 2),
+hits AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS bm25_rank FROM sc QUALIFY bm25_rank <= 30)"""
+
+
+def bm25_hits(spark: SparkSession, d: str) -> DataFrame:
+    index = lexical.build_index(table(spark, d, "documents"))
+    return lexical.search(index, table(spark, d, "benchmark"), id_col="item_id")
+
+
+@query(f"WITH {SQL_BM25} SELECT item_id, doc_id, round(score, 4) AS score, bm25_rank FROM hits")
+def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
+    return bm25_hits(spark, d).select(F.col("query_id").alias("item_id"), "doc_id", F.round("score", 4).alias("score"), "bm25_rank")
+
+
+@query(f"""WITH {SQL_BM25},
+kept AS (SELECT * FROM (SELECT *, max(score) OVER (PARTITION BY item_id) AS best FROM hits) WHERE score >= greatest(20.0, best - 8.0))
+SELECT b.item_id, coalesce(string_agg(DISTINCT source, '|' ORDER BY source), '') AS codes, count(k.doc_id) AS n_docs
+FROM benchmark b LEFT JOIN kept k USING (item_id) LEFT JOIN documents USING (doc_id) GROUP BY b.item_id""")
+def bm25_linking(spark: SparkSession, d: str) -> DataFrame:
+    """Retrieval, threshold and expansion end to end: items are mentions, documents the knowledge base, sources codes."""
+    kept = linking.apply_thresholds(bm25_hits(spark, d), 20.0, 8.0, ["query_id"], "score")
+    docs = table(spark, d, "documents").select("doc_id", linking.codes_of(F.lit("candidate"), F.col("source"), F.array().cast("array<string>")).alias("codes"))
+    kept = kept.join(docs, "doc_id")
+    items = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"))
+    codes = linking.expand_codes(kept, items, ["query_id"])
+    n = kept.groupBy("query_id").agg(F.count("*").alias("n"))
+    return codes.join(n, "query_id", "left").select(F.col("query_id").alias("item_id"), F.array_join("codes", "|").alias("codes"), F.coalesce("n", F.lit(0)).alias("n_docs"))
+
+
+SQL_DENSE = """qv AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 20 = 0), dv AS (SELECT vec_id AS doc_id, embedding::DOUBLE[] AS e FROM embeddings),
+near AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS dense_rank
+         FROM (SELECT query_id, doc_id, list_inner_product(q.e, d.e) AS score FROM qv q, dv d) QUALIFY dense_rank <= 30)"""
+
+
+@query(f"WITH {SQL_DENSE} SELECT query_id, doc_id, round(score, 4) AS score, dense_rank FROM near")
+def dense_topk(spark: SparkSession, d: str) -> DataFrame:
+    """Queries are the vectors whose id is divisible by 20, against all."""
+    vectors = table(spark, d, "embeddings")
+    hits = dense.search(vectors, vectors.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"))
+    return hits.withColumn("score", F.round("score", 4))
+
+
+@query(f"""WITH {SQL_DENSE},
+half AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS bm25_rank
+         FROM (SELECT query_id, doc_id, list_inner_product(q.e[1:32], d.e[1:32]) AS score FROM qv q, dv d) QUALIFY bm25_rank <= 30),
+u AS (SELECT query_id, doc_id, n.score AS dense_score, h.score AS bm25_score, dense_rank, bm25_rank, coalesce(n.score, 0) + 0.5 * coalesce(h.score, 0) AS s FROM near n FULL JOIN half h USING (query_id, doc_id))
+SELECT query_id, doc_id, round(dense_score, 4) AS dense_score, round(bm25_score, 4) AS bm25_score, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 6) DESC, dense_rank NULLS LAST, bm25_rank NULLS LAST, doc_id) AS rank FROM u""")
+def hybrid_union(spark: SparkSession, d: str) -> DataFrame:
+    """Two branches (all dimensions; the first half) merged and reranked by a weighted sum."""
+    vectors = table(spark, d, "embeddings")
+    queries = vectors.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    first = lambda df: df.withColumn("embedding", F.slice("embedding", 1, 32))
+    other = dense.search(first(vectors), first(queries)).withColumnRenamed("dense_rank", "bm25_rank")
+    merged = linking.merge_branches(dense.search(vectors, queries), other)
+    ranked = linking.with_rank(models.blended_scorer(merged, lexical_weight=0.5))
+    return ranked.select("query_id", "doc_id", F.round("dense_score", 4).alias("dense_score"), F.round("bm25_score", 4).alias("bm25_score"), "rank")
+
+
+@query("""SELECT l_orderkey, l_linenumber FROM (SELECT *, max(l_extendedprice) OVER (PARTITION BY l_orderkey) AS best FROM lineitem)
+WHERE l_extendedprice >= greatest(20000.0, best - 10000.0)""")
+def floor_margin(spark: SparkSession, d: str) -> DataFrame:
+    return linking.apply_thresholds(table(spark, d, "lineitem"), 20000.0, 10000.0, ["l_orderkey"], "l_extendedprice").select("l_orderkey", "l_linenumber")
+
+
+@query("""WITH k AS (SELECT l_orderkey, unnest(CASE WHEN l_linenumber % 2 = 0 THEN [(l_suppkey % 10)::VARCHAR, (l_partkey % 10)::VARCHAR] ELSE [(l_partkey % 10)::VARCHAR] END) AS c FROM lineitem WHERE l_quantity > 25)
+SELECT o_orderkey, coalesce(string_agg(DISTINCT c, '|' ORDER BY c), '') AS codes FROM orders LEFT JOIN k ON o_orderkey = l_orderkey GROUP BY o_orderkey""")
+def expand_codes(spark: SparkSession, d: str) -> DataFrame:
+    line = table(spark, d, "lineitem").filter("l_quantity > 25").withColumnRenamed("l_orderkey", "o_orderkey")
+    a, b = ((F.col(c) % 10).cast("string") for c in ("l_suppkey", "l_partkey"))
+    role = F.when(F.col("l_linenumber") % 2 == 0, "alias").otherwise("candidate")
+    kept = line.withColumn("codes", linking.codes_of(role, b, F.array(a, b)))
+    return linking.expand_codes(kept, table(spark, d, "orders"), ["o_orderkey"]).withColumn("codes", F.array_join("codes", "|"))
+
+
+@query("""WITH s AS (SELECT l_orderkey, list_distinct(list(l_partkey % 7) FILTER (WHERE l_quantity > 25)) AS g, list_distinct(list(l_partkey % 7) FILTER (WHERE l_discount > 0.05)) AS p, l_orderkey % 5 AS grp FROM lineitem GROUP BY l_orderkey),
+j AS (SELECT grp, coalesce(len(g), 0) + 1 AS w, CASE WHEN coalesce(len(g), 0) = 0 THEN (coalesce(len(p), 0) = 0)::INT::DOUBLE
+        ELSE len(list_intersect(g, coalesce(p, []))) / len(list_distinct(list_concat(g, coalesce(p, [])))) END AS j FROM s)
+SELECT grp, count(*) AS n, round(sum(j * w) / sum(w), 6) AS score FROM j GROUP BY grp""")
+def weighted_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    code = (F.col("l_partkey") % 7).cast("string")
+    pairs = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.when(F.col("l_quantity") > 25, code)).alias("gold"), F.collect_list(F.when(F.col("l_discount") > 0.05, code)).alias("pred"))
+    score = arrays.weighted_mean(arrays.jaccard(F.col("gold"), F.col("pred")), arrays.gold_weight(F.col("gold")))
+    return pairs.groupBy((F.col("l_orderkey") % 5).alias("grp")).agg(F.count("*").alias("n"), F.round(score, 6).alias("score"))
+
+
+SQL_RECALL = f"""WITH {DUMP_SQL},
+cov AS (SELECT record_id, flatten(list(codes)) AS u, flatten(list(codes) FILTER (WHERE dense_score IS NOT NULL)) AS de, flatten(list(codes) FILTER (WHERE bm25_score IS NOT NULL)) AS bm FROM cand GROUP BY record_id),
+r AS (SELECT rec.*, list_has_all(u, gold)::INT AS ru, list_has_all(coalesce(de, []), gold)::INT AS rd, list_has_all(coalesce(bm, []), gold)::INT AS rb FROM rec JOIN cov USING (record_id))"""
+
+
+@query(f"""{SQL_RECALL}
+SELECT CASE WHEN grouping(kb) = 0 THEN 'kb=' || kb WHEN grouping(noise) = 0 THEN 'noise=' || noise WHEN grouping(gold_kind) = 0 THEN 'gold_kind=' || gold_kind ELSE 'all' END AS grp,
+       count(*) AS n, round(avg(ru), 4) AS recall_union, round(avg(rd), 4) AS recall_dense, round(avg(rb), 4) AS recall_bm25
+FROM r GROUP BY GROUPING SETS ((), (kb), (noise), (gold_kind))""")
+def recall_by_group(spark: SparkSession, d: str) -> DataFrame:
+    return measures.recall_by_group(dump(spark, d))
+
+
+@query(f"{SQL_RECALL} SELECT record_id, ru = 1 AS recall_union, rd = 1 AS recall_dense, rb = 1 AS recall_bm25 FROM r")
+def branch_recall(spark: SparkSession, d: str) -> DataFrame:
+    return measures.with_recall(dump(spark, d)).select("record_id", "recall_union", "recall_dense", "recall_bm25")
+
+
+SQL_LABEL = f"""WITH {DUMP_SQL},
+lab AS (SELECT record_id, kb, cluster_name, doc_id, rerank_score AS score, CASE WHEN list_has_any(codes, gold) THEN 'gold' WHEN list_has_any(codes, distractor) THEN 'distractor' ELSE 'other' END AS label FROM cand JOIN rec USING (record_id))"""
+
+
+@query(f"{SQL_LABEL} SELECT record_id, doc_id, label, round(score, 6) AS score FROM lab")
+def label_candidates(spark: SparkSession, d: str) -> DataFrame:
+    return measures.labelled(dump(spark, d)).select("record_id", "doc_id", "label", F.round("score", 6).alias("score"))
+
+
+@query(f"""{SQL_LABEL}, s AS (SELECT kb, label, list(score ORDER BY score) AS a, median(score) AS m FROM lab GROUP BY kb, label)
+SELECT kb, label, len(a) AS n, round(a[1], 4) AS min, round(a[least(len(a) - 1, floor(0.25 * len(a)))::INT + 1], 4) AS q25, round(m, 4) AS median, round(a[least(len(a) - 1, floor(0.75 * len(a)))::INT + 1], 4) AS q75, round(a[len(a)], 4) AS max FROM s""")
+def five_number(spark: SparkSession, d: str) -> DataFrame:
+    found = measures.score_summary(dump(spark, d))
+    return found.withColumns({c: F.round(c, 4) for c in ("min", "q25", "median", "q75", "max")})
+
+
+SQL_NEED = f"""WITH {DUMP_SQL},
+o AS (SELECT record_id, kb, gold, rerank_score, codes, max(rerank_score) OVER (PARTITION BY record_id) AS top, row_number() OVER (PARTITION BY record_id ORDER BY rerank_score DESC, doc_id) AS rn FROM cand JOIN rec USING (record_id) WHERE gold_kind <> 'single'),
+c AS (SELECT *, flatten(list(codes) OVER (PARTITION BY record_id ORDER BY rn)) AS cov FROM o),
+need AS (SELECT record_id, kb, min(top - rerank_score) FILTER (WHERE list_has_all(cov, gold)) AS need FROM c GROUP BY record_id, kb)"""
+
+
+@query(f"{SQL_NEED} SELECT record_id, kb, round(need, 4) AS need FROM need")
+def margin_floor(spark: SparkSession, d: str) -> DataFrame:
+    return measures.margin_floor(dump(spark, d)).withColumn("need", F.round("need", 4))
+
+
+SQL_GAP = f"{SQL_LABEL}, gap AS (SELECT record_id, kb, cluster_name, max(score) FILTER (WHERE label = 'gold') - max(score) FILTER (WHERE label = 'distractor') AS gap FROM lab GROUP BY ALL)"
+
+
+@query(f"{SQL_GAP} SELECT kb, cluster_name, count(*) AS n, round(median(gap), 4) AS median_gap, round(min(gap), 4) AS min_gap, count(*) FILTER (WHERE gap <= 0) AS n_lost FROM gap WHERE gap IS NOT NULL GROUP BY kb, cluster_name")
+def margin_ceiling(spark: SparkSession, d: str) -> DataFrame:
+    return measures.cluster_gaps(dump(spark, d)).withColumns({c: F.round(c, 4) for c in ("median_gap", "min_gap")})
+
+
+@query(f"""{SQL_NEED}, lab AS (SELECT record_id, kb, rerank_score AS score, CASE WHEN list_has_any(codes, gold) THEN 'gold' WHEN list_has_any(codes, distractor) THEN 'distractor' ELSE 'other' END AS label FROM cand JOIN rec USING (record_id)),
+gap AS (SELECT record_id, kb, max(score) FILTER (WHERE label = 'gold') - max(score) FILTER (WHERE label = 'distractor') AS gap FROM lab GROUP BY ALL),
+a AS (SELECT kb, median(need) AS need FROM need WHERE need IS NOT NULL GROUP BY kb), b AS (SELECT kb, median(gap) AS allow FROM gap WHERE gap IS NOT NULL GROUP BY kb)
+SELECT kb, round(need, 4) AS need, round(allow, 4) AS allow, need < allow AS safe FROM a JOIN b USING (kb)""")
+def margin_verdict(spark: SparkSession, d: str) -> DataFrame:
+    return measures.verdict(dump(spark, d)).withColumns({c: F.round(c, 4) for c in ("need", "allow")})
+
+
+def sql_predicted(floor: str, margin: str) -> str:
+    return f"FROM (SELECT *, max(rerank_score) OVER (PARTITION BY record_id) AS top FROM cand) WHERE rerank_score >= greatest({floor}, top - {margin})"
+
+
+@query(f"""WITH {DUMP_SQL}, p AS (SELECT record_id, flatten(list(codes)) AS codes {sql_predicted('1.5', '0.8')} GROUP BY record_id),
+f AS (SELECT cluster_name, list_has_any(coalesce(codes, []), distractor)::INT AS leak FROM rec LEFT JOIN p USING (record_id) WHERE len(distractor) > 0)
+SELECT cluster_name AS cluster, count(*) AS n, sum(leak)::BIGINT AS leaked, round(avg(leak), 2) AS rate FROM f GROUP BY cluster_name""")
+def leak_rate(spark: SparkSession, d: str) -> DataFrame:
+    return measures.leak_rate(dump(spark, d), 1.5, 0.8)
+
+
+#: The comparison's grid is 7 x 7, and its samples are 3; production has 41 x 41 and 300.
+STEPS = 7
+SQL_GRID = f"""WITH {DUMP_SQL},
+sc AS (SELECT list(rerank_score ORDER BY rerank_score) AS a FROM cand),
+ends AS (SELECT a[1] AS lo, a[least(len(a) - 1, floor(0.99 * len(a)))::INT + 1] AS hi FROM sc),
+ax AS (SELECT lo + (hi - lo) * i / {STEPS - 1} AS floor, (hi - lo) * i / {STEPS - 1} AS margin FROM ends, (SELECT unnest(range({STEPS})) AS i)),
+grid AS (SELECT a.floor, b.margin FROM (SELECT floor FROM ax) a, (SELECT margin FROM ax) b),
+tops AS (SELECT record_id, max(rerank_score) AS top FROM cand GROUP BY record_id),
+p AS (SELECT record_id, floor, margin, list_distinct(flatten(list(codes) FILTER (WHERE rerank_score >= greatest(floor, top - margin)))) AS pred FROM cand JOIN tops USING (record_id), grid GROUP BY ALL),
+cells AS (SELECT record_id, kb, floor, margin, len(gold) + 1 AS w, len(list_intersect(gold, coalesce(pred, []))) / len(list_distinct(list_concat(gold, coalesce(pred, [])))) AS j FROM p JOIN rec USING (record_id))"""
+
+
+def grid_cells(spark: SparkSession, d: str) -> DataFrame:
+    records = dump(spark, d)
+    return calibration.cell_scores(records, calibration.parameter_grid(calibration.score_axes(records, STEPS)))
+
+
+@query(f"""{SQL_GRID}, g AS (SELECT kb, floor, margin, round(sum(j * w) / sum(w), 12) AS score FROM cells GROUP BY ALL)
+SELECT kb, round(floor, 6) AS floor, round(margin, 6) AS margin, round(score, 6) AS score FROM g QUALIFY row_number() OVER (PARTITION BY kb ORDER BY score DESC, margin, floor DESC) = 1""")
+def grid_best(spark: SparkSession, d: str) -> DataFrame:
+    found = calibration.best_pair(calibration.grid_scores(grid_cells(spark, d), ["kb"]), ["kb"])
+    return found.select("kb", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
+
+
+@query(f"""{SQL_GRID}, times AS (SELECT record_id, b AS sample, (record_id * (b + 3)) % 4 AS times FROM rec, (SELECT unnest(range(3)) AS b)),
+g AS (SELECT kb, sample, floor, margin, coalesce(round(sum(times * w * j) / nullif(sum(times * w), 0), 12), 0) AS score FROM cells JOIN times USING (record_id) GROUP BY ALL)
+SELECT kb, sample, round(floor, 6) AS floor, round(margin, 6) AS margin, round(score, 6) AS score FROM g QUALIFY row_number() OVER (PARTITION BY kb, sample ORDER BY score DESC, margin, floor DESC) = 1""")
+def bootstrap(spark: SparkSession, d: str) -> DataFrame:
+    """The samples' counts are a function of the record here, so that both engines have the same."""
+    cells = grid_cells(spark, d)
+    ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"))
+    counts = ids.select("record_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("sample")).withColumn("times", (F.col("record_id") * (F.col("sample") + 3)) % 4)
+    found = calibration.bootstrap(cells, counts, ["kb"])
+    return found.select("kb", F.col("sample").cast("long").alias("sample"), *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
+
+
+@query(f"""WITH {DUMP_SQL}, r AS (SELECT *, CASE WHEN cluster_name IS NOT NULL THEN 'cluster::' || kb || '::' || cluster_name ELSE 'row::' || kb || '::' || record_id END AS unit FROM rec),
+st AS (SELECT unit, noise, gold_kind, count(*) AS c, min(record_id) AS first FROM r GROUP BY ALL),
+u AS (SELECT unit, arg_max(noise || '/' || gold_kind, {{'c': c, 'f': -first}}) AS stratum, sum(c) AS n FROM st GROUP BY unit),
+o AS (SELECT unit, coalesce(sum(n) OVER (PARTITION BY stratum ORDER BY md5('20260728|' || unit), unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER (PARTITION BY stratum) AS total FROM u)
+SELECT record_id, unit, before < round_even(total * 0.25, 0) AS is_dev FROM r JOIN o USING (unit)""")
+def cluster_split(spark: SparkSession, d: str) -> DataFrame:
+    return calibration.split(dump(spark, d).withColumn("row_no", F.col("record_id"))).select("record_id", "unit", "is_dev")
+
+
+SQL_SPANS = "sp AS (SELECT event_id, user_id, event_type, epoch(ts)::BIGINT AS s, epoch(ts)::BIGINT + (value * 20000)::BIGINT AS e FROM events)"
+
+
+@query(f"""WITH {SQL_SPANS} SELECT event_id, user_id, event_type FROM sp a WHERE NOT EXISTS (
+SELECT 1 FROM sp b WHERE a.user_id = b.user_id AND a.event_type = b.event_type AND b.s <= a.s AND a.e <= b.e AND b.e - b.s > a.e - a.s)""")
+def drop_nested(spark: SparkSession, d: str) -> DataFrame:
+    s = F.unix_seconds(F.col("ts").cast("timestamp"))
+    events = table(spark, d, "events").withColumns({"span_start": s, "span_end": s + F.round(F.col("value") * 20000).cast("long")})
+    return rows.drop_nested(events, ["user_id", "event_type"]).select("event_id", "user_id", "event_type")
+
+
+@query()
+def align_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Every turn's first two words, changed in case, and its last word are looked for in it."""
+    w = F.split(F.trim("text"), "\\s+")
+    pick = lambda t, k: F.struct(t.alias("text"), F.lit(k).alias("type"), F.array().cast("array<string>").alias("assertions"))
+    entities = F.array(pick(F.upper(F.array_join(F.slice(w, 1, 2), " ")), "CHẨN_ĐOÁN"), pick(F.element_at(w, 1), "CHẨN_ĐOÁN"), pick(F.element_at(w, -1), "THUỐC"))
+    docs = table(spark, d, "conversations").select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("doc_id"), "text", entities.alias("entities"))
+    return spans.align(docs).drop("assertions")
+
+
+def eval_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Evaluation rows from orders, with repeats in gold, unknown kbs and wrong kinds among them."""
+    k = F.col("record_id")
+    bad_gold = F.when(k % 11 == 0, F.array().cast("array<string>")).when(k % 13 == 0, F.concat("gold", "gold")).otherwise(F.col("gold"))
+    return dump(spark, d).select(
+        k.alias("line_no"), (k % 5000).cast("string").alias("mention"), F.when(k % 17 == 0, "atc").otherwise(F.col("kb")).alias("kb"), bad_gold.alias("gold"), "noise", "gold_kind",
+        F.when(k % 19 != 0, F.col("cluster_name")).alias("cluster_name"), F.when(k % 23 == 0, F.col("gold")).otherwise(F.col("distractor")).alias("distractor"),
+    )
+
+
+SQL_EVAL = f"""WITH {DUMP_SQL}, ev AS (SELECT record_id AS line_no, (record_id % 5000)::VARCHAR AS mention, CASE WHEN record_id % 17 = 0 THEN 'atc' ELSE kb END AS kb,
+CASE WHEN record_id % 11 = 0 THEN [] WHEN record_id % 13 = 0 THEN list_concat(gold, gold) ELSE gold END AS gold, gold_kind,
+CASE WHEN record_id % 19 <> 0 THEN cluster_name END AS cluster_name, CASE WHEN record_id % 23 = 0 THEN gold ELSE distractor END AS distractor FROM rec)"""
+
+
+@query(f"""{SQL_EVAL},
+x AS (SELECT *, CASE WHEN len(list_distinct(gold)) = 1 THEN 'single' WHEN kb = 'icd' THEN 'multi_sibling' WHEN kb = 'rxnorm' THEN 'multi_solving' END AS want, list_sort(list_distinct(list_intersect(distractor, gold))) AS shared FROM ev)
+SELECT line_no AS row_id, i.level, i.rule, coalesce(i.detail, '') AS detail FROM (SELECT line_no, unnest(list_filter([
+ CASE WHEN len(gold) = 0 THEN {{'level': 'error', 'rule': 'no gold', 'detail': ''}} END,
+ CASE WHEN len(gold) > len(list_distinct(gold)) THEN {{'level': 'error', 'rule': 'gold repeats', 'detail': array_to_string(gold[1:len(gold) // 2], ',')}} END,
+ CASE WHEN len(gold) > 0 AND kb = 'atc' THEN {{'level': 'error', 'rule': 'unknown kb', 'detail': kb}} END,
+ CASE WHEN len(gold) > 0 AND len(shared) > 0 THEN {{'level': 'error', 'rule': 'distractor is gold', 'detail': array_to_string(shared, ',')}} END,
+ CASE WHEN len(gold) > 0 AND want IS NOT NULL AND want <> gold_kind THEN {{'level': 'error', 'rule': 'wrong gold_kind', 'detail': gold_kind}} END,
+ CASE WHEN len(gold) > 0 AND len(distractor) > 0 AND cluster_name IS NULL THEN {{'level': 'warning', 'rule': 'distractor without cluster', 'detail': ''}} END,
+ CASE WHEN len(gold) > 0 AND len(distractor) = 0 AND cluster_name IS NOT NULL THEN {{'level': 'warning', 'rule': 'cluster without distractor', 'detail': cluster_name}} END], lambda z: z IS NOT NULL)) AS i FROM x)""")
+def gate_rows(spark: SparkSession, d: str) -> DataFrame:
+    return gates.check_rows(eval_rows(spark, d))
+
+
+@query(f"""{SQL_EVAL}, f AS (SELECT mention, kb, min(line_no) AS first FROM ev GROUP BY mention, kb)
+SELECT line_no AS row_id, 'error' AS level, 'duplicate of an earlier row' AS rule, first::VARCHAR AS detail FROM ev JOIN f ON ev.mention = f.mention AND ev.kb = f.kb WHERE line_no > first""")
+def gate_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return gates.check_duplicates(eval_rows(spark, d))
+
+
+@query(f"""{SQL_EVAL}, valid AS (SELECT DISTINCT (c_custkey % 8)::VARCHAR AS code, kb FROM customer, (SELECT unnest(['icd', 'rxnorm']) AS kb)),
+used AS (SELECT line_no, kb, 'gold' AS field, unnest(gold) AS code FROM ev UNION ALL SELECT line_no, kb, 'distractor', unnest(distractor) FROM ev)
+SELECT line_no AS row_id, 'error' AS level, field || ' has unknown codes' AS rule, string_agg(DISTINCT code, ',' ORDER BY code) AS detail
+FROM used u WHERE kb <> 'atc' AND NOT EXISTS (SELECT 1 FROM valid v WHERE v.kb = u.kb AND v.code = u.code) GROUP BY line_no, field""")
+def gate_codes(spark: SparkSession, d: str) -> DataFrame:
+    codes = table(spark, d, "customer").select((F.col("c_custkey") % 8).cast("string").alias("code")).distinct()
+    valid = codes.select(F.lit("icd").alias("kb"), "code").union(codes.select(F.lit("rxnorm").alias("kb"), "code"))
+    return gates.check_codes(eval_rows(spark, d), valid)
+
+
+SQL_CLUSTER = f"""{SQL_EVAL}, blk AS (SELECT range::VARCHAR AS code, CASE WHEN range < 9 THEN 'b' || (range // 5) END AS block FROM range(10)),
+grp AS (SELECT range AS group_id, [range::VARCHAR, ((range + 1) % 10)::VARCHAR] AS codes FROM range(9))"""
+
+
+def near_codes(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    n = F.col("id")
+    blocks = spark.range(10).select(n.cast("string").alias("code"), F.when(n < 9, F.concat(F.lit("b"), F.floor(n / 5).cast("string"))).alias("block"))
+    groups = spark.range(9).select(n.alias("group_id"), F.array(n.cast("string"), ((n + 1) % 10).cast("string")).alias("codes"))
+    return blocks, groups
+
+
+@query(f"""{SQL_CLUSTER}, x AS (SELECT *, list_sort(list_distinct(gold)) AS g, CASE WHEN len(list_distinct(gold)) = 1 THEN 'single' WHEN kb = 'icd' THEN 'multi_sibling' ELSE 'multi_solving' END AS want FROM ev WHERE kb <> 'atc' AND len(gold) > 0),
+bl AS (SELECT line_no, string_agg(DISTINCT coalesce(block, '?'), ',' ORDER BY coalesce(block, '?')) AS b FROM (SELECT line_no, unnest(g) AS code FROM x WHERE kb = 'icd' AND len(g) > 1) LEFT JOIN blk USING (code) GROUP BY line_no)
+SELECT line_no AS row_id, 'error' AS level, 'wrong gold_kind' AS rule, gold_kind AS detail FROM x WHERE gold_kind <> want
+UNION ALL SELECT line_no, 'error', 'gold spans blocks', b FROM bl WHERE b LIKE '%,%' OR b LIKE '%?%'
+UNION ALL SELECT line_no, 'error', 'gold is of no one group', array_to_string(g, ',') FROM x WHERE kb = 'rxnorm' AND len(g) > 1 AND NOT EXISTS (SELECT 1 FROM grp WHERE list_has_all(codes, g))""")
+def gate_kinds(spark: SparkSession, d: str) -> DataFrame:
+    return gates.check_kinds(eval_rows(spark, d), *near_codes(spark))
+
+
+@query(f"""{SQL_CLUSTER}, m AS (SELECT *, kb || '/' || cluster_name AS key FROM ev WHERE cluster_name IS NOT NULL),
+sz AS (SELECT key, count(*) AS n, min(line_no) AS row_id FROM m GROUP BY key),
+go AS (SELECT DISTINCT key, kb, unnest(gold) AS code FROM m), ot AS (SELECT key, kb, line_no, unnest(distractor) AS code FROM m),
+nb AS (SELECT DISTINCT key, block FROM go JOIN blk USING (code) WHERE kb = 'icd' AND block IS NOT NULL),
+gx AS (SELECT group_id, unnest(codes) AS code FROM grp),
+nc AS (SELECT DISTINCT go.key, b.code FROM go JOIN gx a USING (code) JOIN gx b ON a.group_id = b.group_id WHERE go.kb <> 'icd'),
+far AS (SELECT line_no, code FROM ot LEFT JOIN blk USING (code) WHERE kb = 'icd' AND NOT EXISTS (SELECT 1 FROM nb WHERE nb.key = ot.key AND nb.block = blk.block)
+        UNION ALL SELECT line_no, code FROM ot WHERE kb <> 'icd' AND NOT EXISTS (SELECT 1 FROM nc WHERE nc.key = ot.key AND nc.code = ot.code)),
+sb AS (SELECT key, list_sort(list_distinct(list(coalesce(block, '?')))) AS b FROM (SELECT key, unnest(list_concat(gold, distractor)) AS code FROM m WHERE kb = 'icd') LEFT JOIN blk USING (code) GROUP BY key)
+SELECT row_id, 'error' AS level, 'cluster of one row' AS rule, key AS detail FROM sz WHERE n < 2
+UNION ALL SELECT line_no, 'error', 'distractor is not near', string_agg(DISTINCT code, ',' ORDER BY code) FROM far GROUP BY line_no
+UNION ALL SELECT row_id, 'error', 'cluster spans blocks', array_to_string(b, ',') FROM sb JOIN sz USING (key) WHERE len(b) > 1""")
+def gate_clusters(spark: SparkSession, d: str) -> DataFrame:
+    return gates.check_clusters(eval_rows(spark, d), *near_codes(spark))
+
+
+@query("""WITH x AS (SELECT doc_id, n_chars, doc_id % 9 AS k, text FROM documents)
+SELECT doc_id::VARCHAR AS row_id, 'error' AS level, 'no output' AS rule, '' AS detail FROM x WHERE k = 0
+UNION ALL SELECT doc_id::VARCHAR, 'error', 'no list', '' FROM x WHERE k = 1
+UNION ALL SELECT doc_id || '[0]', 'error', 'unknown type', 'X' FROM x WHERE k = 2
+UNION ALL SELECT doc_id || '[0]', 'error', 'position outside the text', '' FROM x WHERE k = 3
+UNION ALL SELECT doc_id || '[0]', 'error', 'text is not at its position', trim(regexp_replace(text[1:3], '\\s+', ' ', 'g')) FROM x WHERE k = 4
+UNION ALL SELECT doc_id || '[0]', 'warning', 'no codes', 'zzz' FROM x WHERE k = 4
+UNION ALL SELECT doc_id || '[0]', 'error', 'candidates are not allowed', 'TRIỆU_CHỨNG' FROM x WHERE k = 5
+UNION ALL SELECT doc_id || '[0]', 'error', 'no text', '' FROM x WHERE k = 6""")
+def gate_outputs(spark: SparkSession, d: str) -> DataFrame:
+    """Outputs with one fault each, by document."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    k = F.col("doc_id") % 9
+    item = lambda body: F.lit(f"[{body}]")
+    json = (
+        F.when(k == 1, '{"a": 1}').when(k == 2, item('{"type": "X", "text": "a", "position": [0, 1]}')).when(k == 3, item('{"type": "TRIỆU_CHỨNG", "text": "a", "position": [5, 100000000]}'))
+        .when(k == 4, item('{"type": "THUỐC", "text": "zzz", "position": [0, 3], "candidates": []}')).when(k == 5, item('{"type": "TRIỆU_CHỨNG", "text": "", "position": [0, 1], "candidates": ["1"]}'))
+        .when(k == 6, item('{"type": "TRIỆU_CHỨNG", "text": "", "position": [0, 1]}')).otherwise("[]")
+    )
+    first = F.to_json(F.array(F.struct(F.lit("TRIỆU_CHỨNG").alias("type"), F.substring("text", 1, 1).alias("text"), F.array(F.lit(0), F.lit(1)).alias("position"), F.array(F.lit("1")).alias("candidates"))))
+    first_two = F.to_json(F.array(F.struct(F.lit("X").alias("type"), F.substring("text", 1, 1).alias("text"), F.array(F.lit(0), F.lit(1)).alias("position"))))
+    outputs = docs.filter(k != 0).select("doc_id", F.when(k == 5, first).when(k == 2, first_two).otherwise(json).alias("json"))
+    found = gates.check_outputs(docs, outputs)
+    return found.withColumn("detail", F.when(F.col("rule") == "text is not at its position", text.collapse(F.col("detail"))).otherwise(F.col("detail")))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def resume_antijoin(spark: SparkSession, d: str) -> DataFrame:
+    return files.pending(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"))
+
+
+@query("""WITH e AS (SELECT event_type, min(value) AS lo, max(value) AS hi, count(value) AS n FROM events GROUP BY event_type),
+b AS (SELECT event_type, lo, hi, n, least(floor((value - lo) / (hi - lo) * 50)::INT + 1, 50) AS bin FROM events JOIN e USING (event_type))
+SELECT event_type, bin, round(lo + (bin - 1) * (hi - lo) / 50, 6) AS bin_start, count(*) AS cnt, round(count(*) / (n * ((hi - lo) / 50)), 6) AS density FROM b GROUP BY event_type, bin, lo, hi, n""")
+def histogram(spark: SparkSession, d: str) -> DataFrame:
+    found = rows.histogram(table(spark, d, "events"), "value", ["event_type"], 50)
+    return found.withColumns({c: F.round(c, 6) for c in ("bin_start", "density")})
+
+
+@query("""SELECT 'c_' || c_custkey AS doc_id, c_name AS text, 'candidate' AS role FROM customer
+UNION ALL SELECT 'b_' || s_suppkey, s_name, 'alias' FROM supplier""")
+def knowledge_union(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer").select(F.concat(F.lit("c_"), F.col("c_custkey").cast("string")).alias("doc_id"), F.col("c_name").alias("text"), F.col("c_custkey").cast("string").alias("code"))
+    s = table(spark, d, "supplier").select(F.concat(F.lit("b_"), F.col("s_suppkey").cast("string")).alias("doc_id"), F.col("s_name").alias("text"), F.array(F.col("s_nationkey").cast("string")).alias("resolve_in"))
+    return files.drug_documents(c, s).select("doc_id", "text", "role")
+
+
+@query(f"""WITH {DUMP_SQL}, c AS (SELECT kb, CASE WHEN len(list_distinct(gold)) = 1 THEN 'single' WHEN kb = 'icd' THEN 'multi_sibling' ELSE 'multi_solving' END AS k FROM rec)
+SELECT kinds.k AS gold_kind, count(c.k) AS n FROM (SELECT unnest(['single', 'multi_sibling', 'multi_solving', 'none']) AS k) kinds LEFT JOIN c ON c.k = kinds.k GROUP BY kinds.k""")
+def kind_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Counts by kind in a fixed order, kinds that do not occur as 0."""
+    kinds = spark.createDataFrame([(i, k) for i, k in enumerate(("single", "multi_sibling", "multi_solving", "none"))], "i int, gold_kind string")
+    n = dump(spark, d).groupBy(arrays.gold_kind(F.col("kb"), F.col("gold")).alias("gold_kind")).agg(F.count("*").alias("n"))
+    return kinds.join(n, "gold_kind", "left").orderBy("i").select("gold_kind", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query(f"WITH {DUMP_SQL}, w AS (SELECT kb, sum(j * w) / sum(w) AS score FROM (SELECT kb, len(gold) + 1 AS w, len(list_intersect(gold, coalesce(pred, []))) / len(list_distinct(list_concat(gold, coalesce(pred, [])))) AS j FROM rec LEFT JOIN (SELECT record_id, list_distinct(flatten(list(codes))) AS pred {sql_predicted('1.49', '0.399')} GROUP BY record_id) USING (record_id)) GROUP BY kb) SELECT kb, round(score, 6) AS score FROM w")
+def candidates_score(spark: SparkSession, d: str) -> DataFrame:
+    pred = dump(spark, d).withColumn("predicted", measures.predicted(F.col("candidates"), F.lit(1.49), F.lit(0.399)))
+    score = arrays.weighted_mean(arrays.jaccard(F.col("gold"), F.col("predicted")), arrays.gold_weight(F.col("gold")))
+    return pred.groupBy("kb").agg(F.round(score, 6).alias("score"))
