@@ -106,5 +106,5 @@ CODE_LINE = r"^([A-Z]\d{2}(?:\.\d{1,4})?[†*]?)\s+(.*)$"
 
 
 def is_junk(text: Column) -> Column:
-    """Nothing but one run of asterisks between white space."""
-    return text.rlike(f"(?U)^{SPACE_CLASS}*\\**{SPACE_CLASS}*$")
+    """Nothing is left without white space at the ends, then asterisks at the ends, then white space again."""
+    return text.rlike(f"(?U)^{SPACE_CLASS}*\\**{SPACE_CLASS}*\\**{SPACE_CLASS}*$")
