@@ -23,12 +23,12 @@ from mentionforge.llm.common import cut, join_counted, SPACES, whole, words
 
 #: Ratios per word (or line) on which a rule may reject, and on which side.
 RULES = {
-    "symbols": (F.col("n_symbols") / F.col("n_words"), 1),
-    "repeats": (F.col("n_repeat_words") / F.col("n_words"), 1),
-    "same_lines": (F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), 1),
-    "capitals": (F.col("n_capitals") / F.greatest(F.col("word_chars"), F.lit(1)), 1),
-    "long_words": (F.col("word_chars") / F.col("n_words"), 1),
-    "short_words": (F.col("word_chars") / F.col("n_words"), -1),
+    "symbols": ("n_symbols / n_words", 1),
+    "repeats": ("n_repeat_words / n_words", 1),
+    "same_lines": ("n_dup_lines / greatest(n_lines, 1)", 1),
+    "capitals": ("n_capitals / greatest(word_chars, 1)", 1),
+    "long_words": ("word_chars / n_words", 1),
+    "short_words": ("word_chars / n_words", -1),
 }
 #: Steps of the grids, from strict to lenient: cutoff i of the ratios in 0..1 is (i / GRID)^2, of word lengths i / 4 or 4 * i / GRID.
 GRID = 64
@@ -89,7 +89,7 @@ def binomial_below(k: Column, n: Column, p: float) -> Column:
 def certified_cutoffs(good: DataFrame, alpha: float, delta: float) -> DataFrame:
     """From the features of good holdout texts: stratum, rule, cutoff, n_good, n_lost of each certified rule."""
     limit = alpha / len(RULES)
-    ratios = F.array(*[F.struct(F.lit(k).alias("rule"), (v * side).cast("double").alias("value")) for k, (v, side) in RULES.items()])
+    ratios = F.array(*[F.struct(F.lit(k).alias("rule"), (F.expr(v) * side).cast("double").alias("value")) for k, (v, side) in RULES.items()])
     each = good.select("stratum", F.explode(ratios).alias("r")).select("stratum", "r.rule", "r.value")
     # The smallest step at which the text is not rejected; GRID + 1 if all reject it.
     steps = F.sequence(F.lit(0), F.lit(GRID))
@@ -117,7 +117,7 @@ def judge(feats: DataFrame, cutoffs: DataFrame) -> DataFrame:
     d = join_counted(feats, by_stratum, ["stratum"])
     rejects = F.lit(False)
     for k, (v, side) in RULES.items():
-        rejects = rejects | F.coalesce(v * side > F.col(f"cut_{k}") * side, F.lit(False))
+        rejects = rejects | F.coalesce(F.expr(v) * side > F.col(f"cut_{k}") * side, F.lit(False))
     return d.withColumn("kept", ~F.col("base_failed") & ~F.when(F.col("base_failed"), False).otherwise(rejects)).drop(*[f"cut_{k}" for k in RULES])
 
 
