@@ -17,7 +17,7 @@ with fewer words than a shingle is one shingle; an empty table gives an empty re
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -156,6 +156,17 @@ def scan_hashes(h: np.ndarray, valid: np.ndarray, bounds: np.ndarray, classes: l
     return found
 
 
+def merged_matches(matches: Iterable[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
+    """Overlapping matches of a template made one (a piece can see a part of what its neighbour sees whole)."""
+    out: list[tuple[str, int, int, float]] = []
+    for name, a, z, p in sorted(matches):
+        if out and out[-1][0] == name and a < out[-1][2] - WIDTH + 1:
+            _, x, y, q = out.pop()
+            a, z, p = x, max(y, z), max(p, q)
+        out.append((name, a, z, p))
+    return sorted(out, key=lambda m: (m[1], m[0]))
+
+
 def scan_texts(texts: list[bytes], classes: list[Class], share: float = CONTAINMENT, width: int = WIDTH, piece: int = PIECE) -> list[list[tuple[str, int, int, float]]]:
     """For each whole text (template, first word, past the last word, containment) of all matches in order of place.
     Short texts are scanned together, long ones in overlapping pieces."""
@@ -191,7 +202,7 @@ def scan_texts(texts: list[bytes], classes: list[Class], share: float = CONTAINM
                 flush()
                 held = 0
     flush()
-    return [sorted(m.values(), key=lambda m: (m[1], m[0])) for m in out]
+    return [merged_matches(m.values()) for m in out]
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, share: float = CONTAINMENT, width: int = WIDTH, bands: int = BANDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -246,7 +246,8 @@ def sampled(word: np.ndarray, context: np.ndarray, c: np.ndarray, words: int, g:
         p0 = (np.maximum(without - g.root_discount * np.minimum(root_t[w], without), 0.0) + (g.strength + g.root_discount * t_root) * base) / scale
         t[several] = seat(c[several], (g.strength + g.discount * g.dishes[k]) * p0, g.discount, rng)
         if sweep >= g.burn_in:
-            kept.append((t.copy(), np.bincount(word, t, words), root_t))
+            parent = np.bincount(word, t, words)
+            kept.append((t.copy(), parent, np.minimum(root_t, parent.astype(np.int64))))
     return kept
 
 
@@ -257,7 +258,7 @@ def predictive(word: np.ndarray, context: np.ndarray, c: np.ndarray, words: int,
     kept = sampled(word[seen], context[seen], c[seen], words, g, seed)
     for s, (t, parent, root_t) in enumerate(kept):
         n_root = float(g.tables[s].sum())
-        p0 = (np.maximum(parent - g.root_discount * np.minimum(root_t, parent), 0.0) + (g.strength + g.root_discount * g.root_tables[s]) / (g.words + 1)) / (g.strength + n_root)
+        p0 = ((parent - g.root_discount * root_t) + (g.strength + g.root_discount * g.root_tables[s]) / (g.words + 1)) / (g.strength + n_root)
         below = g.strength + g.customers[context]
         p = (g.strength + g.discount * g.tables[s][context]) / below * p0[word]
         p[seen] += (c[seen] - g.discount * t) / below[seen]
