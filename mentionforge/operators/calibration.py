@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -118,3 +121,22 @@ def sweep(dump: DataFrame, is_dev: DataFrame, steps: int = GRID_STEPS, resamples
         "floor": chosen["floor"], "margin": chosen["margin"], "sweep_score": chosen["score"], "dev_score": dev_score["score"], "n_dev": dev_score["n"], "n_sweep": rows.count() - dev_score["n"],
         "warn": abs(gap) > GAP_WARNING, **ranges, "leaks": [r.asDict() for r in leak_rate(dump, chosen["floor"], chosen["margin"]).collect()],
     }
+
+
+def sweep_all(dump: DataFrame, variant: str, instructions: str, today: str, steps: int = GRID_STEPS, resamples: int = RESAMPLES, dev_ratio: float = DEV_RATIO, seed: int = 20260728) -> tuple[dict, dict]:
+    """Thresholds by knowledge base with metadata, and the split, both as JSON-able objects. The split is made over all
+    knowledge bases together. dump has row_no and record_id; evaluation sets are small."""
+    parts = split(dump, dev_ratio, str(seed)).persist()
+    try:
+        thresholds = {r["kb"]: sweep(dump.filter(F.col("kb") == r["kb"]), parts, steps, resamples, seed) for r in dump.select("kb").distinct().orderBy("kb").collect()}
+        sides = {side: [r["mention"] for r in parts.filter(F.col("is_dev") == dev).orderBy("row_no").select("mention").collect()] for side, dev in (("sweep", False), ("dev", True))}
+    finally:
+        parts.unpersist()
+    thresholds["metadata"] = {"variant": variant, "seed": seed, "date": today, "grid_steps": steps, "bootstrap_resamples": resamples, "reranker_instruction": instructions}
+    return thresholds, {"seed": seed, "dev_ratio": dev_ratio, "variant": variant, **sides}
+
+
+def save_json(value: dict, path: str) -> None:
+    """A small result as one file on the driver's side."""
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    Path(path).write_text(json.dumps(value, ensure_ascii=False, indent=2), encoding="utf-8")

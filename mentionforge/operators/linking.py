@@ -64,26 +64,43 @@ def route(entity_type: Column) -> Column:
     return out
 
 
+def retrieve(queries: DataFrame, index: Mapping) -> DataFrame:
+    """queries (query_id, text) to the merged hits of an index's branches, with the documents' columns. index has
+    ``docs`` (doc_id, text, role, code, resolve_in), ``lexical`` (see lexical.build_index) and optionally ``dense``
+    (doc_id, embedding) with ``embed`` (a column function)."""
+    hits = lexical.search(index["lexical"], queries)
+    if "dense" in index:
+        vectors = queries.select("query_id", index["embed"](F.col("text")).alias("embedding"))
+        near = dense.search(index["dense"], vectors, doc_id="doc_id")
+    else:
+        near = hits.select("query_id", "doc_id", "score", F.col("bm25_rank").alias("dense_rank")).limit(0)
+    return merge_branches(near, hits).join(index["docs"], "doc_id").withColumn("query", F.col("query_id"))
+
+
+def score_dump(rows: DataFrame, index: Mapping, scorer, variant: str) -> DataFrame:
+    """Evaluation rows (record_id, mention, kb, gold, ..) with query, query_variant, and candidates: every hit of either
+    branch with all its scores and codes, best first; the measures and the calibration start from it."""
+    own = rows.withColumns({"query": query_variant(F.col("mention"), variant), "query_variant": F.lit(variant)})
+    scored = with_rank(scorer(retrieve(own.select(F.col("query").alias("query_id"), F.col("query").alias("text")).distinct(), index)))
+    codes = codes_of(F.col("role"), F.col("code"), F.col("resolve_in")).alias("codes")
+    hit = F.struct("rank", F.struct("doc_id", F.coalesce("role", F.lit("candidate")).alias("role"), codes, "dense_score", "bm25_score", "rerank_score").alias("c"))
+    lists = scored.groupBy(F.col("query_id").alias("__q")).agg(F.transform(F.array_sort(F.collect_list(hit)), lambda x: x["c"]).alias("candidates"))
+    kind = dict(lists.dtypes)["candidates"]
+    return own.join(lists, F.col("query") == F.col("__q"), "left").drop("__q").withColumn("candidates", F.coalesce("candidates", F.array().cast(kind)))
+
+
 def link(mentions: DataFrame, indexes: Mapping[str, Mapping], scorer, decisions: Mapping[str, Mapping] = DECISIONS) -> DataFrame:
     """Adds candidates (codes; null where the type is not linked) to mentions (mention_id, text, type).
 
-    indexes: by knowledge base ``docs`` (doc_id, text, role, code, resolve_in), ``lexical`` (see lexical.build_index)
-    and optionally ``dense`` (doc_id, embedding) with ``embed`` (a column function). scorer(pairs with query, text)
-    adds rerank_score. Distinct queries are retrieved once."""
+    indexes: by knowledge base what retrieve() takes. scorer(pairs with query, text) adds rerank_score. Distinct
+    queries are retrieved once."""
     routed = mentions.withColumn("kb", route(F.col("type")))
     out = None
     for kb, index in indexes.items():
         decision = decisions[kb]
         own = routed.filter(F.col("kb") == kb).withColumn("query", query_variant(F.col("text"), decision["variant"]))
         queries = own.select(F.col("query").alias("query_id"), F.col("query").alias("text")).distinct()
-        hits = lexical.search(index["lexical"], queries)
-        if "dense" in index:
-            vectors = queries.select("query_id", index["embed"](F.col("text")).alias("embedding"))
-            near = dense.search(index["dense"], vectors, doc_id="doc_id")
-        else:
-            near = hits.select("query_id", "doc_id", "score", F.col("bm25_rank").alias("dense_rank")).limit(0)
-        pairs = merge_branches(near, hits).join(index["docs"], "doc_id").withColumn("query", F.col("query_id"))
-        kept = apply_thresholds(scorer(pairs), decision["floor"], decision["margin"], ["query_id"])
+        kept = apply_thresholds(scorer(retrieve(queries, index)), decision["floor"], decision["margin"], ["query_id"])
         kept = kept.withColumn("codes", codes_of(F.col("role"), F.col("code"), F.col("resolve_in")))
         codes = expand_codes(kept, queries, ["query_id"]).withColumnRenamed("query_id", "query")
         checked = F.when(code_shape_ok(F.lit(kb), F.col("codes")), F.col("codes")).otherwise(F.raise_error(F.concat(F.lit(f"not a code of {kb}: "), F.array_join("codes", ","))).cast("array<string>"))

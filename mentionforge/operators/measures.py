@@ -5,10 +5,13 @@ struct(doc_id, role, codes, dense_score, bm25_score, rerank_score))."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionforge.functions.arrays import as_set, five_numbers, gold_weight, is_subset, jaccard, weighted_mean
+from mentionforge.functions.arrays import as_set, five_numbers, gold_kind, gold_weight, is_subset, jaccard, weighted_mean
+from mentionforge.operators.rows import histogram
 
 MULTI_KINDS = ["multi_sibling", "multi_solving"]
 
@@ -104,3 +107,29 @@ def leak_rate(dump: DataFrame, floor: float, margin: float) -> DataFrame:
     return d.orderBy(F.desc("rate"), "cluster")
 
 
+
+
+def with_gold_kind(rows: DataFrame) -> DataFrame:
+    """Sets gold_kind as it follows from kb and gold (an unknown kb with several codes fails), and distractor to an
+    empty list where it is missing."""
+    kind = gold_kind(F.col("kb"), F.col("gold"))
+    known = F.when(kind.isNotNull(), kind).otherwise(F.raise_error(F.concat(F.lit("no kind for kb "), F.coalesce("kb", F.lit("null")))).cast("string"))
+    other = F.col("distractor") if "distractor" in rows.columns else F.lit(None).cast("array<string>")
+    return rows.withColumns({"gold_kind": known, "distractor": F.coalesce(other, F.array().cast("array<string>"))})
+
+
+def report(dumps: Mapping[str, DataFrame | None]) -> dict[str, dict[str, DataFrame]]:
+    """The tables of the distribution report by query variant: recall, score summaries, floors and ceilings of the
+    margin, cluster gaps, verdicts, and the histograms' bins. A variant without a dump is left out."""
+    out = {}
+    for variant, dump in dumps.items():
+        if dump is None:
+            continue
+        scores = labelled(dump).withColumn("is_gold", F.col("label") == "gold")
+        need, gap = margin_floor(dump).filter("need IS NOT NULL"), margin_ceiling(dump)
+        summary = lambda d, c: d.groupBy("kb").agg(five_numbers(c).alias("s")).select("kb", "s.*")
+        out[variant] = {
+            "recall": recall_by_group(dump), "scores": score_summary(dump), "margin_floor": summary(need, "need"), "margin_ceiling": summary(gap, "gap"), "clusters": cluster_gaps(dump), "verdict": verdict(dump),
+            "score_bins": histogram(scores, "score", ["kb", "is_gold"], 50), "floor_bins": histogram(need, "need", ["kb"], 30), "ceiling_bins": histogram(gap, "gap", ["kb"], 30),
+        }
+    return out

@@ -190,6 +190,18 @@ def bm25_linking(spark: SparkSession, d: str) -> DataFrame:
     return codes.join(n, "query_id", "left").select(F.col("query_id").alias("item_id"), F.array_join("codes", "|").alias("codes"), F.coalesce("n", F.lit(0)).alias("n_docs"))
 
 
+@query(f"""WITH {SQL_BM25}
+SELECT b.item_id AS record_id, coalesce(string_agg(doc_id || ':' || source, ',' ORDER BY bm25_rank), '') AS candidates, coalesce(list_contains(list(source), 'src' || (b.item_id % 20)), FALSE) AS found
+FROM benchmark b LEFT JOIN hits h USING (item_id) LEFT JOIN documents USING (doc_id) GROUP BY b.item_id""")
+def score_dump(spark: SparkSession, d: str) -> DataFrame:
+    """All hits of each item with their codes, and whether its gold code is among them."""
+    docs = table(spark, d, "documents").select("doc_id", "text", F.lit("candidate").alias("role"), F.col("source").alias("code"), F.lit(None).cast("array<string>").alias("resolve_in"))
+    items = table(spark, d, "benchmark").select(F.col("item_id").alias("record_id"), F.col("text").alias("mention"), F.array(F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string"))).alias("gold"))
+    dumped = linking.score_dump(items, {"docs": docs, "lexical": lexical.build_index(docs)}, models.blended_scorer, "raw")
+    pairs = F.transform("candidates", lambda c: F.concat(c["doc_id"].cast("string"), F.lit(":"), F.get(c["codes"], F.lit(0))))
+    return measures.with_recall(dumped).select("record_id", F.array_join(pairs, ",").alias("candidates"), F.col("recall_union").alias("found"))
+
+
 SQL_DENSE = """qv AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 20 = 0), dv AS (SELECT vec_id AS doc_id, embedding::DOUBLE[] AS e FROM embeddings),
 near AS (SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS dense_rank
          FROM (SELECT query_id, doc_id, list_inner_product(q.e, d.e) AS score FROM qv q, dv d) QUALIFY dense_rank <= 30)"""

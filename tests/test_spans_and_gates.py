@@ -124,6 +124,25 @@ def test_sweep(spark):
     assert measures.candidates_score(dump.limit(0).withColumn("predicted", F.col("gold"))).first().score == 0.0
 
 
+def test_sweep_all_and_report(spark, tmp_path):
+    import json
+
+    hit = "struct<doc_id:string,role:string,codes:array<string>,dense_score:double,bm25_score:double,rerank_score:double>"
+    hits = lambda i: [("d", "candidate", [str(i)], 1.0, None, 4.0 + i % 3), ("e", "alias", ["z", "y"], None, 2.0, 3.5)]
+    data = [(i, i, f"m{i}", "icd" if i % 2 else "rxnorm", [str(i), "y"] if i % 5 == 0 else [str(i)], "mild", "c" if i % 4 == 0 else None, ["z"] if i % 4 == 0 else None, hits(i)) for i in range(24)]
+    d = spark.createDataFrame(data, f"record_id int, row_no int, mention string, kb string, gold array<string>, noise string, cluster_name string, distractor array<string>, candidates array<{hit}>")
+    d = measures.with_gold_kind(d)
+    assert {r.gold_kind for r in d.collect()} == {"single", "multi_sibling", "multi_solving"}
+    thresholds, sides = calibration.sweep_all(d, "raw", "none", "2000-01-01", steps=4, resamples=3)
+    assert set(thresholds) == {"icd", "rxnorm", "metadata"} and len(sides["sweep"]) + len(sides["dev"]) == 24
+    calibration.save_json(thresholds, str(tmp_path / "o" / "t.json"))
+    assert json.loads((tmp_path / "o" / "t.json").read_text())["metadata"]["grid_steps"] == 4
+    tables = measures.report({"raw": d, "strip_dose": None})
+    assert set(tables) == {"raw"} and all(t.count() >= 1 for t in tables["raw"].values())
+    with pytest.raises(Exception, match="no kind"):
+        measures.with_gold_kind(d.withColumn("kb", F.lit("q"))).collect()
+
+
 def test_split_keeps_clusters_whole(spark):
     data = [(i, f"m{i}", "icd", "mild" if i % 3 else "heavy", "single", f"c{i % 7}" if i % 2 else None) for i in range(60)]
     d = spark.createDataFrame(data, "row_no int, mention string, kb string, noise string, gold_kind string, cluster_name string")
