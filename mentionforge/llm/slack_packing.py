@@ -13,7 +13,11 @@ are packed each for itself; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import math
+import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -28,8 +32,15 @@ from mentionforge.llm.common import cut, whole
 
 CAPACITY = 4096
 END = 1
-#: Words whose ids are kept by a worker at most.
-CACHE_WORDS = 300_000
+#: Words, and pieces of words, whose ids are kept by a worker at most.
+CACHE_WORDS = 400_000
+CACHE_PIECES = 1_000_000
+#: A word of Latin letters, each composed and lowered by itself, with marks behind it that the tokenizer parts from
+#: them (no apostrophe, which can open a part of its own); or any other word.
+WORD = re.compile("(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?|$%&*#]*)|([^\n]+))\n")
+#: The signs by which byte-level models name bytes: printable ones name themselves, the others follow from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}
 #: Rows that share a length and a salt are ranked in one group; there are about this many.
 GROUP_ROWS = 50_000
 
@@ -42,7 +53,9 @@ def default_tokenizer() -> str:
 
 class WordIds:
     """Token ids (little-endian unsigned 32-bit) of whole texts. The tokenizer splits at white space and drops it,
-    so a text's ids are those of the parts between its ASCII white space; frequent ones are remembered."""
+    so a text's ids are those of the parts between its ASCII white space; frequent ones are remembered. It also lowers
+    case and parts letters from marks, so a word of Latin letters with marks behind it has the ids of its lower-case
+    letters and then those of the marks, and such pieces are remembered too."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -50,19 +63,46 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        self.known_pieces: dict[str, bytes] = {}
 
     def of(self, texts: list[str]) -> list[bytes]:
         lists = [t.encode().split() for t in texts]
-        known = self.known
-        new = list({w for ws in lists for w in ws if w not in known})
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list({w for ws in lists for w in ws})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[w] for w in ws]) for ws in lists]
+        every = set().union(*lists)
+        new = every.difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:  # those of this batch stay, and so do the frequent ones
+            self.known = {w: self.known[w] for w in every.difference(new)}
+        self.learn(new)
+        find = self.known.__getitem__
+        return [b"".join(map(find, ws)) for ws in lists]
+
+    def learn(self, new: set[bytes]) -> None:
+        words, known = list(new), self.known_pieces
+        found = WORD.findall((b"\n".join(words) + b"\n").decode()) if words else []
+        parts = [(letters.lower(), marks) if letters else (other, "") for letters, marks, other in found]
+        others = {other for letters, _, other in found if not letters}
+        every = set().union(*parts)
+        unknown = every.difference(known)
+        if len(known) + len(unknown) > CACHE_PIECES:
+            known = self.known_pieces = {p: known[p] for p in every.difference(unknown)}
+        plain, whole_words = unknown.difference(others), list(unknown & others)
+        # A run of letters, or of marks, is one unit of the model, whose characters stand for bytes.
+        tokenize = self.tokenizer.model.tokenize
+        for p in plain:
+            ids = [t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_SIGNS))]
+            known[p] = struct.pack(f"<{len(ids)}I", *ids)
+        for p, e in zip(whole_words, self.tokenizer.encode_batch_fast(whole_words, add_special_tokens=False) if whole_words else [], strict=True):
+            known[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        self.known.update(zip(words, [known[a] + known[b] for a, b in parts], strict=True))
+
+
+#: One for each tokenizer and worker process, so that what one task has learned serves the next.
+WORKERS_OWN: dict[str, WordIds] = {}
+
+
+def word_ids_of(path: str) -> WordIds:
+    if path not in WORKERS_OWN:
+        WORKERS_OWN[path] = WordIds(path)
+    return WORKERS_OWN[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -71,10 +111,15 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core
-        word_ids, last = WordIds(path), np.array([end], "<u4").tobytes()
+        word_ids, last = word_ids_of(path), np.array([end], "<u4").tobytes()
+        gc.disable()  # millions of small objects and no cycles
+        try:
+            yield from cut_texts(batches, word_ids, last)
+        finally:
+            gc.enable()
+
+    def cut_texts(batches: Iterator[pa.RecordBatch], word_ids: WordIds, last: bytes) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 512):
                 b = batch.slice(at, 512)
