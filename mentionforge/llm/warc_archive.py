@@ -1,6 +1,7 @@
 """A content-addressed WARC archive.
 
-An archive is a folder of two Parquet tables. ``payloads`` holds each distinct payload once, under its SHA-256;
+An archive is a folder of two Parquet tables. ``payloads`` holds each distinct payload once, compressed by itself,
+under its SHA-256;
 ``headers`` holds each record's exact header bytes (WARC header and HTTP header) with the digest of its payload.
 Original records are put together again by joining the two, and every payload read back is checked against its
 digest. The first record of a payload (smallest page_id) is a response; later ones with an equal payload of at least
@@ -14,8 +15,12 @@ an empty archive.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +30,7 @@ from mentionforge.llm.common import cut
 CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DATE = "1970-01-01T00:00:00Z"
+LEVEL = 3
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -67,6 +73,38 @@ def record_headers(rows: DataFrame, date: str = DATE) -> DataFrame:
     return rows.withColumns({"warc_header": F.concat(F.concat_ws(lf, *lines), F.lit(lf + lf)).cast("binary"), "http_header": http.cast("binary")})
 
 
+def compressed(rows: DataFrame) -> DataFrame:
+    """rows with payload compressed, each by itself, as it is stored and sent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=LEVEL).compress
+        for b in batches:
+            packed = pa.array([pack(x.as_buffer()) for x in b.column("payload")], pa.binary())
+            yield b.set_column(b.schema.get_field_index("payload"), "payload", packed)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def restored(records: DataFrame) -> DataFrame:
+    """records with payload as it was; fails where it is missing or has another digest than the record names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for b in batches:
+            for at in range(0, len(b), 256):
+                part = b.slice(at, 256)
+                plain = []
+                for digest, x in zip(part.column("digest").to_pylist(), part.column("payload"), strict=True):
+                    if not x.is_valid:
+                        raise ValueError(f"no payload {digest}")
+                    plain.append(unpack(x.as_buffer()))
+                    if hashlib.sha256(plain[-1]).hexdigest() != digest:
+                        raise ValueError(f"not the payload of {digest}")
+                yield part.set_column(part.schema.get_field_index("payload"), "payload", pa.array(plain, pa.binary()))
+
+    return records.mapInArrow(run, records.schema)
+
+
 def write_archive(pages: DataFrame, folder: str, least: int = 0, date: str = DATE, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
     """Writes pages as an archive: payloads are read once for their digests and once, of first records, to be stored."""
     content = F.coalesce(pages[payload_col].cast("string").cast("binary"), F.lit(b""))
@@ -83,20 +121,18 @@ def write_archive(pages: DataFrame, folder: str, least: int = 0, date: str = DAT
     # A payload is stored with the digest it was found by; of rows that tie, one. Dealt by digest and page, once, so
     # that the copies of a hot payload are dropped where they lie, all over the cluster.
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    own = plain.select(F.sha2("payload", 256).alias("digest"), name("page_id").alias("page"), "payload")
+    own = compressed(plain.select(F.sha2("payload", 256).alias("digest"), name("page_id").alias("page"), "payload"))
     first = index.select("of", name("first_id").alias("first_page"))
     kept = own.join(first, (own["digest"] == first["of"]) & (own["page"] == first["first_page"]), "left_semi")
-    kept.groupBy("digest", "page").agg(F.first("payload").alias("payload")).drop("page").write.option("compression", "zstd").parquet(f"{folder}/payloads")
+    kept.groupBy("digest", "page").agg(F.first("payload").alias("payload")).drop("page").write.option("compression", "none").parquet(f"{folder}/payloads")
 
 
 def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """All records of an archive: page_id, record_type, refers_to, digest, warc_header, http_header, payload (the full
     one, also of revisits). Fails if a payload is missing or does not have its digest."""
     headers, payloads = (spark.read.parquet(f"{folder}/{t}") for t in ("headers", "payloads"))
-    found = F.sha2("payload", 256)
-    checked = payloads.select(F.col("digest").alias("of"), F.when(found == F.col("digest"), F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("not the payload of "), "digest")).cast("binary")).alias("payload"))
-    d = headers.join(checked, headers["digest"] == checked["of"], "left").drop("of")
-    return d.withColumn("payload", F.coalesce("payload", F.raise_error(F.concat(F.lit("no payload "), "digest")).cast("binary")))
+    d = headers.join(payloads.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"), "left").drop("of")
+    return restored(d)
 
 
 def record_bytes(records: DataFrame) -> DataFrame:
