@@ -34,15 +34,12 @@ def score_axes(dump: DataFrame, steps: int = GRID_STEPS, clip: float = CLIP) ->
     return ends.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("i")).select("i", (F.col("lo") + part).alias("floor"), part.alias("margin"))
 
 
-def parameter_grid(axes: DataFrame) -> DataFrame:
-    """All pairs of the axes' values: steps x steps rows."""
-    return axes.select("floor").crossJoin(F.broadcast(axes.select("margin")))
-
-
-def cell_scores(dump: DataFrame, grid: DataFrame) -> DataFrame:
-    """A row a record and grid cell: its Jaccard similarity and weight. The grid is a parameter of steps x steps rows
-    and goes to every task."""
-    d = dump.crossJoin(F.broadcast(grid))
+def cell_scores(dump: DataFrame, axes: DataFrame) -> DataFrame:
+    """A row a record and pair of axis values: its Jaccard similarity and weight. The axes are a parameter of a few
+    dozen rows; their values are exploded beside each record, so nothing is joined."""
+    points = axes.orderBy("i").collect()
+    values = lambda c: F.explode(F.array(*[F.lit(p[c]) for p in points]))
+    d = dump.withColumn("floor", values("floor")).withColumn("margin", values("margin"))
     return d.select("record_id", "kb", "floor", "margin", gold_weight(F.col("gold")).alias("w"), jaccard(F.col("gold"), predicted(F.col("candidates"), F.col("floor"), F.col("margin"))).alias("j"))
 
 
@@ -106,8 +103,7 @@ def sweep(dump: DataFrame, is_dev: DataFrame, steps: int = GRID_STEPS, resamples
     """The report of one knowledge base: the chosen pair, its scores on both sides, bootstrap ranges, leaks. is_dev:
     record_id, is_dev."""
     rows = dump.join(is_dev.select("record_id", "is_dev"), "record_id")
-    grid = parameter_grid(score_axes(dump, steps))
-    cells = cell_scores(rows.filter("NOT is_dev"), grid).persist()
+    cells = cell_scores(rows.filter("NOT is_dev"), score_axes(dump, steps)).persist()
     try:
         chosen = best_pair(grid_scores(cells, []), []).first()
         counts = draws(dump.sparkSession, [r[0] for r in rows.filter("NOT is_dev").select("record_id").orderBy("record_id").collect()], resamples, seed)

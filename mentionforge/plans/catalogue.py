@@ -344,7 +344,7 @@ cells AS (SELECT record_id, kb, floor, margin, len(gold) + 1 AS w, len(list_inte
 
 def grid_cells(spark: SparkSession, d: str) -> DataFrame:
     records = dump(spark, d)
-    return calibration.cell_scores(records, calibration.parameter_grid(calibration.score_axes(records, STEPS)))
+    return calibration.cell_scores(records, calibration.score_axes(records, STEPS))
 
 
 @query(f"""{SQL_GRID}, g AS (SELECT kb, floor, margin, round(sum(j * w) / sum(w), 12) AS score FROM cells GROUP BY ALL)
