@@ -14,7 +14,6 @@ are packed each for itself; an empty table gives an empty result.
 from __future__ import annotations
 
 import gc
-import math
 import os
 import re
 import struct
@@ -42,7 +41,7 @@ WORD = re.compile("(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u02
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_SIGNS = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(PRINTABLE)))}
 #: Rows that share a length and a salt are ranked in one group; there are about this many.
-GROUP_ROWS = 50_000
+GROUP_ROWS = 500
 
 
 def default_tokenizer() -> str:
@@ -203,10 +202,11 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     parts = cut(parts)
     histogram = {r["length"]: r["n"] for r in parts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
     table = slots(patterns(histogram, capacity))
-    salts = max(1, math.ceil(max(histogram.values(), default=1) / GROUP_ROWS))
-    # Rows are ranked by length and salt; a salt's first rank is the count of those before it.
-    salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(7)), F.lit(salts)).cast("int")
-    d = parts.withColumn("salt", salt)
+    # Rows are ranked by length and salt; a salt's first rank is the count of those before it. A length has as many
+    # salts as its count asks for.
+    per_length = parts.groupBy("length").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("salts"))
+    d = parts.join(F.broadcast(per_length), "length")  # at most capacity rows
+    d = d.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(7)), F.col("salts")).cast("int")).drop("salts")
     by_salt = d.groupBy("length", "salt").agg(F.count("*").alias("n"))
     base = by_salt.select("length", "salt", (F.sum("n").over(W.partitionBy("length").orderBy("salt")) - F.col("n")).alias("base"))
     ranked = d.withColumn("rank", F.row_number().over(W.partitionBy("length", "salt").orderBy("doc_id", "piece", "start")) - 1)
