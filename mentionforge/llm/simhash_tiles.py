@@ -178,7 +178,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rad
     reps = cut(sigs.groupBy("fp").agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.col("first_id").cast("long")))
     edges = links(reps.filter("rep IS NOT NULL").select("fp", "rep"), radius, tile)
     found = components(edges)
-    named = cut(reps.join(found, reps["rep"] == found["node"], "left").select(F.col("fp").alias("of"), F.coalesce("label", "rep").alias("component_id")).repartition(partitions(docs), "component_id"))
+    named = cut(reps.join(found, reps["rep"] == found["node"], "left").select(F.col("fp").alias("of"), F.coalesce("label", "rep").alias("component_id")).repartition(partitions(docs)))
     # Both sides are read as they lie and dealt by fingerprint; a hot fingerprint's rows can be split.
     return sigs.join(named, sigs["fp"] == named["of"], "left").select("doc_id", "fp", "component_id")
 
