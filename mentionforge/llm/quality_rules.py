@@ -100,11 +100,10 @@ def certified_cutoffs(good: DataFrame, alpha: float, delta: float) -> DataFrame:
     grid = seen.groupBy("stratum", "rule").agg(F.sum("count").alias("n_good"), F.map_from_entries(F.collect_list(F.struct("least", "count"))).alias("by_least"))
     grid = grid.select("stratum", "rule", "n_good", "by_least", F.explode(steps).alias("step"))
     lost = F.aggregate(F.filter(F.map_entries("by_least"), lambda e: e["key"] > F.col("step")), F.lit(0).cast("long"), lambda n, e: n + e["value"])
-    grid = grid.withColumn("n_lost", lost)
-    error = F.lit(float(delta)) / F.col("tests")
-    tests = grid.select(F.countDistinct(F.struct("stratum", "rule")).alias("tests"))
+    grid = cut(grid.withColumn("n_lost", lost))
+    error = delta / max(1, grid.select("stratum", "rule").distinct().count())
     passes = F.when(F.col("n_lost") >= F.col("n_good") * limit, False).otherwise(binomial_below(F.col("n_lost"), F.col("n_good"), limit) <= error)
-    tested = grid.crossJoin(F.broadcast(tests)).withColumn("passes", passes)  # tests is one row
+    tested = grid.withColumn("passes", passes)
     lenient_first = W.partitionBy("stratum", "rule").orderBy(F.desc("step"))
     tested = tested.withColumn("so_far", F.min(F.col("passes").cast("int")).over(lenient_first)).filter("so_far = 1")
     best = tested.groupBy("stratum", "rule").agg(F.min(F.struct("step", "n_good", "n_lost")).alias("b"))
