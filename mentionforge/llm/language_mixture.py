@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,20 +119,29 @@ def identify(text: str | None, langs: list[str], table: np.ndarray, cost: float)
     return langs[best[top]], float(min(1.0, shares[top])), [langs[i] for i in best]
 
 
-def predict(docs: DataFrame, langs: list[str], table: np.ndarray, cost: float = 4.0, text_col: str = "text") -> DataFrame:
-    """Adds lang_pred, lang_score and lang_set to all rows of docs."""
-    model = docs.sparkSession.sparkContext.broadcast((langs, table))  # BUCKETS x languages floats
+#: Rows of a batch that are worked on, and sent back, at a time.
+STEP = 512
+
+
+def predict(rows: DataFrame, langs: list[str], table: np.ndarray, cost: float, text: tuple[str, ...], keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of rows with lang_pred, lang_score and lang_set; text is the path to a string column."""
+    model = rows.sparkSession.sparkContext.broadcast((langs, table))  # BUCKETS x languages floats
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, logs = model.value
-        for b in batches:
-            found = [identify(t.as_py(), names, logs, cost) for t in b.column("__text")]
-            rest = b.drop_columns(["__text"])
-            cols = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.list_(pa.string()))]
-            yield pa.record_batch([*rest.columns, *cols], names=[*rest.schema.names, "lang_pred", "lang_score", "lang_set"])
+        for batch in batches:
+            for at in range(0, len(batch), STEP):
+                b = batch.slice(at, STEP)
+                texts = b.column(text[0])
+                for field in text[1:]:
+                    texts = pc.struct_field(texts, field)
+                found = [identify(t.as_py(), names, logs, cost) for t in texts]
+                cols = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.list_(pa.string()))]
+                yield pa.record_batch([*(b.column(c) for c in keep), *cols], names=[*keep, "lang_pred", "lang_score", "lang_set"])
 
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in docs.dtypes), "lang_pred string", "lang_score double", "lang_set array<string>"])
-    return docs.withColumn("__text", docs[text_col].cast("string")).mapInArrow(run, schema)
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "lang_pred string", "lang_score double", "lang_set array<string>"])
+    return rows.mapInArrow(run, schema)
 
 
 def held_out(doc_id):
@@ -141,15 +151,15 @@ def held_out(doc_id):
 def identify_documents(docs: DataFrame, per_language: int = PER_LANGUAGE, cost: float = 4.0) -> DataFrame:
     """doc_id, held_out, lang_pred, score, lang_set; learned from the rows that are not held out."""
     langs, table = learn(docs.filter(~held_out(docs["doc_id"])), per_language)
-    d = docs.select("doc_id", held_out(docs["doc_id"]).alias("held_out"), "text")
-    return predict(d, langs, table, cost).select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"), F.array_join("lang_set", ",").alias("lang_set"))
+    d = docs.select("doc_id", held_out(docs["doc_id"]).alias("held_out"), docs["text"].cast("string").alias("text"))
+    found = predict(d, langs, table, cost, ("text",), ["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"), F.array_join("lang_set", ",").alias("lang_set"))
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, per_language: int = PER_LANGUAGE, cost: float = 4.0) -> DataFrame:
     """The rows of docs with a language whose score is ``least`` or more; ``und`` goes."""
     langs, table = learn(docs.filter(~held_out(docs["doc_id"])), per_language)
-    columns = docs.columns
-    found = predict(docs.select(F.struct(*[docs[c] for c in columns]).alias("row"), docs["text"].alias("text")), langs, table, cost)
+    found = predict(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")), langs, table, cost, ("row", "text"), ["row"])
     return found.filter((F.col("lang_pred") != "und") & (F.col("lang_score") >= least)).select("row.*")
 
 

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -187,16 +188,26 @@ def trained(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unla
     return fit(rows[trusted], rows[~trusted])
 
 
-def score_texts(docs: DataFrame, model: dict) -> DataFrame:
-    """Adds quality_score to all rows of docs."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
+#: Rows of a batch that are worked on, and sent back, at a time.
+STEP = 512
+
+
+def score_texts(rows: DataFrame, model: dict, text: tuple[str, ...], keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of rows with quality_score; text is the path to a string column."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x = np.array([features(t.as_py()) for t in b.column("text")], np.float64).reshape(len(b), len(FEATURES))
-            yield pa.record_batch([*b.columns, pa.array(scores(shared.value, x))], names=[*b.schema.names, "quality_score"])
+        for batch in batches:
+            for at in range(0, len(batch), STEP):
+                b = batch.slice(at, STEP)
+                texts = b.column(text[0])
+                for field in text[1:]:
+                    texts = pc.struct_field(texts, field)
+                x = np.array([features(t.as_py()) for t in texts], np.float64).reshape(len(b), len(FEATURES))
+                yield pa.record_batch([*(b.column(c) for c in keep), pa.array(scores(shared.value, x))], names=[*keep, "quality_score"])
 
-    return docs.mapInArrow(run, ", ".join([*(f"`{c}` {t}" for c, t in docs.dtypes), "quality_score double"]))
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "quality_score double"]))
 
 
 def held_out(doc_id):
@@ -207,15 +218,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
     """doc_id, held_out, score, predicted; learned from the rows that are not held out."""
     d = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     model = trained(d.filter(~held_out(F.col("doc_id"))), labels.filter(~held_out(F.col("doc_id"))))
-    found = score_texts(d.withColumn("held_out", held_out(F.col("doc_id"))), model)
+    found = score_texts(d.withColumn("held_out", held_out(F.col("doc_id"))), model, ("text",), ["doc_id", "held_out"])
     return found.select("doc_id", "held_out", F.col("quality_score").alias("score"), (F.col("quality_score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of docs whose score reaches the threshold."""
     model = trained(docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(~held_out(F.col("doc_id"))), labels.filter(~held_out(F.col("doc_id"))))
-    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"))
-    return score_texts(keyed, model).filter(F.col("quality_score") >= threshold).select("row.*")
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return score_texts(keyed, model, ("row", "text"), ["row"]).filter(F.col("quality_score") >= threshold).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
