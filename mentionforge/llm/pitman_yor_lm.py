@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from mentionforge.llm.common import cut, fold, partitions, whole
 
 CONTEXTS = 2048
-FREQUENT = 1024
+FREQUENT = 512
 GROUP_DOCS = 1024
 GROUP_WORDS = 1 << 20
 SWEEPS = 4
