@@ -32,8 +32,8 @@ from mentionforge.llm.common import cut, whole
 CAPACITY = 4096
 END = 1
 #: Words, and pieces of words, whose ids are kept by a worker at most.
-CACHE_WORDS = 400_000
-CACHE_PIECES = 1_000_000
+CACHE_WORDS = 300_000
+CACHE_PIECES = 700_000
 #: A word of Latin letters, each composed and lowered by itself, with marks behind it that the tokenizer parts from
 #: them (no apostrophe, which can open a part of its own); or any other word.
 WORD = re.compile("(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?|$%&*#]*)|([^\n]+))\n")
