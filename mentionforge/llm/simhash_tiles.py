@@ -30,6 +30,8 @@ RADIUS = 2
 #: Fingerprints in a tile at most, about.
 TILE = 4096
 QUARTERS = 4
+#: Links that lie in one file, about, while components are found.
+LINKS_A_FILE = 50_000
 
 
 def text_hashes(text: bytes, width: int, seed: int) -> np.ndarray:
@@ -157,7 +159,7 @@ def components(edges: DataFrame) -> DataFrame:
     smallest neighbour) until nothing changes; each round's links are checkpointed.
     """
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    was = None
+    n, sign = sum_of(e)
     while True:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")).withColumnRenamed("u", "k")
@@ -165,11 +167,18 @@ def components(edges: DataFrame) -> DataFrame:
         e = big.union(least.filter("m < k").select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
         least = e.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
         small = e.join(least, e["u"] == least["k"]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.union(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct())
-        now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if was == now:
+        e = small.union(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
+        # Links are never more than before; a few of them need not lie in as many files as the whole corpus.
+        e = cut(e.coalesce(max(1, min(partitions(e), n // LINKS_A_FILE))))
+        was, (n, sign) = (n, sign), sum_of(e)
+        if was == (n, sign):
             return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        was = now
+
+
+def sum_of(links: DataFrame) -> tuple[int, int]:
+    """How many links there are, and the sum of their hashes."""
+    row = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
+    return row["n"], int(row["s"] or 0)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, width: int = WIDTH, seed: int = SEED, tile: int = TILE) -> DataFrame:
