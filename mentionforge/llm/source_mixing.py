@@ -2,7 +2,9 @@
 
 Each row gets a 60-bit hash of its id. Words are summed by source and by the hash's first 15 bits; the bucket in
 which a source's budget ends is refined by the next 15 bits, and so on, until one hash value is left. A row is in
-the mix if its hash is below its source's threshold: nothing is sorted by hash and no row is gathered.
+the mix if its hash is below its source's threshold: nothing is sorted by hash and no row is gathered. The row at the
+threshold does not fit; what it leaves open is a smaller budget, for which the next threshold is found among the rows
+behind it that are small enough, and so on (nested budgets).
 All steps are DataFrame operations.
 
 Edge cases: a null text has size 0; a null source is a source of its own and comes last; a null id is hashed as the
@@ -22,6 +24,8 @@ from mentionforge.llm.common import cut, join_counted, word_count
 BITS = 15
 LEVELS = 4
 TOP = 1 << (BITS * LEVELS)
+#: How often what a boundary row has left open is filled with rows behind it that fit.
+ROUNDS = 3
 
 
 def mix_hash(doc_id: Column, seed: str = "mix") -> Column:
@@ -60,43 +64,57 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def thresholds(base: DataFrame, targets: DataFrame) -> DataFrame:
-    """base (source, size, hash), targets (source, source_size, target) to source, source_size, target, copies, below:
-    a source's rows are taken ``copies`` times, and once more those whose hash is under ``below``."""
-    twice = F.col("target") > F.col("source_size")
-    open_ = targets.withColumns({
-        "copies": F.when(twice, 1).otherwise(0),
-        "need": F.when(twice, F.col("target") - F.col("source_size")).otherwise(F.col("target")),
-    })
-    edge = open_.filter(F.col("need") < F.col("source_size")).select("source", "need", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("before"))
+def boundary(base: DataFrame, open_: DataFrame) -> DataFrame:
+    """open_ (source, need, start, cap): of the rows with a hash from ``start`` on and a size up to ``cap``, in order of
+    hash, the first hash at which their words exceed ``need``, and the words before it: source, edge, before. Sources
+    whose rows all fit are left out."""
+    none = F.lit(0).cast("long")
+    edge = open_.withColumns({"prefix": none, "before": none})
     for level in range(1, LEVELS + 1):
         shift = BITS * (LEVELS - level)
-        inside = base
+        inside = join_counted(base, edge, ["source"], "inner").filter((F.col("hash") >= F.col("start")) & (F.col("size") <= F.col("cap")))
         if level > 1:
-            inside = join_counted(base, edge.select("source", "prefix"), ["source"], "inner").filter(F.shiftright("hash", shift + BITS) == F.col("prefix")).drop("prefix")
-        bins = inside.groupBy("source", F.shiftright("hash", shift).alias("bin")).agg(F.sum("size").alias("bin_size"))
-        bins = join_counted(bins, edge, ["source"], "inner")
-        upto = F.col("before") + F.sum("bin_size").over(W.partitionBy("source").orderBy("bin"))
+            inside = inside.filter(F.shiftright("hash", shift + BITS) == F.col("prefix"))
+        bins = inside.groupBy("source", "need", "start", "cap", "before", F.shiftright("hash", shift).alias("bin")).agg(F.sum("size").alias("words"))
+        upto = F.col("before") + F.sum("words").over(W.partitionBy("source").orderBy("bin"))
         over = bins.withColumn("upto", upto).filter(F.col("upto") > F.col("need"))
-        first = F.min(F.struct("bin", "upto", "bin_size", "need")).alias("b")
-        edge = cut(over.groupBy("source").agg(first).select("source", "b.need", F.col("b.bin").alias("prefix"), (F.col("b.upto") - F.col("b.bin_size")).alias("before"), F.col("b.upto").alias("upto")))
-        last, edge = edge, edge.drop("upto")
-    nearer = F.col("upto") - F.col("need") < F.col("need") - F.col("before")
-    ends = last.select("source", (F.col("prefix") + F.when(nearer, 1).otherwise(0)).alias("below"))
-    out = join_counted(open_, ends, ["source"])
-    return out.select("source", "source_size", "target", "copies", F.coalesce("below", F.lit(TOP)).alias("below"))
+        first = F.min(F.struct("bin", "upto", "words", "need", "start", "cap")).alias("b")
+        edge = cut(over.groupBy("source").agg(first).select("source", "b.need", "b.start", "b.cap", F.col("b.bin").alias("prefix"), (F.col("b.upto") - F.col("b.words")).alias("before")))
+    return edge.select("source", F.col("prefix").alias("edge"), "before")
 
 
-def plan_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
+def thresholds(base: DataFrame, targets: DataFrame, rounds: int) -> DataFrame:
+    """base (source, size, hash), targets (source, source_size, target) to source, source_size, target, copies, marks:
+    a source's rows are taken ``copies`` times, and once more those that lie in one of the marks (start, below, cap):
+    their hash is from start on and under below, and their size is cap at most. Each round fills what the round
+    before has left, behind its boundary, with rows that fit."""
+    twice = F.col("target") > F.col("source_size")
+    need = F.when(twice, F.col("target") - F.col("source_size")).otherwise(F.col("target"))
+    largest = F.lit((1 << 63) - 1)
+    state = targets.withColumns({"copies": F.when(twice, 1).otherwise(0), "need": need, "start": F.lit(0).cast("long"), "cap": largest, "marks": F.array().cast("array<struct<start:bigint,below:bigint,cap:bigint>>")})
+    for _ in range(rounds):
+        found = boundary(base, state.filter(F.col("start") < TOP).select("source", "need", "start", "cap"))
+        below = F.coalesce("edge", F.lit(TOP))
+        left = F.when(F.col("edge").isNotNull(), F.col("need") - F.col("before")).otherwise(F.lit(0.0))
+        mark = F.struct("start", below.alias("below"), "cap")
+        state = cut(join_counted(state, found, ["source"]).select(
+            "source", "source_size", "target", "copies", left.alias("need"), F.when(F.col("edge").isNotNull(), F.col("edge") + 1).otherwise(F.lit(TOP)).alias("start"),
+            F.floor(left).cast("long").alias("cap"), F.when(F.col("start") < TOP, F.array_append("marks", mark)).otherwise(F.col("marks")).alias("marks"),
+        ))
+    return state.select("source", "source_size", "target", "copies", "marks")
+
+
+def plan_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "mix", rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
     """The sizes (doc_id, source, size, hash) of all rows, and each source's thresholds."""
     base = cut(docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"), word_count(docs[text_col]).alias("size"), mix_hash(docs[id_col], seed).alias("hash")))
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = cut(source_targets(sizes, weights, share, cap))
-    return base, cut(thresholds(base, targets))
+    return base, thresholds(base, targets, rounds)
 
 
 def taken_copies() -> Column:
-    return F.col("copies") + F.when(F.col("hash") < F.col("below"), 1).otherwise(0)
+    inside = F.exists("marks", lambda m: (F.col("hash") >= m["start"]) & (F.col("hash") < m["below"]) & (F.col("size") <= m["cap"]))
+    return F.col("copies") + F.when(inside, 1).otherwise(0)
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
@@ -106,10 +124,10 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     return rows.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * taken_copies()).cast("long").alias("taken"))
 
 
-def mix_rows(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+def mix_rows(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    _, ends = plan_mix(docs, seed=seed, id_col=id_col, source_col=source_col, **options)
-    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[source_col].cast("string").alias("source"), mix_hash(docs[id_col], seed).alias("hash"))
+    _, ends = plan_mix(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[source_col].cast("string").alias("source"), word_count(docs[text_col]).alias("size"), mix_hash(docs[id_col], seed).alias("hash"))
     many = join_counted(keyed, ends, ["source"]).withColumn("times", taken_copies()).filter("times > 0")
     return many.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
@@ -141,14 +159,16 @@ targets AS (
          CASE WHEN is_capped THEN lim ELSE weight * (budget - coalesce(sum(CASE WHEN is_capped THEN lim END) OVER (), 0))
               / sum(CASE WHEN NOT is_capped THEN weight END) OVER () END AS target
   FROM capped),
-running AS (
-  SELECT b.doc_id, b.size, t.source_size, t.target,
-         CASE WHEN t.target > t.source_size THEN 1 ELSE 0 END AS copies,
-         CASE WHEN t.target > t.source_size THEN t.target - t.source_size ELSE t.target END AS need,
-         sum(b.size) OVER (PARTITION BY b.source ORDER BY b.hash) AS upto,
-         sum(b.size) OVER (PARTITION BY b.source, b.hash) AS unit
-  FROM base b JOIN targets t ON b.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (size * (copies + CASE WHEN upto <= need OR (upto - unit <= need AND upto - need < need - (upto - unit)) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM running
-"""
+open0 AS (
+  SELECT b.doc_id, b.source, b.size, b.hash, t.source_size, t.target, CASE WHEN t.target > t.source_size THEN 1 ELSE 0 END AS copies,
+         CASE WHEN t.target > t.source_size THEN t.target - t.source_size ELSE t.target END AS need, 0 AS extra, -1::BIGINT AS edge
+  FROM base b JOIN targets t ON b.source IS NOT DISTINCT FROM t.source),
+@ROUNDS@
+SELECT doc_id, size, source_size, target, (size * (copies + extra))::BIGINT AS taken FROM @LAST@
+""".replace("@ROUNDS@", ",\n".join(
+    f"""sum{k} AS (SELECT *, hash > edge AND size <= need AS fits, sum(CASE WHEN hash > edge AND (size <= need OR {k} = 0) THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY hash) AS upto FROM open{k}),
+took{k} AS (SELECT *, (hash > edge AND (size <= need OR {k} = 0) AND upto <= need) AS now FROM sum{k}),
+open{k + 1} AS (SELECT doc_id, source, size, hash, source_size, target, copies, need - coalesce(max(CASE WHEN now THEN upto END) OVER (PARTITION BY source), 0) AS need,
+  CASE WHEN now THEN 1 ELSE extra END AS extra, coalesce(min(CASE WHEN hash > edge AND (size <= need OR {k} = 0) AND NOT now THEN hash END) OVER (PARTITION BY source), 1::BIGINT << 60) AS edge FROM took{k})"""
+    for k in range(ROUNDS)
+)).replace("@LAST@", f"open{ROUNDS}")
