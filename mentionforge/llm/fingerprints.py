@@ -11,6 +11,8 @@ null id comes first; a single row is its own successor; an empty table gives an
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ from mentionforge.llm.common import partitions, whole, words
 WIDTH = 5
 #: The standard error of a likeness is at most 0.5 / sqrt(K).
 K = 128
+#: Blocks of ids in which successors are found, at most; their bounds go through the driver.
+MOST_BLOCKS = 65_536
 
 
 def word_hashes(text: Column) -> Column:
@@ -88,19 +92,26 @@ def with_next(docs: DataFrame, blocks: int) -> tuple[DataFrame, W]:
     low = -(2**63)
     d = docs.withColumn("key", F.coalesce(F.col("doc_id").cast("long"), F.lit(low)))
     at = [i / blocks for i in range(blocks)]
-    found = d.agg(F.min("key").alias("first"), F.percentile_approx("key", at, 100 * blocks).alias("at")).first()
+    found = d.agg(F.min("key").alias("first"), F.percentile_approx("key", at, 20 * blocks).alias("at")).first()
     bounds = sorted({found["first"], *(found["at"] or [])} - {None}) or [low]
-    starts = F.array(*[F.lit(b).cast("long") for b in bounds])
-    block = F.size(F.filter(starts, lambda b: b <= F.col("key"))) - 1
+    # A key's block in two steps: its chunk by the chunks' first bounds, then its place in the chunk.
+    step = math.isqrt(len(bounds) - 1) + 1
+    chunks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    array = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")  # noqa: E731  a constant
+    upto = lambda xs: F.size(F.filter(xs, lambda x: x <= F.col("key"))) - 1
+    d = d.withColumn("chunk", upto(array([c[0] for c in chunks])))
+    d = d.withColumn("starts", F.get(F.array(*[array(c) for c in chunks]), F.col("chunk")))
+    is_start = F.array_contains("starts", F.col("key"))
     previous = F.when(F.col("block") == 0, len(bounds) - 1).otherwise(F.col("block") - 1)
-    copies = F.when(F.array_contains(starts, F.col("key")), F.array(F.struct(F.col("block"), F.lit(False).alias("guard")), F.struct(previous.alias("block"), F.lit(True).alias("guard")))).otherwise(F.array(F.struct(F.col("block"), F.lit(False).alias("guard"))))
-    d = d.withColumn("block", block).withColumn("c", F.explode(copies)).withColumns({"block": F.col("c.block"), "guard": F.col("c.guard")}).drop("c")
+    copies = F.when(F.col("is_start"), F.array(F.struct(F.col("block"), F.lit(False).alias("guard")), F.struct(previous.alias("block"), F.lit(True).alias("guard")))).otherwise(F.array(F.struct(F.col("block"), F.lit(False).alias("guard"))))
+    d = d.withColumns({"block": F.col("chunk") * step + upto(F.col("starts")), "is_start": is_start}).drop("chunk", "starts")
+    d = d.withColumn("c", F.explode(copies)).withColumns({"block": F.col("c.block"), "guard": F.col("c.guard")}).drop("c", "is_start")
     return d, W.partitionBy("block").orderBy("guard", "key", "text")
 
 
 def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """Per row its fingerprint, and that of its text with the second half replaced by the next row's beginning."""
-    blocks = min(4 * partitions(docs), 4096)
+    blocks = min(4 * partitions(docs), MOST_BLOCKS)
     plain = docs.select(docs[id_col].alias("doc_id"), whole(docs[text_col]).alias("text"))
     d, order = with_next(plain, blocks)
     d = d.withColumn("n_chars", F.length("text").cast("long")).withColumn("half", F.floor(F.col("n_chars") / 2).cast("int"))
