@@ -15,7 +15,6 @@ comes first; repeated rows are judged each for itself; an empty table gives an e
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,6 @@ PER_LANGUAGE = 2000
 PIECE = 1 << 20
 #: Characters of ASCII that are not letters count as white space.
 PLAIN = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def trigrams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -93,7 +91,7 @@ def proportions(like: np.ndarray, rounds: int = 20) -> tuple[np.ndarray, float]:
 
 def identify(text: str | None, langs: list[str], table: np.ndarray, cost: float) -> tuple[str, float, list[str]]:
     """The language, its score and the set of languages found."""
-    if text is None or not langs or not LETTER.search(text):
+    if text is None or not langs or not any(map(str.isalpha, text)):
         return "und", 0.0, []
     parts = [np.add.reduceat(table[grams], starts, axis=0) for grams, starts in trigrams(text)]
     if not parts:
