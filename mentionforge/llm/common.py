@@ -14,6 +14,8 @@ SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 #: A table with at most this many rows may be broadcast; larger ones are joined by a salted shuffle.
 BROADCAST_ROWS = 100_000
 SALTS = 64
+#: Short rows that a checkpoint's file holds at least, where their number is known.
+ROWS_A_FILE = 20_000
 
 
 def whole(text: Column) -> Column:
@@ -36,11 +38,16 @@ def fold(doc_id: Column, n: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the folder of spark.checkpoint.dir."""
+def cut(df: DataFrame, rows: int | None = None, few: bool = False) -> DataFrame:
+    """Cuts the lineage with a reliable checkpoint in the folder of spark.checkpoint.dir. Where at most ``rows`` short
+    rows are known to come, they lie in no more files than they fill; ``few`` is for tables of parameters' size."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    if few:
+        df = df.coalesce(max(1, partitions(df) // 50))
+    elif rows is not None:
+        df = df.coalesce(max(1, min(partitions(df), -(-rows // ROWS_A_FILE))))
     return df.checkpoint(eager=True)
 
 

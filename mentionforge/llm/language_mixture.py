@@ -55,7 +55,7 @@ def trigrams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """The languages and the logarithms of their trigram probabilities (BUCKETS x languages)."""
     d = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text"), F.pmod(F.xxhash64(F.lit("sample"), docs[id_col]), F.lit(1 << 30)).alias("at")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = cut(d.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*") * (1 << 30)).alias("below")))
+    counts = cut(d.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*") * (1 << 30)).alias("below")), few=True)
     sample = join_counted(d, counts, ["lang"], "inner").filter("at < below").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -327,7 +327,7 @@ def train(blobs: DataFrame, contexts: int) -> Totals:
             w, k, c = training_counts(collect_entries(common, COMMON), contexts)
             yield pa.record_batch([pa.array(["common"] * len(c), pa.string()), pa.array(w * contexts + k), pa.array(c.astype(np.float64))], names=["what", "at", "x"])
 
-    counted = cut(blobs.mapInArrow(per_task(count), "what string, at long, x double").groupBy("what", "at").agg(F.sum("x").alias("x")))
+    counted = cut(blobs.mapInArrow(per_task(count), "what string, at long, x double").groupBy("what", "at").agg(F.sum("x").alias("x")), few=True)
     sums = sums_by_context(counted.filter("what <> 'common'"))
     pairs = counted.filter("what = 'common'").select("at", "x").toPandas().sort_values("at")  # at most FREQUENT x CONTEXTS
     keys, c = pairs["at"].to_numpy(np.int64), pairs["x"].to_numpy(np.int64)

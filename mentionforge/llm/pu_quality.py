@@ -174,7 +174,7 @@ def trained(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unla
     at = lambda c, salt: F.pmod(F.xxhash64(F.lit(salt), c), F.lit(1 << 30))
     good = labels.groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").alias("q")).filter("q = 1 AND id IS NOT NULL").select("id")
     n_good = good.count()
-    some = cut(good.filter(at(F.col("id"), "good") < F.lit(positives / max(1, n_good) * (1 << 30))))
+    some = cut(good.filter(at(F.col("id"), "good") < F.lit(positives / max(1, n_good) * (1 << 30))), few=True)
     n = docs.count()
     d = docs.select("doc_id", "text")
     with_p = join_counted(d.withColumnRenamed("doc_id", "id"), some, ["id"], "inner").select(F.lit(1).alias("trusted"), "text")

@@ -100,7 +100,7 @@ def certified_cutoffs(good: DataFrame, alpha: float, delta: float) -> DataFrame:
     grid = seen.groupBy("stratum", "rule").agg(F.sum("count").alias("n_good"), F.map_from_entries(F.collect_list(F.struct("least", "count"))).alias("by_least"))
     grid = grid.select("stratum", "rule", "n_good", "by_least", F.explode(steps).alias("step"))
     lost = F.aggregate(F.filter(F.map_entries("by_least"), lambda e: e["key"] > F.col("step")), F.lit(0).cast("long"), lambda n, e: n + e["value"])
-    grid = cut(grid.withColumn("n_lost", lost))
+    grid = cut(grid.withColumn("n_lost", lost), few=True)
     error = delta / max(1, grid.select("stratum", "rule").distinct().count())
     passes = F.when(F.col("n_lost") >= F.col("n_good") * limit, False).otherwise(binomial_below(F.col("n_lost"), F.col("n_good"), limit) <= error)
     tested = grid.withColumn("passes", passes)
@@ -125,7 +125,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta:
     feats = cut(features(docs, **columns))
     good = labels.groupBy(F.col("doc_id").alias("good_id")).agg(F.max("quality").alias("best")).filter("best = 1").select("good_id")
     holdout = feats.join(good, feats["doc_id"] == good["good_id"], "left_semi").filter(~F.col("base_failed"))
-    cutoffs = cut(certified_cutoffs(holdout, alpha, delta))
+    cutoffs = cut(certified_cutoffs(holdout, alpha, delta), few=True)
     return judge(feats, cutoffs)
 
 

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentionforge.llm.common import cut, partitions, whole
+from mentionforge.llm.common import ROWS_A_FILE, cut, partitions, whole
 
 WIDTH = 3
 SEED = 42
@@ -30,8 +30,6 @@ RADIUS = 2
 #: Fingerprints in a tile at most, about.
 TILE = 4096
 QUARTERS = 4
-#: Links that lie in one file, about, while components are found.
-LINKS_A_FILE = 50_000
 
 
 def text_hashes(text: bytes, width: int, seed: int) -> np.ndarray:
@@ -119,7 +117,7 @@ def offsets(radius: int) -> list[list[int]]:
     return [list(o) for o in found if o >= (0,) * QUARTERS]
 
 
-def links(reps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+def links(reps: DataFrame, radius: int = RADIUS, tile: int = TILE, rows: int | None = None) -> DataFrame:
     """reps (fp, rep), one row a fingerprint, to a, b: enough links between rep numbers to connect all that is linked."""
     counts = [F.bit_count(F.shiftrightunsigned("fp", 16 * q).bitwiseAND(0xFFFF)).cast("int") for q in range(QUARTERS)]
     code = lambda c: sum((x * 17**q for q, x in enumerate(c)), F.lit(0))
@@ -127,7 +125,7 @@ def links(reps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     # At most 17^4 = 83,521 cells, so their counts are bounded.
     cells = d.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("blocks"))
     d = d.join(F.broadcast(cells), "cell").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    tiles = cut(d.groupBy("cell", "block").agg(*[F.first(f"c{q}").alias(f"c{q}") for q in range(QUARTERS)], F.collect_list(F.struct("fp", "rep")).alias("members")))
+    tiles = cut(d.groupBy("cell", "block").agg(*[F.first(f"c{q}").alias(f"c{q}") for q in range(QUARTERS)], F.collect_list(F.struct("fp", "rep")).alias("members")), rows)
     moves = F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets(radius)])
     inside = F.lit(True)
     for q in range(QUARTERS):
@@ -152,13 +150,13 @@ def links(reps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """Links a, b to node, label: the smallest node that each node of a link is connected with.
 
     Rounds of alternating big and small stars (each node's larger neighbours, then the others, are hung on its
     smallest neighbour) until nothing changes; each round's links are checkpointed.
     """
-    e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
+    e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), rows)
     n, sign = sum_of(e)
     while True:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -169,7 +167,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = e.join(least, e["u"] == least["k"]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = small.union(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
         # Links are never more than before; a few of them need not lie in as many files as the whole corpus.
-        e = cut(e.coalesce(max(1, min(partitions(e), n // LINKS_A_FILE))))
+        e = cut(e, n)
         was, (n, sign) = (n, sign), sum_of(e)
         if was == (n, sign):
             return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
@@ -184,10 +182,11 @@ def sum_of(links: DataFrame) -> tuple[int, int]:
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, width: int = WIDTH, seed: int = SEED, tile: int = TILE) -> DataFrame:
     """Per row: doc_id, fp, component_id (the smallest id among all that it is linked with)."""
     sigs = cut(signatures(docs, id_col, text_col, width, seed))
-    reps = cut(sigs.groupBy("fp").agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.col("first_id").cast("long")))
-    edges = links(reps.filter("rep IS NOT NULL").select("fp", "rep"), radius, tile)
-    found = components(edges)
-    named = cut(reps.join(found, reps["rep"] == found["node"], "left").select(F.col("fp").alias("of"), F.coalesce("label", "rep").alias("component_id")).repartition(partitions(docs)))
+    n = sigs.count()
+    reps = cut(sigs.groupBy("fp").agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.col("first_id").cast("long")), n)
+    found = components(links(reps.filter("rep IS NOT NULL").select("fp", "rep"), radius, tile, n), n)
+    named = reps.join(found, reps["rep"] == found["node"], "left").select(F.col("fp").alias("of"), F.coalesce("label", "rep").alias("component_id"))
+    named = cut(named.repartition(max(1, min(partitions(docs), n // ROWS_A_FILE))))
     # Both sides are read as they lie and dealt by fingerprint; a hot fingerprint's rows can be split.
     return sigs.join(named, sigs["fp"] == named["of"], "left").select("doc_id", "fp", "component_id")
 

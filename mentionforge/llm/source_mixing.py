@@ -64,7 +64,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap
     return rows.select("source", "source_size", target.alias("target"))
 
 
-def boundary(base: DataFrame, open_: DataFrame) -> DataFrame:
+def boundary(base: DataFrame, open_: DataFrame, n_sources: int) -> DataFrame:
     """open_ (source, need, start, cap): of the rows with a hash from ``start`` on and a size up to ``cap``, in order of
     hash, the first hash at which their words exceed ``need``, and the words before it: source, edge, before. Sources
     whose rows all fit are left out."""
@@ -79,7 +79,7 @@ def boundary(base: DataFrame, open_: DataFrame) -> DataFrame:
         upto = F.col("before") + F.sum("words").over(W.partitionBy("source").orderBy("bin"))
         over = bins.withColumn("upto", upto).filter(F.col("upto") > F.col("need"))
         first = F.min(F.struct("bin", "upto", "words", "need", "start", "cap")).alias("b")
-        edge = cut(over.groupBy("source").agg(first).select("source", "b.need", "b.start", "b.cap", F.col("b.bin").alias("prefix"), (F.col("b.upto") - F.col("b.words")).alias("before")))
+        edge = cut(over.groupBy("source").agg(first).select("source", "b.need", "b.start", "b.cap", F.col("b.bin").alias("prefix"), (F.col("b.upto") - F.col("b.words")).alias("before")), n_sources << 10)  # a task has a few dozen sources, of 2^15 bins at most
     return edge.select("source", F.col("prefix").alias("edge"), "before")
 
 
@@ -91,16 +91,17 @@ def thresholds(base: DataFrame, targets: DataFrame, rounds: int) -> DataFrame:
     twice = F.col("target") > F.col("source_size")
     need = F.when(twice, F.col("target") - F.col("source_size")).otherwise(F.col("target"))
     largest = F.lit((1 << 63) - 1)
+    n = targets.count()
     state = targets.withColumns({"copies": F.when(twice, 1).otherwise(0), "need": need, "start": F.lit(0).cast("long"), "cap": largest, "marks": F.array().cast("array<struct<start:bigint,below:bigint,cap:bigint>>")})
     for _ in range(rounds):
-        found = boundary(base, state.filter(F.col("start") < TOP).select("source", "need", "start", "cap"))
+        found = boundary(base, state.filter(F.col("start") < TOP).select("source", "need", "start", "cap"), n)
         below = F.coalesce("edge", F.lit(TOP))
         left = F.when(F.col("edge").isNotNull(), F.col("need") - F.col("before")).otherwise(F.lit(0.0))
         mark = F.struct("start", below.alias("below"), "cap")
         state = cut(join_counted(state, found, ["source"]).select(
             "source", "source_size", "target", "copies", left.alias("need"), F.when(F.col("edge").isNotNull(), F.col("edge") + 1).otherwise(F.lit(TOP)).alias("start"),
             F.floor(left).cast("long").alias("cap"), F.when(F.col("start") < TOP, F.array_append("marks", mark)).otherwise(F.col("marks")).alias("marks"),
-        ))
+        ), n)
     return state.select("source", "source_size", "target", "copies", "marks")
 
 

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionforge.llm.common import cut
+from mentionforge.llm.common import ROWS_A_FILE, cut, partitions
 
 #: Fixed values of RFC 4648 (base32) beside the digits that conv() gives for base 32.
 CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -112,7 +112,7 @@ def write_archive(pages: DataFrame, folder: str, least: int = 0, date: str = DAT
     d = plain.select("page_id", "url", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("digest"), base32(F.sha1("payload")).alias("sha1_base32"))
     records = cut(d)
     # One row a digest, cut so that the join below reads two plain inputs and can split a hot digest's rows.
-    index = cut(records.groupBy("digest").agg(F.min("page_id").alias("first_id")).withColumnRenamed("digest", "of").repartition(F.col("first_id")))
+    index = cut(records.groupBy("digest").agg(F.min("page_id").alias("first_id")).withColumnRenamed("digest", "of").repartition(max(1, min(partitions(pages), records.count() // ROWS_A_FILE))))
     d = records.join(index, records["digest"] == index["of"]).drop("of")
     again = (F.col("payload_bytes") >= least) & ~F.coalesce(F.col("page_id") == F.col("first_id"), F.col("first_id").isNull())
     d = d.withColumn("record_type", F.when(again, "revisit").otherwise("response"))
