@@ -1,16 +1,18 @@
 """A hierarchical Pitman-Yor language model over the words of a corpus.
 
-Each context (the word before) is a restaurant; contexts share one parent restaurant over words, whose base is uniform
-over the learned words and one unknown. There are CONTEXTS restaurants: one for the start of a text, one for each of
-the up to FREQUENT most frequent words, and the rest for other words by hash. Customers are the training tokens;
-seating is sampled by Gibbs: in each sweep the customers of a dish leave a restaurant and are seated anew one by one, by
-the Chinese-restaurant rule (from 64 customers on in runs of a sixteenth), a new table sending a customer to the
-parent. The predictive probabilities of the kept sweeps are averaged, and a text's score is the sum of their logarithms.
-
-How it is laid out: texts are encoded once into blobs of (word, context, text) entries dealt by word, so that all of a
-word's customers meet in one task; words so frequent that they would fill a task (a share of 1/FREQUENT or so) are
-kept apart, their entries are dealt by batch, and their counts (at most FREQUENT * CONTEXTS numbers) are summed by
-key and broadcast. Only sums by context and a few totals go through the driver, whatever the size of the corpus.
+Each context (the word before, or the start of a text) is a restaurant of its own; contexts share one parent restaurant
+over words, whose base is uniform over the learned words and one unknown. Customers are the training tokens; seating is
+sampled by Gibbs: in each sweep the customers of a dish leave a restaurant and are seated anew one by one, by the
+Chinese-restaurant rule (from 64 customers on in runs of a sixteenth), a new table sending a customer to the parent,
+where the dishes are seated anew after it. Within a sweep all dishes are seated side by side: what they share (tables
+by context, customers and tables of the parent) is as the sweep before left it, less the dish's own. The predictive
+probabilities of the kept sweeps are averaged, and a text's score is the sum of their logarithms.
+
+How it is laid out: texts are encoded once into batches of distinct (word, context) pairs with counts. Pairs are dealt
+by word, so that a word's customers meet in one task; those of hot words (up to FREQUENT) are dealt by context or, where
+that is hot too, by pair, and hot words' and contexts' sums, a few numbers each, go through the driver. All other
+contexts' sums are a table dealt by context: each holder of pairs sends it what it has seated and gets the totals back,
+as messages by shuffle, once a sweep. Pairs of one customer have one table and are left out of the sweeps.
 
 Edge cases: a null text counts as empty and is one end token; a null id counts as the empty text for the fold;
 repeated rows are learned from and scored each for itself; without training texts all words share one unknown word's
@@ -34,16 +36,19 @@ from pyspark.sql import functions as F
 
 from mentionforge.llm.common import cut, fold, partitions, whole
 
-CONTEXTS = 2048
-FREQUENT = 512
+FREQUENT = 1024
 GROUP_DOCS = 1024
 GROUP_WORDS = 1 << 20
 SWEEPS = 4
 BURN_IN = 1
 STRENGTH = 1.0
-END_HASH = 1
-TRAIN = 1 << 15
-WORDS, COMMON, DOCS = 0, 1, 2
+START_HASH, END_HASH = 0, 1
+#: Kinds of rows: a batch's pairs and texts, a holder's state, what it asks of contexts' owners (all its contexts, and
+#: those that sweeps change), what they keep and reply, scores, and sums by hot word, hot context and over all.
+PAIRS, DOCS, STATE, ASK_ALL, ASK, OWN, REPLY, SCORES = range(8)
+COUNTS, PARENT, CUSTOMERS, TABLES, TOTALS = range(8, 13)
+SCHEMA = "to int, sender long, kind int, at long, data binary, x double"
+RARE = 0xFFFF
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
@@ -105,9 +110,39 @@ def even_keys(spark: SparkSession, n: int) -> np.ndarray:
     return np.array([found.get(i, 0) for i in range(n)], np.int32)
 
 
-def encode(docs: DataFrame, common: np.ndarray, contexts: int, keys: np.ndarray) -> DataFrame:
-    """Rows of blobs (p, batch, kind, data), dealt by p. docs: doc_id, text (binary), train, held_out."""
-    n_parts, n_common = len(keys), len(common)
+def owner(h: np.ndarray, n: int) -> np.ndarray:
+    return (((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+
+
+def find(hot: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The place of each hash among the hot ones, or -1."""
+    at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+    return np.where(hot[at] == h, at, -1)
+
+
+def message(to: int, sender: int, kind: int, at: int, data: bytes) -> dict:
+    return {"to": to, "sender": sender, "kind": kind, "at": at, "data": data, "x": None}
+
+
+def record(rows: list[dict]) -> pa.RecordBatch:
+    types = {"to": pa.int32(), "sender": pa.int64(), "kind": pa.int32(), "at": pa.int64(), "data": pa.binary(), "x": pa.float64()}
+    return pa.record_batch([pa.array([r[c] for r in rows], t) for c, t in types.items()], names=list(types))
+
+
+def sums(values: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """Rows (kind, at, x) of the numbers other than zero."""
+    on = {kind: np.flatnonzero(v) for kind, v in values.items()}
+    n = sum(map(len, on.values()))
+    kind = np.repeat(np.array(list(on), np.int32), [len(i) for i in on.values()])
+    return pa.record_batch([
+        pa.array(np.zeros(n, np.int32)), pa.array(np.zeros(n, np.int64)), pa.array(kind), pa.array(np.concatenate(list(on.values())).astype(np.int64)),
+        pa.nulls(n, pa.binary()), pa.array(np.concatenate([values[k][i].astype(np.float64) for k, i in on.items()])),
+    ], names=["to", "sender", "kind", "at", "data", "x"])
+
+
+def encode(docs: DataFrame, hot: np.ndarray, keys: np.ndarray) -> DataFrame:
+    """Messages of PAIRS, to the holders of their pairs, and DOCS. docs: doc_id, text (binary), train, held_out."""
+    n_parts = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId(), 0
@@ -122,78 +157,70 @@ def encode(docs: DataFrame, common: np.ndarray, contexts: int, keys: np.ndarray)
                 is_word[ends] = False
                 h[is_word] = np.maximum(hashes([w for ws in lists for w in ws]), np.uint64(2))
                 h[ends] = END_HASH
-                at = np.searchsorted(common, h)
-                is_common = common[np.minimum(at, n_common - 1)] == h if n_common else np.zeros(len(h), bool)
-                own = np.where(is_common, 1 + at, 1 + n_common + (h % np.uint64(contexts - 1 - n_common)).astype(np.int64))
-                k = np.empty(len(h), np.uint16)
-                k[1:] = own[:-1]
-                k[0] = 0
-                k[ends[:-1] + 1] = 0
+                words, w = np.unique(np.append(h, np.uint64(START_HASH)), return_inverse=True)
+                w = w[:-1]
+                before = np.concatenate([[0], w[:-1]])
+                before[ends[:-1] + 1] = 0  # the start is the least hash
                 train = np.asarray(b.column("train").slice(start, end - start).to_numpy(zero_copy_only=False), bool)
-                doc = np.repeat(np.arange(len(lists), dtype=np.uint16) + np.where(train, TRAIN, 0).astype(np.uint16), sizes)
-                is_common[ends] = True
-                at[ends] = n_common
-                rows = [(int(keys[batch % n_parts]), COMMON, squeeze(at[is_common].astype("<u2"), k[is_common], doc[is_common]))]
-                rest = np.flatnonzero(~is_common)
-                rest = rest[np.argsort(h[rest], kind="stable")]
-                hs, ks, ds = h[rest], k[rest], doc[rest]
-                to = ((hs >> np.uint64(32)) * np.uint64(n_parts)) >> np.uint64(32)
-                cuts = np.searchsorted(to, np.arange(n_parts + 1, dtype=np.uint64))
+                pairs, at = np.unique(w * len(words) + before, return_inverse=True)
+                n = np.bincount(at, np.repeat(train, sizes), len(pairs)).astype("<u4")
+                hs, ks = words[pairs // len(words)], words[pairs % len(words)]
+                hot_context = find(hot, ks)
+                both = (hs * np.uint64(0x9E3779B97F4A7C15)) ^ (ks * np.uint64(0xC2B2AE3D27D4EB4F))
+                to = owner(np.where(find(hot, hs) < 0, hs, np.where(hot_context < 0, ks, both * np.uint64(0x9E3779B97F4A7C15))), n_parts)
+                order = np.argsort(to, kind="stable")
+                hs, ks, n, hot_context = hs[order], ks[order], n[order], hot_context[order]
+                cuts = np.searchsorted(to[order], np.arange(n_parts + 1))
+                rows = []
                 for p in np.flatnonzero(np.diff(cuts)).tolist():
                     x, y = cuts[p], cuts[p + 1]
                     first = np.flatnonzero(np.concatenate([[True], hs[x + 1 : y] != hs[x : y - 1]]))
-                    rows.append((int(keys[p]), WORDS, squeeze(hs[x:y][first], np.diff(np.append(first, y - x)).astype("<u4"), ks[x:y], ds[x:y])))
+                    rare = ks[x:y][hot_context[x:y] < 0]
+                    coded = np.where(hot_context[x:y] < 0, RARE, hot_context[x:y]).astype("<u2")
+                    rows.append(message(int(keys[p]), batch, PAIRS, p, squeeze(hs[x:y][first], np.diff(np.append(first, y - x)).astype("<u4"), coded, rare, n[x:y])))
+                place = np.empty(len(order), "<u4")
+                place[order] = np.arange(len(order))
                 info = pa.record_batch([b.column("doc_id").slice(start, end - start), b.column("held_out").slice(start, end - start), pa.array(sizes)], names=["doc_id", "held_out", "n_tokens"])
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, info.schema) as out:
                     out.write_batch(info)
-                rows.append((int(keys[(batch + 1) % n_parts]), DOCS, sink.getvalue().to_pybytes()))
-                yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([batch] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["p", "batch", "kind", "data"])
+                texts = squeeze(place[at], cuts.astype("<u4"), np.frombuffer(sink.getvalue(), "u1"))
+                yield record([*rows, message(int(keys[batch % n_parts]), batch, DOCS, 0, texts)])
 
-    return docs.mapInArrow(run, "p int, batch long, kind int, data binary").repartition(n_parts, "p")
+    return docs.mapInArrow(run, SCHEMA)
 
 
 @dataclass
-class Entries:
-    """The entries of a task: word numbers (in order of hash, or of the common words), contexts, texts, in training."""
-
-    key: int
-    words: int
-    word: np.ndarray
-    context: np.ndarray
-    train: np.ndarray
-    doc: np.ndarray  # batch number << 16 | text
-    batches: np.ndarray
-
-
-def collect_entries(blobs: list[tuple[int, int, bytes]], kind: int) -> Entries:
-    """blobs: (p, batch, data) of a kind, in any order."""
-    blobs = sorted(blobs, key=lambda x: x[1])
-    hs, counts, ks, ds, bs = [], [], [], [], []
-    for i, (_, _, data) in enumerate(blobs):
-        if kind == WORDS:
-            h, n, k, d = unsqueeze(data, "<u8", "<u4", "<u2", "<u2")
-            hs.append(h)
-            counts.append(n)
-        else:
-            h, k, d = unsqueeze(data, "<u2", "<u2", "<u2")
-            hs.append(h)
-        ks.append(k)
-        ds.append(d)
-        bs.append(np.full(len(d), i, np.int64))
-    join = lambda xs, t: np.concatenate(xs) if xs else np.empty(0, t)
-    h, k, d, b = join(hs, np.uint64), join(ks, np.uint16), join(ds, np.uint16), join(bs, np.int64)
-    if kind == WORDS:
-        distinct, number = np.unique(h, return_inverse=True)
-        word, words = np.repeat(number, join(counts, np.uint32).astype(np.int64)), len(distinct)
-    else:
-        word, words = h.astype(np.int64), int(h.max()) + 1 if len(h) else 0
-    return Entries(blobs[0][0] if blobs else 0, words, word, k.astype(np.int64), (d & TRAIN) > 0, b << 16 | (d & (TRAIN - 1)), np.array([x[1] for x in blobs], np.int64))
+class Pairs:
+    """The distinct pairs of a holder, in order of word and context, and where the batches' pairs are among them."""
+
+    words: np.ndarray  # hashes
+    rare: np.ndarray  # hashes of contexts that are not hot
+    word: np.ndarray  # by pair
+    context: np.ndarray  # by pair: hot ones first, then the rare ones
+    c: np.ndarray  # training customers
+    blobs: list[tuple[int, int, np.ndarray, np.ndarray]]  # batch, at, pair of each entry, its first entry of each word
+
+
+def collect_pairs(rows: list[dict], n_hot: int) -> Pairs:
+    rows = sorted(rows, key=lambda r: (r["sender"], r["at"]))
+    hs, runs, coded, rare, n = zip(*(unsqueeze(r["data"], "<u8", "<u4", "<u2", "<u8", "<u4") for r in rows), strict=True)
+    words, number = np.unique(np.concatenate(hs), return_inverse=True)
+    word = np.repeat(number, np.concatenate(runs).astype(np.int64))
+    contexts, which = np.unique(np.concatenate(rare), return_inverse=True)
+    context = np.concatenate(coded).astype(np.int64)
+    context[context == RARE] = n_hot + which
+    size = n_hot + len(contexts)
+    pairs, at = np.unique(word * size + context, return_inverse=True)
+    c = np.bincount(at, np.concatenate(n), len(pairs)).astype(np.int64)
+    cuts = np.cumsum([0, *map(len, coded)])
+    firsts = [np.cumsum(np.append(0, r[:-1])).astype(np.int64) for r in runs]
+    return Pairs(words, contexts, pairs // size, pairs % size, c, [(r["sender"], r["at"], at[x:y], f) for r, x, y, f in zip(rows, cuts[:-1], cuts[1:], firsts, strict=True)])
 
 
 @dataclass
 class Totals:
-    """What the tasks share: sums by context, totals and settings."""
+    """What all tasks share: settings, sums by hot context, and the state of the parent."""
 
     contexts: int
     tokens: int
@@ -207,12 +234,27 @@ class Totals:
     burn_in: int = BURN_IN
     tables: list[np.ndarray] = field(default_factory=list)  # by kept sweep and context
     root_tables: list[float] = field(default_factory=list)
-    common: list[tuple[np.ndarray, ...]] = field(default_factory=list)
+    steps: list[Shared] = field(default_factory=list)  # the start, and after each sweep
+    counts: np.ndarray | None = None  # training tokens by hot word
+
+
+@dataclass
+class Shared:
+    """The seating's sums between two sweeps: tables by hot context, customers and tables of the parent, and of each
+    hot word in it."""
+
+    tables: np.ndarray
+    n_root: float
+    t_root: float
+    parent: np.ndarray
+    root_t: np.ndarray
 
 
-def seat(c: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Tables of dishes with c customers, seated one by one; new: the weight of a new table."""
+def seat(c: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator, more: np.ndarray | float = 0.0) -> np.ndarray:
+    """Tables of dishes with c customers, seated one by one; new: the weight of a new table, which grows by more with
+    each table beyond the first."""
     t = np.ones(len(c), np.int64)
+    more = np.broadcast_to(more, len(c))
     order = np.argsort(-c, kind="stable")
     least = -c[order]
     i = 1
@@ -221,220 +263,325 @@ def seat(c: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generat
         if not len(active):
             return t
         run = 1 if i < 64 else i // 16
-        a = new[active]
+        a = new[active] + more[active] * (t[active] - 1)
         p = a / (a + i - discount * t[active])
         t[active] += rng.random(len(active)) < p if run == 1 else rng.binomial(np.minimum(run, c[active] - i), p)
         i += run
 
 
+def seat_again(c: np.ndarray, t: np.ndarray, tables: np.ndarray, parent: np.ndarray, root_t: np.ndarray, n_root: float, t_root: float, g: Totals, rng: np.random.Generator) -> np.ndarray:
+    """New tables of pairs with c customers at t tables; by pair, the context's tables and the word's state in the
+    parent. The pair's own customers have left, and with them its tables and their customers in the parent."""
+    without = np.maximum(parent - t, 0.0)
+    base = (g.strength + g.root_discount * t_root) / (g.words + 1)
+    p0 = (without - g.root_discount * np.minimum(root_t, without) + base) / (g.strength + n_root - t)
+    return seat(c, (g.strength + g.discount * (tables - t + 1)) * p0, g.discount, rng, g.discount * p0)
+
+
+def seat_parent(parent: np.ndarray, root_t: np.ndarray, t_root: float, g: Totals, rng: np.random.Generator) -> np.ndarray:
+    """New tables of words in the parent, where a new table is a draw from the uniform base."""
+    out = np.zeros(len(parent), np.int64)
+    has = np.flatnonzero(parent)
+    base = 1.0 / (g.words + 1)
+    new = (g.strength + g.root_discount * (t_root - root_t[has] + 1)) * base
+    out[has] = seat(parent[has].astype(np.int64), new, g.root_discount, rng, g.root_discount * base)
+    return out
+
+
+def probability(c: np.ndarray, t: np.ndarray, customers: np.ndarray, tables: np.ndarray, parent: np.ndarray, root_t: np.ndarray, n_root: float, t_root: float, g: Totals) -> np.ndarray:
+    """By pair, the predictive probability in one state of the seating; c and t are 0 where it was not seen."""
+    p0 = (parent - g.root_discount * root_t + (g.strength + g.root_discount * t_root) / (g.words + 1)) / (g.strength + n_root)
+    return (c - g.discount * t + (g.strength + g.discount * tables) * p0) / (g.strength + customers)
+
+
+def generator(seed: int, sweep: int) -> np.random.Generator:
+    return np.random.default_rng([2024, seed & 0x7FFFFFFF, sweep])
+
+
 def sampled(word: np.ndarray, context: np.ndarray, c: np.ndarray, words: int, g: Totals, seed: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each kept sweep the tables of each (word, context), and the customers and tables of each word in the parent."""
-    rng = np.random.default_rng([2024, seed & 0x7FFFFFFF])
+    """The sweeps where one task has all pairs: for each kept sweep the tables of each (word, context), and the
+    customers and tables of each word in the parent."""
     t = np.ones(len(c), np.int64)
-    n_root, t_root = float(g.dishes.sum()), float(g.words)
-    scale, base = g.strength + n_root, 1.0 / (g.words + 1)
+    tables, parent = np.asarray(g.dishes, float), np.bincount(word, t, words)
+    root_t = (parent > 0).astype(np.int64)
     several = np.flatnonzero(c > 1)
+    w, k = word[several], context[several]
     kept = []
-    for sweep in range(g.sweeps):
-        parent = np.bincount(word, t, words)
-        # In the parent, too, customers are seated anew, a new table being a draw from the uniform base.
-        root_t = np.zeros(words, np.int64)
-        has = np.flatnonzero(parent)
-        root_t[has] = seat(parent[has].astype(np.int64), np.full(len(has), (g.strength + g.root_discount * t_root) * base), g.root_discount, rng)
-        w, k = word[several], context[several]
-        without = np.maximum(parent[w] - t[several], 0.0)  # the dish's own customers have left
-        p0 = (np.maximum(without - g.root_discount * np.minimum(root_t[w], without), 0.0) + (g.strength + g.root_discount * t_root) * base) / scale
-        t[several] = seat(c[several], (g.strength + g.discount * g.dishes[k]) * p0, g.discount, rng)
-        if sweep >= g.burn_in:
-            parent = np.bincount(word, t, words)
-            kept.append((t.copy(), parent, np.minimum(root_t, parent.astype(np.int64))))
+    for s in range(g.sweeps):
+        rng, t_root = generator(seed, s), float(root_t.sum())
+        t[several] = seat_again(c[several], t[several], tables[k], parent[w], root_t[w], float(tables.sum()), t_root, g, rng)
+        tables, parent = np.bincount(context, t, g.contexts), np.bincount(word, t, words)
+        root_t = seat_parent(parent, root_t, t_root, g, rng)
+        if s >= g.burn_in:
+            kept.append((t.copy(), parent, root_t))
     return kept
 
 
 def predictive(word: np.ndarray, context: np.ndarray, c: np.ndarray, words: int, g: Totals, seed: int) -> np.ndarray:
-    """The averaged probability of each (word, context) with c training customers, 0 included."""
+    """The averaged probability of each (word, context) with c training customers, 0 included, by sampled()."""
     seen = np.flatnonzero(c > 0)
     total = np.zeros(len(c))
     kept = sampled(word[seen], context[seen], c[seen], words, g, seed)
-    for s, (t, parent, root_t) in enumerate(kept):
-        n_root = float(g.tables[s].sum())
-        p0 = ((parent - g.root_discount * root_t) + (g.strength + g.root_discount * g.root_tables[s]) / (g.words + 1)) / (g.strength + n_root)
-        below = g.strength + g.customers[context]
-        p = (g.strength + g.discount * g.tables[s][context]) / below * p0[word]
-        p[seen] += (c[seen] - g.discount * t) / below[seen]
-        total += p
+    for s, (t_seen, parent, root_t) in enumerate(kept):
+        t = np.zeros(len(c))
+        t[seen] = t_seen
+        total += probability(c, t, g.customers[context], g.tables[s][context], parent[word], root_t[word], float(g.tables[s].sum()), g.root_tables[s], g)
     return total / max(1, len(kept))
 
 
-def training_counts(e: Entries, contexts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    keys, c = np.unique(e.word[e.train] * contexts + e.context[e.train], return_counts=True)
-    return keys // contexts, keys % contexts, c
-
-
-def per_task(run):
-    """A mapInArrow function over all blobs of a task: run(p-blobs by kind) yields record batches."""
+def by_holder(run):
+    """A mapInArrow function: run(key, rows by kind) for each key of a task yields record batches."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds: dict[int, list[tuple[int, int, bytes]]] = {WORDS: [], COMMON: [], DOCS: []}
+        held: dict[int, dict[int, list[dict]]] = {}
         for b in batches:
-            for p, batch, kind, data in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                kinds[kind].append((p, batch, data))
-        by_key: dict[int, list[tuple[int, int, bytes]]] = {}
-        for x in kinds[WORDS]:
-            by_key.setdefault(x[0], []).append(x)
-        yield from run([by_key[p] for p in sorted(by_key)], kinds[COMMON], kinds[DOCS])
+            for r in b.select(["to", "sender", "kind", "at", "data"]).to_pylist():
+                held.setdefault(r["to"], {}).setdefault(r["kind"], []).append(r)
+        for key in sorted(held):
+            yield from run(key, held.pop(key))
 
     return over
 
 
-def sums_by_context(rows: DataFrame) -> dict[str, dict[int, float]]:
-    """rows (what, at, x) summed; at most a few kinds times CONTEXTS rows."""
-    out: dict[str, dict[int, float]] = {}
-    for r in rows.groupBy("what", "at").agg(F.sum("x").alias("x")).collect():
-        out.setdefault(r["what"], {})[r["at"]] = r["x"]
+def exchange(rows: DataFrame, n_parts: int, run) -> DataFrame:
+    """Messages go to their receivers, whose messages are the result."""
+    return rows.repartition(n_parts, "to").mapInArrow(by_holder(run), SCHEMA)
+
+
+def ask(key: int, kind: int, rare: np.ndarray, values: list[np.ndarray], keys: np.ndarray) -> list[dict]:
+    """Messages to the owners of contexts: hashes, in order, and the holder's sums for them."""
+    cuts = np.searchsorted(owner(rare, len(keys)), np.arange(len(keys) + 1))
+    return [message(int(keys[p]), key, kind, p, squeeze(rare[x:y], *(v[x:y].astype("<u4") for v in values))) for p, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
+
+
+def added(hashes_of: np.ndarray, rows: list[dict], n: int) -> list[np.ndarray]:
+    """The asked sums by context, of contexts among hashes_of (in order)."""
+    out = [np.zeros(len(hashes_of), np.int64) for _ in range(n)]
+    for r in rows:
+        h, *values = unsqueeze(r["data"], "<u8", *["<u4"] * n)
+        at = np.searchsorted(hashes_of, h)
+        for o, v in zip(out, values, strict=True):
+            o[at] += v  # a message has a context once
+    return out
+
+
+def replies(rows: list[dict], n: int) -> list[np.ndarray]:
+    """What the owners replied, in order of the asked contexts."""
+    found = [unsqueeze(r["data"], *["<u4"] * n) for r in sorted(rows, key=lambda r: r["at"])]
+    return [np.concatenate([np.empty(0, np.int64), *(f[i].astype(np.int64) for f in found)]) for i in range(n)]
+
+
+@dataclass
+class State:
+    """A holder's seating: its words, and its pairs of several customers. The others have one table each."""
+
+    hot: np.ndarray  # by word: its place among the hot words, or -1
+    single: np.ndarray  # by word: pairs of one customer
+    root_t: np.ndarray  # by word, of those that are not hot
+    hot_single: np.ndarray  # by hot context: pairs of one customer
+    rare: np.ndarray  # hashes of these pairs' contexts that are not hot
+    word: np.ndarray
+    context: np.ndarray
+    c: np.ndarray
+    t: np.ndarray
+    kept: np.ndarray  # by kept sweep: t, one after another
+    kept_root: np.ndarray
+
+    KINDS = ("<i4", "<u4", "<u4", "<u4", "<u8", "<u4", "<u4", "<u4", "<u4", "<u4", "<u4")
+
+    def pack(self, key: int) -> dict:
+        arrays = [self.hot, self.single, self.root_t, self.hot_single, self.rare, self.word, self.context, self.c, self.t, self.kept, self.kept_root]
+        return message(key, key, STATE, 0, squeeze(*(np.asarray(a).astype(k) for a, k in zip(arrays, self.KINDS, strict=True))))
+
+    @classmethod
+    def of(cls, rows: list[dict]) -> State:
+        return cls(*(a if a.dtype == np.uint64 else a.astype(np.int64) for a in unsqueeze(rows[0]["data"], *cls.KINDS)))
+
+    def parent(self, t: np.ndarray) -> np.ndarray:
+        return self.single + np.bincount(self.word, t, len(self.single)).astype(np.int64)
+
+    def out(self, key: int, n_hot: int, keys: np.ndarray, kind: int = ASK) -> Iterator[pa.RecordBatch]:
+        """The state, what it adds to the sums, and what it asks."""
+        tables = np.bincount(self.context, self.t, n_hot + len(self.rare)).astype(np.int64)
+        parent, is_hot = self.parent(self.t), self.hot >= 0
+        yield record([self.pack(key), *ask(key, kind, self.rare, [tables[n_hot:]], keys)])
+        yield sums({
+            PARENT: np.bincount(self.hot[is_hot], parent[is_hot], n_hot), TABLES: tables[:n_hot] + self.hot_single,
+            TOTALS: np.array([0, 0, 0, 0, 0, 0, parent.sum(), self.root_t.sum()]),
+        })
+
+
+def collected(rows: DataFrame) -> dict[int, dict[int, float]]:
+    """The sums by kind; at most a few kinds times the hot words."""
+    out: dict[int, dict[int, float]] = {}
+    for r in rows.filter(F.col("kind") >= COUNTS).groupBy("kind", "at").agg(F.sum("x").alias("x")).collect():
+        out.setdefault(r["kind"], {})[r["at"]] = r["x"]
     return out
 
 
-def vector(sums: dict[int, float] | None, n: int) -> np.ndarray:
+def vector(values: dict[int, float] | None, n: int) -> np.ndarray:
     v = np.zeros(n)
-    for at, x in (sums or {}).items():
+    for at, x in (values or {}).items():
         v[at] = x
     return v
 
 
-def context_batch(values: dict[str, np.ndarray]) -> pa.RecordBatch:
-    what, at, x = [], [], []
-    for name, v in values.items():
-        on = np.flatnonzero(v)
-        what += [name] * len(on)
-        at.append(on)
-        x.append(v[on].astype(np.float64))
-    return pa.record_batch([pa.array(what, pa.string()), pa.array(np.concatenate(at).astype(np.int64)), pa.array(np.concatenate(x))], names=["what", "at", "x"])
-
-
-def train(blobs: DataFrame, contexts: int) -> Totals:
-    """Counts, then one pass of Gibbs sweeps over the blobs."""
-
-    def count(parts, common, _docs):
-        for part in parts:
-            w, k, c = training_counts(e := collect_entries(part, WORDS), contexts)
-            per_word = np.bincount(w, minlength=e.words)
-            yield context_batch({
-                "customers": np.bincount(k, c, contexts), "dishes": np.bincount(k, minlength=contexts),
-                "totals": np.array([c.sum(), np.count_nonzero(per_word), (c == 1).sum(), (c == 2).sum(), (per_word == 1).sum(), (per_word == 2).sum()]),
-            })
-        if common:
-            w, k, c = training_counts(collect_entries(common, COMMON), contexts)
-            yield pa.record_batch([pa.array(["common"] * len(c), pa.string()), pa.array(w * contexts + k), pa.array(c.astype(np.float64))], names=["what", "at", "x"])
-
-    counted = cut(blobs.mapInArrow(per_task(count), "what string, at long, x double").groupBy("what", "at").agg(F.sum("x").alias("x")), few=True)
-    sums = sums_by_context(counted.filter("what <> 'common'"))
-    pairs = counted.filter("what = 'common'").select("at", "x").toPandas().sort_values("at")  # at most FREQUENT x CONTEXTS
-    keys, c = pairs["at"].to_numpy(np.int64), pairs["x"].to_numpy(np.int64)
-    w, k = keys // contexts, keys % contexts
-    totals = vector(sums.get("totals"), 6)
-    n1, n2, r1, r2 = totals[2:]
-    n1, n2 = n1 + (c == 1).sum(), n2 + (c == 2).sum()
+def train(encoded: DataFrame, n_hot: int, hot: np.ndarray, keys: np.ndarray) -> tuple[Totals, DataFrame, DataFrame]:
+    """Counts, then a pass a Gibbs sweep. Also the last state with what the kept sweeps asked (ASK, with at as
+    sweep * parts + owner), and what holders ask of all their contexts."""
+    n_parts = len(keys)
+
+    def count(key, rows):
+        e = collect_pairs(rows[PAIRS], n_hot)
+        at, n_rare = find(hot, e.words), len(e.rare)
+        per_word = np.bincount(e.word, e.c, len(e.words))
+        one, many = e.c == 1, np.flatnonzero(e.c > 1)
+        single = np.bincount(e.context, one, n_hot + n_rare).astype(np.int64)
+        customers = np.bincount(e.context, e.c, n_hot + n_rare).astype(np.int64)
+        asked, context = np.unique(np.append(np.arange(n_hot), e.context[many]), return_inverse=True)
+        s = State(
+            at, np.bincount(e.word, one, len(e.words)), np.where(at < 0, per_word > 0, False), single[:n_hot], e.rare[asked[n_hot:] - n_hot],
+            e.word[many], context[n_hot:], e.c[many], np.ones(len(many), np.int64), np.empty(0), np.empty(0),
+        )
+        yield from s.out(key, n_hot, keys)
+        rare_words = per_word[at < 0]
+        yield record(ask(key, ASK_ALL, e.rare, [customers[n_hot:], single[n_hot:]], keys))
+        yield sums({
+            COUNTS: np.bincount(at[at >= 0], per_word[at >= 0], n_hot), CUSTOMERS: customers[:n_hot],
+            TOTALS: np.array([e.c.sum(), np.count_nonzero(rare_words), one.sum(), (e.c == 2).sum(), (rare_words == 1).sum(), (rare_words == 2).sum()]),
+        })
+
+    def own(key, rows):
+        """Pairs of one customer, by context with other pairs."""
+        h = np.unique(np.concatenate([unsqueeze(r["data"], "<u8", "<u4")[0] for r in rows[ASK]])) if ASK in rows else np.empty(0, np.uint64)
+        single = np.zeros(len(h), np.int64)
+        for r in rows.get(ASK_ALL, []):
+            found, _, n = unsqueeze(r["data"], "<u8", "<u4", "<u4")
+            at = find(h, found) if len(h) else np.full(len(found), -1)
+            single[at[at >= 0]] += n[at >= 0]
+        yield record([message(key, key, OWN, 0, squeeze(h, single.astype("<u4")))])
+
+    def answer(key, rows):
+        if ASK not in rows:
+            return
+        h, single = unsqueeze(rows[OWN][0]["data"], "<u8", "<u4")
+        total = single + added(h, rows[ASK], 1)[0]
+        yield record([message(r["sender"], key, REPLY, r["at"], squeeze(total[np.searchsorted(h, unsqueeze(r["data"], "<u8", "<u4")[0])].astype("<u4"))) for r in rows[ASK]])
+
+    first = cut(exchange(encoded.filter(F.col("kind") == PAIRS), n_parts, count))
+    found = collected(first)
+    counts, totals = vector(found.get(COUNTS), n_hot), vector(found.get(TOTALS), 8)
     share = lambda a, b: float(np.clip(a / max(1.0, a + 2 * b), 0.1, 0.9))  # noqa: E731  the usual estimate of a discount from counts of one and two
     g = Totals(
-        contexts, int(totals[0] + c.sum()), int(totals[1] + len(np.unique(w))), vector(sums.get("customers"), contexts) + np.bincount(k, c, contexts),
-        vector(sums.get("dishes"), contexts) + np.bincount(k, minlength=contexts), share(n1, n2), share(r1, r2),
+        n_hot, int(totals[0]), int(totals[1] + np.count_nonzero(counts)), vector(found.get(CUSTOMERS), n_hot), vector(found.get(TABLES), n_hot),
+        share(totals[2], totals[3]), share(totals[4] + (counts == 1).sum(), totals[5] + (counts == 2).sum()), counts=counts,
     )
-    shared = blobs.sparkSession.sparkContext.broadcast(g)  # a few numbers a context
-
-    def sweep(parts, _common, _docs):
-        for part in parts:
-            w, k, c = training_counts(e := collect_entries(part, WORDS), contexts)
-            for s, (t, _, root_t) in enumerate(sampled(w, k, c, e.words, shared.value, e.key)):
-                yield context_batch({f"tables{s}": np.bincount(k, t, contexts), "root": np.bincount([s], [float(root_t.sum())])})
-
-    swept = sums_by_context(blobs.mapInArrow(per_task(sweep), "what string, at long, x double"))
-    words = int(w.max()) + 1 if len(w) else 0
-    own = sampled(w, k, c, words, g, -1)
-    for s in range(g.sweeps - g.burn_in):
-        g.tables.append(vector(swept.get(f"tables{s}"), contexts) + np.bincount(k, own[s][0], contexts))
-        g.root_tables.append(swept.get("root", {}).get(s, 0.0) + float(own[s][2].sum()))
-    g.common = [(w, k, c)]
-    return g
-
-
-def common_tables(g: Totals, n_common: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the common words: probability by word and context (float32), and training count by word."""
-    w, k, c = g.common[0]
-    size = n_common + 1
-    full = np.zeros(size * g.contexts, np.int64)
-    full[w * g.contexts + k] = c
-    every = np.arange(size * g.contexts)
-    words = int(w.max()) + 1 if len(w) else 0
-    p = np.zeros(len(every), np.float32)
-    known = every < words * g.contexts  # the same words as in train(), so the same seating
-    p[known] = predictive(every[known] // g.contexts, every[known] % g.contexts, full[known], words, g, -1)
-    if (~known).any():
-        root = (g.strength + g.root_discount * np.mean(g.root_tables)) / (g.words + 1) / (g.strength + np.mean([t.sum() for t in g.tables]))
-        back = np.mean([(g.strength + g.discount * t) / (g.strength + g.customers) for t in g.tables], axis=0)
-        p[~known] = root * back[every[~known] % g.contexts]
-    return p.reshape(size, g.contexts), full.reshape(size, g.contexts).sum(1)
-
-
-def score(blobs: DataFrame, g: Totals, n_common: int, id_type: str, n_parts: int) -> DataFrame:
+    g.steps.append(Shared(g.dishes, totals[6], float(g.words), vector(found.get(PARENT), n_hot), (counts > 0).astype(np.int64)))
+    kind = F.col("kind")
+    asked_all = first.filter(kind == ASK_ALL)
+    owned = cut(exchange(first.filter(kind.isin(ASK, ASK_ALL)), n_parts, own))
+    state, asks = first, None
+    for sweep in range(g.sweeps):
+        shared = encoded.sparkSession.sparkContext.broadcast((g, g.steps[-1]))  # a few numbers a hot word
+
+        def seated(key, rows, shared=shared, sweep=sweep):
+            g, step = shared.value
+            s, rng = State.of(rows[STATE]), generator(key, sweep)
+            is_hot = s.hot >= 0
+            parent, root_t = s.parent(s.t), s.root_t.copy()
+            parent[is_hot], root_t[is_hot] = step.parent[s.hot[is_hot]], step.root_t[s.hot[is_hot]]
+            tables = np.concatenate([step.tables, replies(rows.get(REPLY, []), 1)[0]])
+            s.t = seat_again(s.c, s.t, tables[s.context], parent[s.word], root_t[s.word], step.n_root, step.t_root, g, rng)
+            s.root_t = seat_parent(np.where(is_hot, 0, s.parent(s.t)), s.root_t, step.t_root, g, rng)
+            if sweep >= g.burn_in:
+                s.kept, s.kept_root = np.append(s.kept, s.t), np.append(s.kept_root, s.root_t)
+            yield from s.out(key, n_hot, keys)
+
+        answers = exchange(state.filter(kind == ASK).unionAll(owned), n_parts, answer)
+        state = cut(exchange(state.filter(kind == STATE).unionAll(answers), n_parts, seated))
+        found, before = collected(state), g.steps[-1]
+        totals, parent = vector(found.get(TOTALS), 8), vector(found.get(PARENT), n_hot)
+        root_t = seat_parent(parent, before.root_t, before.t_root, g, generator(-1, sweep))
+        g.steps.append(Shared(vector(found.get(TABLES), n_hot), totals[6], totals[7] + float(root_t.sum()), parent, root_t))
+        if sweep >= g.burn_in:
+            g.tables.append(g.steps[-1].tables)
+            g.root_tables.append(g.steps[-1].t_root)
+            kept = state.filter(kind == ASK).withColumn("at", F.col("at") + (sweep - g.burn_in) * n_parts)
+            asks = kept if asks is None else asks.unionAll(kept)
+    return g, state.filter(kind == STATE).unionAll(asks), asked_all
+
+
+def score(encoded: DataFrame, g: Totals, trained: DataFrame, asked_all: DataFrame, hot: np.ndarray, keys: np.ndarray, id_type: str) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, log_base (sum of log10(c + 0.5)), log_model of every text."""
-    context = blobs.sparkSession.sparkContext
-    slim = Totals(g.contexts, g.tokens, g.words, g.customers, g.dishes, g.discount, g.root_discount, g.strength, g.sweeps, g.burn_in, g.tables, g.root_tables)
-    shared = context.broadcast((slim, *common_tables(g, n_common)))  # at most (FREQUENT + 1) x CONTEXTS floats
-
-    def sums(e: Entries, model: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """model, count: by entry, log10 of the probability and the training count of the word."""
-        docs, at = np.unique(e.doc, return_inverse=True)
-        logs, base, known = (np.bincount(at, x, len(docs)) for x in (model, np.log10(count + 0.5), count > 0))
-        cuts = np.searchsorted(docs >> 16, np.arange(len(e.batches) + 1))
-        rows = [squeeze((docs[x:y] & 0xFFFF).astype("<u2"), logs[x:y], base[x:y], known[x:y].astype("<u4")) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-        yield pa.record_batch([pa.array(e.batches), pa.array([WORDS] * len(rows), pa.int32()), pa.array(rows, pa.binary())], names=["batch", "kind", "data"])
-
-    def run(parts, common, docs):
-        g, table, common_count = shared.value
-        for part in parts:
-            e = collect_entries(part, WORDS)
-            keys, at = np.unique(e.word * g.contexts + e.context, return_inverse=True)
-            c = np.bincount(at, e.train, len(keys)).astype(np.int64)
-            w = keys // g.contexts
-            p = predictive(w, keys % g.contexts, c, e.words, g, e.key)
-            per_word = np.bincount(w, c, e.words)
-            yield from sums(e, np.log10(p)[at], per_word[e.word])
-        if common:
-            e = collect_entries(common, COMMON)
-            yield from sums(e, np.log10(table[e.word, e.context].astype(np.float64)), common_count[e.word])
-        if docs:
-            yield pa.record_batch([pa.array([x[1] for x in docs], pa.int64()), pa.array([DOCS] * len(docs), pa.int32()), pa.array([x[2] for x in docs], pa.binary())], names=["batch", "kind", "data"])
+    n_parts, n_hot, kind = len(keys), len(hot), F.col("kind")
+    n_kept = g.sweeps - g.burn_in
+    shared = encoded.sparkSession.sparkContext.broadcast(g)
+
+    def answer(key, rows):
+        """Customers and, by kept sweep, tables of all contexts."""
+        if ASK_ALL not in rows:
+            return
+        asked = [unsqueeze(r["data"], "<u8", "<u4", "<u4")[0] for r in rows[ASK_ALL]]
+        h = np.unique(np.concatenate(asked))
+        customers, single = added(h, rows[ASK_ALL], 2)
+        tables = [single + added(h, [r for r in rows.get(ASK, []) if r["at"] // n_parts == s], 1)[0] for s in range(n_kept)]
+        for r, a in zip(rows[ASK_ALL], asked, strict=True):
+            at = np.searchsorted(h, a)
+            yield record([message(r["sender"], key, REPLY, r["at"], squeeze(*(v[at].astype("<u4") for v in (customers, *tables))))])
+
+    def run(key, rows):
+        g, s, e = shared.value, State.of(rows[STATE]), collect_pairs(rows[PAIRS], n_hot)
+        customers, *tables = replies(rows.get(REPLY, []), 1 + n_kept)
+        customers = np.concatenate([g.customers, customers])[e.context]
+        is_hot, many = s.hot >= 0, np.flatnonzero(e.c > 1)
+        total, t = np.zeros(len(e.c)), np.minimum(e.c, 1)
+        for i, step in enumerate(g.steps[1 + g.burn_in :]):
+            t[many] = s.kept[i * len(many) : (i + 1) * len(many)]
+            parent, root_t = s.parent(t[many]), s.kept_root[i * len(e.words) : (i + 1) * len(e.words)].copy()
+            parent[is_hot], root_t[is_hot] = step.parent[s.hot[is_hot]], step.root_t[s.hot[is_hot]]
+            total += probability(e.c, t, customers, np.concatenate([step.tables, tables[i]])[e.context], parent[e.word], root_t[e.word], step.n_root, step.t_root, g)
+        logs = np.log10(total / n_kept).astype("<f4")
+        per_word = np.bincount(e.word, e.c, len(e.words)).astype(np.int64)
+        per_word[is_hot] = g.counts[s.hot[is_hot]]
+        for batch, p, at, starts in e.blobs:
+            runs = np.diff(np.append(starts, len(at)))
+            yield record([message(int(keys[batch % n_parts]), batch, SCORES, p, squeeze(logs[at], per_word[e.word[at[starts]]].astype("<u8"), runs.astype("<u4")))])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        infos: dict[int, bytes] = {}
-        total: dict[int, list[np.ndarray]] = {}
+        texts: dict[int, bytes] = {}
+        scores: dict[int, list[tuple[int, bytes]]] = {}
         for b in batches:
-            for batch, kind, data in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                if kind == DOCS:
-                    infos[batch] = data
-                    continue
-                at, *xs = unsqueeze(data, "<u2", "<f8", "<f8", "<u4")
-                for t, x in zip(total.setdefault(batch, [np.zeros(GROUP_DOCS) for _ in xs]), xs, strict=True):
-                    t[at] += x
-        for batch, data in infos.items():
-            info = pa.ipc.open_stream(data).read_next_batch()
-            logs, base, known = (x[: len(info)] for x in total[batch])
-            yield pa.record_batch([*info.columns, pa.array(known.astype(np.int64)), pa.array(base), pa.array(logs)], names=["doc_id", "held_out", "n_tokens", "n_known", "log_base", "log_model"])
-
-    partial = blobs.mapInArrow(per_task(run), "batch long, kind int, data binary").repartition(n_parts, "batch")
-    return partial.mapInArrow(gather, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, log_base double, log_model double")
-
-
-def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", contexts: int = CONTEXTS, frequent: int = FREQUENT) -> DataFrame:
+            for r in b.select(["sender", "kind", "at", "data"]).to_pylist():
+                if r["kind"] == DOCS:
+                    texts[r["sender"]] = r["data"]
+                else:
+                    scores.setdefault(r["sender"], []).append((r["at"], r["data"]))
+        for batch, data in texts.items():
+            place, cuts, raw = unsqueeze(data, "<u4", "<u4", "u1")
+            logs, counts = np.empty(cuts[-1]), np.empty(cuts[-1], np.int64)
+            for p, found in scores.pop(batch):
+                x, n, runs = unsqueeze(found, "<f4", "<u8", "<u4")
+                logs[cuts[p] : cuts[p + 1]], counts[cuts[p] : cuts[p + 1]] = x, np.repeat(n, runs)
+            info = pa.ipc.open_stream(raw.tobytes()).read_next_batch()
+            starts = np.cumsum(np.append(0, np.asarray(info.column("n_tokens"))[:-1]))
+            add = lambda v: np.add.reduceat(v[place], starts)  # noqa: E731, B023
+            yield pa.record_batch([*info.columns, pa.array(add((counts > 0).astype(np.int64))), pa.array(add(np.log10(counts + 0.5))), pa.array(add(logs))], names=["doc_id", "held_out", "n_tokens", "n_known", "log_base", "log_model"])
+
+    answers = exchange(asked_all.unionAll(trained.filter(kind == ASK)), n_parts, answer)
+    scored = exchange(encoded.filter(kind == PAIRS).unionAll(trained.filter(kind == STATE)).unionAll(answers), n_parts, run)
+    return encoded.filter(kind == DOCS).unionAll(scored).repartition(n_parts, "to").mapInArrow(gather, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, log_base double, log_model double")
+
+
+def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """Learns from the rows that are not held out (crc32 of the id modulo 5 is 1: held out) and scores all."""
     held = fold(docs[id_col]) == 1
     d = docs.select(docs[id_col].alias("doc_id"), whole(docs[text_col]).cast("binary").alias("text"), (~held).alias("train"), held.alias("held_out"))
-    common = frequent_words(d, frequent)
-    blobs = cut(encode(d, common, contexts, even_keys(docs.sparkSession, partitions(docs))))
-    g = train(blobs, contexts)
+    hot = np.unique(np.concatenate([np.array([START_HASH, END_HASH], np.uint64), frequent_words(d, frequent)]))
+    keys = even_keys(docs.sparkSession, partitions(docs))
+    encoded = cut(encode(d, hot, keys))
+    g, trained, asked_all = train(encoded, len(hot), hot, keys)
     each = math.log10(g.tokens + 0.5 * (g.words + 1))
-    found = score(blobs, g, len(common), dict(docs.dtypes)[id_col], partitions(docs))
+    found = score(encoded, g, trained, asked_all, hot, keys, dict(docs.dtypes)[id_col])
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(g.tokens).cast("long").alias("train_tokens"),
         (F.col("log_base") - F.col("n_tokens") * F.lit(each)).alias("base_score"), F.col("log_model").alias("score"),
@@ -444,5 +591,3 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def query(spark, sf_dir: str) -> DataFrame:
     return score_corpus(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-
-

@@ -406,3 +406,11 @@ def test_model_odd_rows_and_layout(spark):
         assert r.base_score == pytest.approx(many[i].base_score, rel=1e-9) and r.n_known == many[i].n_known
     a, b = (sum(r.score for r in x.values()) for x in (one, many))
     assert abs(a / b - 1) < 0.05
+
+
+def test_each_word_has_its_own_restaurant(spark):
+    """Each of 3,000 words is always followed by its own word; what other words share must not show."""
+    pairs = spark.createDataFrame([(i, f"a{i % 3000} b{i % 3000}") for i in range(18000)], "doc_id long, text string")
+    held = [r.score for r in pitman_yor_lm.score_corpus(pairs, frequent=16).collect() if r.held_out]
+    # log10 of 1 in 3,000 for the first word; the second and the end are nearly certain.
+    assert len(held) > 2000 and sum(held) / len(held) > -3.9
