@@ -414,3 +414,62 @@ def test_each_word_has_its_own_restaurant(spark):
     held = [r.score for r in pitman_yor_lm.score_corpus(pairs, frequent=16).collect() if r.held_out]
     # log10 of 1 in 3,000 for the first word; the second and the end are nearly certain.
     assert len(held) > 2000 and sum(held) / len(held) > -3.9
+
+
+def one_by_one(w, k, c, words, g, sweeps, rng):
+    """The sweeps of pitman_yor_lm with all sums kept up to date; the first context's tables after each sweep."""
+    t, out = np.ones(len(c), int), []
+    parent, root_t = np.bincount(w, minlength=words), np.bincount(w, minlength=words).clip(0, 1)
+    tables = np.bincount(k, minlength=g.contexts)
+
+    def new_root(n, root):
+        x = 0
+        for i in range(n):
+            a = (g.strength + g.root_discount * (root + x)) / (g.words + 1)
+            x += i == 0 or rng.random() < a / (a + i - g.root_discount * x)
+        return x
+
+    for _ in range(sweeps):
+        for j in range(len(c)):
+            parent[w[j]] -= t[j]
+            tables[k[j]] -= t[j]
+            x = 1
+            for i in range(1, c[j]):
+                p0 = (max(parent[w[j]] - g.root_discount * min(root_t[w[j]], parent[w[j]]), 0) + (g.strength + g.root_discount * root_t.sum()) / (g.words + 1)) / (g.strength + parent.sum())
+                a = (g.strength + g.discount * (tables[k[j]] + x)) * p0
+                x += rng.random() < a / (a + i - g.discount * x)
+            t[j] = x
+            parent[w[j]] += x
+            tables[k[j]] += x
+        for v in range(words):
+            root_t[v] = new_root(parent[v], root_t.sum() - root_t[v])
+        out.append(t[k == 0].sum())
+    return out
+
+
+def test_sweeps_use_the_tables_of_the_sweep_before():
+    w, k = np.tile(np.arange(12), 30), np.repeat(np.arange(30), 12)
+    c = np.where(k == 0, 600, 2)  # the first context gets many tables a dish, the others one or two
+    g = pitman_yor_lm.Totals(30, int(c.sum()), 12, np.bincount(k, c, 30), np.bincount(k, minlength=30).astype(float), 0.8, 0.4, sweeps=6, burn_in=0)
+    want = np.mean([one_by_one(w, k, c, 12, g, 6, np.random.default_rng(i))[-2:] for i in range(2)])
+    got = np.mean([[t[:12].sum() for t, _, _ in pitman_yor_lm.sampled(w, k, c, 12, g, i)][-2:] for i in range(20)])
+    assert got == pytest.approx(want, rel=0.1)  # within a sweep dishes are seated side by side
+
+
+def test_tasks_exchange_totals_like_one_task(spark):
+    """The sums after each sweep are those of a sampler that has all pairs in one task."""
+    d = docs(spark).select("doc_id", F.col("text").cast("binary").alias("text"), F.lit(True).alias("train"), F.lit(False).alias("held_out"))
+    hot, keys = np.arange(2, dtype=np.uint64), pitman_yor_lm.even_keys(spark, 4)
+    g, _, _ = pitman_yor_lm.train(pitman_yor_lm.cut(pitman_yor_lm.encode(d, hot, keys)), 2, hot, keys)
+    pairs = {}
+    for r in d.collect():
+        ws = [x.decode() for x in bytes(r.text).lower().split()]
+        for pair in zip([*ws, ""], ["", *ws], strict=True):
+            pairs[pair] = pairs.get(pair, 0) + 1
+    number = {x: i for i, x in enumerate(sorted({x for pair in pairs for x in pair}))}
+    w, k, c = (np.array(x) for x in zip(*((number[a], number[b], n) for (a, b), n in pairs.items()), strict=True))
+    n = len(number)
+    one = pitman_yor_lm.Totals(n, g.tokens, g.words, np.bincount(k, c, n), np.bincount(k, minlength=n), g.discount, g.root_discount, burn_in=0)
+    assert g.tokens == c.sum() and g.words == n and g.steps[0].n_root == len(c) and g.steps[0].t_root == n
+    for step, (t, _, root_t) in zip(g.steps[1:], pitman_yor_lm.sampled(w, k, c, n, one, 0), strict=True):
+        assert step.n_root == pytest.approx(t.sum(), rel=0.01) and step.t_root == pytest.approx(root_t.sum(), rel=0.01)
