@@ -6,13 +6,14 @@ import json
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mentionforge.functions.arrays import at_share, gold_weight, jaccard
 from mentionforge.operators.measures import candidates_score, leak_rate, predicted
+from mentionforge.operators.ranks import at_shares, before, index, same, value_bucket
 
 GRID_STEPS = 41
 CLIP = 0.99
@@ -28,7 +29,7 @@ def score_axes(dump: DataFrame, steps: int = GRID_STEPS, clip: float = CLIP) ->
     if steps < 2:
         raise ValueError("an axis needs two steps or more")
     scores = dump.select(F.explode("candidates.rerank_score").alias("s"))
-    ends = scores.agg(F.min("s").alias("lo"), at_share(F.array_sort(F.collect_list("s")), clip).alias("hi"))
+    ends = at_shares(scores, [], "s", {"lo": F.lit(0), "hi": index(clip)}).select("lo", "hi")
     span = F.when(F.col("hi") == F.col("lo"), F.lit(1.0)).otherwise(F.col("hi") - F.col("lo"))
     part = span * F.col("i") / (steps - 1)
     return ends.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("i")).select("i", (F.col("lo") + part).alias("floor"), part.alias("margin"))
@@ -53,16 +54,15 @@ def best_pair(scores: DataFrame, keys: list[str]) -> DataFrame:
     return scores.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
 
 
-def draws(spark: SparkSession, ids: list, resamples: int, seed: int) -> DataFrame:
-    """sample, record_id, times: draws of len(ids) records with replacement. The records of an evaluation set, which
-    people label, are few; their ids are drawn on the driver."""
-    rng = np.random.default_rng(seed)
-    n = len(ids)
-    parts = []
-    for b in range(resamples):
-        at, times = np.unique(rng.integers(0, n, n), return_counts=True) if n else (np.empty(0, int), np.empty(0, int))
-        parts.append(pd.DataFrame({"sample": b, "record_id": [ids[i] for i in at], "times": times}))
-    return spark.createDataFrame(pd.concat(parts)) if n else spark.createDataFrame([], "sample long, record_id long, times long")
+def draws(records: DataFrame, resamples: int, seed: int, keys: list[str]) -> DataFrame:
+    """sample, record_id, times: by key, draws of as many records as it has, with replacement. Records have places in
+    order of id; each place draws one by a seeded hash for each sample."""
+    ids = records.select(*keys, "record_id").withColumn("__id", F.col("record_id"))
+    placed = before(ids, keys, value_bucket(ids, "__id"), ["__id"], F.lit(1))
+    drawn = placed.select(*[F.col(k).alias(f"__{k}") for k in keys], "before", "total", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("sample"))
+    to = F.pmod(F.xxhash64(F.lit(seed), "sample", "before", *[f"__{k}" for k in keys]), F.col("total"))
+    times = drawn.groupBy(*[f"__{k}" for k in keys], "sample", to.alias("__at")).agg(F.count("*").alias("times"))
+    return placed.join(times, same(placed, times, keys) & (placed["before"] == times["__at"])).select(F.col("sample").cast("long").alias("sample"), "record_id", "times")
 
 
 def bootstrap(cells: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
@@ -72,6 +72,46 @@ def bootstrap(cells: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame
     return best_pair(scores, [*keys, "sample"])
 
 
+def cell_lists(dump: DataFrame, axes: DataFrame) -> DataFrame:
+    """A row a record as in cell_scores, with the similarities of all cells, floor by floor, in one list j."""
+    points = axes.orderBy("i").collect()
+    values = lambda c: F.array(*[F.lit(p[c]) for p in points])
+    score = lambda f, m: jaccard(F.col("gold"), predicted(F.col("candidates"), f, m))
+    j = F.flatten(F.transform(values("floor"), lambda f: F.transform(values("margin"), lambda m: score(f, m))))
+    return dump.select("record_id", "kb", gold_weight(F.col("gold")).cast("double").alias("w"), j.alias("j"))
+
+
+def bootstrap_lists(lists: DataFrame, axes: DataFrame, counts: DataFrame, resamples: int) -> DataFrame:
+    """bootstrap() by kb over cell_lists: kb, sample, floor, margin, score. Sums by sample and cell are products of
+    matrices in the tasks; a task has at most resamples x cells numbers a knowledge base."""
+    points = axes.orderBy("i").collect()
+    cells = [(f["floor"], m["margin"]) for f in points for m in points]
+    drawn = counts.groupBy("record_id").agg(F.collect_list(F.struct(F.col("sample").cast("int").alias("sample"), F.col("times").cast("double").alias("times"))).alias("drawn"))
+
+    def add(batches):
+        total: dict = {}
+        for b in batches:
+            for kb in set(b.column("kb").to_pylist()):
+                part = b.filter(pc.equal(b.column("kb"), kb)) if kb is not None else b.filter(pc.is_null(b.column("kb")))
+                j = part.column("j").flatten().to_numpy(zero_copy_only=False).reshape(len(part), len(cells))
+                drawn, w = part.column("drawn"), part.column("w").to_numpy()
+                row = np.repeat(np.arange(len(part)), pc.list_value_length(drawn).to_numpy(zero_copy_only=False))
+                found = drawn.flatten()
+                times = np.zeros((resamples, len(part)))
+                times[found.field("sample").to_numpy(), row] = found.field("times").to_numpy() * w[row]
+                sums = total.setdefault(kb, np.zeros((resamples, len(cells) + 1)))
+                sums[:, :-1] += times @ j
+                sums[:, -1] += times.sum(1)
+        for kb, sums in total.items():
+            yield pa.record_batch([pa.array([kb] * resamples, pa.string()), pa.array(np.arange(resamples)), pa.array(list(sums[:, :-1]), pa.list_(pa.float64())), pa.array(sums[:, -1])], names=["kb", "sample", "x", "w"])
+
+    sums = lists.join(drawn, "record_id").mapInArrow(add, "kb string, sample long, x array<double>, w double").select("kb", "sample", "w", F.posexplode("x").alias("cell", "x"))
+    at = lambda i: F.get(F.array(*[F.lit(c[i]) for c in cells]), F.col("cell"))
+    score = F.round(F.coalesce(F.sum("x") / F.nullif(F.sum("w"), F.lit(0.0)), F.lit(0.0)), DIGITS).alias("score")
+    scores = sums.groupBy("kb", "sample", "cell").agg(score).select("kb", "sample", at(0).alias("floor"), at(1).alias("margin"), "score")
+    return best_pair(scores, ["kb", "sample"])
+
+
 def spread(winners: DataFrame, keys: list[str]) -> DataFrame:
     """The values at 5 and 95 percent (by index) of the winners' floors and margins, and how many pairs won."""
     at = lambda c, p: at_share(F.array_sort(F.collect_list(c)), p)
@@ -86,17 +126,16 @@ def split(rows: DataFrame, dev_ratio: float = DEV_RATIO, seed: str = "20260728")
 
     Rows of a cluster are one unit and stay together; a unit belongs to its commonest stratum (noise, gold_kind; ties:
     the one seen first). In each stratum units come in order of a seeded hash and go to dev while it has fewer rows than
-    its share. The evaluation set is small; strata are few."""
+    its share."""
     name = lambda c: F.coalesce(c, F.lit("None"))
     clustered = F.coalesce(F.col("cluster_name"), F.lit("")) != ""
     unit = F.when(clustered, F.concat_ws("::", F.lit("cluster"), name(F.col("kb")), "cluster_name")).otherwise(F.concat_ws("::", F.lit("row"), name(F.col("kb")), name(F.col("mention"))))
     d = rows.withColumn("unit", unit)
     strata = d.groupBy("unit", "noise", "gold_kind").agg(F.count("*").alias("c"), F.min("row_no").alias("first"))
     units = strata.groupBy("unit").agg(F.max_by(F.struct("noise", "gold_kind"), F.struct(F.col("c"), -F.col("first"))).alias("stratum"), F.sum("c").alias("n"))
-    order = W.partitionBy("stratum").orderBy(F.md5(F.concat_ws("|", F.lit(seed), "unit").cast("binary")), "unit")
-    before = F.coalesce(F.sum("n").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    share = F.bround(F.sum("n").over(W.partitionBy("stratum")) * F.lit(dev_ratio))
-    return d.join(units.select("unit", (before < share).alias("is_dev")), "unit")
+    units = units.withColumn("md5", F.md5(F.concat_ws("|", F.lit(seed), "unit").cast("binary")))
+    placed = before(units, ["stratum"], F.substring("md5", 1, 3), ["md5", "unit"], F.col("n"))
+    return d.join(placed.select("unit", (F.col("before") < F.bround(F.col("total") * F.lit(dev_ratio))).alias("is_dev")), "unit")
 
 
 def sweep(dump: DataFrame, is_dev: DataFrame, steps: int = GRID_STEPS, resamples: int = RESAMPLES, seed: int = 20260728) -> dict:
@@ -106,7 +145,7 @@ def sweep(dump: DataFrame, is_dev: DataFrame, steps: int = GRID_STEPS, resamples
     cells = cell_scores(rows.filter("NOT is_dev"), score_axes(dump, steps)).persist()
     try:
         chosen = best_pair(grid_scores(cells, []), []).first()
-        counts = draws(dump.sparkSession, [r[0] for r in rows.filter("NOT is_dev").select("record_id").orderBy("record_id").collect()], resamples, seed)
+        counts = draws(rows.filter("NOT is_dev"), resamples, seed, [])
         ranges = spread(bootstrap(cells, counts, []), []).first().asDict()
     finally:
         cells.unpersist()

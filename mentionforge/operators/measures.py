@@ -10,7 +10,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionforge.functions.arrays import as_set, five_numbers, gold_kind, gold_weight, is_subset, jaccard, weighted_mean
+from mentionforge.functions.arrays import as_set, gold_kind, gold_weight, is_subset, jaccard, weighted_mean
+from mentionforge.operators.ranks import five_numbers
 from mentionforge.operators.rows import histogram
 
 MULTI_KINDS = ["multi_sibling", "multi_solving"]
@@ -53,7 +54,7 @@ def labelled(dump: DataFrame) -> DataFrame:
 
 
 def score_summary(dump: DataFrame) -> DataFrame:
-    return labelled(dump).groupBy("kb", "label").agg(five_numbers("score").alias("s")).select("kb", "label", "s.*")
+    return five_numbers(labelled(dump), ["kb", "label"], "score")
 
 
 def by_score(candidates: Column) -> Column:
@@ -127,7 +128,7 @@ def report(dumps: Mapping[str, DataFrame | None]) -> dict[str, dict[str, DataFra
             continue
         scores = labelled(dump).withColumn("is_gold", F.col("label") == "gold")
         need, gap = margin_floor(dump).filter("need IS NOT NULL"), margin_ceiling(dump)
-        summary = lambda d, c: d.groupBy("kb").agg(five_numbers(c).alias("s")).select("kb", "s.*")
+        summary = lambda d, c: five_numbers(d, ["kb"], c)
         out[variant] = {
             "recall": recall_by_group(dump), "scores": score_summary(dump), "margin_floor": summary(need, "need"), "margin_ceiling": summary(gap, "gap"), "clusters": cluster_gaps(dump), "verdict": verdict(dump),
             "score_bins": histogram(scores, "score", ["kb", "is_gold"], 50), "floor_bins": histogram(need, "need", ["kb"], 30), "ceiling_bins": histogram(gap, "gap", ["kb"], 30),

@@ -1,5 +1,7 @@
 """Alignment and gates, case by case."""
 
+import hashlib
+import random
 import unicodedata
 
 import pytest
@@ -149,3 +151,45 @@ def test_split_keeps_clusters_whole(spark):
     got = calibration.split(d).collect()
     assert len(got) == 60 and all(len({r.is_dev for r in got if r.unit == u}) == 1 for u in {r.unit for r in got})
     assert 10 <= sum(r.is_dev for r in got) <= 24
+
+
+def test_bootstrap_over_lists_is_brute_force(spark):
+    candidates = lambda i: [{"doc_id": str(x), "role": "candidate", "codes": [str(x % 4)], "dense_score": 0.0, "bm25_score": None, "rerank_score": float((i * 7 + x * 3) % 11)} for x in range(4)]
+    data = [(i, "icd" if i % 2 else "rxnorm", [str(i % 3)], candidates(i)) for i in range(40)]
+    dump = spark.createDataFrame(data, "record_id long, kb string, gold array<string>, candidates array<struct<doc_id:string,role:string,codes:array<string>,dense_score:double,bm25_score:double,rerank_score:double>>")
+    axes = calibration.score_axes(dump, 5)
+    counts = calibration.draws(dump, 6, 1, ["kb"])
+    times = {(r.sample, r.record_id): r.times for r in counts.collect()}
+    assert len(times) == counts.count() and all(sum(n for (s, i), n in times.items() if s == b and i % 2 == k) == 20 for b in range(6) for k in range(2))
+    assert max(times.values()) > 1 and len({tuple(times.get((b, i), 0) for i in range(40)) for b in range(6)}) == 6
+    cells = calibration.cell_scores(dump, axes).collect()
+    got = {(r.kb, r.sample): (r.floor, r.margin, r.score) for r in calibration.bootstrap_lists(calibration.cell_lists(dump, axes), axes, counts, 6).collect()}
+    assert len(got) == 12
+    for (kb, b), found in got.items():
+        sums = {}
+        for r in cells:
+            if r.kb == kb:
+                x = sums.setdefault((r.floor, r.margin), [0, 0])
+                x[0] += times.get((b, r.record_id), 0) * r.w * r.j
+                x[1] += times.get((b, r.record_id), 0) * r.w
+        score, margin, floor = max((round(x / w, 12), -m, f) for (f, m), (x, w) in sums.items())
+        assert found == pytest.approx((floor, -margin, score))
+
+
+def test_order_statistics_without_lists(spark):
+    from mentionforge.functions import arrays
+    from mentionforge.operators import ranks
+
+    rng = random.Random(0)
+    data = [(k, None if k == "c" or rng.random() < 0.1 else float(rng.randrange(-9, 9)) if k == "a" else rng.random()) for k in ("a", "b", "c", None) for _ in range(1001)]
+    d = spark.createDataFrame(data, "k string, v double")
+    want = d.groupBy("k").agg(arrays.five_numbers("v").alias("s")).select("k", "s.*").collect()
+    found = ranks.five_numbers(d, ["k"], "v")
+    assert sorted(found.collect(), key=str) == sorted(want, key=str)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    rows = [(i, f"m{i}", "icd", "mild", "single", None) for i in range(300)]
+    split = calibration.split(spark.createDataFrame(rows, "row_no int, mention string, kb string, noise string, gold_kind string, cluster_name string"))
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and all("__bucket" in line for line in plan.splitlines() if "Window" in line and "md5" in line)
+    order = sorted((r.unit for r in split.collect()), key=lambda u: (hashlib.md5(f"20260728|{u}".encode()).hexdigest(), u))
+    assert {r.unit for r in split.collect() if r.is_dev} == set(order[:75])
