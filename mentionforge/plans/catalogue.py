@@ -330,7 +330,7 @@ def leak_rate(spark: SparkSession, d: str) -> DataFrame:
     return measures.leak_rate(dump(spark, d), 1.5, 0.8)
 
 
-#: The comparison's grid is 7 x 7, and its samples are 3; production has 41 x 41 and 300.
+#: The comparison's grid is 7 x 7, and its samples are 3 (grid_best_small, bootstrap_small); grid_best and bootstrap have 41 x 41 and 300.
 STEPS = 7
 SQL_GRID = f"""WITH {DUMP_SQL},
 sc AS (SELECT list(rerank_score ORDER BY rerank_score) AS a FROM cand),
@@ -349,7 +349,7 @@ def grid_cells(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""{SQL_GRID}, g AS (SELECT kb, floor, margin, round(sum(j * w) / sum(w), 12) AS score FROM cells GROUP BY ALL)
 SELECT kb, round(floor, 6) AS floor, round(margin, 6) AS margin, round(score, 6) AS score FROM g QUALIFY row_number() OVER (PARTITION BY kb ORDER BY score DESC, margin, floor DESC) = 1""")
-def grid_best(spark: SparkSession, d: str) -> DataFrame:
+def grid_best_small(spark: SparkSession, d: str) -> DataFrame:
     found = calibration.best_pair(calibration.grid_scores(grid_cells(spark, d), ["kb"]), ["kb"])
     return found.select("kb", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
 
@@ -357,7 +357,7 @@ def grid_best(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""{SQL_GRID}, times AS (SELECT record_id, b AS sample, (record_id * (b + 3)) % 4 AS times FROM rec, (SELECT unnest(range(3)) AS b)),
 g AS (SELECT kb, sample, floor, margin, coalesce(round(sum(times * w * j) / nullif(sum(times * w), 0), 12), 0) AS score FROM cells JOIN times USING (record_id) GROUP BY ALL)
 SELECT kb, sample, round(floor, 6) AS floor, round(margin, 6) AS margin, round(score, 6) AS score FROM g QUALIFY row_number() OVER (PARTITION BY kb, sample ORDER BY score DESC, margin, floor DESC) = 1""")
-def bootstrap(spark: SparkSession, d: str) -> DataFrame:
+def bootstrap_small(spark: SparkSession, d: str) -> DataFrame:
     """The samples' counts are a function of the record here, so that both engines have the same."""
     cells = grid_cells(spark, d)
     ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"))
@@ -366,6 +366,26 @@ def bootstrap(spark: SparkSession, d: str) -> DataFrame:
     return found.select("kb", F.col("sample").cast("long").alias("sample"), *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
 
 
+@query()
+def grid_best(spark: SparkSession, d: str) -> DataFrame:
+    """The whole grid; the same operators with few steps are compared with SQL in grid_best_small."""
+    records = dump(spark, d)
+    axes = calibration.score_axes(records)
+    once = records.select("record_id", F.lit(0).alias("sample"), F.lit(1).alias("times"))
+    found = calibration.bootstrap_lists(calibration.cell_lists(records, axes), axes, once, 1)
+    return found.select("kb", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
+
+
+@query()
+def bootstrap(spark: SparkSession, d: str) -> DataFrame:
+    """The whole grid, all samples, and drawn counts."""
+    records = dump(spark, d)
+    axes = calibration.score_axes(records)
+    counts = calibration.draws(records, calibration.RESAMPLES, 20260728, ["kb"])
+    found = calibration.bootstrap_lists(calibration.cell_lists(records, axes), axes, counts, calibration.RESAMPLES)
+    return found.select("kb", "sample", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
+
+
 @query(f"""WITH {DUMP_SQL}, r AS (SELECT *, CASE WHEN cluster_name IS NOT NULL THEN 'cluster::' || kb || '::' || cluster_name ELSE 'row::' || kb || '::' || record_id END AS unit FROM rec),
 st AS (SELECT unit, noise, gold_kind, count(*) AS c, min(record_id) AS first FROM r GROUP BY ALL),
 u AS (SELECT unit, arg_max(noise || '/' || gold_kind, {{'c': c, 'f': -first}}) AS stratum, sum(c) AS n FROM st GROUP BY unit),

@@ -176,6 +176,18 @@ def test_bootstrap_over_lists_is_brute_force(spark):
         assert found == pytest.approx((floor, -margin, score))
 
 
+def test_grid_and_bootstrap_are_whole(spark, monkeypatch):
+    from mentionforge.plans import catalogue
+
+    asked = []
+    axes, draws = calibration.score_axes, calibration.draws
+    monkeypatch.setattr(calibration, "score_axes", lambda d, steps=calibration.GRID_STEPS: asked.append(steps) or axes(d, 3))
+    monkeypatch.setattr(calibration, "draws", lambda d, n, *a: asked.append(n) or draws(d, n, *a))
+    assert catalogue.QUERIES["grid_best"](spark, "/root/testdata/sf0.001").count() == 2
+    assert catalogue.QUERIES["bootstrap"](spark, "/root/testdata/sf0.001").count() == 600
+    assert asked == [41, 41, 300]
+
+
 def test_order_statistics_without_lists(spark):
     from mentionforge.functions import arrays
     from mentionforge.operators import ranks
