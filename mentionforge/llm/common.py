@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The six ASCII white-space characters 0x20 and 0x09-0x0D.
@@ -18,6 +19,11 @@ SALTS = 64
 ROWS_A_FILE = 20_000
 
 
+def quoted(name: str) -> str:
+    """A column's name as a reference, whatever signs it has."""
+    return f"`{name.replace('`', '``')}`"
+
+
 def whole(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
@@ -41,9 +47,7 @@ def fold(doc_id: Column, n: int = 5) -> Column:
 def cut(df: DataFrame, rows: int | None = None, few: bool = False) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint in the folder of spark.checkpoint.dir. Where at most ``rows`` short
     rows are known to come, they lie in no more files than they fill; ``few`` is for tables of parameters' size."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    shared_folder(df.sparkSession)
     if few:
         df = df.coalesce(max(1, partitions(df) // 50))
     elif rows is not None:
@@ -51,6 +55,23 @@ def cut(df: DataFrame, rows: int | None = None, few: bool = False) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Where that is not set, a local session gets a folder of its own; on a cluster
+    there is no folder that all executors see, which is an error."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder in whatever store it lies."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

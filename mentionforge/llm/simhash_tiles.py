@@ -1,15 +1,16 @@
 """Near duplicates by SimHash: tiled exact comparison.
 
-Every text gets a 64-bit fingerprint. Distinct fingerprints are cut into tiles by the population counts of their four
-16-bit quarters: two fingerprints differ in at least as many bits as the counts of their quarters differ in sum, so
-tile pairs whose counts differ beyond the radius are skipped, and all others are compared exactly with numpy's
-exclusive-or and bit counts. A tile has a bounded number of fingerprints; each tile pair gives only a spanning forest
-of its links, which keeps all connections without listing all pairs of a group. Components follow by minimum labels
-with pointer jumping on the (few) links.
-
-Edge cases: null and empty texts have fingerprint zero and are linked like any other; repeated rows keep their rows;
-a null id is a row of its own class and is labelled by the smallest id it is linked to, or null; an empty table gives
-an empty result.
+Every text gets a 64-bit fingerprint. Distinct fingerprints are cut into tiles by the population counts of their
+``parts`` equal parts (four quarters by default): two fingerprints differ in at least as many bits as these counts
+differ in sum, so tile pairs whose counts differ beyond the radius are skipped, and all others are compared exactly with
+numpy's exclusive-or and bit counts. A tile has a bounded number of fingerprints; each tile pair gives only a spanning
+forest of its links, which keeps all connections without listing all pairs of a group. Components follow by minimum
+labels over the (few) links. Classes are named by fingerprints while they are found, and by ids only at the end.
+
+Edge cases: null and empty texts have fingerprint zero and are linked like any other; texts are read whole, however long
+(a text's hashes are held by one task); repeated rows keep their rows; rows with a null id connect others like any row
+and are labelled by the smallest id they are linked to, or null where no id is; ids may be of any type that has an
+order; only the id and the text are read, so other columns of any name do no harm; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,17 +20,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mentionforge.llm.common import ROWS_A_FILE, cut, partitions, whole
+from mentionforge.llm.common import ROWS_A_FILE, cut, join_counted, partitions, quoted, whole
 
 WIDTH = 3
 SEED = 42
 RADIUS = 2
 #: Fingerprints in a tile at most, about.
 TILE = 4096
-QUARTERS = 4
+PARTS = 4
 
 
 def text_hashes(text: bytes, width: int, seed: int) -> np.ndarray:
@@ -57,38 +58,40 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * count > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, seed: int = SEED) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) of every row."""
+def twin(text: Column) -> Column:
+    """What rows with equal texts share."""
+    return F.xxhash64(whole(text))
+
+
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, seed: int = SEED, distinct: bool = False) -> DataFrame:
+    """doc_id, twin, fp (the fingerprint as a signed long) of every row; distinct: repeats of a shingle do not count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [simhash(text_hashes(t.as_buffer().to_pybytes() if t.is_valid else b"", width, seed)) for t in b.column(1)]
-            yield pa.record_batch([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())], names=["doc_id", "fp"])
+            hashes = (text_hashes(t.as_buffer().to_pybytes(), width, seed) for t in b.column(2))
+            fps = [simhash(np.unique(h) if distinct else h) for h in hashes]
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(np.array(fps, np.uint64).view(np.int64), pa.int64())], names=["doc_id", "twin", "fp"])
 
-    kind = dict(docs.dtypes)[id_col]
-    return docs.select(docs[id_col].alias("doc_id"), whole(docs[text_col]).cast("binary").alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    text, id_of = docs[quoted(text_col)], docs[quoted(id_col)]
+    return docs.select(id_of.alias("doc_id"), twin(text).alias("twin"), whole(text).cast("binary").alias("text")).mapInArrow(run, f"doc_id {dict(docs.dtypes)[id_col]}, twin long, fp long")
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the links (a[i], b[i]) those of a spanning forest."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        path = []
-        while (up := root.setdefault(x, x)) != x:
-            path.append(x)
-            x = up
-        for p in path:
-            root[p] = x
-        return x
-
-    keep = []
-    for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-        x, y = find(x), find(y)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            keep.append(i)
-    return a[keep], b[keep]
+    """Of the links (a[i], b[i]) those of a spanning forest: in rounds, each tree is hung on a smaller neighbour."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root, x, y, kept = np.arange(len(nodes)), *np.split(ends, 2), []
+    links = np.arange(len(a))
+    while len(links):
+        high, low = np.maximum(root[x[links]], root[y[links]]), np.minimum(root[x[links]], root[y[links]])
+        apart = high != low
+        links, high, low = links[apart], high[apart], low[apart]
+        high, first = np.unique(high, return_index=True)
+        kept.append(links[first])
+        root[high] = low[first]
+        while (root != root[root]).any():
+            root = root[root]
+    at = np.concatenate(kept) if kept else links
+    return a[at], b[at]
 
 
 def tile_links(fa: np.ndarray, ia: np.ndarray, fb: np.ndarray, ib: np.ndarray, same: bool, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,41 +112,45 @@ def tile_links(fa: np.ndarray, ia: np.ndarray, fb: np.ndarray, ib: np.ndarray, s
     return forest(np.concatenate(left), np.concatenate(right))
 
 
-def offsets(radius: int) -> list[list[int]]:
-    """Differences of quarter counts that are at most the radius in sum; one of each and its opposite."""
+def offsets(radius: int, parts: int = PARTS) -> list[list[int]]:
+    """Differences of the parts' counts that are at most the radius in sum; one of each and its opposite."""
     found = [()]
-    for _ in range(QUARTERS):
+    for _ in range(parts):
         found = [(*o, d) for o in found for d in range(-radius, radius + 1) if sum(map(abs, (*o, d))) <= radius]
-    return [list(o) for o in found if o >= (0,) * QUARTERS]
-
-
-def links(reps: DataFrame, radius: int = RADIUS, tile: int = TILE, rows: int | None = None) -> DataFrame:
-    """reps (fp, rep), one row a fingerprint, to a, b: enough links between rep numbers to connect all that is linked."""
-    counts = [F.bit_count(F.shiftrightunsigned("fp", 16 * q).bitwiseAND(0xFFFF)).cast("int") for q in range(QUARTERS)]
-    code = lambda c: sum((x * 17**q for q, x in enumerate(c)), F.lit(0))
-    d = reps.withColumns({f"c{q}": c for q, c in enumerate(counts)}).withColumn("cell", code([F.col(f"c{q}") for q in range(QUARTERS)]))
-    # At most 17^4 = 83,521 cells, so their counts are bounded.
-    cells = d.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("blocks"))
+    return [list(o) for o in found if o >= (0,) * parts]
+
+
+def links(reps: DataFrame, radius: int = RADIUS, tile: int = TILE, rows: int | None = None, parts: int = PARTS) -> DataFrame:
+    """reps (fp), distinct, to a, b: enough links between fingerprints to connect all that is linked."""
+    width = 64 // parts
+    mask = F.lit((1 << width) - 1 if parts > 1 else -1).cast("long")
+    counts = [F.bit_count(F.shiftrightunsigned("fp", width * q).bitwiseAND(mask)).cast("int") for q in range(parts)]
+    code = lambda c: sum((x * (width + 1) ** q for q, x in enumerate(c)), F.lit(0))
+    own = [F.col(f"c{q}") for q in range(parts)]
+    d = reps.withColumns({f"c{q}": c for q, c in enumerate(counts)}).withColumn("cell", code(own))
+    # At most (64 / parts + 1) ^ parts cells (83,521 of quarters), so their counts are bounded.
+    cells = cut(d.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("blocks")), few=True)
     d = d.join(F.broadcast(cells), "cell").withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-    tiles = cut(d.groupBy("cell", "block").agg(*[F.first(f"c{q}").alias(f"c{q}") for q in range(QUARTERS)], F.collect_list(F.struct("fp", "rep")).alias("members")), rows)
-    moves = F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets(radius)])
+    tiles = cut(d.groupBy("cell", "block").agg(*[F.first(f"c{q}").alias(f"c{q}") for q in range(parts)], F.collect_list("fp").alias("members")), rows)
+    moves = F.array(*[F.array(*[F.lit(x) for x in o]) for o in offsets(radius, parts)])
+    target = [F.col(f"c{q}") + F.get("m", F.lit(q)) for q in range(parts)]
     inside = F.lit(True)
-    for q in range(QUARTERS):
-        inside = inside & F.get("m", F.lit(q)).isNotNull() & (F.col(f"c{q}") + F.get("m", F.lit(q))).between(0, 16)
-    guest = tiles.select("cell", "block", "members", *[f"c{q}" for q in range(QUARTERS)], F.explode(moves).alias("m")).filter(inside)
-    guest = guest.select(
-        code([F.col(f"c{q}") + F.get("m", F.lit(q)) for q in range(QUARTERS)]).alias("cell"), F.col("cell").alias("cell_b"), F.col("block").alias("block_b"), F.col("members").alias("members_b"),
-    )
-    pairs = tiles.select("cell", "block", "members").join(guest, "cell").filter((F.col("cell") != F.col("cell_b")) | (F.col("block") <= F.col("block_b")))
-    pairs = pairs.select((F.struct("cell", "block") == F.struct(F.col("cell_b"), F.col("block_b"))).alias("same"), F.col("members.fp").alias("fa"), F.col("members.rep").alias("ia"), F.col("members_b.fp").alias("fb"), F.col("members_b.rep").alias("ib"))
+    for t in target:
+        inside = inside & t.between(0, width)
+    # A tile goes, as a guest, to each block of each cell near enough, so a full cell's tiles meet all over the cluster.
+    guest = tiles.select("cell", "block", "members", *own, F.explode(moves).alias("m")).filter(inside)
+    guest = guest.select(code(target).alias("host"), F.col("cell").alias("cell_b"), F.col("block").alias("block_b"), F.col("members").alias("fb"))
+    guest = guest.join(F.broadcast(cells.withColumnRenamed("cell", "host")), "host")
+    guest = guest.withColumn("host_block", F.explode(F.sequence(F.lit(0), F.when(F.col("host") == F.col("cell_b"), F.col("block_b")).otherwise(F.col("blocks") - 1)))).drop("blocks")
+    pairs = tiles.join(guest, (tiles["cell"] == guest["host"]) & (tiles["block"] == guest["host_block"]))
+    pairs = pairs.select(((F.col("cell") == F.col("cell_b")) & (F.col("block") == F.col("block_b"))).alias("same"), F.col("members").alias("fa"), "fb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple[np.ndarray, np.ndarray]] = []
-            for same, fa, ia, fb, ib in zip(*(b.column(i) for i in range(5)), strict=True):
+            for same, fa, fb in zip(*(b.column(i) for i in range(3)), strict=True):
                 fa, fb = (x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in (fa, fb))
-                ia, ib = (x.values.to_numpy(zero_copy_only=False) for x in (ia, ib))
-                out.append(tile_links(fa, ia, fb, ib, same.as_py(), radius))
+                out.append(tile_links(fa, fa.view(np.int64), fb, fb.view(np.int64), same.as_py(), radius))
             left, right = (np.concatenate([o[i] for o in out]) if out else np.empty(0, np.int64) for i in (0, 1))
             yield pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
@@ -154,18 +161,19 @@ def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """Links a, b to node, label: the smallest node that each node of a link is connected with.
 
     Rounds of alternating big and small stars (each node's larger neighbours, then the others, are hung on its
-    smallest neighbour) until nothing changes; each round's links are checkpointed.
+    smallest neighbour) until nothing changes; each round's links are checkpointed. A hub's links are not dealt by the
+    hub: its smallest neighbour is sent to them where they lie, or to salts.
     """
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), rows)
     n, sign = sum_of(e)
     while True:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")).withColumnRenamed("u", "k")
-        big = both.join(least, both["u"] == least["k"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        e = big.union(least.filter("m < k").select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
-        least = e.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
-        small = e.join(least, e["u"] == least["k"]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = small.union(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), 2 * n)
+        big = join_counted(both, least, ["u"], "inner").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        e = cut(big.union(least.filter("m < u").select("u", F.col("m").alias("v"))).distinct(), n)
+        least = e.groupBy("u").agg(F.min("v").alias("m"))
+        small = join_counted(e, least, ["u"], "inner").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = small.union(least.select("u", F.col("m").alias("v"))).distinct()
         # Links are never more than before; a few of them need not lie in as many files as the whole corpus.
         e = cut(e, n)
         was, (n, sign) = (n, sign), sum_of(e)
@@ -179,22 +187,50 @@ def sum_of(links: DataFrame) -> tuple[int, int]:
     return row["n"], int(row["s"] or 0)
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, width: int = WIDTH, seed: int = SEED, tile: int = TILE) -> DataFrame:
+def named(sigs: DataFrame, n: int, radius: int, tile: int, parts: int) -> DataFrame:
+    """One row a fingerprint: of, first (struct of is_null, doc_id, twin: the first row of its class by these)."""
+    own = F.struct(F.col("doc_id").isNull().alias("is_null"), "doc_id", "twin")
+    reps = cut(sigs.groupBy("fp").agg(F.min(own).alias("first")), n)
+    found = components(links(reps.select("fp"), radius, tile, n, parts), n)
+    found = found.union(found.select(F.col("label").alias("node"), "label").distinct())
+    linked = cut(found.join(reps, found["node"] == reps["fp"]).select("node", "label", "first"), n)
+    labels = linked.groupBy("label").agg(F.min("first").alias("least"))
+    linked = join_counted(linked.select("node", "label"), labels, ["label"], "inner").select("node", "least")
+    return reps.join(linked, reps["fp"] == linked["node"], "left").select(F.col("fp").alias("of"), F.coalesce("least", "first").alias("first"))
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, width: int = WIDTH, seed: int = SEED, tile: int = TILE, parts: int = PARTS, distinct: bool = False) -> DataFrame:
     """Per row: doc_id, fp, component_id (the smallest id among all that it is linked with)."""
-    sigs = cut(signatures(docs, id_col, text_col, width, seed))
+    sigs = cut(signatures(docs, id_col, text_col, width, seed, distinct))
     n = sigs.count()
-    reps = cut(sigs.groupBy("fp").agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.col("first_id").cast("long")), n)
-    found = components(links(reps.filter("rep IS NOT NULL").select("fp", "rep"), radius, tile, n), n)
-    named = reps.join(found, reps["rep"] == found["node"], "left").select(F.col("fp").alias("of"), F.coalesce("label", "rep").alias("component_id"))
-    named = cut(named.repartition(max(1, min(partitions(docs), n // ROWS_A_FILE))))
+    names = named(sigs, n, radius, tile, parts).select("of", F.col("first.doc_id").alias("component_id"))
+    names = cut(names.repartition(max(1, min(partitions(docs), n // ROWS_A_FILE))))
     # Both sides are read as they lie and dealt by fingerprint; a hot fingerprint's rows can be split.
-    return sigs.join(named, sigs["fp"] == named["of"], "left").select("doc_id", "fp", "component_id")
+    return sigs.join(names, sigs["fp"] == names["of"], "left").select("doc_id", "fp", "component_id")
+
 
+#: Fixed by measurement, for keep_first: fingerprints of distinct words, of which near copies (a similarity of 0.8 of
+#: five-word shingles) differ in at most six bits in 96 of 100 cases, and unrelated texts in about thirty.
+LOOSE = {"radius": 6, "width": 1, "distinct": True, "parts": 2}
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs whose id is their class's smallest."""
-    first = classes(docs, id_col=id_col, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first")).distinct()
-    return docs.join(first, docs[id_col].eqNullSafe(first["__first"]), "left_semi")
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each class of docs: that with the smallest id, of several that with the least hash of its text, and of
+    rows that are equal in both one. Options as of classes(), from LOOSE on."""
+    o = {"seed": SEED, "tile": TILE} | LOOSE | options
+    sigs = cut(signatures(docs, id_col, text_col, o["width"], o["seed"], o["distinct"]))
+    n = sigs.count()
+    first = named(sigs, n, o["radius"], o["tile"], o["parts"]).select("first.doc_id", "first.twin").distinct()
+    copies = sigs.groupBy("doc_id", "twin").agg(F.count("*").alias("copies"))
+    kept = cut(first.join(copies, first["doc_id"].eqNullSafe(copies["doc_id"]) & (first["twin"] == copies["twin"])).select(first["doc_id"].alias("__first"), first["twin"].alias("__first_twin"), "copies"), n)
+    id_of, text = docs[quoted(id_col)], docs[quoted(text_col)]
+    chosen = lambda some: docs.join(some, id_of.eqNullSafe(some["__first"]) & (twin(text) == some["__first_twin"]), "left_semi")
+    once = chosen(kept.filter("copies = 1"))
+    if kept.filter("copies > 1").isEmpty():
+        return once
+    # Only rows that occur more than once are gathered to pick one of them.
+    several = chosen(kept.filter("copies > 1")).withColumns({"__id": id_of, "__twin": twin(text)})
+    return once.union(several.dropDuplicates(["__id", "__twin"]).drop("__id", "__twin"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

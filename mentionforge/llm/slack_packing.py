@@ -7,8 +7,10 @@ which is removed as often as its lengths last. The patterns, at most one more th
 piece's rank among those of its length gives its pattern, sequence and place. Ranks come from counts by length and
 salt, so that a hot length is not gathered in one task.
 
-Edge cases: a null or empty text is a piece of one end token; only texts longer than a sequence are cut; repeated rows
-are packed each for itself; an empty table gives an empty result.
+Edge cases: a null or empty text is a piece of one end token; texts are tokenised whole, however long, and only those
+longer than a sequence are cut; a special token's string in a text has that token's id, as the tokenizer gives it;
+repeated rows are packed each for itself; only the id and the text are read, so other columns of any name do no harm;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -54,13 +56,13 @@ class WordIds:
     """Token ids (little-endian unsigned 32-bit) of whole texts. The tokenizer splits at white space and drops it,
     so a text's ids are those of the parts between its ASCII white space; frequent ones are remembered. It also lowers
     case and parts letters from marks, so a word of Latin letters with marks behind it has the ids of its lower-case
-    letters and then those of the marks, and such pieces are remembered too."""
+    letters and then those of the marks, and such pieces are remembered too. Every other word, so one that holds a
+    special token's string, is encoded by the unmodified tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
         self.known_pieces: dict[str, bytes] = {}
 
@@ -205,8 +207,9 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # Rows are ranked by length and salt; a salt's first rank is the count of those before it. A length has as many
     # salts as its count asks for.
     per_length = parts.groupBy("length").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("salts"))
-    d = parts.join(F.broadcast(per_length), "length")  # at most capacity rows
-    d = d.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(7)), F.col("salts")).cast("int")).drop("salts")
+    # Where a row lies in the checkpoint is part of its salt, so that a row that is repeated often is dealt, too.
+    d = parts.withColumn("__at", F.monotonically_increasing_id()).join(F.broadcast(per_length), "length")  # at most capacity rows
+    d = d.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "__at"), F.col("salts")).cast("int")).drop("salts", "__at")
     by_salt = d.groupBy("length", "salt").agg(F.count("*").alias("n"))
     base = by_salt.select("length", "salt", (F.sum("n").over(W.partitionBy("length").orderBy("salt")) - F.col("n")).alias("base"))
     ranked = d.withColumn("rank", F.row_number().over(W.partitionBy("length", "salt").orderBy("doc_id", "piece", "start")) - 1)

@@ -42,21 +42,29 @@ def brute_simhash(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
 
 
-def brute_components(fps):
-    parent = {i: i for i in fps}
+def components_of(nodes, links):
+    parent = {i: i for i in nodes}
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
+    for i, j in links:
+        a, b = find(i), find(j)
+        parent[max(a, b)] = min(a, b)
+    return {i: find(i) for i in parent}
+
+
+def brute_components(fps, radius=2):
     ids = list(fps)
-    for n, i in enumerate(ids):
-        for j in ids[n + 1 :]:
-            if (fps[i] ^ fps[j]).bit_count() <= 2:
-                a, b = find(i), find(j)
-                parent[max(a, b)] = min(a, b)
-    return {i: find(i) for i in ids}
+    return components_of(ids, ((i, j) for n, i in enumerate(ids) for j in ids[n + 1 :] if (fps[i] ^ fps[j]).bit_count() <= radius))
+
+
+def brute_word_simhash(text):
+    """As keep_first takes them: of distinct words."""
+    hs = [xxhash.xxh64_intdigest(w, 42) for w in set(WORD.findall((text or "").encode().lower()))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
 
 
 def test_simhash_matches_brute_force(spark):
@@ -78,11 +86,21 @@ def test_tiles_find_all_links(spark, tile):
             if rng.random() < 0.5:
                 base ^= 1 << rng.randrange(64)
             fps.setdefault(base, i * 10 + j)
-    signed = [(f - (1 << 64) if f >> 63 else f, i) for f, i in fps.items()]
-    d = spark.createDataFrame(signed, "fp long, rep long")
-    found = {r.node: r.label for r in simhash_tiles.components(simhash_tiles.links(d, tile=tile)).collect()}
-    want = brute_components({i: f for f, i in fps.items()})
-    assert {i: found.get(i, i) for i in want} == want
+    signed = {f - (1 << 64) if f >> 63 else f: f for f in fps}
+    d = spark.createDataFrame([(f,) for f in signed], "fp long")
+    for radius, parts in ((2, 4), (6, 2), (3, 1)):
+        found = {r.node: r.label for r in simhash_tiles.components(simhash_tiles.links(d, radius=radius, tile=tile, parts=parts)).collect()}
+        want = brute_components(signed, radius)
+        assert {i: found.get(i, i) for i in want} == want
+
+
+def test_forest_connects_all():
+    rng = np.random.default_rng(4)
+    for n, m in ((5, 3), (200, 150), (200, 2000), (3, 0)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        x, y = simhash_tiles.forest(a, b)
+        of = lambda p, q: components_of(range(n), zip(p.tolist(), q.tolist()))
+        assert of(a, b) == of(x, y) and len(x) == n - len(set(of(a, b).values()))
 
 
 def test_long_chain_of_links(spark):
@@ -104,7 +122,37 @@ def test_simhash_odd_rows(spark):
     assert by[1] == by[2] == by[7] == [(0, 1)] and by[3][0][0] == by[4][0][0] and by[4][0][1] == 3 and by[None][0][1] == 5
     assert simhash_tiles.classes(odd(spark, [])).count() == 0
     kept = simhash_tiles.keep_first(odd(spark))
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 5, 5, 6, 8] and kept.columns == odd(spark).columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 5, 6, 8] and kept.columns == odd(spark).columns
+
+
+def test_rows_without_id_are_linked(spark):
+    """Seven texts, of which each differs from the next a little: all are linked through rows that have no id."""
+    base = random.Random(8)
+    words = [f"w{base.randrange(10**6)}" for _ in range(400)]
+    chain = []
+    for i in range(400):
+        text = " ".join([*words[:i], f"x{i}", *words[i + 1 :]])
+        chain.append((brute_simhash(text), text))
+    start = brute_simhash(" ".join(words))
+    near = [t for f, t in chain if (f ^ start).bit_count() <= 2]
+    rows = [(7, " ".join(words)), *[(None, t) for t in near[:5]], (4, near[5]), (None, "quite another text than all"), (9, "quite another text than all but longer and so of another class")]
+    fps = {n: brute_simhash(t) for n, (_, t) in enumerate(rows)}
+    want = {}
+    for n, c in brute_components(fps).items():
+        want.setdefault(c, []).append(n)
+    least = {n: min((rows[m][0] for m in ns if rows[m][0] is not None), default=None) for ns in want.values() for n in ns}
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda c, f: (c is None, c or 0, f)
+    got = sorted((key(r.component_id, r.fp % (1 << 64)) for r in simhash_tiles.classes(d).collect()))
+    assert got == sorted(key(least[n], fps[n]) for n in fps)
+    text_ids = simhash_tiles.classes(d.withColumn("a.b", F.concat(F.lit("k"), "doc_id")).drop("doc_id"), id_col="a.b").collect()
+    assert sorted(r.component_id or "" for r in text_ids) == sorted(f"k{least[n]}" if least[n] is not None else "" for n in fps)
+
+
+def test_one_row_of_each_class_stays(spark):
+    rows = [(1, "a b c"), (1, "a b c"), (1, "another text of the same id"), (None, "a b c"), (None, "no id here"), (None, "no id here"), (2, None), (2, "")]
+    kept = simhash_tiles.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, "no id here"), (1, "a b c"), (1, "another text of the same id"), (2, "")]
 
 
 # Packing
@@ -145,6 +193,8 @@ def test_packing_odd_rows(spark):
     rows = slack_packing.pack_documents(odd(spark), capacity=64).collect()
     check_packing(rows, [(1, ""), (2, None), (3, "One"), (6, "é " * 3000), (None, "a b c d"), (8, "x\x1cy z w")], t, 64)
     assert len([r for r in rows if r.doc_id == 5]) == 2
+    special = odd(spark, [(1, "hello <|endoftext|> world"), (2, "x<|startoftext|>"), *[(3, "same text")] * 700, (4, "long " * 40000)])
+    check_packing(slack_packing.pack_documents(special).collect(), [(1, "hello <|endoftext|> world"), (2, "x<|startoftext|>"), (3, "same text"), (4, "long " * 40000)], t, 4096)
     assert slack_packing.pack_documents(odd(spark, [])).count() == 0
 
 
@@ -152,10 +202,9 @@ def test_word_ids_are_the_tokenizers():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(slack_packing.default_tokenizer())
-    t.encode_special_tokens = True
     rng = random.Random(2)
-    letters = [chr(c) for c in [*range(1, 0x250), *range(0x300, 0x320), *range(0x391, 0x3CA), 0x85, 0xA0, 0x2028, 0x3000, 0xAC00, 0x1F600]] + [" "] * 80 + ["<|endoftext|>", "'s", "."]
-    texts = ["".join(rng.choices(letters, k=rng.randint(0, 50))) for _ in range(3000)]
+    letters = [chr(c) for c in [*range(1, 0x250), *range(0x300, 0x320), *range(0x391, 0x3CA), 0x85, 0xA0, 0x2028, 0x3000, 0xAC00, 0x1F600]] + [" "] * 80 + ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "'s", "."] * 5
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 50))) for _ in range(3000)] + ["hello <|endoftext|> world", "a<|startoftext|><|endoftext|>b.", "<|endoftext|>"]
     own = slack_packing.WordIds(slack_packing.default_tokenizer())
     for _ in range(2):
         assert own.of(texts) == [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.test_free import brute_components, brute_simhash, check_packing
+from tests.llm.test_free import brute_components, brute_word_simhash, check_packing
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,8 +41,8 @@ def test_filters_keep_the_clean(spark, stages):
 
 def test_one_of_each_group_stays(stages):
     before, after = stages[2][1], stages[3][1]
-    fps = {r.doc_id: brute_simhash(r.text) for r in before.collect()}
-    assert {r.doc_id for r in after.collect()} == set(brute_components(fps).values())
+    fps = {r.doc_id: brute_word_simhash(r.text) for r in before.collect()}
+    assert {r.doc_id for r in after.collect()} == set(brute_components(fps, 6).values())
 
 
 def test_mixture(stages):
