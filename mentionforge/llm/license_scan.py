@@ -6,18 +6,23 @@ have 1.25 W shingles and start every W/4, so one of them holds any occurrence of
 similarity of at least 0.4 with it. With one row a band, a template that occurs whole is missed by all ``bands`` bands
 with a probability under 0.6^bands (2.8e-4 for 16); an occurrence of which a fifth of the shingles is changed still
 has 0.8 * 0.4 of similarity or more, and is missed with a probability under 0.68^bands. Band keys of windows are
-looked up in the templates' table, which is a parameter and not data. Each retrieved template is verified by the exact
-share of its shingles that the window and its neighbours hold: 0.8 or more is a match, and overlapping matches of a
-template are one.
+looked up in the templates' table, which is a parameter and not data.
+
+Each retrieved template is verified around its windows by exact shingles, from left to right: wherever the last 2 m
+shingles of the text hold ``containment`` of the template's, an occurrence begins at the last place from which they do;
+it goes on with shingles that it has not had yet, up to 2 m from its begin, and the next one is looked for behind it. So
+every occurrence is a match of its own, however near to the next.
 
 Edge cases: null and empty texts, and texts shorter than every template, match nothing and still give a row; texts
-are scanned whole, in pieces that overlap by the largest window; repeated rows are scanned each for itself; a template
-with fewer words than a shingle is one shingle; an empty table gives an empty result.
+are scanned whole, in pieces that overlap by more than the largest occurrence; repeated rows are scanned each for
+itself; a template with fewer words than a shingle is one shingle; only the id and the text are read, so other columns
+of any name do no harm; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mentionforge.llm.common import quoted
+
 WIDTH = 5
 BANDS = 16
 CONTAINMENT = 0.8
@@ -34,8 +41,15 @@ PIECE = 1 << 16
 #: Marks that are cut from the ends of words.
 MARKS = b".,;:!?\"'()[]{}<>*#/-_=`"
 
-#: The notices by which public licenses are declared in texts.
+#: What public licenses are declared by in texts, notices and short licenses' own words.
 TEMPLATES = {
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "BSL-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following",
+    "CC0-1.0": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "MIT-whole": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
     "MIT": "Released under the MIT License.",
@@ -135,43 +149,50 @@ def scan_hashes(h: np.ndarray, valid: np.ndarray, bounds: np.ndarray, classes: l
                 s0, s1 = np.searchsorted(bounds, first, "right") - 1, np.searchsorted(bounds, min(end, len(h)), "left")
                 for k in range(lo[w], np.searchsorted(keys, least[w], "right")):
                     hits.update((s, int(owners[k]), w) for s in range(s0, s1))
-        last = (-1, -1, -1)
+        near: dict[tuple[int, int], list[list[int]]] = {}
         for s, t, w in sorted(hits):
-            a, z = max(int(bounds[s]), int(starts[w]) - c.size), min(int(bounds[s + 1]), int(starts[w]) + 5 * step + c.size)
-            at = np.flatnonzero(np.isin(h[a:z], c.sets[t]) & valid[a:z])
-            if len(at) < share * len(c.sets[t]):
-                continue
-            # Of the region, the place where the template is densest: twice its size from each occurrence.
-            ends = np.searchsorted(at, at + 2 * len(c.sets[t]))
-            best = int(np.argmax(ends - np.arange(len(at))))
-            begin, end = a + int(at[best]), a + int(at[ends[best] - 1]) + 1
-            exact = len(np.unique(h[a + at[best : ends[best]]])) / len(c.sets[t])
-            if exact < share:
-                continue
-            if last[:2] == (s, t) and begin < last[2]:
-                _, _, x, y, p = found.pop()
-                begin, end, exact = min(x, begin), max(y, end), max(p, exact)
-            found.append((s, c.ids[t], begin, end, exact))
-            last = (s, t, end)
+            a, z = max(int(bounds[s]), int(starts[w]) - 2 * c.size), min(int(bounds[s + 1]), int(starts[w]) + 5 * step + 2 * c.size)
+            regions = near.setdefault((s, t), [])
+            if regions and a <= regions[-1][1]:
+                regions[-1][1] = max(z, regions[-1][1])
+            else:
+                regions.append([a, z])
+        for (s, t), regions in near.items():
+            for a, z in regions:
+                at = a + np.flatnonzero(np.isin(h[a:z], c.sets[t]) & valid[a:z])
+                found += [(s, c.ids[t], *o) for o in occurrences(at.tolist(), h[at].tolist(), len(c.sets[t]), share)]
     return found
 
 
-def merged_matches(matches: Iterable[tuple[str, int, int, float]]) -> list[tuple[str, int, int, float]]:
-    """Overlapping matches of a template made one (a piece can see a part of what its neighbour sees whole)."""
-    out: list[tuple[str, int, int, float]] = []
-    for name, a, z, p in sorted(matches):
-        if out and out[-1][0] == name and a < out[-1][2] - WIDTH + 1:
-            _, x, y, q = out.pop()
-            a, z, p = x, max(y, z), max(p, q)
-        out.append((name, a, z, p))
-    return sorted(out, key=lambda m: (m[1], m[0]))
+def occurrences(at: list[int], shingle: list[int], size: int, share: float) -> list[tuple[int, int, float]]:
+    """(begin, past the end, containment) of a template's occurrences among its shingles in a text, in order of place."""
+    need, reach = share * size, 2 * size
+    out: list[tuple[int, int, float]] = []
+    held: Counter[int] = Counter()
+    i = j = 0
+    while j < len(at):
+        held[shingle[j]] += 1
+        j += 1
+        while at[j - 1] - at[i] >= reach or held[shingle[i]] > 1:  # what is too far, or comes again, does not begin it
+            held[shingle[i]] -= 1
+            if not held[shingle[i]]:
+                del held[shingle[i]]
+            i += 1
+        if len(held) >= need:
+            while j < len(at) and at[j] - at[i] < reach and shingle[j] not in held:
+                held[shingle[j]] += 1
+                j += 1
+            out.append((at[i], at[j - 1] + 1, len(held) / size))
+            held.clear()
+            i = j
+    return out
 
 
 def scan_texts(texts: list[bytes], classes: list[Class], share: float = CONTAINMENT, width: int = WIDTH, piece: int = PIECE) -> list[list[tuple[str, int, int, float]]]:
     """For each whole text (template, first word, past the last word, containment) of all matches in order of place.
     Short texts are scanned together, long ones in overlapping pieces."""
-    overlap = 4 * max((c.size for c in classes), default=0) + width
-    out: list[dict[tuple[str, int], tuple[str, int, int, float]]] = [{} for _ in texts]
+    overlap = 8 * max((c.size for c in classes), default=0) + width
+    out: list[dict[str, list[tuple[str, int, int, float]]]] = [{} for _ in texts]
     group: list[tuple[int, int, list[bytes]]] = []
 
     def flush() -> None:
@@ -189,7 +210,10 @@ def scan_texts(texts: list[bytes], classes: list[Class], share: float = CONTAINM
         for s, name, a, z, p in scan_hashes(h, valid, bounds, classes, share):
             row, offset, words = group[s]
             a, z = (offset + x - int(bounds[s]) for x in (a, z))
-            out[row].setdefault((name, a), (name, a, z + min(width, len(words)) - 1, p))
+            # What a piece and the next one both see is taken from the first; behind it, from the next.
+            ours = out[row].setdefault(name, [])
+            if not ours or a >= ours[-1][2] - width + 1:
+                ours.append((name, a, z + min(width, len(words)) - 1, p))
         group.clear()
 
     held = 0
@@ -202,7 +226,7 @@ def scan_texts(texts: list[bytes], classes: list[Class], share: float = CONTAINM
                 flush()
                 held = 0
     flush()
-    return [merged_matches(m.values()) for m in out]
+    return [sorted((m for ms in own.values() for m in ms), key=lambda m: (m[1], m[0])) for own in out]
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, share: float = CONTAINMENT, width: int = WIDTH, bands: int = BANDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,7 +245,7 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, share: float
                 yield pa.record_batch([part.column(0), pa.array(rows, pa.list_(match))], names=["doc_id", "matches"])
 
     schema = f"doc_id {kind}, matches array<struct<license:string,start_word:bigint,end_word:bigint,containment:double>>"
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").cast("binary").alias("text")).mapInArrow(run, schema)
+    return docs.select(docs[quoted(id_col)].alias("doc_id"), docs[quoted(text_col)].cast("string").cast("binary").alias("text")).mapInArrow(run, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

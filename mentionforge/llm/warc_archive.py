@@ -1,20 +1,22 @@
 """A content-addressed WARC archive.
 
 An archive is a folder of two Parquet tables. ``payloads`` holds each distinct payload once, compressed by itself,
-under its SHA-256;
-``headers`` holds each record's exact header bytes (WARC header and HTTP header) with the digest of its payload.
-Original records are put together again by joining the two, and every payload read back is checked against its
-digest. The first record of a payload (smallest page_id) is a response; later ones with an equal payload of at least
-``least`` bytes are revisits, whose record has no payload of its own.
-
-Edge cases: a null payload counts as empty; a null url becomes ``about:blank``, and control characters and blanks in
-urls are percent-encoded, so that they cannot end a header line; rows that share the smallest page_id of a payload
-are all responses; a null page_id is a response if no other row has its payload, else a revisit; an empty table gives
-an empty archive.
+under its SHA-256; ``headers`` holds each record's exact header bytes (WARC header and HTTP header) with the digest of
+its payload. Original records are put together again by joining the two, and every payload read back is checked against
+its digest. The first record of a payload (smallest page_id) is a response; later ones with an equal payload of at least
+``least`` bytes are revisits, whose record has no payload of its own. ``parsed`` takes the assembled bytes of records
+apart again: header fields, lengths, payloads.
+
+Edge cases: a null payload counts as empty; a null url becomes ``about:blank``; control characters and blanks in urls,
+and nothing else, are percent-encoded, so that they cannot end a header line; payloads are stored and read whole,
+however long (one is held by one task); rows that share the smallest page_id of a payload are all responses; a null
+page_id is a response if no other row has its payload, else a revisit; only the three named columns are read, so others
+of any name do no harm; an empty table gives an empty archive.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -24,13 +26,15 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionforge.llm.common import ROWS_A_FILE, cut, partitions
+from mentionforge.llm.common import ROWS_A_FILE, cut, partitions, quoted, remove_folder, shared_folder
 
 #: Fixed values of RFC 4648 (base32) beside the digits that conv() gives for base 32.
 CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DATE = "1970-01-01T00:00:00Z"
 LEVEL = 3
+#: What a record's bytes are parsed to.
+PARSED = ("type", "url", "record_id", "refers_to_record", "named_sha1", "payload_bytes", "payload_sha1")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -42,12 +46,10 @@ def base32(hex_digits: Column) -> Column:
 
 def safe_url(url: Column) -> Column:
     u = F.coalesce(url.cast("string"), F.lit("about:blank"))
-    plain = ~u.rlike("[\\x00-\\x20\\x7F]")
-    # What is not plain is encoded as a whole and its usual URL characters put back.
-    encoded = F.replace(F.url_encode(u), F.lit("+"), F.lit("%20"))
-    for code, char in (("%3A", ":"), ("%2F", "/"), ("%3F", "?"), ("%3D", "="), ("%26", "&"), ("%25", "%"), ("%23", "#")):
-        encoded = F.replace(encoded, F.lit(code), F.lit(char))
-    return F.when(plain, u).otherwise(encoded)
+    encoded = u
+    for code in [*range(0x21), 0x7F]:
+        encoded = F.replace(encoded, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    return F.when(u.rlike("[\\x00-\\x20\\x7F]"), encoded).otherwise(u)
 
 
 def record_id(page_id: Column, digest: Column) -> Column:
@@ -107,8 +109,8 @@ def restored(records: DataFrame) -> DataFrame:
 
 def write_archive(pages: DataFrame, folder: str, least: int = 0, date: str = DATE, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
     """Writes pages as an archive: payloads are read once for their digests and once, of first records, to be stored."""
-    content = F.coalesce(pages[payload_col].cast("string").cast("binary"), F.lit(b""))
-    plain = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"), content.alias("payload"))
+    content = F.coalesce(pages[quoted(payload_col)].cast("string").cast("binary"), F.lit(b""))
+    plain = pages.select(pages[quoted(id_col)].alias("page_id"), pages[quoted(url_col)].alias("url"), content.alias("payload"))
     d = plain.select("page_id", "url", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("digest"), base32(F.sha1("payload")).alias("sha1_base32"))
     records = cut(d)
     # One row a digest, cut so that the join below reads two plain inputs and can split a hot digest's rows.
@@ -141,24 +143,51 @@ def record_bytes(records: DataFrame) -> DataFrame:
     return records.withColumn("record", F.concat("warc_header", "http_header", body, F.lit(b"\r\n\r\n")))
 
 
-def header_field(name: str) -> Column:
-    return F.regexp_extract(F.col("warc_header").cast("string"), f"(?m)^{name}: ([^\\r\\n]*)", 1)
+def parse_record(record: bytes) -> tuple[dict[str, str], bytes, bytes]:
+    """The fields of a record's header, its HTTP header, and the payload behind it; fails where lengths do not fit."""
+    head = record.index(b"\r\n\r\n") + 4
+    version, *lines = record[: head - 4].decode().split("\r\n")
+    fields = dict(line.split(": ", 1) for line in lines)
+    end = head + int(fields["Content-Length"])
+    if not version.startswith("WARC/") or record[end:] != b"\r\n\r\n":
+        raise ValueError(f"not one whole record: {fields.get('WARC-Record-ID')}")
+    body = record.index(b"\r\n\r\n", head, end) + 4
+    return fields, record[head:body], record[body:end]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the one that the cluster names for checkpoints."""
-    cut(spark.range(0))  # sets a folder where none is named
-    return f"{spark.sparkContext.getCheckpointDir()}/warc-{uuid.uuid4().hex}"
+def parsed(records: DataFrame) -> DataFrame:
+    """records (with record and payload, the full one) to page_id, refers_to, and as the record's bytes have it: type,
+    url, record_id, refers_to_record, named_sha1; and of the full payload, which for a response is the record's own:
+    payload_bytes, payload_sha1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for record, payload in zip(b.column("record"), b.column("payload"), strict=True):
+                fields, _, own = parse_record(record.as_py())
+                full = own if fields["WARC-Type"] == "response" else payload.as_py()
+                named = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+                rows.append((fields["WARC-Type"], fields["WARC-Target-URI"], fields["WARC-Record-ID"], fields.get("WARC-Refers-To"), named, len(full), base64.b32encode(hashlib.sha1(full).digest()).decode()))
+            columns = zip(*rows, strict=True) if rows else ([] for _ in PARSED)
+            yield pa.record_batch([b.column("page_id"), b.column("refers_to"), *(pa.array(list(c), pa.int64() if n == "payload_bytes" else pa.string()) for n, c in zip(PARSED, columns, strict=True))], names=["page_id", "refers_to", *PARSED])
+
+    kinds = dict(records.dtypes)
+    schema = ", ".join([f"page_id {kinds['page_id']}", f"refers_to {kinds['refers_to']}", *(f"{n} {'long' if n == 'payload_bytes' else 'string'}" for n in PARSED)])
+    elsewhere = F.when(F.col("record_type") == "revisit", F.col("payload")).alias("payload")  # a response has its payload in its bytes
+    return records.select("page_id", "refers_to", "record", elsewhere).mapInArrow(run, schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    folder = shared_folder(spark)
+    """Writes the archive, puts each record together, and gives what its bytes say."""
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
-    d = read_archive(spark, folder)
-    # The digest is computed from the payload read back and must be the one that the record's header names.
-    own = base32(F.sha1("payload"))
-    digest = F.when(F.concat(F.lit("sha1:"), own) == header_field("WARC-Payload-Digest"), own).otherwise(F.raise_error(F.lit("a header names another digest")).cast("string"))
-    return d.select("page_id", F.length("payload").cast("long").alias("payload_bytes"), digest.alias("payload_digest"), header_field("WARC-Type").alias("record_type"), "refers_to")
+    d = parsed(record_bytes(read_archive(spark, folder)))
+    # The named digest must be that of the payload read back, and a revisit must name the record it refers to.
+    digest = F.when(F.col("payload_sha1") == F.col("named_sha1"), F.col("payload_sha1")).otherwise(F.raise_error(F.lit("a header names another digest")).cast("string"))
+    refers = F.when(F.col("refers_to_record").isNull() == F.col("refers_to").isNull(), F.col("refers_to")).otherwise(F.raise_error(F.lit("a revisit refers to no record")).cast(dict(d.dtypes)["refers_to"]))
+    found = cut(d.select("page_id", "payload_bytes", digest.alias("payload_digest"), F.col("type").alias("record_type"), refers.alias("refers_to")))
+    remove_folder(spark, folder)
+    return found
 
 
 ORACLE = r"""
