@@ -2,29 +2,36 @@
 
 Each context (the word before, or the start of a text) is a restaurant of its own; contexts share one parent restaurant
 over words, whose base is uniform over the learned words and one unknown. Customers are the training tokens; seating is
-sampled by Gibbs: in each sweep the customers of a dish leave a restaurant and are seated anew one by one, by the
-Chinese-restaurant rule (from 64 customers on in runs of a sixteenth), a new table sending a customer to the parent,
-where the dishes are seated anew after it. Within a sweep all dishes are seated side by side: what they share (tables
-by context, customers and tables of the parent) is as the sweep before left it, less the dish's own. The predictive
-probabilities of the kept sweeps are averaged, and a text's score is the sum of their logarithms.
-
-How it is laid out: texts are encoded once into batches of distinct (word, context) pairs with counts. Pairs are dealt
-by word, so that a word's customers meet in one task; those of hot words (up to FREQUENT) are dealt by context or, where
-that is hot too, by pair, and hot words' and contexts' sums, a few numbers each, go through the driver. All other
-contexts' sums are a table dealt by context: each holder of pairs sends it what it has seated and gets the totals back,
-as messages by shuffle, once a sweep. Pairs of one customer have one table and are left out of the sweeps.
-
-Edge cases: a null text counts as empty and is one end token; a null id counts as the empty text for the fold;
-repeated rows are learned from and scored each for itself; without training texts all words share one unknown word's
-probability, 1; an empty table gives an empty result.
+sampled by Gibbs: in each sweep the customers of a dish leave their restaurant and are seated anew, one after the other,
+by the Chinese-restaurant rule. A new table sends a customer to the parent. Within a sweep all dishes are seated side by
+side: what they share (a context's tables, a word's customers in the parent, the parent's sums) is as the sweep before
+left it, less the dish's own. The first STEPS customers are seated one by one; how many more follow until the next new
+table is then drawn at once, from its exact distribution, so a dish of any size takes as many draws as it has tables.
+The predictive probabilities of the kept sweeps are averaged, and a text's score is the sum of their logarithms.
+
+Nothing depends on how rows lie: counts and tables are whole numbers, every draw is a hash of the word, its context, the
+sweep and the customer, and logarithms are added as fixed-point numbers.
+
+How it is laid out: pairs (word, context) are dealt to holders, of which there are as many as the tokens ask for
+(HOLDER_TOKENS), by the word; pairs of the HOT most frequent words by the context, and where that is hot as well by the
+pair, so no word's or context's pairs are gathered in one task. Sums that pairs in several places share (tables of a
+context, customers of a hot word) belong to owners, dealt by hash: holders send them what they have seated and get the
+totals back, one exchange by shuffle each way a sweep. Pairs of one customer have one table and are left out of the
+sweeps. For scoring, each text's pairs are sent to the holders once more, which reply with sums by text. Messages are
+compressed arrays, since rows of their own would be many times as large.
+
+Edge cases: a null text counts as empty and is one end token; texts are read whole, however long; a null id counts as
+the empty text for the fold; repeated rows are learned from and scored each for itself; without training texts all words
+share one unknown word's probability, 1; only the id and the text are read, so other columns of any name do no harm; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,40 +41,196 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionforge.llm.common import cut, fold, partitions, whole
+from mentionforge.llm.common import cut, fold, partitions, quoted, whole
 
-FREQUENT = 1024
+#: Words with about this share of the tokens, one in HOT, are dealt by context.
+HOT = 1 << 14
+HOLDER_TOKENS = 1 << 22
 GROUP_DOCS = 1024
 GROUP_WORDS = 1 << 20
 SWEEPS = 4
 BURN_IN = 1
 STRENGTH = 1.0
+#: Customers of a dish that are seated one by one.
+STEPS = 16
+#: Logarithms are added in units of 2^-32.
+UNIT = float(1 << 32)
 START_HASH, END_HASH = 0, 1
-#: Kinds of rows: a batch's pairs and texts, a holder's state, what it asks of contexts' owners (all its contexts, and
-#: those that sweeps change), what they keep and reply, scores, and sums by hot word, hot context and over all.
-PAIRS, DOCS, STATE, ASK_ALL, ASK, OWN, REPLY, SCORES = range(8)
-COUNTS, PARENT, CUSTOMERS, TABLES, TOTALS = range(8, 13)
+#: Kinds of messages. A batch's pairs, and its texts; a holder's fixed part and its seating; what it asks of the owners
+#: of all its contexts, of those that sweeps change, and of hot words; what owners keep and reply; sums by text; totals.
+PAIRS, DOCS, FIXED, SEATS, ASK_ALL, ASK, ASK_WORDS, OWN, REPLY, REPLY_WORDS, SCORES, TOTALS = range(12)
 SCHEMA = "to int, sender long, kind int, at long, data binary, x double"
 RARE = 0xFFFF
 
 
+# Arrays as bytes
+
 def squeeze(*arrays: np.ndarray) -> bytes:
+    """Arrays one after the other, each by planes of its bytes (the high bytes of hashes in order hardly differ)."""
     head = np.array([len(arrays), *(a.nbytes for a in arrays)], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays]
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
 
 
 def unsqueeze(data: bytes, *kinds: str) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
     n = len(kinds)
-    sizes = np.frombuffer(raw, "<i8", n, 8)
-    at = 8 * (n + 1)
-    out = []
-    for kind, size in zip(kinds, sizes.tolist(), strict=True):
-        out.append(np.frombuffer(raw, kind, size // np.dtype(kind).itemsize, at))
+    at, out = 8 * (n + 1), []
+    for kind, size in zip(kinds, np.frombuffer(raw, "<i8", n, 8).tolist(), strict=True):
+        wide = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, size, at).reshape(wide, -1)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
         at += size
     return out
 
 
+def message(to: int, sender: int, kind: int, at: int, data: bytes | None, x: float | None = None) -> tuple:
+    return to, sender, kind, at, data, x
+
+
+def record(rows: list[tuple]) -> pa.RecordBatch:
+    names = ("to", "sender", "kind", "at", "data", "x")
+    types = (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.float64())
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
+# Hashes and places
+
+def hashes(flat: list[bytes]) -> np.ndarray:
+    digest = xxhash.xxh64_digest
+    return np.frombuffer(b"".join([digest(w) for w in flat]), ">u8").astype("<u8")
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers with good avalanche (splitmix64's last step)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def both(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    return mix(mix(words) * np.uint64(0x9E3779B97F4A7C15) + contexts)
+
+
+def uniform(key: np.ndarray, sweep: int, i: np.ndarray | int) -> np.ndarray:
+    """A number over 0 and at most 1 for each key, sweep and customer."""
+    n = np.atleast_1d(np.asarray(i, np.uint64)) * np.uint64(0xD1B54A32D192ED03) + np.uint64((sweep + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+    return ((mix(mix(key) ^ n) >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53
+
+
+def owner(h: np.ndarray, n: int) -> np.ndarray:
+    return ((mix(h) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def find(sorted_hashes: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The place of each hash among those in order, or -1."""
+    if not len(sorted_hashes):
+        return np.full(len(h), -1)
+    at = np.minimum(np.searchsorted(sorted_hashes, h), len(sorted_hashes) - 1)
+    return np.where(sorted_hashes[at] == h, at, -1)
+
+
+def even_keys(spark: SparkSession, parts: int, rounds: int) -> np.ndarray:
+    """Keys of holders, ``rounds`` for each of the hash partitions."""
+    n = parts * rounds
+    many = spark.range(int(parts * (math.log(parts + 1) + 12) * (rounds + 3))).select(F.col("id").cast("int").alias("key"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("to"))
+    found = many.groupBy("to").agg(F.slice(F.sort_array(F.collect_list("key")), 1, rounds).alias("keys")).orderBy("to").collect()
+    keys = [k for r in found for k in r["keys"]]
+    return np.array(keys[:n], np.int32)
+
+
+# Seating
+
+def log_rise(x: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """log(gamma(x + a) / gamma(x)) for x from 1 on."""
+    low = np.zeros(np.broadcast(x, a).shape)
+    for j in range(8):
+        low += np.log1p(a / (x + j))
+    x = x + 8
+    z = x + a
+    return (x - 0.5) * np.log1p(a / x) + a * np.log(z) - a + (1 / z - 1 / x) / 12 - (1 / z**3 - 1 / x**3) / 360 - low
+
+
+def seat(c: np.ndarray, weight: Callable[[np.ndarray, np.ndarray], np.ndarray], discount: float, key: np.ndarray, sweep: int) -> np.ndarray:
+    """Tables of dishes with c customers. With i customers at t tables the next one opens a table with probability
+    w / (w + i - discount * t), where w is weight(dishes, t)."""
+    t = np.minimum(c, 1).astype(np.int64)
+    for i in range(1, STEPS):
+        on = np.flatnonzero(c > i)
+        if not len(on):
+            return t
+        a = weight(on, t[on])
+        t[on] += uniform(key[on], sweep, i) * (a + i - discount * t[on]) <= a
+    on = np.flatnonzero(c > STEPS)
+    i = np.full(len(on), STEPS, np.int64)
+    while len(on):
+        # With q customers at old tables: log P(q or more) = rise(i - discount t) - rise(i + q - discount t).
+        a, x = weight(on, t[on]), i - discount * t[on]
+        least = np.log(uniform(key[on], sweep, i)) - log_rise(x, a)
+        low, high = np.zeros(len(on), np.int64), c[on] - i
+        opens = -log_rise(x + high, a) < least  # else all that are left sit at old tables
+        on, i, a, x, least, low, high = (v[opens] for v in (on, i, a, x, least, low, high))
+        while (high - low > 1).any():
+            half = (low + high) // 2
+            holds = -log_rise(x + half, a) >= least
+            low, high = np.where(holds, half, low), np.where(holds, high, half)
+        t[on] += 1
+        i = i + low + 1
+        left = c[on] > i
+        on, i = on[left], i[left]
+    return t
+
+
+@dataclass
+class Totals:
+    """What all tasks share: settings, and sums over the whole seating."""
+
+    tokens: int
+    words: int
+    discount: float
+    root_discount: float
+    n_root: float
+    t_root: float
+    strength: float = STRENGTH
+
+
+def seat_pairs(c: np.ndarray, t: np.ndarray, tables: np.ndarray, parent: np.ndarray, root_t: np.ndarray, g: Totals, key: np.ndarray, sweep: int) -> np.ndarray:
+    """New tables of pairs with c customers at t tables; by pair, the context's tables and the word's state in the
+    parent. The pair's own customers have left, and with them its tables and their customers in the parent; each new
+    table adds to both again."""
+    tables, parent, n_root = tables - t, np.maximum(parent - t, 0), g.n_root - t
+    base = (g.strength + g.root_discount * g.t_root) / (g.words + 1)
+    root_t = np.maximum(root_t, 1)
+
+    def weight(at: np.ndarray, own: np.ndarray) -> np.ndarray:
+        n = parent[at] + own
+        p0 = (n - g.root_discount * np.minimum(root_t[at], n) + base) / (g.strength + n_root[at] + own)
+        return (g.strength + g.discount * (tables[at] + own)) * p0
+
+    return seat(c, weight, g.discount, key, sweep)
+
+
+def seat_parent(parent: np.ndarray, root_t: np.ndarray, g: Totals, key: np.ndarray, sweep: int) -> np.ndarray:
+    """New tables of words in the parent, where a new table is a draw from the uniform base."""
+    others = g.t_root - root_t
+    weight = lambda at, own: (g.strength + g.root_discount * (others[at] + own)) / (g.words + 1)
+    return seat(parent, weight, g.root_discount, key ^ np.uint64(0x5851F42D4C957F2D), sweep)
+
+
+def probability(c: np.ndarray, t: np.ndarray, customers: np.ndarray, tables: np.ndarray, parent: np.ndarray, root_t: np.ndarray, n_root: float, t_root: float, g: Totals) -> np.ndarray:
+    """By pair, the predictive probability in one state of the seating; c and t are 0 where it was not seen."""
+    p0 = (parent - g.root_discount * root_t + (g.strength + g.root_discount * t_root) / (g.words + 1)) / (g.strength + n_root)
+    return (c - g.discount * t + (g.strength + g.discount * tables) * p0) / (g.strength + customers)
+
+
+def share_of_ones(ones: float, twos: float) -> float:
+    """The usual estimate of a discount from how many counts are one and two."""
+    return float(np.clip(ones / max(1.0, ones + 2 * twos), 0.1, 0.9))
+
+
+# Texts to pairs
+
 def groups(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[list[bytes]]]]:
     """Consecutive rows (column text, binary) with a bounded number of words, unless one text alone has more."""
     start, lists, held = 0, [], 0
@@ -81,14 +244,10 @@ def groups(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[list[bytes]]]
         yield start, len(batch), lists
 
 
-def hashes(flat: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh64_digest
-    return np.frombuffer(b"".join([digest(w) for w in flat]), ">u8").astype("<u8")
-
-
-def frequent_words(docs: DataFrame, most: int) -> np.ndarray:
-    """Hashes of up to ``most`` of the most frequent training words, in order. Each group of texts names the words with
-    a share of at least 1 / most in it; a word with such a share of all tokens is named by some group."""
+def frequent_words(docs: DataFrame, most: int) -> tuple[np.ndarray, int]:
+    """Hashes of up to ``most`` of the most frequent words, in order, and the number of tokens. Each group of texts names
+    the words with a share of at least 1 / most in it; a word with such a share of all tokens is named by some group. Which
+    are named decides only where pairs lie."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -96,53 +255,31 @@ def frequent_words(docs: DataFrame, most: int) -> np.ndarray:
                 counts = Counter(w for ws in lists for w in ws)
                 least = max(2, sum(counts.values()) / most)
                 top = [(w, n) for w, n in counts.items() if n >= least]
-                yield pa.record_batch([pa.array(hashes([w for w, _ in top]).view(np.int64)), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
-
-    named = docs.filter("train").select("text").mapInArrow(name, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = named.orderBy(F.desc("n"), "word").limit(most - 1).collect()
-    return np.unique(np.array([r["word"] for r in rows], np.int64).view(np.uint64)) if rows else np.empty(0, np.uint64)
-
-
-def even_keys(spark: SparkSession, n: int) -> np.ndarray:
-    """One key for each of n hash partitions."""
-    many = spark.range(int(n * (math.log(n + 1) + 12))).select(F.col("id").cast("int").alias("key"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("to"))
-    found = {r["to"]: r["key"] for r in many.groupBy("to").agg(F.min("key").alias("key")).collect()}
-    return np.array([found.get(i, 0) for i in range(n)], np.int32)
-
-
-def owner(h: np.ndarray, n: int) -> np.ndarray:
-    return (((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+                word = pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(hashes([w for w, _ in top]).view(np.int64))])
+                yield pa.record_batch([word, pa.array([sum(map(len, lists)) + len(lists), *(n for _, n in top)], pa.int64())], names=["word", "n"])
 
+    named = cut(docs.select("text").mapInArrow(name, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    rows = named.filter("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(most).collect()
+    tokens = named.filter("word IS NULL").agg(F.sum("n")).first()[0] or 0
+    return np.unique(np.array([START_HASH, END_HASH, *(r["word"] & 0xFFFFFFFFFFFFFFFF for r in rows)], np.uint64)), tokens
 
-def find(hot: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """The place of each hash among the hot ones, or -1."""
-    at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
-    return np.where(hot[at] == h, at, -1)
 
+def code(h: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places among hot hashes (RARE for others), and the others themselves."""
+    at = find(hot, h)
+    return np.where(at < 0, RARE, at).astype("<u2"), h[at < 0]
 
-def message(to: int, sender: int, kind: int, at: int, data: bytes) -> dict:
-    return {"to": to, "sender": sender, "kind": kind, "at": at, "data": data, "x": None}
 
-
-def record(rows: list[dict]) -> pa.RecordBatch:
-    types = {"to": pa.int32(), "sender": pa.int64(), "kind": pa.int32(), "at": pa.int64(), "data": pa.binary(), "x": pa.float64()}
-    return pa.record_batch([pa.array([r[c] for r in rows], t) for c, t in types.items()], names=list(types))
-
-
-def sums(values: dict[int, np.ndarray]) -> pa.RecordBatch:
-    """Rows (kind, at, x) of the numbers other than zero."""
-    on = {kind: np.flatnonzero(v) for kind, v in values.items()}
-    n = sum(map(len, on.values()))
-    kind = np.repeat(np.array(list(on), np.int32), [len(i) for i in on.values()])
-    return pa.record_batch([
-        pa.array(np.zeros(n, np.int32)), pa.array(np.zeros(n, np.int64)), pa.array(kind), pa.array(np.concatenate(list(on.values())).astype(np.int64)),
-        pa.nulls(n, pa.binary()), pa.array(np.concatenate([values[k][i].astype(np.float64) for k, i in on.items()])),
-    ], names=["to", "sender", "kind", "at", "data", "x"])
+def decode(coded: np.ndarray, rare: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    out = hot[np.minimum(coded, len(hot) - 1)]
+    out[coded == RARE] = rare
+    return out
 
 
-def encode(docs: DataFrame, hot: np.ndarray, keys: np.ndarray) -> DataFrame:
-    """Messages of PAIRS, to the holders of their pairs, and DOCS. docs: doc_id, text (binary), train, held_out."""
-    n_parts = len(keys)
+def encode(docs: DataFrame, hot: np.ndarray, keys: np.ndarray, by_text: bool) -> DataFrame:
+    """Messages of PAIRS to the holders: a batch's distinct pairs with their training counts, or (by_text) with the texts
+    that they occur in; then also DOCS. docs: doc_id, text (binary), train, held_out."""
+    n_keys = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId(), 0
@@ -163,425 +300,348 @@ def encode(docs: DataFrame, hot: np.ndarray, keys: np.ndarray) -> DataFrame:
                 before[ends[:-1] + 1] = 0  # the start is the least hash
                 train = np.asarray(b.column("train").slice(start, end - start).to_numpy(zero_copy_only=False), bool)
                 pairs, at = np.unique(w * len(words) + before, return_inverse=True)
-                n = np.bincount(at, np.repeat(train, sizes), len(pairs)).astype("<u4")
                 hs, ks = words[pairs // len(words)], words[pairs % len(words)]
-                hot_context = find(hot, ks)
-                both = (hs * np.uint64(0x9E3779B97F4A7C15)) ^ (ks * np.uint64(0xC2B2AE3D27D4EB4F))
-                to = owner(np.where(find(hot, hs) < 0, hs, np.where(hot_context < 0, ks, both * np.uint64(0x9E3779B97F4A7C15))), n_parts)
-                order = np.argsort(to, kind="stable")
-                hs, ks, n, hot_context = hs[order], ks[order], n[order], hot_context[order]
-                cuts = np.searchsorted(to[order], np.arange(n_parts + 1))
+                to = owner(np.where(find(hot, hs) < 0, hs, np.where(find(hot, ks) < 0, ks, both(hs, ks))), n_keys)
+                order = np.argsort(to, kind="stable")  # by holder, word and context
+                cuts = np.searchsorted(to[order], np.arange(n_keys + 1))
+                hs, ks = hs[order], ks[order]
+                if by_text:
+                    place = np.empty(len(order), np.int64)
+                    place[order] = np.arange(len(order))
+                    entries, times = np.unique(place[at] * len(lists) + np.repeat(np.arange(len(lists)), sizes), return_counts=True)
+                    pair_of, text_of = entries // len(lists), (entries % len(lists)).astype("<u2")
+                    entry_cuts = np.searchsorted(pair_of, cuts)
+                    texts = np.bincount(pair_of, minlength=len(order)).astype("<u4")
+                else:
+                    n = np.bincount(at, np.repeat(train, sizes), len(pairs)).astype("<u4")[order]
                 rows = []
                 for p in np.flatnonzero(np.diff(cuts)).tolist():
                     x, y = cuts[p], cuts[p + 1]
                     first = np.flatnonzero(np.concatenate([[True], hs[x + 1 : y] != hs[x : y - 1]]))
-                    rare = ks[x:y][hot_context[x:y] < 0]
-                    coded = np.where(hot_context[x:y] < 0, RARE, hot_context[x:y]).astype("<u2")
-                    rows.append(message(int(keys[p]), batch, PAIRS, p, squeeze(hs[x:y][first], np.diff(np.append(first, y - x)).astype("<u4"), coded, rare, n[x:y])))
-                place = np.empty(len(order), "<u4")
-                place[order] = np.arange(len(order))
-                info = pa.record_batch([b.column("doc_id").slice(start, end - start), b.column("held_out").slice(start, end - start), pa.array(sizes)], names=["doc_id", "held_out", "n_tokens"])
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, info.schema) as out:
-                    out.write_batch(info)
-                texts = squeeze(place[at], cuts.astype("<u4"), np.frombuffer(sink.getvalue(), "u1"))
-                yield record([*rows, message(int(keys[batch % n_parts]), batch, DOCS, 0, texts)])
+                    arrays = [*code(hs[x:y][first], hot), np.diff(np.append(first, y - x)).astype("<u4"), *code(ks[x:y], hot)]
+                    if by_text:
+                        e = slice(entry_cuts[p], entry_cuts[p + 1])
+                        arrays += [texts[x:y], text_of[e], times[e].astype("<u4"), train.astype("u1")]
+                    else:
+                        arrays.append(n[x:y])
+                    rows.append(message(int(keys[p]), batch, PAIRS, p, squeeze(*arrays)))
+                if by_text:
+                    info = pa.record_batch([b.column("doc_id").slice(start, end - start), b.column("held_out").slice(start, end - start), pa.array(sizes)], names=["doc_id", "held_out", "n_tokens"])
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, info.schema) as out:
+                        out.write_batch(info)
+                    rows.append(message(int(keys[batch % n_keys]), batch, DOCS, 0, sink.getvalue().to_pybytes()))
+                yield record(rows)
 
     return docs.mapInArrow(run, SCHEMA)
 
 
 @dataclass
 class Pairs:
-    """The distinct pairs of a holder, in order of word and context, and where the batches' pairs are among them."""
+    """The distinct pairs of a holder, in order of word and context."""
 
     words: np.ndarray  # hashes
-    rare: np.ndarray  # hashes of contexts that are not hot
+    contexts: np.ndarray  # hashes
     word: np.ndarray  # by pair
-    context: np.ndarray  # by pair: hot ones first, then the rare ones
+    context: np.ndarray
     c: np.ndarray  # training customers
-    blobs: list[tuple[int, int, np.ndarray, np.ndarray]]  # batch, at, pair of each entry, its first entry of each word
-
 
-def collect_pairs(rows: list[dict], n_hot: int) -> Pairs:
-    rows = sorted(rows, key=lambda r: (r["sender"], r["at"]))
-    hs, runs, coded, rare, n = zip(*(unsqueeze(r["data"], "<u8", "<u4", "<u2", "<u8", "<u4") for r in rows), strict=True)
-    words, number = np.unique(np.concatenate(hs), return_inverse=True)
-    word = np.repeat(number, np.concatenate(runs).astype(np.int64))
-    contexts, which = np.unique(np.concatenate(rare), return_inverse=True)
-    context = np.concatenate(coded).astype(np.int64)
-    context[context == RARE] = n_hot + which
-    size = n_hot + len(contexts)
-    pairs, at = np.unique(word * size + context, return_inverse=True)
-    c = np.bincount(at, np.concatenate(n), len(pairs)).astype(np.int64)
-    cuts = np.cumsum([0, *map(len, coded)])
-    firsts = [np.cumsum(np.append(0, r[:-1])).astype(np.int64) for r in runs]
-    return Pairs(words, contexts, pairs // size, pairs % size, c, [(r["sender"], r["at"], at[x:y], f) for r, x, y, f in zip(rows, cuts[:-1], cuts[1:], firsts, strict=True)])
+    def key(self) -> np.ndarray:
+        return both(self.words[self.word], self.contexts[self.context])
 
 
-@dataclass
-class Totals:
-    """What all tasks share: settings, sums by hot context, and the state of the parent."""
-
-    contexts: int
-    tokens: int
-    words: int
-    customers: np.ndarray  # by context
-    dishes: np.ndarray  # distinct words by context: the tables at first
-    discount: float
-    root_discount: float
-    strength: float = STRENGTH
-    sweeps: int = SWEEPS
-    burn_in: int = BURN_IN
-    tables: list[np.ndarray] = field(default_factory=list)  # by kept sweep and context
-    root_tables: list[float] = field(default_factory=list)
-    steps: list[Shared] = field(default_factory=list)  # the start, and after each sweep
-    counts: np.ndarray | None = None  # training tokens by hot word
-
+def joined(coded: list[tuple[np.ndarray, ...]], hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words and contexts of batches' pairs, the pairs (word, context), and which each of the batches' is."""
+    words, number = np.unique(np.concatenate([decode(m[0], m[1], hot) for m in coded]), return_inverse=True)
+    word = np.repeat(number, np.concatenate([m[2] for m in coded]).astype(np.int64))
+    contexts, context = np.unique(np.concatenate([decode(m[3], m[4], hot) for m in coded]), return_inverse=True)
+    pairs, at = np.unique(word * len(contexts) + context, return_inverse=True)
+    return words, contexts, pairs // len(contexts), pairs % len(contexts), at
 
-@dataclass
-class Shared:
-    """The seating's sums between two sweeps: tables by hot context, customers and tables of the parent, and of each
-    hot word in it."""
 
-    tables: np.ndarray
-    n_root: float
-    t_root: float
-    parent: np.ndarray
-    root_t: np.ndarray
-
-
-def seat(c: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator, more: np.ndarray | float = 0.0) -> np.ndarray:
-    """Tables of dishes with c customers, seated one by one; new: the weight of a new table, which grows by more with
-    each table beyond the first."""
-    t = np.ones(len(c), np.int64)
-    more = np.broadcast_to(more, len(c))
-    order = np.argsort(-c, kind="stable")
-    least = -c[order]
-    i = 1
-    while True:
-        active = order[: np.searchsorted(least, -i, "left")]  # those with more than i customers
-        if not len(active):
-            return t
-        run = 1 if i < 64 else i // 16
-        a = new[active] + more[active] * (t[active] - 1)
-        p = a / (a + i - discount * t[active])
-        t[active] += rng.random(len(active)) < p if run == 1 else rng.binomial(np.minimum(run, c[active] - i), p)
-        i += run
+# Exchanges
 
+Rows = dict[int, list[tuple]]
 
-def seat_again(c: np.ndarray, t: np.ndarray, tables: np.ndarray, parent: np.ndarray, root_t: np.ndarray, n_root: float, t_root: float, g: Totals, rng: np.random.Generator) -> np.ndarray:
-    """New tables of pairs with c customers at t tables; by pair, the context's tables and the word's state in the
-    parent. The pair's own customers have left, and with them its tables and their customers in the parent."""
-    without = np.maximum(parent - t, 0.0)
-    base = (g.strength + g.root_discount * t_root) / (g.words + 1)
-    p0 = (without - g.root_discount * np.minimum(root_t, without) + base) / (g.strength + n_root - t)
-    return seat(c, (g.strength + g.discount * (tables - t + 1)) * p0, g.discount, rng, g.discount * p0)
 
+def exchange(rows: DataFrame, run: Callable[[int, Rows], Iterator[tuple]]) -> DataFrame:
+    """Messages go to their receivers (run: key and rows by kind), one receiver's at a time; theirs are the result."""
 
-def seat_parent(parent: np.ndarray, root_t: np.ndarray, t_root: float, g: Totals, rng: np.random.Generator) -> np.ndarray:
-    """New tables of words in the parent, where a new table is a draw from the uniform base."""
-    out = np.zeros(len(parent), np.int64)
-    has = np.flatnonzero(parent)
-    base = 1.0 / (g.words + 1)
-    new = (g.strength + g.root_discount * (t_root - root_t[has] + 1)) * base
-    out[has] = seat(parent[has].astype(np.int64), new, g.root_discount, rng, g.root_discount * base)
-    return out
+    def over(key, table):
+        held: Rows = {}
+        columns = (table.column(c).to_pylist() for c in ("sender", "kind", "at", "data"))
+        for sender, kind, at, data in sorted(zip(*columns, strict=True), key=lambda r: r[:3]):
+            held.setdefault(kind, []).append((sender, at, data))
+        return pa.Table.from_batches([record(list(run(key[0].as_py(), held)))])
 
+    return rows.repartition(partitions(rows), "to").groupBy("to").applyInArrow(over, SCHEMA)
 
-def probability(c: np.ndarray, t: np.ndarray, customers: np.ndarray, tables: np.ndarray, parent: np.ndarray, root_t: np.ndarray, n_root: float, t_root: float, g: Totals) -> np.ndarray:
-    """By pair, the predictive probability in one state of the seating; c and t are 0 where it was not seen."""
-    p0 = (parent - g.root_discount * root_t + (g.strength + g.root_discount * t_root) / (g.words + 1)) / (g.strength + n_root)
-    return (c - g.discount * t + (g.strength + g.discount * tables) * p0) / (g.strength + customers)
 
+def ask(key: int, kind: int, h: np.ndarray, values: list[np.ndarray], keys: np.ndarray) -> Iterator[tuple]:
+    """Messages to the owners of hashes: the hashes in order, and the holder's sums for them."""
+    to = owner(h, len(keys))
+    order = np.argsort(to, kind="stable")
+    cuts = np.searchsorted(to[order], np.arange(len(keys) + 1))
+    for p in np.flatnonzero(np.diff(cuts)).tolist():
+        at = order[cuts[p] : cuts[p + 1]]
+        yield message(int(keys[p]), key, kind, p, squeeze(h[at], *(v[at].astype("<u4") for v in values)))
 
-def generator(seed: int, sweep: int) -> np.random.Generator:
-    return np.random.default_rng([2024, seed & 0x7FFFFFFF, sweep])
-
-
-def sampled(word: np.ndarray, context: np.ndarray, c: np.ndarray, words: int, g: Totals, seed: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The sweeps where one task has all pairs: for each kept sweep the tables of each (word, context), and the
-    customers and tables of each word in the parent."""
-    t = np.ones(len(c), np.int64)
-    tables, parent = np.asarray(g.dishes, float), np.bincount(word, t, words)
-    root_t = (parent > 0).astype(np.int64)
-    several = np.flatnonzero(c > 1)
-    w, k = word[several], context[several]
-    kept = []
-    for s in range(g.sweeps):
-        rng, t_root = generator(seed, s), float(root_t.sum())
-        t[several] = seat_again(c[several], t[several], tables[k], parent[w], root_t[w], float(tables.sum()), t_root, g, rng)
-        tables, parent = np.bincount(context, t, g.contexts), np.bincount(word, t, words)
-        root_t = seat_parent(parent, root_t, t_root, g, rng)
-        if s >= g.burn_in:
-            kept.append((t.copy(), parent, root_t))
-    return kept
-
-
-def predictive(word: np.ndarray, context: np.ndarray, c: np.ndarray, words: int, g: Totals, seed: int) -> np.ndarray:
-    """The averaged probability of each (word, context) with c training customers, 0 included, by sampled()."""
-    seen = np.flatnonzero(c > 0)
-    total = np.zeros(len(c))
-    kept = sampled(word[seen], context[seen], c[seen], words, g, seed)
-    for s, (t_seen, parent, root_t) in enumerate(kept):
-        t = np.zeros(len(c))
-        t[seen] = t_seen
-        total += probability(c, t, g.customers[context], g.tables[s][context], parent[word], root_t[word], float(g.tables[s].sum()), g.root_tables[s], g)
-    return total / max(1, len(kept))
-
-
-def by_holder(run):
-    """A mapInArrow function: run(key, rows by kind) for each key of a task yields record batches."""
-
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, dict[int, list[dict]]] = {}
-        for b in batches:
-            for r in b.select(["to", "sender", "kind", "at", "data"]).to_pylist():
-                held.setdefault(r["to"], {}).setdefault(r["kind"], []).append(r)
-        for key in sorted(held):
-            yield from run(key, held.pop(key))
 
-    return over
+def replies(rows: list[tuple], h: np.ndarray, n: int, n_keys: int) -> list[np.ndarray]:
+    """What owners replied about hashes that were asked with ask()."""
+    out = [np.zeros(len(h), np.int64) for _ in range(n)]
+    to = owner(h, n_keys)
+    order = np.argsort(to, kind="stable")
+    cuts = np.searchsorted(to[order], np.arange(n_keys + 1))
+    for _, p, data in rows:
+        for o, v in zip(out, unsqueeze(data, *["<u4"] * n), strict=True):
+            o[order[cuts[p] : cuts[p + 1]]] = v
+    return out
 
 
-def exchange(rows: DataFrame, n_parts: int, run) -> DataFrame:
-    """Messages go to their receivers, whose messages are the result."""
-    return rows.repartition(n_parts, "to").mapInArrow(by_holder(run), SCHEMA)
+def added(h: np.ndarray, asked: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """The asked sums by hash, of hashes in h (in order)."""
+    out = [np.zeros(len(h), np.int64) for _ in asked[0][1:]] if asked else []
+    for a, *values in asked:
+        at = find(h, a)
+        for o, v in zip(out, values, strict=True):
+            o[at[at >= 0]] += v[at >= 0]  # a message has a hash once
+    return out
 
 
-def ask(key: int, kind: int, rare: np.ndarray, values: list[np.ndarray], keys: np.ndarray) -> list[dict]:
-    """Messages to the owners of contexts: hashes, in order, and the holder's sums for them."""
-    cuts = np.searchsorted(owner(rare, len(keys)), np.arange(len(keys) + 1))
-    return [message(int(keys[p]), key, kind, p, squeeze(rare[x:y], *(v[x:y].astype("<u4") for v in values))) for p, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if y > x]
+def asked_in(rows: list[tuple], n: int) -> list[list[np.ndarray]]:
+    return [unsqueeze(data, "<u8", *["<u4"] * n) for _, _, data in rows]
 
 
-def added(hashes_of: np.ndarray, rows: list[dict], n: int) -> list[np.ndarray]:
-    """The asked sums by context, of contexts among hashes_of (in order)."""
-    out = [np.zeros(len(hashes_of), np.int64) for _ in range(n)]
-    for r in rows:
-        h, *values = unsqueeze(r["data"], "<u8", *["<u4"] * n)
-        at = np.searchsorted(hashes_of, h)
-        for o, v in zip(out, values, strict=True):
-            o[at] += v  # a message has a context once
-    return out
+def distinct(asked: list[list[np.ndarray]]) -> np.ndarray:
+    return np.unique(np.concatenate([a[0] for a in asked])) if asked else np.empty(0, np.uint64)
 
 
-def replies(rows: list[dict], n: int) -> list[np.ndarray]:
-    """What the owners replied, in order of the asked contexts."""
-    found = [unsqueeze(r["data"], *["<u4"] * n) for r in sorted(rows, key=lambda r: r["at"])]
-    return [np.concatenate([np.empty(0, np.int64), *(f[i].astype(np.int64) for f in found)]) for i in range(n)]
+def answer_words(key: int, rows: list[tuple]) -> Iterator[tuple]:
+    """Of hot words, to all that asked: customers in the parent, tokens, and 1 for the first that asked."""
+    asked = asked_in(rows, 2)
+    h = distinct(asked)
+    total = added(h, asked)
+    new = np.ones(len(h), np.int64)
+    for (sender, at, _), (a, *_rest) in zip(rows, asked, strict=True):
+        place = np.searchsorted(h, a)
+        yield message(sender, key, REPLY_WORDS, at, squeeze(*(v[place].astype("<u4") for v in (*total, new))))
+        new[place] = 0
 
 
 @dataclass
-class State:
-    """A holder's seating: its words, and its pairs of several customers. The others have one table each."""
+class Holder:
+    """The part of a holder's state that no sweep changes: its words, and its pairs of several customers."""
 
-    hot: np.ndarray  # by word: its place among the hot words, or -1
+    words: np.ndarray  # hashes of the words with training pairs, and of hot ones
     single: np.ndarray  # by word: pairs of one customer
-    root_t: np.ndarray  # by word, of those that are not hot
-    hot_single: np.ndarray  # by hot context: pairs of one customer
-    rare: np.ndarray  # hashes of these pairs' contexts that are not hot
-    word: np.ndarray
-    context: np.ndarray
+    tokens: np.ndarray  # by word, here
+    contexts: np.ndarray  # hashes of the contexts of pairs of several customers
+    runs: np.ndarray  # by word: pairs of several customers
+    context: np.ndarray  # by such a pair
     c: np.ndarray
-    t: np.ndarray
-    kept: np.ndarray  # by kept sweep: t, one after another
-    kept_root: np.ndarray
 
-    KINDS = ("<i4", "<u4", "<u4", "<u4", "<u8", "<u4", "<u4", "<u4", "<u4", "<u4", "<u4")
+    KINDS = ("<u8", "<u4", "<u4", "<u8", "<u4", "<u4", "<u4")
 
-    def pack(self, key: int) -> dict:
-        arrays = [self.hot, self.single, self.root_t, self.hot_single, self.rare, self.word, self.context, self.c, self.t, self.kept, self.kept_root]
-        return message(key, key, STATE, 0, squeeze(*(np.asarray(a).astype(k) for a, k in zip(arrays, self.KINDS, strict=True))))
+    def pack(self) -> bytes:
+        arrays = (self.words, self.single, self.tokens, self.contexts, self.runs, self.context, self.c)
+        return squeeze(*(np.asarray(a).astype(k) for a, k in zip(arrays, self.KINDS, strict=True)))
 
     @classmethod
-    def of(cls, rows: list[dict]) -> State:
-        return cls(*(a if a.dtype == np.uint64 else a.astype(np.int64) for a in unsqueeze(rows[0]["data"], *cls.KINDS)))
-
-    def parent(self, t: np.ndarray) -> np.ndarray:
-        return self.single + np.bincount(self.word, t, len(self.single)).astype(np.int64)
-
-    def out(self, key: int, n_hot: int, keys: np.ndarray, kind: int = ASK) -> Iterator[pa.RecordBatch]:
-        """The state, what it adds to the sums, and what it asks."""
-        tables = np.bincount(self.context, self.t, n_hot + len(self.rare)).astype(np.int64)
-        parent, is_hot = self.parent(self.t), self.hot >= 0
-        yield record([self.pack(key), *ask(key, kind, self.rare, [tables[n_hot:]], keys)])
-        yield sums({
-            PARENT: np.bincount(self.hot[is_hot], parent[is_hot], n_hot), TABLES: tables[:n_hot] + self.hot_single,
-            TOTALS: np.array([0, 0, 0, 0, 0, 0, parent.sum(), self.root_t.sum()]),
-        })
-
-
-def collected(rows: DataFrame) -> dict[int, dict[int, float]]:
-    """The sums by kind; at most a few kinds times the hot words."""
-    out: dict[int, dict[int, float]] = {}
-    for r in rows.filter(F.col("kind") >= COUNTS).groupBy("kind", "at").agg(F.sum("x").alias("x")).collect():
-        out.setdefault(r["kind"], {})[r["at"]] = r["x"]
-    return out
+    def of(cls, data: bytes) -> Holder:
+        return cls(*(a if k == "<u8" else a.astype(np.int64) for a, k in zip(unsqueeze(data, *cls.KINDS), cls.KINDS, strict=True)))
 
+    @property
+    def word(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.words)), self.runs)
 
-def vector(values: dict[int, float] | None, n: int) -> np.ndarray:
-    v = np.zeros(n)
-    for at, x in (values or {}).items():
-        v[at] = x
-    return v
-
-
-def train(encoded: DataFrame, n_hot: int, hot: np.ndarray, keys: np.ndarray) -> tuple[Totals, DataFrame, DataFrame]:
-    """Counts, then a pass a Gibbs sweep. Also the last state with what the kept sweeps asked (ASK, with at as
-    sweep * parts + owner), and what holders ask of all their contexts."""
-    n_parts = len(keys)
-
-    def count(key, rows):
-        e = collect_pairs(rows[PAIRS], n_hot)
-        at, n_rare = find(hot, e.words), len(e.rare)
-        per_word = np.bincount(e.word, e.c, len(e.words))
-        one, many = e.c == 1, np.flatnonzero(e.c > 1)
-        single = np.bincount(e.context, one, n_hot + n_rare).astype(np.int64)
-        customers = np.bincount(e.context, e.c, n_hot + n_rare).astype(np.int64)
-        asked, context = np.unique(np.append(np.arange(n_hot), e.context[many]), return_inverse=True)
-        s = State(
-            at, np.bincount(e.word, one, len(e.words)), np.where(at < 0, per_word > 0, False), single[:n_hot], e.rare[asked[n_hot:] - n_hot],
-            e.word[many], context[n_hot:], e.c[many], np.ones(len(many), np.int64), np.empty(0), np.empty(0),
-        )
-        yield from s.out(key, n_hot, keys)
-        rare_words = per_word[at < 0]
-        yield record(ask(key, ASK_ALL, e.rare, [customers[n_hot:], single[n_hot:]], keys))
-        yield sums({
-            COUNTS: np.bincount(at[at >= 0], per_word[at >= 0], n_hot), CUSTOMERS: customers[:n_hot],
-            TOTALS: np.array([e.c.sum(), np.count_nonzero(rare_words), one.sum(), (e.c == 2).sum(), (rare_words == 1).sum(), (rare_words == 2).sum()]),
-        })
-
-    def own(key, rows):
-        """Pairs of one customer, by context with other pairs."""
-        h = np.unique(np.concatenate([unsqueeze(r["data"], "<u8", "<u4")[0] for r in rows[ASK]])) if ASK in rows else np.empty(0, np.uint64)
-        single = np.zeros(len(h), np.int64)
-        for r in rows.get(ASK_ALL, []):
-            found, _, n = unsqueeze(r["data"], "<u8", "<u4", "<u4")
-            at = find(h, found) if len(h) else np.full(len(found), -1)
-            single[at[at >= 0]] += n[at >= 0]
-        yield record([message(key, key, OWN, 0, squeeze(h, single.astype("<u4")))])
-
-    def answer(key, rows):
-        if ASK not in rows:
-            return
-        h, single = unsqueeze(rows[OWN][0]["data"], "<u8", "<u4")
-        total = single + added(h, rows[ASK], 1)[0]
-        yield record([message(r["sender"], key, REPLY, r["at"], squeeze(total[np.searchsorted(h, unsqueeze(r["data"], "<u8", "<u4")[0])].astype("<u4"))) for r in rows[ASK]])
-
-    first = cut(exchange(encoded.filter(F.col("kind") == PAIRS), n_parts, count))
-    found = collected(first)
-    counts, totals = vector(found.get(COUNTS), n_hot), vector(found.get(TOTALS), 8)
-    share = lambda a, b: float(np.clip(a / max(1.0, a + 2 * b), 0.1, 0.9))  # noqa: E731  the usual estimate of a discount from counts of one and two
-    g = Totals(
-        n_hot, int(totals[0]), int(totals[1] + np.count_nonzero(counts)), vector(found.get(CUSTOMERS), n_hot), vector(found.get(TABLES), n_hot),
-        share(totals[2], totals[3]), share(totals[4] + (counts == 1).sum(), totals[5] + (counts == 2).sum()), counts=counts,
-    )
-    g.steps.append(Shared(g.dishes, totals[6], float(g.words), vector(found.get(PARENT), n_hot), (counts > 0).astype(np.int64)))
-    kind = F.col("kind")
-    asked_all = first.filter(kind == ASK_ALL)
-    owned = cut(exchange(first.filter(kind.isin(ASK, ASK_ALL)), n_parts, own))
-    state, asks = first, None
-    for sweep in range(g.sweeps):
-        shared = encoded.sparkSession.sparkContext.broadcast((g, g.steps[-1]))  # a few numbers a hot word
-
-        def seated(key, rows, shared=shared, sweep=sweep):
-            g, step = shared.value
-            s, rng = State.of(rows[STATE]), generator(key, sweep)
-            is_hot = s.hot >= 0
-            parent, root_t = s.parent(s.t), s.root_t.copy()
-            parent[is_hot], root_t[is_hot] = step.parent[s.hot[is_hot]], step.root_t[s.hot[is_hot]]
-            tables = np.concatenate([step.tables, replies(rows.get(REPLY, []), 1)[0]])
-            s.t = seat_again(s.c, s.t, tables[s.context], parent[s.word], root_t[s.word], step.n_root, step.t_root, g, rng)
-            s.root_t = seat_parent(np.where(is_hot, 0, s.parent(s.t)), s.root_t, step.t_root, g, rng)
-            if sweep >= g.burn_in:
-                s.kept, s.kept_root = np.append(s.kept, s.t), np.append(s.kept_root, s.root_t)
-            yield from s.out(key, n_hot, keys)
-
-        answers = exchange(state.filter(kind == ASK).unionAll(owned), n_parts, answer)
-        state = cut(exchange(state.filter(kind == STATE).unionAll(answers), n_parts, seated))
-        found, before = collected(state), g.steps[-1]
-        totals, parent = vector(found.get(TOTALS), 8), vector(found.get(PARENT), n_hot)
-        root_t = seat_parent(parent, before.root_t, before.t_root, g, generator(-1, sweep))
-        g.steps.append(Shared(vector(found.get(TABLES), n_hot), totals[6], totals[7] + float(root_t.sum()), parent, root_t))
-        if sweep >= g.burn_in:
-            g.tables.append(g.steps[-1].tables)
-            g.root_tables.append(g.steps[-1].t_root)
-            kept = state.filter(kind == ASK).withColumn("at", F.col("at") + (sweep - g.burn_in) * n_parts)
-            asks = kept if asks is None else asks.unionAll(kept)
-    return g, state.filter(kind == STATE).unionAll(asks), asked_all
-
-
-def score(encoded: DataFrame, g: Totals, trained: DataFrame, asked_all: DataFrame, hot: np.ndarray, keys: np.ndarray, id_type: str) -> DataFrame:
+    def parent(self, t: np.ndarray) -> np.ndarray:
+        """Customers that the pairs here send to the parent, by word."""
+        return self.single + np.bincount(self.word, t, len(self.words)).astype(np.int64)
+
+    def out(self, key: int, t: np.ndarray, hot: np.ndarray, keys: np.ndarray) -> Iterator[tuple]:
+        """What the seating adds to sums elsewhere."""
+        yield from ask(key, ASK, self.contexts, [np.bincount(self.context, t, len(self.contexts))], keys)
+        is_hot, parent = find(hot, self.words) >= 0, self.parent(t)
+        yield from ask(key, ASK_WORDS, self.words[is_hot], [parent[is_hot], self.tokens[is_hot]], keys)
+        yield message(0, key, TOTALS, 0, None, float(parent.sum()))
+
+
+def sums(rows: DataFrame) -> dict[int, float]:
+    return {r["at"]: r["x"] for r in rows.filter(F.col("kind") == TOTALS).groupBy("at").agg(F.sum("x").alias("x")).collect()}
+
+
+def seats(rows: list[tuple]) -> dict[int, tuple[np.ndarray, ...]]:
+    """Seatings by sweep: tables by pair, and by word its customers and tables in the parent."""
+    return {at: tuple(a.astype(np.int64) for a in unsqueeze(data, "<u4", "<u4", "<u4")) for _, at, data in rows}
+
+
+def train(docs: DataFrame, hot: np.ndarray, keys: np.ndarray, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> tuple[list[Totals], DataFrame, DataFrame]:
+    """Counts, then a pass a Gibbs sweep: the sums of the start and after each sweep; the kept seatings with what they
+    asked (ASK, with the sweep as ``at``); and what is fixed (FIXED, ASK_ALL, OWN)."""
+    kind, n_keys = F.col("kind"), len(keys)
+
+    def count(key: int, rows: Rows) -> Iterator[tuple]:
+        coded = [tuple(unsqueeze(d, "<u2", "<u8", "<u4", "<u2", "<u8", "<u4")) for _, _, d in rows[PAIRS]]
+        words, contexts, word, context, at = joined(coded, hot)
+        c = np.bincount(at, np.concatenate([m[5] for m in coded]), len(word)).astype(np.int64)
+        one, many = c == 1, c > 1
+        tokens, single = np.bincount(word, c, len(words)).astype(np.int64), np.bincount(context, one, len(contexts))
+        seen = (tokens > 0) | (find(hot, words) >= 0)  # a hot word's training tokens may all lie elsewhere
+        changing, of = np.unique(context[many], return_inverse=True)
+        s = Holder(words[seen], np.bincount(word, one, len(words)).astype(np.int64)[seen], tokens[seen], contexts[changing], np.bincount(word, many, len(words)).astype(np.int64)[seen], of, c[many])
+        yield message(key, key, FIXED, 0, s.pack())
+        yield from s.out(key, np.ones(len(s.c), np.int64), hot, keys)
+        yield from ask(key, ASK_ALL, contexts, [np.bincount(context, c, len(contexts)), single], keys)
+        rare = s.tokens[find(hot, s.words) < 0]
+        for i, x in enumerate((c.sum(), one.sum(), (c == 2).sum(), len(rare), (rare == 1).sum(), (rare == 2).sum()), 1):
+            yield message(0, key, TOTALS, i, None, float(x))
+
+    def own(key: int, rows: Rows) -> Iterator[tuple]:
+        """Pairs of one customer by context that sweeps change; sums over hot words."""
+        h = distinct(asked_in(rows.get(ASK, []), 1))
+        single = added(h, [a[:1] + a[2:] for a in asked_in(rows.get(ASK_ALL, []), 2)] or [[h, np.zeros(len(h), np.int64)]])[0]
+        yield message(key, key, OWN, 0, squeeze(h, single.astype("<u4")))
+        asked = asked_in(rows.get(ASK_WORDS, []), 2)
+        tokens = added(distinct(asked), asked)[1] if asked else np.empty(0)
+        for i, x in enumerate((np.count_nonzero(tokens), (tokens == 1).sum(), (tokens == 2).sum()), 4):
+            yield message(0, key, TOTALS, i, None, float(x))
+
+    def answer(key: int, rows: Rows) -> Iterator[tuple]:
+        if ASK in rows:
+            h, single = unsqueeze(rows[OWN][0][2], "<u8", "<u4")
+            asked = asked_in(rows[ASK], 1)
+            total = single + added(h, asked)[0]
+            for (sender, at, _), (a, _values) in zip(rows[ASK], asked, strict=True):
+                yield message(sender, key, REPLY, at, squeeze(total[np.searchsorted(h, a)].astype("<u4")))
+        yield from answer_words(key, rows.get(ASK_WORDS, []))
+
+    # The holders' messages of all sorts lie in one checkpoint; what each step reads of it is filtered by kind.
+    first = cut(exchange(encode(docs, hot, keys, by_text=False), count))
+    owned = cut(exchange(first.filter(kind.isin(ASK, ASK_ALL, ASK_WORDS)), own))
+    a, b = sums(first), sums(owned)
+    x = [a.get(i, 0.0) + b.get(i, 0.0) for i in range(7)]
+    steps = [Totals(int(x[1]), int(x[4]), share_of_ones(x[2], x[3]), share_of_ones(x[5], x[6]), x[0], x[4])]
+    fixed, state, kept = first.filter(kind == FIXED), first, None
+    for sweep in range(1, sweeps + 1):
+        g = steps[-1]
+
+        def seated(key: int, rows: Rows, g=g, sweep=sweep) -> Iterator[tuple]:
+            s = Holder.of(rows[FIXED][0][2])
+            before = seats(rows.get(SEATS, [])).get(sweep - 1)
+            t, root_t = (np.ones(len(s.c), np.int64), np.ones(len(s.words), np.int64)) if before is None else (before[0], before[2])
+            word, is_hot = s.word, find(hot, s.words) >= 0
+            parent = s.parent(t)
+            parent[is_hot], _, mine = replies(rows.get(REPLY_WORDS, []), s.words[is_hot], 3, n_keys)
+            tables = replies(rows.get(REPLY, []), s.contexts, 1, n_keys)[0]
+            root_t = seat_parent(parent, root_t, g, s.words, sweep)
+            t = seat_pairs(s.c, t, tables[s.context], parent[word], root_t[word], g, both(s.words[word], s.contexts[s.context]), sweep)
+            yield message(key, key, SEATS, sweep, squeeze(*(v.astype("<u4") for v in (t, parent, root_t))))
+            yield from s.out(key, t, hot, keys)
+            yield message(0, key, TOTALS, 1, None, float(root_t[~is_hot].sum() + root_t[is_hot] @ mine))
+
+        answers = exchange(state.filter(kind.isin(ASK, ASK_WORDS)).unionAll(owned.filter(kind == OWN)), answer)
+        state = cut(exchange(fixed.unionAll(state.filter(kind == SEATS)).unionAll(answers), seated))
+        x = sums(state)
+        steps.append(Totals(g.tokens, g.words, g.discount, g.root_discount, x.get(0, 0.0), x.get(1, 0.0)))
+        if sweep > burn_in:
+            own_part = state.filter(kind.isin(SEATS, ASK)).withColumn("at", F.when(kind == ASK, F.col("at") + sweep * n_keys).otherwise(F.col("at")))
+            kept = own_part if kept is None else kept.unionAll(own_part)
+    return steps, kept, first.filter(kind.isin(FIXED, ASK_ALL, ASK_WORDS)).unionAll(owned.filter(kind == OWN))
+
+
+def score(docs: DataFrame, steps: list[Totals], kept: DataFrame, fixed: DataFrame, hot: np.ndarray, keys: np.ndarray, id_type: str, burn_in: int = BURN_IN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, log_base (sum of log10(c + 0.5)), log_model of every text."""
-    n_parts, n_hot, kind = len(keys), len(hot), F.col("kind")
-    n_kept = g.sweeps - g.burn_in
-    shared = encoded.sparkSession.sparkContext.broadcast(g)
+    kind, n_keys, sweeps = F.col("kind"), len(keys), range(burn_in + 1, len(steps))
 
-    def answer(key, rows):
+    def answer(key: int, rows: Rows) -> Iterator[tuple]:
         """Customers and, by kept sweep, tables of all contexts."""
-        if ASK_ALL not in rows:
+        asked = asked_in(rows.get(ASK_ALL, []), 2)
+        h = distinct(asked)
+        if len(h):
+            customers, single = added(h, asked)
+            tables = [single + (added(h, found)[0] if (found := asked_in([r for r in rows.get(ASK, []) if r[1] // n_keys == s], 1)) else 0) for s in sweeps]
+            for (sender, at, _), (a, *_values) in zip(rows[ASK_ALL], asked, strict=True):
+                place = np.searchsorted(h, a)
+                yield message(sender, key, REPLY, at, squeeze(*(v[place].astype("<u4") for v in (customers, *tables))))
+        yield from answer_words(key, rows.get(ASK_WORDS, []))
+
+    def run(key: int, rows: Rows) -> Iterator[tuple]:
+        for batch, at, data in rows.get(DOCS, []):  # kept where the sums of their texts will come
+            yield message(key, batch, DOCS, at, data)
+        if PAIRS not in rows:
             return
-        asked = [unsqueeze(r["data"], "<u8", "<u4", "<u4")[0] for r in rows[ASK_ALL]]
-        h = np.unique(np.concatenate(asked))
-        customers, single = added(h, rows[ASK_ALL], 2)
-        tables = [single + added(h, [r for r in rows.get(ASK, []) if r["at"] // n_parts == s], 1)[0] for s in range(n_kept)]
-        for r, a in zip(rows[ASK_ALL], asked, strict=True):
-            at = np.searchsorted(h, a)
-            yield record([message(r["sender"], key, REPLY, r["at"], squeeze(*(v[at].astype("<u4") for v in (customers, *tables))))])
-
-    def run(key, rows):
-        g, s, e = shared.value, State.of(rows[STATE]), collect_pairs(rows[PAIRS], n_hot)
-        customers, *tables = replies(rows.get(REPLY, []), 1 + n_kept)
-        customers = np.concatenate([g.customers, customers])[e.context]
-        is_hot, many = s.hot >= 0, np.flatnonzero(e.c > 1)
-        total, t = np.zeros(len(e.c)), np.minimum(e.c, 1)
-        for i, step in enumerate(g.steps[1 + g.burn_in :]):
-            t[many] = s.kept[i * len(many) : (i + 1) * len(many)]
-            parent, root_t = s.parent(t[many]), s.kept_root[i * len(e.words) : (i + 1) * len(e.words)].copy()
-            parent[is_hot], root_t[is_hot] = step.parent[s.hot[is_hot]], step.root_t[s.hot[is_hot]]
-            total += probability(e.c, t, customers, np.concatenate([step.tables, tables[i]])[e.context], parent[e.word], root_t[e.word], step.n_root, step.t_root, g)
-        logs = np.log10(total / n_kept).astype("<f4")
-        per_word = np.bincount(e.word, e.c, len(e.words)).astype(np.int64)
-        per_word[is_hot] = g.counts[s.hot[is_hot]]
-        for batch, p, at, starts in e.blobs:
-            runs = np.diff(np.append(starts, len(at)))
-            yield record([message(int(keys[batch % n_parts]), batch, SCORES, p, squeeze(logs[at], per_word[e.word[at[starts]]].astype("<u8"), runs.astype("<u4")))])
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts: dict[int, bytes] = {}
-        scores: dict[int, list[tuple[int, bytes]]] = {}
-        for b in batches:
-            for r in b.select(["sender", "kind", "at", "data"]).to_pylist():
-                if r["kind"] == DOCS:
-                    texts[r["sender"]] = r["data"]
-                else:
-                    scores.setdefault(r["sender"], []).append((r["at"], r["data"]))
-        for batch, data in texts.items():
-            place, cuts, raw = unsqueeze(data, "<u4", "<u4", "u1")
-            logs, counts = np.empty(cuts[-1]), np.empty(cuts[-1], np.int64)
-            for p, found in scores.pop(batch):
-                x, n, runs = unsqueeze(found, "<f4", "<u8", "<u4")
-                logs[cuts[p] : cuts[p + 1]], counts[cuts[p] : cuts[p + 1]] = x, np.repeat(n, runs)
-            info = pa.ipc.open_stream(raw.tobytes()).read_next_batch()
-            starts = np.cumsum(np.append(0, np.asarray(info.column("n_tokens"))[:-1]))
-            add = lambda v: np.add.reduceat(v[place], starts)  # noqa: E731, B023
-            yield pa.record_batch([*info.columns, pa.array(add((counts > 0).astype(np.int64))), pa.array(add(np.log10(counts + 0.5))), pa.array(add(logs))], names=["doc_id", "held_out", "n_tokens", "n_known", "log_base", "log_model"])
-
-    answers = exchange(asked_all.unionAll(trained.filter(kind == ASK)), n_parts, answer)
-    scored = exchange(encoded.filter(kind == PAIRS).unionAll(trained.filter(kind == STATE)).unionAll(answers), n_parts, run)
-    return encoded.filter(kind == DOCS).unionAll(scored).repartition(n_parts, "to").mapInArrow(gather, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, log_base double, log_model double")
-
-
-def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
+        s, state = Holder.of(rows[FIXED][0][2]), seats(rows[SEATS])
+        coded = [tuple(unsqueeze(d, "<u2", "<u8", "<u4", "<u2", "<u8", "<u4", "<u2", "<u4", "u1")) for _, _, d in rows[PAIRS]]
+        words, contexts, word, context, at = joined(coded, hot)
+        # Which pair each (pair, text) of a batch is; customers are those of training texts.
+        entry = np.repeat(at, np.concatenate([m[5] for m in coded]).astype(np.int64))
+        times = np.concatenate([m[7] for m in coded]).astype(np.int64)
+        learned = np.concatenate([m[8][m[6]] for m in coded])
+        c = np.bincount(entry, times * learned, len(word)).astype(np.int64)
+        place = find(s.words, words)
+        seen, many = place >= 0, c > 1
+        tokens = np.zeros(len(words), np.int64)
+        tokens[seen] = s.tokens[place[seen]]
+        is_hot = find(hot, s.words) >= 0
+        all_tokens = s.tokens.copy()
+        all_tokens[is_hot] = replies(rows.get(REPLY_WORDS, []), s.words[is_hot], 3, n_keys)[1]
+        tokens[seen] = all_tokens[place[seen]]
+        customers, *tables = replies(rows.get(REPLY, []), contexts, 1 + len(sweeps), n_keys)
+        total, t, parent, root_t = np.zeros(len(word)), np.minimum(c, 1), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for x, sweep in zip(tables, sweeps, strict=True):
+            t[many], before, root = state[sweep]
+            parent[seen], root_t[seen] = before[place[seen]], root[place[seen]]
+            total += probability(c, t, customers[context], x[context], parent[word], root_t[word], steps[sweep - 1].n_root, steps[sweep].t_root, steps[0])
+        model = np.rint(np.log10(total / len(sweeps)) * UNIT).astype(np.int64)
+        base = np.rint(np.log10(tokens + 0.5) * UNIT).astype(np.int64)[word]
+        known = (tokens > 0)[word]
+        end = np.cumsum([len(m[6]) for m in coded])
+        for (batch, _, _), m, z in zip(rows[PAIRS], coded, end, strict=True):
+            e, n = entry[z - len(m[6]) : z], times[z - len(m[6]) : z]
+            texts, of = np.unique(m[6], return_inverse=True)
+            out = [np.zeros(len(texts), np.int64) for _ in range(4)]
+            for o, v in zip(out, (n * model[e], n * base[e], n * known[e], n), strict=True):
+                np.add.at(o, of, v)
+            yield message(int(keys[batch % n_keys]), batch, SCORES, key, squeeze(texts, *(o.astype("<i8") for o in out[:2]), *(o.astype("<u4") for o in out[2:])))
+
+    def gather(key, table):
+        texts: dict[int, pa.RecordBatch] = {}
+        totals: dict[int, np.ndarray] = {}
+        columns = [table.column(c) for c in ("sender", "kind", "data")]
+        for sender, what, data in zip(*columns, strict=True):
+            if what.as_py() == DOCS:
+                texts[sender.as_py()] = pa.ipc.open_stream(data.as_py()).read_next_batch()
+        for sender, what, data in zip(*columns, strict=True):
+            if what.as_py() == SCORES:
+                at, *values = unsqueeze(data.as_py(), "<u2", "<i8", "<i8", "<u4", "<u4")
+                total = totals.setdefault(sender.as_py(), np.zeros((4, len(texts[sender.as_py()])), np.int64))
+                total[:, at] += np.array([v.astype(np.int64) for v in values])
+        out = []
+        for batch, info in texts.items():
+            model, base, known, tokens = totals[batch]
+            if not np.array_equal(tokens, info.column("n_tokens").to_numpy()):
+                raise ValueError("a batch of texts was read anew in another order")
+            out.append(pa.record_batch([*info.columns, pa.array(known), pa.array(base / UNIT), pa.array(model / UNIT)], names=["doc_id", "held_out", "n_tokens", "n_known", "log_base", "log_model"]))
+        return pa.Table.from_batches(out)
+
+    answers = exchange(kept.filter(kind == ASK).unionAll(fixed.filter(kind.isin(ASK_ALL, ASK_WORDS))), answer)
+    scored = exchange(encode(docs, hot, keys, by_text=True).unionAll(fixed.filter(kind == FIXED)).unionAll(kept.filter(kind == SEATS)).unionAll(answers), run)
+    return scored.repartition(partitions(docs), "to").groupBy("to").applyInArrow(gather, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, log_base double, log_model double")
+
+
+def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = HOT, holder_tokens: int = HOLDER_TOKENS) -> DataFrame:
     """Learns from the rows that are not held out (crc32 of the id modulo 5 is 1: held out) and scores all."""
-    held = fold(docs[id_col]) == 1
-    d = docs.select(docs[id_col].alias("doc_id"), whole(docs[text_col]).cast("binary").alias("text"), (~held).alias("train"), held.alias("held_out"))
-    hot = np.unique(np.concatenate([np.array([START_HASH, END_HASH], np.uint64), frequent_words(d, frequent)]))
-    keys = even_keys(docs.sparkSession, partitions(docs))
-    encoded = cut(encode(d, hot, keys))
-    g, trained, asked_all = train(encoded, len(hot), hot, keys)
+    id_of = docs[quoted(id_col)]
+    held = fold(id_of) == 1
+    d = docs.select(id_of.alias("doc_id"), whole(docs[quoted(text_col)]).cast("binary").alias("text"), (~held).alias("train"), held.alias("held_out"))
+    hot, tokens = frequent_words(d, most)
+    parts = partitions(docs)
+    keys = even_keys(docs.sparkSession, parts, max(1, -(-tokens // (holder_tokens * parts))))
+    steps, kept, fixed = train(d, hot, keys)
+    g = steps[0]
     each = math.log10(g.tokens + 0.5 * (g.words + 1))
-    found = score(encoded, g, trained, asked_all, hot, keys, dict(docs.dtypes)[id_col])
+    found = score(d, steps, kept, fixed, hot, keys, dict(docs.dtypes)[id_col])
     return found.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(g.tokens).cast("long").alias("train_tokens"),
         (F.col("log_base") - F.col("n_tokens") * F.lit(each)).alias("base_score"), F.col("log_model").alias("score"),

@@ -457,109 +457,172 @@ def test_language_model_counts_and_gain(spark):
     assert total(lambda r: r.score, set(texts) - held) > 0.75 * total(lambda r: r.base_score, set(texts) - held)
 
 
+def one_task(w, k, c, words, contexts, g, w_hash, k_hash, sweeps=4):
+    """The sweeps of pitman_yor_lm.train with all pairs in one place: by sweep the tables of each pair, and the customers
+    and tables of each word in the parent; and the sums after each."""
+    t, root_t, out, steps = np.ones(len(c), np.int64), np.ones(words, np.int64), [], [g]
+    for s in range(1, sweeps + 1):
+        parent, tables = np.bincount(w, t, words).astype(np.int64), np.bincount(k, t, contexts).astype(np.int64)
+        root_t = pitman_yor_lm.seat_parent(parent, root_t, steps[-1], w_hash, s)
+        t = pitman_yor_lm.seat_pairs(c, t, tables[k], parent[w], root_t[w], steps[-1], pitman_yor_lm.both(w_hash[w], k_hash[k]), s)
+        steps.append(pitman_yor_lm.Totals(g.tokens, g.words, g.discount, g.root_discount, float(t.sum()), float(root_t.sum())))
+        out.append((t, parent, root_t))
+    return out, steps
+
+
+def counted_pairs(rng, contexts, words, n):
+    word, context = rng.integers(0, words, n), rng.integers(0, contexts, n)
+    keys, c = np.unique(word * contexts + context, return_counts=True)
+    return keys // contexts, keys % contexts, c
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     contexts, words = 5, 40
-    word, context = rng.integers(0, words, 300), rng.integers(0, contexts - 1, 300)
-    keys, c = np.unique(word * contexts + context, return_counts=True)
-    w, k = keys // contexts, keys % contexts
-    seen = len(np.unique(w))
-    g = pitman_yor_lm.Totals(contexts, 300, seen, np.bincount(k, c, contexts), np.bincount(k, minlength=contexts).astype(float), 0.6, 0.4)
-    kept = pitman_yor_lm.sampled(w, k, c, words, g, 1)
-    g.tables = [np.bincount(k, t, contexts) for t, _, _ in kept]
-    g.root_tables = [float(r.sum()) for _, _, r in kept]
-    full = np.zeros(words * contexts, np.int64)
-    full[keys] = c
-    every = np.arange(len(full))
-    p = pitman_yor_lm.predictive(every // contexts, every % contexts, full, words, g, 1).reshape(words, contexts)
-    known = np.isin(np.arange(words), w)
-    unknown = np.mean([(g.strength + g.discount * t) / (g.strength + g.customers) * ((g.strength + g.root_discount * r) / (g.strength + t.sum()) / (seen + 1)) for t, r in zip(g.tables, g.root_tables)], axis=0)
-    assert p[known].sum(0) + unknown == pytest.approx(np.ones(contexts), abs=1e-9)
-    for t, parent, root in kept:
-        assert (t >= 1).all() and (t <= c).all() and (parent == np.bincount(w, t, words)).all() and (root <= parent).all()
+    w, k, c = counted_pairs(rng, contexts, words, 300)
+    known, w = np.unique(w, return_inverse=True)
+    v = len(known)
+    g = pitman_yor_lm.Totals(300, v, 0.6, 0.4, float(len(c)), float(v))
+    kept, steps = one_task(w, k, c, v, contexts, g, rng.integers(0, 2**63, v).astype(np.uint64), rng.integers(0, 2**63, contexts).astype(np.uint64))
+    for s, (t, parent, root_t) in enumerate(kept, 1):
+        full_c, full_t = np.zeros((v + 1, contexts), int), np.zeros((v + 1, contexts), int)  # the last one is the unknown word
+        full_c[w, k], full_t[w, k] = c, t
+        at = np.arange((v + 1) * contexts)
+        more = lambda x: np.append(x, 0)[at // contexts]
+        p = pitman_yor_lm.probability(full_c.ravel(), full_t.ravel(), full_c.sum(0)[at % contexts], full_t.sum(0)[at % contexts], more(parent), more(root_t), steps[s - 1].n_root, steps[s].t_root, g)
+        assert p.reshape(-1, contexts).sum(0) == pytest.approx(np.ones(contexts), abs=1e-12) and p.min() > 0
+        assert (t >= 1).all() and (t <= c).all() and (root_t >= 1).all() and (root_t <= parent).all()
 
 
 def test_seating_grows_like_the_process():
-    rng = np.random.default_rng(0)
-    t = pitman_yor_lm.seat(np.full(2000, 400), np.full(2000, 2.0), 0.0, rng)
+    keys = np.arange(2000, dtype=np.uint64)
+    t = pitman_yor_lm.seat(np.full(2000, 400), lambda at, own: np.full(len(at), 2.0), 0.0, keys, 1)
     assert abs(t.mean() - (1 + sum(2 / (2 + i) for i in range(1, 400)))) < 0.3
-    assert (pitman_yor_lm.seat(np.array([1, 2, 10**6]), np.array([5.0, 5.0, 5.0]), 0.5, rng) <= [1, 2, 10**6]).all()
+    assert (pitman_yor_lm.seat(np.array([1, 2, 10**9]), lambda at, own: np.full(len(at), 5.0), 0.5, keys[:3], 1) <= [1, 2, 10**9]).all()
+
+
+@pytest.mark.parametrize(("new", "discount", "more"), [(0.01, 0.8, 0.005), (3.0, 0.5, 0.4), (40.0, 0.0, 0.0), (0.5, 0.9, 0.9)])
+def test_waiting_times_are_exact(new, discount, more, monkeypatch):
+    """Drawn at once or one by one, tables have the same distribution, which is computed here."""
+    n = 120
+    p = np.zeros(n + 1)
+    p[1] = 1.0
+    for i in range(1, n):
+        at = np.arange(n + 1)
+        a = new + more * (at - 1)
+        opens = np.clip(a / (a + i - discount * at), 0, 1)
+        p = p * (1 - opens) + np.concatenate([[0], (p * opens)[:-1]])
+    keys = np.random.default_rng(1).integers(0, 2**63, 40000).astype(np.uint64)
+    for steps in (1, 16, 200):
+        if steps * (1 - discount) < 0.1:
+            continue
+        monkeypatch.setattr(pitman_yor_lm, "STEPS", steps)
+        got = np.bincount(pitman_yor_lm.seat(np.full(len(keys), n), lambda at, own: new + more * (own - 1), discount, keys, 3), minlength=n + 1) / len(keys)
+        assert np.abs(np.cumsum(got) - np.cumsum(p)).max() < 0.012  # Kolmogorov's bound at 1e-4 is 0.011
+
+
+def test_log_rise():
+    for x in (1.0, 1.6, 5.3, 100.0, 1e6):
+        for a in (1e-6, 0.3, 2.0, 500.0):
+            assert float(pitman_yor_lm.log_rise(np.array([x]), np.array([a]))[0]) == pytest.approx(math.lgamma(x + a) - math.lgamma(x), rel=1e-7, abs=1e-7)
+
+
+def test_sweeps_against_the_enumerated_posterior():
+    """All seatings of a tiny corpus, weighed exactly; seating side by side stays near."""
+    strength, d, dr, v = 1.0, 0.6, 0.3, 3
+    w, k, c = np.array([0, 0, 1, 2]), np.array([0, 1, 0, 1]), np.array([4, 3, 2, 5])
+
+    def stirling(n, discount):
+        s = np.zeros((n + 1, n + 1))
+        s[1, 1] = 1.0
+        for i in range(1, n):
+            for j in range(1, i + 2):
+                s[i + 1, j] = s[i, j - 1] + max(0.0, i - discount * j) * s[i, j]
+        return s
+
+    sd, sr = stirling(5, d), stirling(14, dr)
+    rise = lambda n, step: np.prod([strength + step * j for j in range(n)]) if n else 1.0
+    total = mean_t = mean_r = 0.0
+    for t in np.ndindex(*c):
+        t = np.array(t) + 1
+        n = np.bincount(w, t, 3).astype(int)
+        inner = np.prod([sd[x, y] for x, y in zip(c, t)]) * np.prod([rise(int(x), d) for x in np.bincount(k, t, 2)])
+        for r in np.ndindex(*n):
+            r = np.array(r) + 1
+            weight = inner * np.prod([sr[x, y] for x, y in zip(n, r)]) * rise(int(r.sum()), dr) / rise(int(n.sum()), 1.0) * (1.0 / (v + 1)) ** int(r.sum())
+            total, mean_t, mean_r = total + weight, mean_t + weight * t.sum(), mean_r + weight * r.sum()
+    g = pitman_yor_lm.Totals(int(c.sum()), v, d, dr, 4.0, 3.0, strength)
+    got_t, got_r = [], []
+    for i in range(150):
+        h = np.random.default_rng(i).integers(0, 2**63, 5).astype(np.uint64)
+        for t, _, r in one_task(w, k, c, 3, 2, g, h[:3], h[3:], sweeps=24)[0][4:]:
+            got_t.append(t.sum())
+            got_r.append(r.sum())
+    assert np.mean(got_t) == pytest.approx(mean_t / total, rel=0.1) and np.mean(got_r) == pytest.approx(mean_r / total, rel=0.1)
+
+
+def brute_model(texts, train):
+    """The scores of all texts by one_task and dictionaries: {id: log10 probability}."""
+    pairs, of = {}, {}
+    for i, ws in texts.items():
+        of[i] = list(zip([*ws, None], ["", *ws], strict=True))
+        if i in train:
+            for pair in of[i]:
+                pairs[pair] = pairs.get(pair, 0) + 1
+    hash_of = lambda x: 1 if x is None else 0 if x == "" else xxhash.xxh64_intdigest(x)
+    ws, ks = ({hash_of(pair[j]): None for pair in pairs} for j in (0, 1))
+    w_at, k_at = ({h: n for n, h in enumerate(sorted(x))} for x in (ws, ks))
+    order = sorted(pairs, key=lambda x: (hash_of(x[0]), hash_of(x[1])))
+    w, k = np.array([w_at[hash_of(a)] for a, _ in order]), np.array([k_at[hash_of(b)] for _, b in order])
+    c = np.array([pairs[x] for x in order])
+    tokens = np.bincount(w, c)
+    ratio = pitman_yor_lm.share_of_ones
+    g = pitman_yor_lm.Totals(int(c.sum()), len(w_at), ratio((c == 1).sum(), (c == 2).sum()), ratio((tokens == 1).sum(), (tokens == 2).sum()), float(len(c)), float(len(w_at)))
+    kept, steps = one_task(w, k, c, len(w_at), len(k_at), g, np.array(sorted(w_at), np.uint64), np.array(sorted(k_at), np.uint64))
+    index = {x: n for n, x in enumerate(order)}
+    out = {}
+    for i, ps in of.items():
+        total = 0.0
+        for a, b in ps:
+            p, j = 0.0, index.get((a, b))
+            for s in range(2, 5):
+                t, parent, root_t = kept[s - 1]
+                at_w, at_k = w_at.get(hash_of(a)), k_at.get(hash_of(b))
+                customers, tables = (0, 0) if at_k is None else (c[k == at_k].sum(), t[k == at_k].sum())
+                p += pitman_yor_lm.probability(0 if j is None else c[j], 0 if j is None else t[j], customers, tables, 0 if at_w is None else parent[at_w], 0 if at_w is None else root_t[at_w], steps[s - 1].n_root, steps[s].t_root, g)
+            total += math.log10(p / 3)
+        out[i] = total
+    return out, steps
+
+
+@pytest.mark.parametrize("most", [4, 1 << 14])
+def test_scores_are_those_of_one_task(spark, most):
+    some = docs(spark).filter("length(text) < 900").limit(40)
+    some = some.unionByName(some.limit(1).withColumn("doc_id", F.lit(10**6).cast("long")))
+    texts = {r.doc_id: [x.decode() for x in WORD.findall(r.text.encode().lower())] for r in some.collect()}
+    want, _ = brute_model(texts, {i for i in texts if zlib.crc32(str(i).encode()) % 5 != 1})
+    got = {r.doc_id: r.score for r in pitman_yor_lm.score_corpus(some, most=most, holder_tokens=700).collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], rel=1e-8) for i in want)
 
 
 def test_model_odd_rows_and_layout(spark):
     got = pitman_yor_lm.score_corpus(odd(spark)).collect()
     assert len(got) == len(ODD) and {r.doc_id: r.n_tokens for r in got}[1] == 1
     assert pitman_yor_lm.score_corpus(odd(spark, [])).count() == 0
-    one = {r.doc_id: r for r in pitman_yor_lm.score_corpus(docs(spark).coalesce(1), frequent=16).collect()}
-    many = {r.doc_id: r for r in pitman_yor_lm.score_corpus(docs(spark).repartition(5), frequent=1024).collect()}
+    one = {r.doc_id: r for r in pitman_yor_lm.query(spark, SF).collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "9")
+        many = {r.doc_id: r for r in pitman_yor_lm.score_corpus(docs(spark).repartition(3), most=100, holder_tokens=4000).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     for i, r in one.items():
-        assert r.base_score == pytest.approx(many[i].base_score, rel=1e-9) and r.n_known == many[i].n_known
-    a, b = (sum(r.score for r in x.values()) for x in (one, many))
-    assert abs(a / b - 1) < 0.05
+        assert (r.base_score, r.score) == (pytest.approx(many[i].base_score, rel=1e-12), pytest.approx(many[i].score, rel=1e-12)) and r.n_known == many[i].n_known
 
 
 def test_each_word_has_its_own_restaurant(spark):
     """Each of 3,000 words is always followed by its own word; what other words share must not show."""
     pairs = spark.createDataFrame([(i, f"a{i % 3000} b{i % 3000}") for i in range(18000)], "doc_id long, text string")
-    held = [r.score for r in pitman_yor_lm.score_corpus(pairs, frequent=16).collect() if r.held_out]
+    held = [r.score for r in pitman_yor_lm.score_corpus(pairs, most=16).collect() if r.held_out]
     # log10 of 1 in 3,000 for the first word; the second and the end are nearly certain.
     assert len(held) > 2000 and sum(held) / len(held) > -3.9
-
-
-def one_by_one(w, k, c, words, g, sweeps, rng):
-    """The sweeps of pitman_yor_lm with all sums kept up to date; the first context's tables after each sweep."""
-    t, out = np.ones(len(c), int), []
-    parent, root_t = np.bincount(w, minlength=words), np.bincount(w, minlength=words).clip(0, 1)
-    tables = np.bincount(k, minlength=g.contexts)
-
-    def new_root(n, root):
-        x = 0
-        for i in range(n):
-            a = (g.strength + g.root_discount * (root + x)) / (g.words + 1)
-            x += i == 0 or rng.random() < a / (a + i - g.root_discount * x)
-        return x
-
-    for _ in range(sweeps):
-        for j in range(len(c)):
-            parent[w[j]] -= t[j]
-            tables[k[j]] -= t[j]
-            x = 1
-            for i in range(1, c[j]):
-                p0 = (max(parent[w[j]] - g.root_discount * min(root_t[w[j]], parent[w[j]]), 0) + (g.strength + g.root_discount * root_t.sum()) / (g.words + 1)) / (g.strength + parent.sum())
-                a = (g.strength + g.discount * (tables[k[j]] + x)) * p0
-                x += rng.random() < a / (a + i - g.discount * x)
-            t[j] = x
-            parent[w[j]] += x
-            tables[k[j]] += x
-        for v in range(words):
-            root_t[v] = new_root(parent[v], root_t.sum() - root_t[v])
-        out.append(t[k == 0].sum())
-    return out
-
-
-def test_sweeps_use_the_tables_of_the_sweep_before():
-    w, k = np.tile(np.arange(12), 30), np.repeat(np.arange(30), 12)
-    c = np.where(k == 0, 600, 2)  # the first context gets many tables a dish, the others one or two
-    g = pitman_yor_lm.Totals(30, int(c.sum()), 12, np.bincount(k, c, 30), np.bincount(k, minlength=30).astype(float), 0.8, 0.4, sweeps=6, burn_in=0)
-    want = np.mean([one_by_one(w, k, c, 12, g, 6, np.random.default_rng(i))[-2:] for i in range(2)])
-    got = np.mean([[t[:12].sum() for t, _, _ in pitman_yor_lm.sampled(w, k, c, 12, g, i)][-2:] for i in range(20)])
-    assert got == pytest.approx(want, rel=0.1)  # within a sweep dishes are seated side by side
-
-
-def test_tasks_exchange_totals_like_one_task(spark):
-    """The sums after each sweep are those of a sampler that has all pairs in one task."""
-    d = docs(spark).select("doc_id", F.col("text").cast("binary").alias("text"), F.lit(True).alias("train"), F.lit(False).alias("held_out"))
-    hot, keys = np.arange(2, dtype=np.uint64), pitman_yor_lm.even_keys(spark, 4)
-    g, _, _ = pitman_yor_lm.train(pitman_yor_lm.cut(pitman_yor_lm.encode(d, hot, keys)), 2, hot, keys)
-    pairs = {}
-    for r in d.collect():
-        ws = [x.decode() for x in bytes(r.text).lower().split()]
-        for pair in zip([*ws, ""], ["", *ws], strict=True):
-            pairs[pair] = pairs.get(pair, 0) + 1
-    number = {x: i for i, x in enumerate(sorted({x for pair in pairs for x in pair}))}
-    w, k, c = (np.array(x) for x in zip(*((number[a], number[b], n) for (a, b), n in pairs.items()), strict=True))
-    n = len(number)
-    one = pitman_yor_lm.Totals(n, g.tokens, g.words, np.bincount(k, c, n), np.bincount(k, minlength=n), g.discount, g.root_discount, burn_in=0)
-    assert g.tokens == c.sum() and g.words == n and g.steps[0].n_root == len(c) and g.steps[0].t_root == n
-    for step, (t, _, root_t) in zip(g.steps[1:], pitman_yor_lm.sampled(w, k, c, n, one, 0), strict=True):
-        assert step.n_root == pytest.approx(t.sum(), rel=0.01) and step.t_root == pytest.approx(root_t.sum(), rel=0.01)
