@@ -1,8 +1,10 @@
-"""Text functions as column expressions; Python only for Unicode composition and case folding of non-ASCII text."""
+"""Text functions as column expressions; Python only for what Unicode composition or case folding can change."""
 
 from __future__ import annotations
 
+import functools
 import re
+import sys
 import unicodedata
 
 import pandas as pd
@@ -26,6 +28,35 @@ def _folded(texts: pd.Series) -> pd.Series:
     return texts.map(fold_text, na_action="ignore")
 
 
+@functools.cache
+def unstable() -> str:
+    """A regular expression for a character that composition can change or join to the one before: what has a canonical
+    decomposition that is not its own composition, what such decompositions end with, and combining marks."""
+    points = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))  # Hangul vowels and finals
+    for i in range(0x80, sys.maxunicode + 1):
+        c = chr(i)
+        if unicodedata.combining(c):
+            points.add(i)
+        parts = unicodedata.decomposition(c)
+        if parts and not parts.startswith("<"):
+            points.update(int(x, 16) for x in parts.split()[1:])
+            if unicodedata.normalize("NFC", c) != c:
+                points.add(i)
+    ordered = sorted(points)
+    starts = [p for p in ordered if p - 1 not in points]
+    ends = [p for p in ordered if p + 1 not in points]
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{z:x}}}" for a, z in zip(starts, ends, strict=True)) + "]"
+
+
+#: Most text has only characters of these ranges, none of which is unstable; the others are looked at one by one.
+STABLE_RANGES = r"\x00-\x{2ff}\x{1e00}-\x{1eff}\x{2010}-\x{205e}"
+
+
+def compose(text: Column) -> Column:
+    """Composed (NFC); texts in which nothing can change are not sent to Python."""
+    return F.coalesce(_composed(F.when(text.rlike(f"[^{STABLE_RANGES}]") & text.rlike(unstable()), text)), text)
+
+
 def fold_text(text: str) -> str:
     """Composed, case-folded, runs of white space made one blank; ends are kept."""
     return PYTHON_SPACES.sub(" ", unicodedata.normalize("NFC", text).casefold())
@@ -38,11 +69,13 @@ def collapse(text: Column) -> Column:
 
 def normalize_text(text: Column) -> Column:
     """Composed (NFC) and collapsed."""
-    return collapse(_composed(text))
+    return collapse(compose(text))
 
 
 def fold(text: Column) -> Column:
-    return _folded(text)
+    """Composed, case-folded, white space collapsed but kept at the ends; ASCII texts are not sent to Python."""
+    plain = F.regexp_replace(F.lower(text), SPACES, " ")
+    return F.when(text.rlike("^[\\x00-\\x7f]*$"), plain).otherwise(_folded(F.when(text.rlike("[^\\x00-\\x7f]"), text)))
 
 
 def tokens(text: Column) -> Column:
@@ -68,7 +101,7 @@ def strip_dose(mention: Column) -> Column:
     rest = base
     for pattern in (DOSE, RATIO, ROUTE, FREQUENCY):
         rest = F.regexp_replace(rest, f"(?iU){pattern}", " ")
-    return F.coalesce(F.nullif(normalize_text(rest), F.lit("")), base)
+    return F.coalesce(F.nullif(collapse(rest), F.lit("")), base)  # blanks between composed parts leave them composed
 
 
 QUERY_VARIANTS = {"raw": raw, "strip_dose": strip_dose}

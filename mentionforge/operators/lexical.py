@@ -1,7 +1,9 @@
-"""The lexical index: postings, and BM25 search over them."""
+"""The lexical index: postings with their document frequencies, and BM25 search over them."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,44 +13,99 @@ from mentionforge.functions.text import tokens
 K1 = 1.5
 B = 0.75
 TOP_K = 30
+#: Rows of the queries' side (query, token) up to which it is sent to the postings where they lie.
+BROADCAST_ROWS = 500_000
+
+
+@dataclass
+class LexicalIndex:
+    """Postings (doc_id, tok, tf, doc_len), frequencies (tok, df), and how many documents there are and how long they
+    are in sum. Documents without tokens count in both."""
+
+    postings: DataFrame
+    frequencies: DataFrame
+    n_docs: int
+    length: int
+
+    @property
+    def mean_length(self) -> float:
+        return max(self.length / self.n_docs if self.n_docs else 0.0, 1e-9)
+
 
+def materialized(df: DataFrame) -> DataFrame:
+    """Computed once: a checkpoint where the session has a folder for it, else blocks on disk."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is not None:
+        return df.checkpoint()
+    from pyspark import StorageLevel
 
-def postings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, tok, tf, doc_len of every document and token."""
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: DataFrame | None = None) -> LexicalIndex:
+    """The index of a whole corpus, or of its tokens that are among ``vocabulary`` (tok), which are those of the queries
+    where an index serves one search. Texts are tokenised once: a row without token carries each document's length."""
     d = docs.select(docs[id_col].alias("doc_id"), tokens(docs[text_col]).alias("t"))
-    d = d.select("doc_id", F.size("t").alias("doc_len"), F.explode("t").alias("tok"))
-    return d.groupBy("doc_id", "tok").agg(F.count("*").alias("tf"), F.first("doc_len").alias("doc_len"))
+    d = d.select("doc_id", F.size("t").alias("doc_len"), F.explode(F.concat(F.array(F.lit(None).cast("string")), "t")).alias("tok"))
+    if vocabulary is not None:
+        known = materialized(vocabulary.select(F.col("tok").alias("known")).distinct())
+        if known.count() <= BROADCAST_ROWS:
+            known = F.broadcast(known)
+        d = d.join(known, F.col("tok") == F.col("known"), "left").filter("tok IS NULL OR known IS NOT NULL").drop("known")
+    rows = materialized(d.groupBy("doc_id", "tok", "doc_len").agg(F.count("*").alias("tf")))
+    # A row without token counts its document as often as the corpus has it.
+    whole = rows.filter("tok IS NULL").agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("tf") * F.col("doc_len")), F.lit(0)).alias("length")).first()
+    posts = rows.filter("tok IS NOT NULL").select("doc_id", "tok", "tf", "doc_len")
+    return LexicalIndex(posts, posts.groupBy("tok").agg(F.count("*").alias("df")), whole["n"], whole["length"])
+
 
+def extended(index: LexicalIndex, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LexicalIndex:
+    """The index with further documents, whose ids must be new; what it has is not tokenised again."""
+    more = build_index(docs, id_col, text_col)
+    both = index.frequencies.unionByName(more.frequencies).groupBy("tok").agg(F.sum("df").alias("df"))
+    return LexicalIndex(index.postings.unionByName(more.postings), both, index.n_docs + more.n_docs, index.length + more.length)
 
-def weighted_postings(posts: DataFrame, n_docs: int, avgdl: float, k1: float = K1, b: float = B) -> DataFrame:
-    """Adds each posting's BM25 weight (the Lucene variant, idf = ln(1 + (N - df + 0.5) / (df + 0.5)))."""
-    df = posts.groupBy("tok").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / F.lit(avgdl)))
-    return posts.join(df, "tok").select("tok", "doc_id", (idf * norm).alias("w"))
 
+def weight(index: LexicalIndex, k1: float = K1, b: float = B):
+    """A posting's BM25 weight (the Lucene variant, idf = ln(1 + (N - df + 0.5) / (df + 0.5)))."""
+    idf = F.log(1 + (F.lit(index.n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    return idf * F.col("tf") / (F.col("tf") + k1 * (1 - b + b * F.col("doc_len") / F.lit(index.mean_length)))
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """tok, doc_id, w of a whole corpus; documents without tokens count in N and in the mean length."""
-    sizes = docs.select(F.size(tokens(docs[text_col])).alias("n")).agg(F.count("*").alias("n"), F.coalesce(F.avg("n"), F.lit(0.0)).alias("mean")).first()
-    return weighted_postings(postings(docs, id_col, text_col), sizes["n"], max(sizes["mean"], 1e-9))
 
+def query_tokens(queries: DataFrame, id_col: str = "query_id", text_col: str = "text") -> DataFrame:
+    """query_id, tok, times."""
+    return queries.select(queries[id_col].alias("query_id"), F.explode(tokens(queries[text_col])).alias("tok")).groupBy("query_id", "tok").agg(F.count("*").alias("times"))
 
-def search(index: DataFrame, queries: DataFrame, k: int | None = TOP_K, id_col: str = "query_id", text_col: str = "text", digits: int = 6) -> DataFrame:
+
+def search(index: LexicalIndex, queries: DataFrame, k: int | None = TOP_K, id_col: str = "query_id", text_col: str = "text", digits: int = 6) -> DataFrame:
     """query_id, doc_id, score, bm25_rank: the k best with a positive score, ties by doc_id; k of 0 or None means the
-    default. A query's token counts as often as it occurs."""
-    q = queries.select(queries[id_col].alias("query_id"), F.explode(tokens(queries[text_col])).alias("tok")).groupBy("query_id", "tok").agg(F.count("*").alias("times"))
-    scored = q.join(index, "tok").groupBy("query_id", "doc_id").agg(F.sum(F.col("times") * F.col("w")).alias("score"))
+    default. A query's token counts as often as it occurs.
+
+    The queries' tokens, with their frequencies, go to the postings where they lie, so that a frequent token's postings
+    are not gathered; beyond BROADCAST_ROWS both sides are dealt by token as plain inputs, of which a hot token's rows can
+    be split."""
+    wanted = materialized(query_tokens(queries, id_col, text_col).join(index.frequencies, "tok"))
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    scored = index.postings.join(wanted, "tok").groupBy("query_id", "doc_id").agg(F.sum(F.col("times") * weight(index)).alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.round("score", digits).desc(), "doc_id"))
     return scored.filter("score > 0").withColumn("bm25_rank", rank).filter(F.col("bm25_rank") <= (k or TOP_K))
 
 
-def save_index(index: DataFrame, path: str) -> None:
-    index.repartition("tok").sortWithinPartitions("tok").write.mode("overwrite").parquet(path)
+def search_texts(docs: DataFrame, queries: DataFrame, k: int | None = TOP_K, doc_id: str = "doc_id", query_id: str = "query_id", text_col: str = "text") -> DataFrame:
+    """search() over a corpus without an index: only postings of the queries' tokens are made."""
+    index = build_index(docs, doc_id, text_col, query_tokens(queries, query_id, text_col))
+    return search(index, queries, k, query_id, text_col)
+
+
+def save_index(index: LexicalIndex, path: str) -> None:
+    """Postings by token, document frequencies, and the corpus's sums, so that a saved index can be extended."""
+    index.postings.repartition("tok").sortWithinPartitions("tok").write.mode("overwrite").parquet(f"{path}/postings")
+    index.frequencies.write.mode("overwrite").parquet(f"{path}/frequencies")
+    index.postings.sparkSession.range(1).select(F.lit(index.n_docs).cast("long").alias("n_docs"), F.lit(index.length).cast("long").alias("length")).write.mode("overwrite").parquet(f"{path}/sums")
 
 
-def open_index(spark: SparkSession, path: str) -> DataFrame:
-    index = spark.read.parquet(path)
-    if index.isEmpty():
+def open_index(spark: SparkSession, path: str) -> LexicalIndex:
+    posts, frequencies, sums = (spark.read.parquet(f"{path}/{t}") for t in ("postings", "frequencies", "sums"))
+    if posts.isEmpty():
         raise ValueError(f"the index in {path} is empty")
-    return index
+    whole = sums.first()
+    return LexicalIndex(posts, frequencies, whole["n_docs"], whole["length"])

@@ -166,8 +166,7 @@ hits AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id
 
 
 def bm25_hits(spark: SparkSession, d: str) -> DataFrame:
-    index = lexical.build_index(table(spark, d, "documents"))
-    return lexical.search(index, table(spark, d, "benchmark"), id_col="item_id")
+    return lexical.search_texts(table(spark, d, "documents"), table(spark, d, "benchmark"), query_id="item_id")
 
 
 @query(f"WITH {SQL_BM25} SELECT item_id, doc_id, round(score, 4) AS score, bm25_rank FROM hits")
@@ -197,7 +196,8 @@ def score_dump(spark: SparkSession, d: str) -> DataFrame:
     """All hits of each item with their codes, and whether its gold code is among them."""
     docs = table(spark, d, "documents").select("doc_id", "text", F.lit("candidate").alias("role"), F.col("source").alias("code"), F.lit(None).cast("array<string>").alias("resolve_in"))
     items = table(spark, d, "benchmark").select(F.col("item_id").alias("record_id"), F.col("text").alias("mention"), F.array(F.concat(F.lit("src"), (F.col("item_id") % 20).cast("string"))).alias("gold"))
-    dumped = linking.score_dump(items, {"docs": docs, "lexical": lexical.build_index(docs)}, models.blended_scorer, "raw")
+    known = lexical.query_tokens(items, "record_id", "mention")
+    dumped = linking.score_dump(items, {"docs": docs, "lexical": lexical.build_index(docs, vocabulary=known)}, models.blended_scorer, "raw")
     pairs = F.transform("candidates", lambda c: F.concat(c["doc_id"].cast("string"), F.lit(":"), F.get(c["codes"], F.lit(0))))
     return measures.with_recall(dumped).select("record_id", F.array_join(pairs, ",").alias("candidates"), F.col("recall_union").alias("found"))
 

@@ -52,7 +52,12 @@ def test_index_round_trip(spark, tmp_path):
     index = lexical.open_index(spark, str(tmp_path / "i"))
     q = spark.createDataFrame([(9, "A a z")], "query_id int, text string")
     assert [(r.doc_id, r.bm25_rank) for r in lexical.search(index, q, k=0).collect()] == [(1, 1)]
-    lexical.save_index(index.limit(0), str(tmp_path / "e"))
+    more = lexical.extended(index, spark.createDataFrame([(4, "c d"), (5, "a a")], "doc_id int, text string"))
+    whole = lexical.build_index(spark.createDataFrame([(1, "a b"), (2, "b c"), (3, ""), (4, "c d"), (5, "a a")], "doc_id int, text string"))
+    assert (more.n_docs, more.length) == (whole.n_docs, whole.length) == (5, 8) and sorted(more.frequencies.collect()) == sorted(whole.frequencies.collect())
+    q = spark.createDataFrame([(9, "a c c"), (8, "d")], "query_id int, text string")
+    assert sorted(lexical.search(more, q).collect()) == sorted(lexical.search(whole, q).collect()) == sorted(lexical.search_texts(spark.createDataFrame([(1, "a b"), (2, "b c"), (3, ""), (4, "c d"), (5, "a a")], "doc_id int, text string"), q).collect())
+    lexical.save_index(lexical.build_index(docs.limit(0)), str(tmp_path / "e"))
     with pytest.raises(ValueError):
         lexical.open_index(spark, str(tmp_path / "e"))
     vectors = dense.unit_vectors(spark.createDataFrame([(1, [3.0, 4.0]), (2, [1.0, 0.0])], "vec_id int, embedding array<double>"), "embedding")
