@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mentionforge.functions.arrays import at_share, gold_weight, jaccard
-from mentionforge.operators.measures import candidates_score, leak_rate, predicted
-from mentionforge.operators.ranks import at_shares, before, index, same, value_bucket
+from mentionforge.operators.measures import all_codes, by_score, candidates_score, leak_rate, predicted
+from mentionforge.operators.ranks import at_shares, before, index
 
 GRID_STEPS = 41
 CLIP = 0.99
@@ -54,17 +54,6 @@ def best_pair(scores: DataFrame, keys: list[str]) -> DataFrame:
     return scores.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
 
 
-def draws(records: DataFrame, resamples: int, seed: int, keys: list[str]) -> DataFrame:
-    """sample, record_id, times: by key, draws of as many records as it has, with replacement. Records have places in
-    order of id; each place draws one by a seeded hash for each sample."""
-    ids = records.select(*keys, "record_id").withColumn("__id", F.col("record_id"))
-    placed = before(ids, keys, value_bucket(ids, "__id"), ["__id"], F.lit(1))
-    drawn = placed.select(*[F.col(k).alias(f"__{k}") for k in keys], "before", "total", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("sample"))
-    to = F.pmod(F.xxhash64(F.lit(seed), "sample", "before", *[f"__{k}" for k in keys]), F.col("total"))
-    times = drawn.groupBy(*[f"__{k}" for k in keys], "sample", to.alias("__at")).agg(F.count("*").alias("times"))
-    return placed.join(times, same(placed, times, keys) & (placed["before"] == times["__at"])).select(F.col("sample").cast("long").alias("sample"), "record_id", "times")
-
-
 def bootstrap(cells: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
     """keys, sample, floor, margin, score: each sample's best cell; similarities are computed once, not per sample."""
     d = cells.join(counts, "record_id")
@@ -72,44 +61,105 @@ def bootstrap(cells: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame
     return best_pair(scores, [*keys, "sample"])
 
 
-def cell_lists(dump: DataFrame, axes: DataFrame) -> DataFrame:
-    """A row a record as in cell_scores, with the similarities of all cells, floor by floor, in one list j."""
-    points = axes.orderBy("i").collect()
-    values = lambda c: F.array(*[F.lit(p[c]) for p in points])
-    score = lambda f, m: jaccard(F.col("gold"), predicted(F.col("candidates"), f, m))
-    j = F.flatten(F.transform(values("floor"), lambda f: F.transform(values("margin"), lambda m: score(f, m))))
-    return dump.select("record_id", "kb", gold_weight(F.col("gold")).cast("double").alias("w"), j.alias("j"))
+def prefix_scores(dump: DataFrame) -> DataFrame:
+    """record_id, kb, w, scores (descending) and j, where j[n] is the similarity with the n best candidates predicted.
+    A cell keeps the candidates from max(floor, best - margin) on, so its similarity is that of the shorter of two
+    prefixes: those that the floor and the margin keep."""
+    d = dump.withColumn("c", by_score(F.col("candidates")))
+    j = F.transform(F.sequence(F.lit(0), F.size("c")), lambda n: jaccard(F.col("gold"), all_codes(F.slice("c", 1, n))))
+    return d.select("record_id", "kb", gold_weight(F.col("gold")).cast("double").alias("w"), F.transform("c", lambda c: c["rerank_score"].cast("double")).alias("scores"), j.alias("j"))
+
+
+def padded(lists: pa.Array, fill: float) -> np.ndarray:
+    """Lists as rows of a matrix of the longest one's width."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    out = np.full((len(lists), int(sizes.max(initial=0))), fill)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def cell_matrix(scores: np.ndarray, j: np.ndarray, floors: np.ndarray, margins: np.ndarray) -> np.ndarray:
+    """The similarity of each record (row) in each cell, floor by floor."""
+    if not scores.shape[1]:
+        return np.repeat(j[:, :1], len(floors) * len(margins), 1)
+    by_floor = (scores[:, :, None] >= floors).sum(1)
+    by_margin = (scores[:, :, None] >= (scores[:, :1] - margins)[:, None, :]).sum(1)
+    kept = np.minimum(by_floor[:, :, None], by_margin[:, None, :]).reshape(len(scores), -1)
+    return np.take_along_axis(j, kept, 1)
+
 
+def drawn_times(n: np.ndarray, size: int, seed: int, bucket: int) -> np.ndarray:
+    """How often each of a bucket's records is drawn in each sample, where the bucket is drawn n times."""
+    return np.random.default_rng([seed, bucket]).multinomial(n, np.full(size, 1.0 / size))
 
-def bootstrap_lists(lists: DataFrame, axes: DataFrame, counts: DataFrame, resamples: int) -> DataFrame:
-    """bootstrap() by kb over cell_lists: kb, sample, floor, margin, score. Sums by sample and cell are products of
-    matrices in the tasks; a task has at most resamples x cells numbers a knowledge base."""
+
+#: Records that are resampled in one piece, about.
+BUCKET_RECORDS = 4096
+ROWS_AT_ONCE = 512
+
+
+def best_cells(dump: DataFrame, axes: DataFrame, resamples: int | None = None, seed: int = 20260728) -> DataFrame:
+    """kb, sample, floor, margin, score: the best cell of each knowledge base, once with every record counted once, or
+    for each of a number of samples with replacement, as many records as there are.
+
+    A sample is drawn in two steps: how many of its draws fall to each bucket of records (by hash) is drawn at once, a
+    few numbers a bucket; which records they are, where the bucket lies. Sums by sample and cell are products of matrices
+    in the tasks, which send one row a sample."""
     points = axes.orderBy("i").collect()
-    cells = [(f["floor"], m["margin"]) for f in points for m in points]
-    drawn = counts.groupBy("record_id").agg(F.collect_list(F.struct(F.col("sample").cast("int").alias("sample"), F.col("times").cast("double").alias("times"))).alias("drawn"))
+    floors, margins = (np.array([p[c] for p in points]) for c in ("floor", "margin"))
+    samples = resamples or 1
+    n = dump.count()
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "record_id"), F.lit(max(1, n // BUCKET_RECORDS))).cast("int")
+    rows = prefix_scores(dump).withColumn("bucket", bucket)
+    sizes: dict = {}
+    for r in dump.select("kb", bucket.alias("bucket")).groupBy("kb", "bucket").agg(F.count("*").alias("n")).orderBy("kb", "bucket").collect():
+        sizes.setdefault(r["kb"], {})[r["bucket"]] = r["n"]
+    shares = {}
+    for i, (kb, of) in enumerate(sizes.items()):
+        total = sum(of.values())
+        drawn = np.random.default_rng([seed, 1 << 31, i]).multinomial(total, np.array(list(of.values())) / total, samples)
+        shares[kb] = {b: (drawn[:, x], seed + i) for x, b in enumerate(of)}
 
     def add(batches):
-        total: dict = {}
+        totals: dict = {}
+        held: list[pa.RecordBatch] = []
+
+        def close() -> None:
+            part = pa.Table.from_batches(held).sort_by("record_id").combine_chunks()
+            kb, bucket = part.column("kb")[0].as_py(), part.column("bucket")[0].as_py()
+            times = drawn_times(shares[kb][bucket][0], len(part), shares[kb][bucket][1], bucket) if resamples else np.ones((1, len(part)))
+            sums = totals.setdefault(kb, np.zeros((samples, len(floors) * len(margins) + 1)))
+            for at in range(0, len(part), ROWS_AT_ONCE):
+                some = part.slice(at, ROWS_AT_ONCE)
+                scores, j = (padded(some.column(c).combine_chunks(), x) for c, x in (("scores", -np.inf), ("j", 0.0)))
+                weights = times[:, at : at + len(some)] * some.column("w").to_numpy()
+                sums[:, :-1] += weights @ cell_matrix(scores, j, floors, margins)
+                sums[:, -1] += weights.sum(1)
+            held.clear()
+
         for b in batches:
-            for kb in set(b.column("kb").to_pylist()):
-                part = b.filter(pc.equal(b.column("kb"), kb)) if kb is not None else b.filter(pc.is_null(b.column("kb")))
-                j = part.column("j").flatten().to_numpy(zero_copy_only=False).reshape(len(part), len(cells))
-                drawn, w = part.column("drawn"), part.column("w").to_numpy()
-                row = np.repeat(np.arange(len(part)), pc.list_value_length(drawn).to_numpy(zero_copy_only=False))
-                found = drawn.flatten()
-                times = np.zeros((resamples, len(part)))
-                times[found.field("sample").to_numpy(), row] = found.field("times").to_numpy() * w[row]
-                sums = total.setdefault(kb, np.zeros((resamples, len(cells) + 1)))
-                sums[:, :-1] += times @ j
-                sums[:, -1] += times.sum(1)
-        for kb, sums in total.items():
-            yield pa.record_batch([pa.array([kb] * resamples, pa.string()), pa.array(np.arange(resamples)), pa.array(list(sums[:, :-1]), pa.list_(pa.float64())), pa.array(sums[:, -1])], names=["kb", "sample", "x", "w"])
-
-    sums = lists.join(drawn, "record_id").mapInArrow(add, "kb string, sample long, x array<double>, w double").select("kb", "sample", "w", F.posexplode("x").alias("cell", "x"))
-    at = lambda i: F.get(F.array(*[F.lit(c[i]) for c in cells]), F.col("cell"))
-    score = F.round(F.coalesce(F.sum("x") / F.nullif(F.sum("w"), F.lit(0.0)), F.lit(0.0)), DIGITS).alias("score")
-    scores = sums.groupBy("kb", "sample", "cell").agg(score).select("kb", "sample", at(0).alias("floor"), at(1).alias("margin"), "score")
-    return best_pair(scores, ["kb", "sample"])
+            kbs, buckets = b.column("kb").to_pylist(), b.column("bucket").to_numpy()
+            cuts = [0, *(i for i in range(1, len(b)) if (kbs[i], buckets[i]) != (kbs[i - 1], buckets[i - 1])), len(b)]
+            for x, y in zip(cuts, cuts[1:]):
+                if held and (held[-1].column("kb")[0].as_py(), held[-1].column("bucket")[0].as_py()) != (kbs[x], buckets[x]):
+                    close()
+                if y > x:
+                    held.append(b.slice(x, y - x))
+        if held:
+            close()
+        for kb, sums in totals.items():
+            yield pa.record_batch([pa.array([kb] * samples, pa.string()), pa.array(np.arange(samples)), pa.array(list(sums), pa.list_(pa.float64()))], names=["kb", "sample", "sums"])
+
+    def choose(key, table):
+        sums = np.sum(padded(table.column("sums").combine_chunks(), 0.0), 0)
+        score = np.round(sums[:-1] / sums[-1] if sums[-1] else 0 * sums[:-1], DIGITS)
+        f, m = np.divmod(np.arange(len(score)), len(margins))
+        best = np.lexsort((-floors[f], margins[m], -score))[0]
+        return pa.table({"kb": pa.array([key[0].as_py()], pa.string()), "sample": [key[1].as_py()], "floor": [floors[f[best]]], "margin": [margins[m[best]]], "score": [score[best]]})
+
+    dealt = rows.repartition("kb", "bucket").sortWithinPartitions("kb", "bucket")
+    sums = dealt.select("record_id", "kb", "bucket", "w", "scores", "j").mapInArrow(add, "kb string, sample long, sums array<double>")
+    return sums.groupBy("kb", "sample").applyInArrow(choose, "kb string, sample long, floor double, margin double, score double")
 
 
 def spread(winners: DataFrame, keys: list[str]) -> DataFrame:
@@ -142,13 +192,9 @@ def sweep(dump: DataFrame, is_dev: DataFrame, steps: int = GRID_STEPS, resamples
     """The report of one knowledge base: the chosen pair, its scores on both sides, bootstrap ranges, leaks. is_dev:
     record_id, is_dev."""
     rows = dump.join(is_dev.select("record_id", "is_dev"), "record_id")
-    cells = cell_scores(rows.filter("NOT is_dev"), score_axes(dump, steps)).persist()
-    try:
-        chosen = best_pair(grid_scores(cells, []), []).first()
-        counts = draws(rows.filter("NOT is_dev"), resamples, seed, [])
-        ranges = spread(bootstrap(cells, counts, []), []).first().asDict()
-    finally:
-        cells.unpersist()
+    axes = score_axes(dump, steps)
+    chosen = best_cells(rows.filter("NOT is_dev"), axes).first()
+    ranges = spread(best_cells(rows.filter("NOT is_dev"), axes, resamples, seed), []).first().asDict()
     dev = rows.filter("is_dev").withColumn("predicted", predicted(F.col("candidates"), F.lit(chosen["floor"]), F.lit(chosen["margin"])))
     dev_score = candidates_score(dev).first()
     gap = chosen["score"] - dev_score["score"]

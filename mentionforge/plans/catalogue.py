@@ -350,7 +350,8 @@ def grid_cells(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""{SQL_GRID}, g AS (SELECT kb, floor, margin, round(sum(j * w) / sum(w), 12) AS score FROM cells GROUP BY ALL)
 SELECT kb, round(floor, 6) AS floor, round(margin, 6) AS margin, round(score, 6) AS score FROM g QUALIFY row_number() OVER (PARTITION BY kb ORDER BY score DESC, margin, floor DESC) = 1""")
 def grid_best_small(spark: SparkSession, d: str) -> DataFrame:
-    found = calibration.best_pair(calibration.grid_scores(grid_cells(spark, d), ["kb"]), ["kb"])
+    records = dump(spark, d)
+    found = calibration.best_cells(records, calibration.score_axes(records, STEPS))
     return found.select("kb", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
 
 
@@ -368,11 +369,9 @@ def bootstrap_small(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def grid_best(spark: SparkSession, d: str) -> DataFrame:
-    """The whole grid; the same operators with few steps are compared with SQL in grid_best_small."""
+    """The whole grid; grid_best_small has the same in few steps, cell by cell, and is compared with SQL."""
     records = dump(spark, d)
-    axes = calibration.score_axes(records)
-    once = records.select("record_id", F.lit(0).alias("sample"), F.lit(1).alias("times"))
-    found = calibration.bootstrap_lists(calibration.cell_lists(records, axes), axes, once, 1)
+    found = calibration.best_cells(records, calibration.score_axes(records))
     return found.select("kb", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
 
 
@@ -380,9 +379,7 @@ def grid_best(spark: SparkSession, d: str) -> DataFrame:
 def bootstrap(spark: SparkSession, d: str) -> DataFrame:
     """The whole grid, all samples, and drawn counts."""
     records = dump(spark, d)
-    axes = calibration.score_axes(records)
-    counts = calibration.draws(records, calibration.RESAMPLES, 20260728, ["kb"])
-    found = calibration.bootstrap_lists(calibration.cell_lists(records, axes), axes, counts, calibration.RESAMPLES)
+    found = calibration.best_cells(records, calibration.score_axes(records), calibration.RESAMPLES)
     return found.select("kb", "sample", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
 
 

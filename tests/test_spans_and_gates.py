@@ -4,6 +4,7 @@ import hashlib
 import random
 import unicodedata
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -153,39 +154,49 @@ def test_split_keeps_clusters_whole(spark):
     assert 10 <= sum(r.is_dev for r in got) <= 24
 
 
-def test_bootstrap_over_lists_is_brute_force(spark):
-    candidates = lambda i: [{"doc_id": str(x), "role": "candidate", "codes": [str(x % 4)], "dense_score": 0.0, "bm25_score": None, "rerank_score": float((i * 7 + x * 3) % 11)} for x in range(4)]
-    data = [(i, "icd" if i % 2 else "rxnorm", [str(i % 3)], candidates(i)) for i in range(40)]
+def test_best_cells_are_brute_force(spark, monkeypatch):
+    candidates = lambda i: [{"doc_id": str(x), "role": "candidate", "codes": [str(x % 4)], "dense_score": 0.0, "bm25_score": None, "rerank_score": float((i * 7 + x * 3) % 11)} for x in range(i % 5)]
+    data = [(i, "icd" if i % 2 else "rxnorm", [str(i % 3)], candidates(i)) for i in range(90)]
     dump = spark.createDataFrame(data, "record_id long, kb string, gold array<string>, candidates array<struct<doc_id:string,role:string,codes:array<string>,dense_score:double,bm25_score:double,rerank_score:double>>")
+    monkeypatch.setattr(calibration, "BUCKET_RECORDS", 20)
+    monkeypatch.setattr(calibration, "ROWS_AT_ONCE", 7)
     axes = calibration.score_axes(dump, 5)
-    counts = calibration.draws(dump, 6, 1, ["kb"])
-    times = {(r.sample, r.record_id): r.times for r in counts.collect()}
-    assert len(times) == counts.count() and all(sum(n for (s, i), n in times.items() if s == b and i % 2 == k) == 20 for b in range(6) for k in range(2))
-    assert max(times.values()) > 1 and len({tuple(times.get((b, i), 0) for i in range(40)) for b in range(6)}) == 6
     cells = calibration.cell_scores(dump, axes).collect()
-    got = {(r.kb, r.sample): (r.floor, r.margin, r.score) for r in calibration.bootstrap_lists(calibration.cell_lists(dump, axes), axes, counts, 6).collect()}
-    assert len(got) == 12
-    for (kb, b), found in got.items():
+    bucket = {r.record_id: r.b for r in dump.select("record_id", F.pmod(F.xxhash64(F.lit(5), "record_id"), F.lit(4)).cast("int").alias("b")).collect()}
+
+    def best(kb, times):
         sums = {}
         for r in cells:
             if r.kb == kb:
                 x = sums.setdefault((r.floor, r.margin), [0, 0])
-                x[0] += times.get((b, r.record_id), 0) * r.w * r.j
-                x[1] += times.get((b, r.record_id), 0) * r.w
+                x[0] += times[r.record_id] * r.w * r.j
+                x[1] += times[r.record_id] * r.w
         score, margin, floor = max((round(x / w, 12), -m, f) for (f, m), (x, w) in sums.items())
-        assert found == pytest.approx((floor, -margin, score))
+        return pytest.approx((floor, -margin, score))
+
+    assert {r.kb: (r.floor, r.margin, r.score) for r in calibration.best_cells(dump, axes).collect()} == {kb: best(kb, dict.fromkeys(range(90), 1)) for kb in ("icd", "rxnorm")}
+    got = {(r.kb, r.sample): (r.floor, r.margin, r.score) for r in calibration.best_cells(dump, axes, 6, 5).collect()}
+    assert len(got) == 12
+    for i, kb in enumerate(("icd", "rxnorm")):
+        own = [r for r in range(90) if r % 2 == (kb == "icd")]
+        of = {b: [r for r in own if bucket[r] == b] for b in sorted({bucket[r] for r in own})}
+        drawn = np.random.default_rng([5, 1 << 31, i]).multinomial(45, [len(x) / 45 for x in of.values()], 6)
+        times = np.zeros((6, 90), int)
+        for n, (b, ids) in zip(drawn.T, of.items()):
+            times[:, ids] = calibration.drawn_times(n, len(ids), 5 + i, b)
+        assert (times.sum(1) == 45).all() and times.max() > 1 and len({tuple(t) for t in times}) == 6
+        assert all(got[kb, b] == best(kb, times[b]) for b in range(6))
 
 
 def test_grid_and_bootstrap_are_whole(spark, monkeypatch):
     from mentionforge.plans import catalogue
 
     asked = []
-    axes, draws = calibration.score_axes, calibration.draws
-    monkeypatch.setattr(calibration, "score_axes", lambda d, steps=calibration.GRID_STEPS: asked.append(steps) or axes(d, 3))
-    monkeypatch.setattr(calibration, "draws", lambda d, n, *a: asked.append(n) or draws(d, n, *a))
+    best = calibration.best_cells
+    monkeypatch.setattr(calibration, "best_cells", lambda d, axes, n=None: asked.append((axes.count(), n)) or best(d, axes, n))
     assert catalogue.QUERIES["grid_best"](spark, "/root/testdata/sf0.001").count() == 2
     assert catalogue.QUERIES["bootstrap"](spark, "/root/testdata/sf0.001").count() == 600
-    assert asked == [41, 41, 300]
+    assert asked == [(41, None), (41, 300)]
 
 
 def test_order_statistics_without_lists(spark):
