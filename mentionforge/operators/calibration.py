@@ -48,6 +48,15 @@ def grid_scores(cells: DataFrame, keys: list[str]) -> DataFrame:
     return cells.groupBy(*keys, "floor", "margin").agg(F.round(F.coalesce(F.sum(F.col("j") * F.col("w")) / F.sum("w"), F.lit(0.0)), DIGITS).alias("score"))
 
 
+def slices(scores: DataFrame, keys: list[str]) -> DataFrame:
+    """Of a heat map (grid_scores) the row and the column through the best cell: keys, axis (floor, margin: what varies),
+    value, score."""
+    best = best_pair(scores, keys).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("floor").alias("__floor"), F.col("margin").alias("__margin"))
+    d = scores.join(F.broadcast(best), [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])  # one row a knowledge base
+    cut = lambda varies, stays: d.filter(F.col(stays) == F.col(f"__{stays}")).select(*keys, F.lit(varies).alias("axis"), F.col(varies).alias("value"), "score")
+    return cut("floor", "margin").union(cut("margin", "floor"))
+
+
 def best_pair(scores: DataFrame, keys: list[str]) -> DataFrame:
     """floor, margin, score of the best cell; ties: the smaller margin, then the larger floor."""
     best = F.max_by(F.struct("floor", "margin", "score"), F.struct(F.col("score"), -F.col("margin"), F.col("floor")))

@@ -14,6 +14,8 @@ from mentionforge.functions.text import CODE_LINE, SPACE_CLASS, has_glyph_drop,
 BUCKET_WIDTH = 10.0
 BLANK_SHARE = 0.05
 FOOTER_MARGIN = 45.0
+#: Words of one line differ in height by less than this, in points.
+LINE_TOLERANCE = 3.0
 
 
 def column_split(words: DataFrame, width: float = BUCKET_WIDTH, blank: float = BLANK_SHARE) -> DataFrame:
@@ -29,6 +31,22 @@ def column_split(words: DataFrame, width: float = BUCKET_WIDTH, blank: float = B
     return edges.groupBy("page").agg(F.coalesce(F.min_by("edge", F.when(F.col("edge").isNotNull(), key)), middle).cast("double").alias("split_x"))
 
 
+def page_lines(words: DataFrame, splits: DataFrame | None = None, footer: float = FOOTER_MARGIN, tolerance: float = LINE_TOLERANCE) -> DataFrame:
+    """words (page, x0, top, text, page_width, page_height) to page, side (left, right of the page's split), line_no, text.
+
+    Words in the footer are cut off. In each half a word that stands lower than the one before by ``tolerance`` or more
+    opens a line; a line's words are in order of x0. splits (page, split_x) defaults to column_split(words). A page is
+    the unit of work."""
+    body = words.filter(F.col("top") < F.col("page_height") - footer)
+    splits = column_split(body) if splits is None else splits
+    d = body.join(splits.select("page", "split_x"), "page").withColumn("side", F.when(F.col("x0") < F.col("split_x"), "left").otherwise("right"))
+    down = W.partitionBy("page", "side").orderBy("top", "x0", "text")
+    opens = F.coalesce((F.col("top") - F.lag("top").over(down) >= tolerance).cast("int"), F.lit(1))
+    d = d.withColumn("__opens", opens).withColumn("line_no", F.sum("__opens").over(down.rowsBetween(W.unboundedPreceding, 0)))
+    inside = F.transform(F.array_sort(F.collect_list(F.struct("x0", "text"))), lambda w: w["text"])
+    return d.groupBy("page", "side", "line_no").agg(F.array_join(inside, " ").alias("text"))
+
+
 def code_entries(lines: DataFrame, keys: list[str], line: str = "line_no", text: str = "text") -> DataFrame:
     """lines to one row per keys and code: code, description.
 

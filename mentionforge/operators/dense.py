@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from mentionforge.operators.rows import materialized
+
 TOP_K = 30
-#: Query vectors that are compared with the corpus in one pass.
+#: Query vectors that are compared with the corpus in one pass, and the tiles in which a task compares.
 QUERY_BLOCK = 16_384
+QUERY_TILE = 512
+ROW_TILE = 8192
 
 
 def unit_vectors(df: DataFrame, vector: str) -> DataFrame:
@@ -32,15 +36,25 @@ def _matrix(column: pa.Array, dtype=np.float64) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
+def best_of_tile(vectors: np.ndarray, rows: np.ndarray, k: int, digits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """query, row and score of the k best rows of each query, and of all that tie with the k-th to the last digit."""
+    scores = np.round(vectors @ rows.T, digits + 3)
+    m = min(k, len(rows))
+    least = -np.partition(-scores, m - 1, axis=1)[:, m - 1 : m]
+    q, d = np.nonzero(scores >= np.round(least, digits) - 10.0**-digits)
+    return q, d, scores[q, d]
+
+
 def search(docs: DataFrame, queries: DataFrame, k: int = TOP_K, doc_id: str = "vec_id", query_id: str = "query_id", vector: str = "embedding", digits: int = 6, block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, doc_id, score, dense_rank: the k documents with the greatest dot product, ties by id.
 
-    Queries go to the tasks in blocks of at most ``block`` vectors; each task keeps the k best of its batch, so what is
-    shuffled is k rows a query and batch."""
+    Queries go to the tasks in blocks of about ``block`` vectors, one block at a time: a block's best are computed before
+    the next one is sent, and its copy is dropped. A task compares tiles of QUERY_TILE queries and ROW_TILE rows, and keeps
+    the k best of each, so what is shuffled is k rows a query and tile."""
     numbered = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("v")).filter("v IS NOT NULL")
-    n = numbered.count()
-    parts = -(-n // block) or 1
+    parts = max(1, -(-numbered.count() // block))
     kinds = dict(docs.dtypes)[doc_id], dict(queries.dtypes)[query_id]
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.round("score", digits).desc(), "doc_id"))
     out = None
     for i in range(parts):
         rows = numbered.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == i).toArrow().combine_chunks()  # about ``block`` rows
@@ -50,19 +64,30 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP_K, doc_id: str = "v
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ids, vectors = shared.value
             for b in batches:
-                if not len(b) or not len(ids):
-                    continue
-                scores = np.round(vectors @ _matrix(b.column(1)).T, digits + 3)
-                m = min(k, len(b))
-                # The m-th best by row; all ties with it are kept, and the window decides.
-                least = -np.partition(-scores, m - 1, axis=1)[:, m - 1 : m]
-                q, d = np.nonzero(scores >= np.round(least, digits) - 10.0**-digits)
-                yield pa.record_batch([ids.take(pa.array(q)), b.column(0).take(pa.array(d)), pa.array(scores[q, d])], names=["query_id", "doc_id", "score"])
+                for x in range(0, len(b), ROW_TILE):
+                    tile = b.slice(x, ROW_TILE)
+                    matrix = _matrix(tile.column(1))
+                    for y in range(0, len(ids), QUERY_TILE):
+                        q, d, score = best_of_tile(vectors[y : y + QUERY_TILE], matrix, k, digits)
+                        yield pa.record_batch([ids.take(pa.array(y + q)), tile.column(0).take(pa.array(d)), pa.array(score)], names=["query_id", "doc_id", "score"])
 
         found = docs.select(F.col(doc_id).alias("doc_id"), vector).filter(F.col(vector).isNotNull()).mapInArrow(run, f"query_id {kinds[1]}, doc_id {kinds[0]}, score double")
+        found = found.withColumn("dense_rank", rank).filter(F.col("dense_rank") <= k)
+        if parts > 1:
+            found = materialized(found)
+            found.count()
+            shared.unpersist()
         out = found if out is None else out.union(found)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.round("score", digits).desc(), "doc_id"))
-    return out.withColumn("dense_rank", rank).filter(F.col("dense_rank") <= k)
+    return out
+
+
+def check_asymmetric(spark: SparkSession, embed, prompts: tuple[str, str], sample: list[str], tolerance: float = 1e-3) -> None:
+    """Fails where a model gives queries and documents the same vectors, that is, ignores its prompts. embed: a text
+    column and a prompt to a vector column."""
+    d = spark.createDataFrame([(t,) for t in sample], "text string").select(*[embed(F.col("text"), p).alias(n) for n, p in zip("qd", prompts, strict=True)])
+    apart = F.array_max(F.zip_with("q", "d", lambda x, y: F.abs(x - y)))
+    if d.select(F.max(apart).alias("m")).first()["m"] <= tolerance:
+        raise ValueError("queries and documents have the same vectors: the prompts are not used")
 
 
 def save_index(docs: DataFrame, path: str, expected: int | None = None) -> None:

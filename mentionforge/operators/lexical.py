@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mentionforge.functions.text import tokens
+from mentionforge.operators.rows import materialized
 
 K1 = 1.5
 B = 0.75
@@ -32,15 +33,6 @@ class LexicalIndex:
         return max(self.length / self.n_docs if self.n_docs else 0.0, 1e-9)
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Computed once: a checkpoint where the session has a folder for it, else blocks on disk."""
-    if df.sparkSession.sparkContext.getCheckpointDir() is not None:
-        return df.checkpoint()
-    from pyspark import StorageLevel
-
-    return df.persist(StorageLevel.DISK_ONLY)
-
-
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: DataFrame | None = None) -> LexicalIndex:
     """The index of a whole corpus, or of its tokens that are among ``vocabulary`` (tok), which are those of the queries
     where an index serves one search. Texts are tokenised once: a row without token carries each document's length."""

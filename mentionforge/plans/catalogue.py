@@ -555,3 +555,64 @@ def candidates_score(spark: SparkSession, d: str) -> DataFrame:
     pred = dump(spark, d).withColumn("predicted", measures.predicted(F.col("candidates"), F.lit(1.49), F.lit(0.399)))
     score = arrays.weighted_mean(arrays.jaccard(F.col("gold"), F.col("predicted")), arrays.gold_weight(F.col("gold")))
     return pred.groupBy("kb").agg(F.round(score, 6).alias("score"))
+
+
+SQL_WORDS = """w AS (SELECT l_orderkey AS page, ((l_partkey * 37) % 600)::DOUBLE AS x0, (l_linenumber // 2) * 12.0::DOUBLE + (l_linenumber % 2) AS top, l_returnflag || l_linenumber AS text FROM lineitem)"""
+
+
+@query(f"""WITH {SQL_WORDS},
+h AS (SELECT *, CASE WHEN x0 < 300 THEN 'left' ELSE 'right' END AS side FROM w WHERE top < 75.0 - 45.0),
+o AS (SELECT *, CASE WHEN top - lag(top) OVER win >= 3.0 OR lag(top) OVER win IS NULL THEN 1 ELSE 0 END AS opens FROM h WINDOW win AS (PARTITION BY page, side ORDER BY top, x0, text)),
+n AS (SELECT *, sum(opens) OVER (PARTITION BY page, side ORDER BY top, x0, text ROWS UNBOUNDED PRECEDING)::BIGINT AS line_no FROM o)
+SELECT page, side, line_no, string_agg(text, ' ' ORDER BY x0, text) AS text FROM n GROUP BY page, side, line_no""")
+def page_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Words of pages (an order is a page) to lines of halves, without footers."""
+    line = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("page"), ((F.col("l_partkey") * 37) % 600).cast("double").alias("x0"), (F.floor(F.col("l_linenumber") / 2) * 12.0 + F.col("l_linenumber") % 2).cast("double").alias("top"),
+        F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("text"), F.lit(600.0).alias("page_width"), F.lit(75.0).alias("page_height"),
+    )
+    return code_tables.page_lines(line, line.select("page").distinct().withColumn("split_x", F.lit(300.0)))
+
+
+SQL_RECORDS = "r AS (SELECT doc_id AS line_no, CASE WHEN doc_id % 29 = 0 THEN '' ELSE source || '_' || (doc_id % 700) END AS doc_id, CASE WHEN doc_id % 31 = 0 THEN NULL ELSE text END AS text FROM documents)"
+
+
+def knowledge_records(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("doc_id")
+    own = F.when(k % 29 == 0, "").otherwise(F.concat("source", F.lit("_"), (k % 700).cast("string")))
+    return table(spark, d, "documents").select(k.alias("line_no"), own.alias("doc_id"), F.when(k % 31 != 0, F.col("text")).alias("text"), F.lit("").alias("kb"), F.lit("").alias("role"), F.lit("c").alias("code"))
+
+
+@query(f"WITH {SQL_RECORDS} SELECT doc_id, line_no, 'icd' AS kb, 'candidate' AS role FROM r WHERE doc_id <> '' AND text <> '' QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY line_no) = 1")
+def knowledge_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """The first line of each id, in the input's order."""
+    return files.code_documents(knowledge_records(spark, d)).select("doc_id", "line_no", "kb", "role")
+
+
+@query(f"""WITH {SQL_RECORDS}, k AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE doc_id <> '' AND text <> '') AS ok FROM r GROUP BY doc_id)
+SELECT sum(n)::BIGINT AS n_read, sum(n - ok)::BIGINT AS n_incomplete, sum(ok - least(ok, 1))::BIGINT AS n_repeated, sum(least(ok, 1))::BIGINT AS n_kept FROM k""")
+def knowledge_counts(spark: SparkSession, d: str) -> DataFrame:
+    return files.document_counts(knowledge_records(spark, d))
+
+
+SQL_SET = "list_distinct(list_filter(string_split_regex(lower(coalesce({}, '')), '[ \\t\\n\\r\\x0b\\x0c]+'), lambda x: x <> ''))"
+
+
+@query(f"""SELECT item_id, doc_id, round(len(list_intersect(q, t)) / greatest(1, len(q)), 6) AS score
+FROM (SELECT item_id, doc_id, {SQL_SET.format('b.text')} AS q, {SQL_SET.format('d.text')} AS t FROM benchmark b JOIN documents d ON b.item_id % 50 = d.doc_id % 50 AND regexp_full_match(b.text || d.text, '[\x00-\x7f]*'))""")
+def rerank_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """A scorer of (query, text) pairs, loaded once a worker, with a frozen instruction; ASCII texts, so that both engines lower alike."""
+    items = table(spark, d, "benchmark").select("item_id", F.col("text").alias("query"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    pairs = items.join(docs, items["item_id"] % 50 == docs["doc_id"] % 50).filter(F.concat("query", "text").rlike("^[\\x00-\\x7f]*$"))
+    found = models.reranked(pairs, "shared words", lambda: models.shared_words_scorer, "Which text names the mention?")
+    return found.select("item_id", "doc_id", F.round("rerank_score", 6).alias("score"))
+
+
+@query(f"""{SQL_GRID}, g AS (SELECT kb, floor, margin, round(sum(j * w) / sum(w), 12) AS score FROM cells GROUP BY ALL),
+best AS (SELECT kb, floor AS bf, margin AS bm FROM g QUALIFY row_number() OVER (PARTITION BY kb ORDER BY score DESC, margin, floor DESC) = 1)
+SELECT kb, 'floor' AS axis, round(floor, 6) AS value, round(score, 6) AS score FROM g JOIN best USING (kb) WHERE margin = bm
+UNION ALL SELECT kb, 'margin', round(margin, 6), round(score, 6) FROM g JOIN best USING (kb) WHERE floor = bf""")
+def grid_slices(spark: SparkSession, d: str) -> DataFrame:
+    found = calibration.slices(calibration.grid_scores(grid_cells(spark, d), ["kb"]), ["kb"])
+    return found.select("kb", "axis", F.round("value", 6).alias("value"), F.round("score", 6).alias("score"))

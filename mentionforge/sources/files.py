@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from collections.abc import Iterator
+
+from pyarrow import fs
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -53,18 +58,37 @@ def read_table(spark: SparkSession, url: str, table: str, **options: str) -> Dat
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 
 
+def whole_documents(records: DataFrame) -> DataFrame:
+    """Those with an id and a text."""
+    return records.filter("doc_id <> '' AND text <> ''")
+
+
+def in_order(records: DataFrame, otherwise: list[str]) -> list[str]:
+    """What "first" means: the line number (numbered_lines) where the input has one, else an order of values."""
+    return ["line_no"] if "line_no" in records.columns else otherwise
+
+
 def code_documents(records: DataFrame) -> DataFrame:
     """Records of a code table to documents: those with an id and a text, the first of each id."""
-    d = records.filter("doc_id <> '' AND text <> ''")
+    d = whole_documents(records)
     d = d.withColumns({"kb": F.coalesce(F.nullif("kb", F.lit("")), F.lit("icd")), "role": F.coalesce(F.nullif("role", F.lit("")), F.lit("candidate"))})
-    return keep_first(d, ["doc_id"], ["code", "text"])
+    return keep_first(d, ["doc_id"], in_order(d, ["code", "text"]))
 
 
 def drug_documents(concepts: DataFrame, aliases: DataFrame) -> DataFrame:
     """Concepts, then aliases, as documents of one knowledge base: the first of each id, concepts before aliases."""
     both = concepts.withColumn("src", F.lit(0)).unionByName(aliases.withColumn("src", F.lit(1)), allowMissingColumns=True)
-    d = both.filter("doc_id <> '' AND text <> ''").withColumns({"kb": F.lit("rxnorm"), "role": F.when(F.col("src") == 0, "candidate").otherwise("alias")})
-    return keep_first(d, ["doc_id"], ["src", "text"]).drop("src")
+    d = whole_documents(both).withColumns({"kb": F.lit("rxnorm"), "role": F.when(F.col("src") == 0, "candidate").otherwise("alias")})
+    return keep_first(d, ["doc_id"], ["src", *in_order(d, ["text"])]).drop("src")
+
+
+def document_counts(records: DataFrame) -> DataFrame:
+    """One row: n_read, n_incomplete (without id or text), n_repeated (an id that an earlier row has), n_kept."""
+    ok = F.coalesce(F.col("doc_id") != "", F.lit(False)) & F.coalesce(F.col("text") != "", F.lit(False))
+    d = records.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(ok).alias("ok"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    kept = F.least("ok", F.lit(1))
+    return d.agg(total("n").alias("n_read"), total(F.col("n") - F.col("ok")).alias("n_incomplete"), total(F.col("ok") - kept).alias("n_repeated"), total(kept).alias("n_kept"))
 
 
 def pending(docs: DataFrame, done: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -75,3 +99,20 @@ def pending(docs: DataFrame, done: DataFrame, key: str = "doc_id") -> DataFrame:
 def write_per_document(per_document: DataFrame, path: str) -> None:
     """doc_id, json to one partition folder a document; existing ones of the same documents are replaced."""
     per_document.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("doc_id").text(path)
+
+
+def write_json_files(per_document: DataFrame, path: str) -> None:
+    """doc_id, json to one file <doc_id>.json a document, indented, in the folder of a path or address that pyarrow's file
+    systems know. A file appears whole: it is written under another name and moved."""
+
+    def write(rows: Iterator[Row]) -> None:
+        store, folder = fs.FileSystem.from_uri(path)
+        store.create_dir(folder, recursive=True)
+        for r in rows:
+            text = json.dumps(json.loads(r["json"]), ensure_ascii=False, indent=2)
+            part = f"{folder}/.{r['doc_id']}.{uuid.uuid4().hex}"
+            with store.open_output_stream(part) as out:
+                out.write(text.encode())
+            store.move(part, f"{folder}/{r['doc_id']}.json")
+
+    per_document.select("doc_id", "json").foreachPartition(write)

@@ -143,3 +143,56 @@ def test_row_operators(spark):
     h = rows.histogram(spark.createDataFrame([("a", 1.0), ("a", 1.0), ("b", 0.0), ("b", 10.0), ("b", None)], "k string, v double"), "v", ["k"], 50)
     assert {(r.k, r.bin, r.cnt) for r in h.collect()} == {("a", 26, 2), ("b", 1, 1), ("b", 50, 1)}
     assert rows.without_empty(spark.createDataFrame([("", 0)], "a string, b int"), ["a"]).first().a is None
+
+
+def test_models_are_loaded_once_and_keep_order(spark):
+    d = spark.createDataFrame([(i, f"a b{i % 3}", f"b{i % 2} a c") for i in range(25)], "i int, query string, text string").coalesce(1)
+    loads = spark.sparkContext.accumulator(0)
+
+    def load():
+        loads.add(1)
+        return models.shared_words_scorer
+
+    got = models.reranked(d, "counted", load, "find", batch=4).collect()
+    assert [r.rerank_score for r in got] == models.shared_words_scorer("", [(r.query, r.text) for r in got]) and loads.value == 1
+    with pytest.raises(Exception, match="scores for"):
+        models.reranked(d, "short", lambda: lambda i, pairs: [0.0], "find").collect()
+    embed = models.prompted_embedding("hashed", models.hashed_encoder, batch=3)
+    v = d.select(embed(F.col("text"), "query: ").alias("v")).collect()
+    assert all(abs(sum(x * x for x in r.v) - 1) < 1e-5 for r in v)
+    dense.check_asymmetric(spark, embed, ("query: ", "document: "), ["đau bụng"])
+    with pytest.raises(ValueError, match="prompts"):
+        dense.check_asymmetric(spark, embed, ("same ", "same "), ["đau bụng"])
+    out = models.extract_entities(d.limit(2), load=("lexicon", lambda: models.lexicon_extractor({"a": "THUỐC"}))).collect()
+    assert all(r.result.ok and r.result.entities[0].text == "a" for r in out)
+
+
+def test_prompt_schema_and_preflight():
+    schema = models.answer_schema()["properties"]["entities"]
+    assert schema["maxItems"] == 100 and schema["items"]["properties"]["type"]["enum"] == models.ENTITY_TYPES
+    assert models.build_prompt(models.INSTRUCTIONS, " x ")[1]["content"] == " x "
+    models.preflight(lambda t: [])
+    with pytest.raises(ZeroDivisionError):
+        models.preflight(lambda t: 1 / 0)
+
+
+def test_small_sources(spark, tmp_path):
+    import json
+
+    from mentionforge.operators import gates, rows
+
+    d = spark.createDataFrame([("a", '[{"text":"đau"}]'), ("b 2", "[]")], "doc_id string, json string")
+    files.write_json_files(d, str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["a.json", "b 2.json"]
+    text = (tmp_path / "out" / "a.json").read_text()
+    assert json.loads(text) == [{"text": "đau"}] and text.startswith("[\n  {") and "đau" in text
+    url = "jdbc:derby:memory:t;create=true"
+    d.withColumnRenamed("json", "x").write.format("jdbc").options(url=url, dbtable="t", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver").mode("overwrite").save()
+    assert {r[0] for r in files.read_table(spark, url, "t", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver").collect()} == {"a", "b 2"}
+    assert [r.n for r in rows.first_rows(spark.createDataFrame([(i,) for i in (3, 1, 2)], "n int"), 2, ["n"]).collect()] == [1, 2]
+    valid = gates.valid_codes(spark.createDataFrame([("A00",), (None,), ("",)], "code string"), spark.createDataFrame([("1",)], "code string"), spark.createDataFrame([(["1", "2"],), ([],)], "resolve_in array<string>"))
+    assert {tuple(r) for r in valid.collect()} == {("icd", "A00"), ("rxnorm", "1"), ("rxnorm", "2")}
+    records = spark.createDataFrame([("2", "b", "t2", "c"), ("1", "b", "t1", "c"), ("3", "", "t", "c"), ("4", "d", None, "c")], "line_no string, doc_id string, text string, code string").withColumns({"kb": F.lit(None).cast("string"), "role": F.lit("")})
+    assert [(r.text, r.kb, r.role) for r in files.code_documents(records).collect()] == [("t1", "icd", "candidate")]
+    assert files.document_counts(records).first().asDict() == {"n_read": 4, "n_incomplete": 2, "n_repeated": 1, "n_kept": 1}
+    assert files.document_counts(records.limit(0)).first().n_kept == 0
