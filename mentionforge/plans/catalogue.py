@@ -403,7 +403,19 @@ def drop_nested(spark: SparkSession, d: str) -> DataFrame:
     return rows.drop_nested(events, ["user_id", "event_type"]).select("event_id", "user_id", "event_type")
 
 
-@query()
+#: Where a word is found first behind the span before it, else in the whole text.
+SQL_BEHIND = "CASE WHEN strpos(substr(text, {at} + 1), {w}) > 0 THEN {at} + strpos(substr(text, {at} + 1), {w}) - 1 ELSE strpos(text, {w}) - 1 END"
+
+
+@query(f"""WITH t AS (SELECT conv_id || '/' || turn AS doc_id, text, string_split_regex(text, '\\s+') AS w FROM conversations),
+a AS (SELECT *, w[1] AS w1, w[-1] AS w3, length(array_to_string(w[1:2], ' ')) AS n1, CASE WHEN contains(text, upper(array_to_string(w[1:2], ' '))) THEN strpos(text, upper(array_to_string(w[1:2], ' '))) - 1 ELSE 0 END AS s1 FROM t),
+b AS (SELECT *, {SQL_BEHIND.format(at='(s1 + n1)', w='w1')} AS s2 FROM a),
+c AS (SELECT *, s2 = s1 AND n1 = length(w1) AS same, CASE WHEN s2 = s1 AND n1 = length(w1) THEN s1 + n1 ELSE s2 + length(w1) END AS at3 FROM b),
+e AS (SELECT *, {SQL_BEHIND.format(at='at3', w='w3')} AS s3 FROM c),
+found AS (SELECT doc_id, text, 0 AS ord, 'CHẨN_ĐOÁN' AS type, s1 AS span_start, s1 + n1 AS span_end FROM e
+UNION ALL SELECT doc_id, text, 1, 'CHẨN_ĐOÁN', s2, s2 + length(w1) FROM e WHERE NOT same AND NOT (s1 <= s2 AND s2 + length(w1) <= s1 + n1 AND n1 > length(w1))
+UNION ALL SELECT doc_id, text, 2, 'THUỐC', s3, s3 + length(w3) FROM e)
+SELECT doc_id, ord, regexp_replace(substr(text, span_start + 1, span_end - span_start), '\\s+', ' ', 'g') AS text, type, span_start, span_end FROM found""")
 def align_spans(spark: SparkSession, d: str) -> DataFrame:
     """Every turn's first two words, changed in case, and its last word are looked for in it."""
     w = F.split(F.trim("text"), "\\s+")
