@@ -4,9 +4,11 @@ A text's sketch is the ``k`` smallest distinct 64-bit hashes of its five-word sh
 of all), in ascending order. Sketches of parts merge into the sketch of the whole, and estimate how many distinct
 shingles a text has, how alike two texts are and how much of one is in the other. DataFrame operations only.
 
-Edge cases: a null text counts as empty and has the empty sketch; two empty sketches have likeness 1, an empty and
-another one 0; equal texts have equal sketches; rows that share an id follow each other in order of their text; a
-null id comes first; a single row is its own successor; an empty table gives an empty result.
+Edge cases: a null text counts as empty and has the empty sketch; texts are hashed whole, however long (one is held by
+one task); two empty sketches have likeness 1, an empty and another one 0; equal texts have equal sketches; rows that
+share an id follow each other in order of their text, in one task; a null id comes first; ids are whole numbers where
+successors are asked for, of any type else; a single row is its own successor; only the id and the text are read, so
+other columns of any name do no harm; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mentionforge.llm.common import partitions, whole, words
+from mentionforge.llm.common import partitions, quoted, whole, words
 
 WIDTH = 5
 #: The standard error of a likeness is at most 0.5 / sqrt(K).
@@ -70,7 +72,7 @@ def as_text(sketch: Column) -> Column:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """doc_id, sketch of each row."""
-    hashed = docs.select(docs[id_col].alias("doc_id"), word_hashes(docs[text_col]).alias("h"))
+    hashed = docs.select(docs[quoted(id_col)].alias("doc_id"), word_hashes(docs[quoted(text_col)]).alias("h"))
     return hashed.select("doc_id", sketch_of(F.col("h"), k).alias("sketch"))
 
 
@@ -112,7 +114,9 @@ def with_next(docs: DataFrame, blocks: int) -> tuple[DataFrame, W]:
 def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """Per row its fingerprint, and that of its text with the second half replaced by the next row's beginning."""
     blocks = min(4 * partitions(docs), MOST_BLOCKS)
-    plain = docs.select(docs[id_col].alias("doc_id"), whole(docs[text_col]).alias("text"))
+    if dict(docs.dtypes)[id_col] not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"the successor of a document is that with the next whole number; {id_col} is none")
+    plain = docs.select(docs[quoted(id_col)].alias("doc_id"), whole(docs[quoted(text_col)]).alias("text"))
     d, order = with_next(plain, blocks)
     d = d.withColumn("n_chars", F.length("text").cast("long")).withColumn("half", F.floor(F.col("n_chars") / 2).cast("int"))
     d = d.withColumn("next_text", F.coalesce(F.lead("text").over(order), F.lit("")))

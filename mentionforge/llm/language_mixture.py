@@ -5,11 +5,13 @@ expectation-maximisation estimates its proportions, first over all languages, th
 likeliest ones; the set with the best penalised likelihood is taken, and of it the language with the largest share.
 
 Learned from a bounded sample of labelled texts (about ``per_language`` whole texts of each language, by hash of the
-id); the counts that reach the driver are bounded by languages times BUCKETS.
+id). The table that is collected and broadcast has BUCKETS numbers a language; more than MOST_LANGUAGES languages are an
+error, so that its size is bounded (64 MB).
 
 Edge cases: null, empty and letterless texts are ``und`` with score 0, and so is all if nothing could be learned;
-texts with a null language are not learned from; very long texts are scored in pieces; ties go to the language that
-comes first; repeated rows are judged each for itself; an empty table gives an empty result.
+texts with a null language are not learned from; very long texts are scored whole, piece by piece; ties go to the
+language that comes first; repeated rows are judged each for itself; other columns may have any name and stay as they
+are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mentionforge.llm.common import cut, fold, join_counted
+from mentionforge.llm.common import cut, fold, join_counted, quoted
 
 BUCKETS = 1 << 16
 PER_LANGUAGE = 2000
+MOST_LANGUAGES = 256
 PIECE = 1 << 20
 #: Characters of ASCII that are not letters count as white space.
 PLAIN = bytes(c if chr(c).isalpha() or c > 127 else 32 for c in range(256))
@@ -54,8 +58,10 @@ def trigrams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """The languages and the logarithms of their trigram probabilities (BUCKETS x languages)."""
-    d = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].cast("string").alias("text"), F.pmod(F.xxhash64(F.lit("sample"), docs[id_col]), F.lit(1 << 30)).alias("at")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    d = docs.select(docs[quoted(lang_col)].cast("string").alias("lang"), docs[quoted(text_col)].cast("string").alias("text"), F.pmod(F.xxhash64(F.lit("sample"), docs[quoted(id_col)]), F.lit(1 << 30)).alias("at")).filter("lang IS NOT NULL AND text IS NOT NULL")
     counts = cut(d.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*") * (1 << 30)).alias("below")), few=True)
+    if (n := counts.count()) > MOST_LANGUAGES:
+        raise ValueError(f"{n} languages; at most {MOST_LANGUAGES} can be learned")
     sample = join_counted(d, counts, ["lang"], "inner").filter("at < below").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +143,7 @@ def predict(rows: DataFrame, langs: list[str], table: np.ndarray, cost: float, t
                 cols = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.list_(pa.string()))]
                 yield pa.record_batch([*(b.column(c) for c in keep), *cols], names=[*keep, "lang_pred", "lang_score", "lang_set"])
 
-    kinds = dict(rows.dtypes)
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "lang_pred string", "lang_score double", "lang_set array<string>"])
+    schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType()), T.StructField("lang_set", T.ArrayType(T.StringType()))])
     return rows.mapInArrow(run, schema)
 
 
@@ -155,10 +160,11 @@ def identify_documents(docs: DataFrame, per_language: int = PER_LANGUAGE, cost:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, per_language: int = PER_LANGUAGE, cost: float = 4.0) -> DataFrame:
-    """The rows of docs with a language whose score is ``least`` or more; ``und`` goes."""
+    """The rows of docs with an identified language: ``und`` goes, and so does a text of one language whose posterior is
+    under ``least``. A text that is found to mix languages stays, whatever the largest share."""
     langs, table = learn(docs.filter(~held_out(docs["doc_id"])), per_language)
-    found = predict(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")), langs, table, cost, ("row", "text"), ["row"])
-    return found.filter((F.col("lang_pred") != "und") & (F.col("lang_score") >= least)).select("row.*")
+    found = predict(docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row")), langs, table, cost, ("row", "text"), ["row"])
+    return found.filter((F.col("lang_pred") != "und") & ((F.size("lang_set") > 1) | (F.col("lang_score") >= least))).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -7,12 +7,13 @@ unbiased risk, prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positi
 model over binned surface features of the whole text; its scores are made probabilities by the monotone ratio of the
 positives' density, times the prior, to the unlabelled's.
 
-Fitted on a bounded sample (``positives`` and ``unlabelled`` texts at most, about, by hash of the id) on the driver;
-every text is scored in its partition.
+Fitted on a bounded sample (``positives`` and ``unlabelled`` texts at most, by hash of the id, one row an id) on the
+driver; every text is scored in its partition.
 
-Edge cases: null and empty texts have the features of the empty text and a score; without trusted positives every
-score is the default prior; of several labels of a document the best counts; repeated rows are scored each for
-itself; an empty table gives an empty result.
+Edge cases: null and empty texts have the features of the empty text and a score; texts are measured whole, however
+long; without trusted positives every score is the default prior; of several labels of a document the best counts;
+repeated rows are scored each for itself; other columns may have any name and stay as they are; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mentionforge.llm.common import cut, fold, join_counted
+from mentionforge.llm.common import cut, fold, join_counted, quoted
 
 POSITIVES = 10_000
 UNLABELLED = 30_000
@@ -138,6 +140,19 @@ def calibration(z_p: np.ndarray, z_u: np.ndarray, prior: float, bins: int = 400)
     return np.array(x), np.array(y)
 
 
+def pu_risks(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two parts of the unbiased risk with the logistic loss: of the positives, and of the negatives, which is
+    estimated as that of all less the positives' share and may come out below zero."""
+    return prior * np.logaddexp(0, -zp).mean(), np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+
+
+def pu_gradient(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """The non-negative risk's derivatives by the scores; where the negatives' part is below zero, the way back up."""
+    if pu_risks(zp, zu, prior)[1] < 0:
+        return prior * sigmoid(zp) / len(zp), -sigmoid(zu) / len(zu)
+    return prior * (sigmoid(zp) - 1) / len(zp) - prior * sigmoid(zp) / len(zp), sigmoid(zu) / len(zu)
+
+
 def fit(x_p: np.ndarray, x_u: np.ndarray, bins: int = BINS, rounds: int = 500, rate: float = 0.05, decay: float = 1e-4) -> dict:
     """The model: edges, weights, bias, prior."""
     if not len(x_p) or not len(x_u):
@@ -145,19 +160,12 @@ def fit(x_p: np.ndarray, x_u: np.ndarray, bins: int = BINS, rounds: int = 500, r
     edges = spans(np.concatenate([x_p, x_u]), bins)
     width = sum(len(e) + 1 for e in edges)
     at_p, at_u = one_hot(x_p, edges), one_hot(x_u, edges)
-    n_p, n_u = len(x_p), len(x_u)
     # Positives against unlabelled, on halves: the other halves estimate the prior.
     w, b = descend(at_p[::2], at_u[::2], width, lambda zp, zu: ((sigmoid(zp) - 1) / len(zp), sigmoid(zu) / len(zu)), rounds // 2, rate, decay)
     score = lambda at: w[at].sum(1) + b
-    prior = estimate_prior(score(at_p[1::2]), score(at_u[1::2])) if n_p > 1 and n_u > 1 else DEFAULT_PRIOR
-
-    def non_negative(zp: np.ndarray, zu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        if negative < 0:  # the negative part must not fall below zero: climb back
-            return prior * sigmoid(zp) / n_p, -sigmoid(zu) / n_u
-        return prior * (sigmoid(zp) - 1) / n_p - prior * sigmoid(zp) / n_p, sigmoid(zu) / n_u
+    prior = estimate_prior(score(at_p[1::2]), score(at_u[1::2])) if len(x_p) > 1 and len(x_u) > 1 else DEFAULT_PRIOR
 
-    w, b = descend(at_p, at_u, width, non_negative, rounds, rate, decay)
+    w, b = descend(at_p, at_u, width, lambda zp, zu: pu_gradient(zp, zu, prior), rounds, rate, decay)
     return {"edges": edges, "weights": w, "bias": b, "prior": prior, "points": calibration(score(at_p), score(at_u), prior)}
 
 
@@ -177,9 +185,11 @@ def trained(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unla
     some = cut(good.filter(at(F.col("id"), "good") < F.lit(positives / max(1, n_good) * (1 << 30))), few=True)
     n = docs.count()
     d = docs.select("doc_id", "text")
-    with_p = join_counted(d.withColumnRenamed("doc_id", "id"), some, ["id"], "inner").select(F.lit(1).alias("trusted"), "text")
-    with_u = d.filter(at(F.col("doc_id"), "web") < F.lit(unlabelled / max(1, n) * (1 << 30))).select(F.lit(0).alias("trusted"), "text")
-    x = feature_rows(with_p.union(with_u)).toPandas()  # about positives + unlabelled rows of len(FEATURES) numbers
+    with_p = join_counted(d.withColumnRenamed("doc_id", "id"), some, ["id"], "inner").select("id", F.lit(1).alias("trusted"), "text")
+    with_u = d.filter(at(F.col("doc_id"), "web") < F.lit(unlabelled / max(1, n) * (1 << 30))).select(F.col("doc_id").alias("id"), F.lit(0).alias("trusted"), "text")
+    every = feature_rows(with_p.union(with_u)).groupBy("id", "trusted").agg(F.min("x").alias("x"))  # one row an id
+    most = lambda t, n, salt: every.filter(F.col("trusted") == t).orderBy(at(F.col("id"), salt), "id").limit(n)
+    x = most(1, positives, "good").union(most(0, unlabelled, "web")).toPandas()  # len(FEATURES) numbers a row
     rows = np.array(x["x"].tolist(), np.float64).reshape(len(x), len(FEATURES))
     order = np.lexsort([*rows.T, x["trusted"].to_numpy()])  # the same order in every run
     rows, trusted = rows[order], x["trusted"].to_numpy()[order] == 1
@@ -206,8 +216,7 @@ def score_texts(rows: DataFrame, model: dict, text: tuple[str, ...], keep: list[
                 x = np.array([features(t.as_py()) for t in texts], np.float64).reshape(len(b), len(FEATURES))
                 yield pa.record_batch([*(b.column(c) for c in keep), pa.array(scores(shared.value, x))], names=[*keep, "quality_score"])
 
-    kinds = dict(rows.dtypes)
-    return rows.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "quality_score double"]))
+    return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in keep), T.StructField("quality_score", T.DoubleType())]))
 
 
 def held_out(doc_id):
@@ -225,7 +234,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of docs whose score reaches the threshold."""
     model = trained(docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(~held_out(F.col("doc_id"))), labels.filter(~held_out(F.col("doc_id"))))
-    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    keyed = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"))
     return score_texts(keyed, model, ("row", "text"), ["row"]).filter(F.col("quality_score") >= threshold).select("row.*")
 
 

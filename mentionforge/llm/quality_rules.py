@@ -9,17 +9,21 @@ number of rules, so that with probability 1 - delta all strata falsely reject at
 All steps are DataFrame operations; texts are read once and never shuffled.
 
 Edge cases: a null text has no words and fails the base rules; a null stratum is a stratum of its own; a stratum with
-too few labels certifies no cutoff and only its base rules reject; of several labels of a document the best counts;
-rows that share a doc_id are kept and judged each for itself; an empty table gives an empty result.
+too few labels certifies no cutoff and only its base rules reject (see least_good); of several labels of a document the
+best counts; texts are measured whole, however long (one is held by one task); rows that share a doc_id are kept and
+judged each for itself; only the named columns are read, so others of any name do no harm; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mentionforge.llm.common import cut, join_counted, SPACES, whole, words
+from mentionforge.llm.common import cut, join_counted, quoted, SPACES, whole, words
 
 #: Ratios per word (or line) on which a rule may reject, and on which side.
 RULES = {
@@ -32,6 +36,9 @@ RULES = {
 }
 #: Steps of the grids, from strict to lenient: cutoff i of the ratios in 0..1 is (i / GRID)^2, of word lengths i / 4 or 4 * i / GRID.
 GRID = 64
+#: The share of a stratum's good texts that may be rejected, and the probability that any stratum loses more.
+ALPHA = 0.02
+DELTA = 0.05
 
 
 def cutoff_value(rule: Column, step: Column) -> Column:
@@ -47,7 +54,7 @@ def count_of(text: Column, characters: str) -> Column:
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """doc_id, stratum, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_capitals, base_failed."""
-    d = docs.select(docs[id_col].alias("doc_id"), docs[stratum_col].cast("string").alias("stratum"), whole(docs[text_col]).alias("text"))
+    d = docs.select(docs[quoted(id_col)].alias("doc_id"), docs[quoted(stratum_col)].cast("string").alias("stratum"), whole(docs[quoted(text_col)]).alias("text"))
     d = d.withColumns({"w": words(F.col("text")), "lines": F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")})
     d = d.select(
         "doc_id", "stratum", F.size("w").alias("n_words"),
@@ -86,6 +93,11 @@ def binomial_below(k: Column, n: Column, p: float) -> Column:
     return F.when(k < 1, F.exp(n * F.log1p(F.lit(-p)))).otherwise(F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(k, F.lit(1))), start, step)["sum"])
 
 
+def least_good(strata: int, alpha: float = ALPHA, delta: float = DELTA) -> int:
+    """How many good holdout texts a stratum needs for any cutoff to pass, if none of them is rejected."""
+    return math.ceil(math.log(delta / (len(RULES) * strata)) / math.log1p(-alpha / len(RULES)))
+
+
 def certified_cutoffs(good: DataFrame, alpha: float, delta: float) -> DataFrame:
     """From the features of good holdout texts: stratum, rule, cutoff, n_good, n_lost of each certified rule."""
     limit = alpha / len(RULES)
@@ -120,7 +132,7 @@ def judge(feats: DataFrame, cutoffs: DataFrame) -> DataFrame:
     return d.withColumn("kept", ~F.col("base_failed") & ~F.when(F.col("base_failed"), False).otherwise(rejects)).drop(*[f"cut_{k}" for k in RULES])
 
 
-def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05, **columns) -> DataFrame:
+def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, **columns) -> DataFrame:
     """The features of all texts and the verdict kept. ``labels``: doc_id, quality (1: good)."""
     feats = cut(features(docs, **columns))
     good = labels.groupBy(F.col("doc_id").alias("good_id")).agg(F.max("quality").alias("best")).filter("best = 1").select("good_id")
@@ -134,7 +146,7 @@ def query(spark, sf_dir: str) -> DataFrame:
     return apply_rules(docs, labels).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-ORACLE = r"""
+SQL = r"""
 WITH t AS (SELECT doc_id, lang AS stratum, coalesce(text, '') AS text,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 base AS (
@@ -169,8 +181,8 @@ counted AS (
   FROM ratios SEMI JOIN good USING (doc_id), grid WHERE NOT base_failed GROUP BY ALL),
 m AS (SELECT count(DISTINCT (coalesce(stratum, '?'), rule)) AS tests FROM counted),
 tested AS (
-  SELECT *, CASE WHEN k >= n * (0.02 / 6) THEN 0 ELSE (list_sum(list_transform(range(k + 1),
-           lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02 / 6) + (n - i) * ln(1 - 0.02 / 6)))) <= 0.05 / tests)::INT END AS passes
+  SELECT *, CASE WHEN k >= n * (@ALPHA@ / 6) THEN 0 ELSE (list_sum(list_transform(range(k + 1),
+           lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(@ALPHA@ / 6) + (n - i) * ln(1 - @ALPHA@ / 6)))) <= @DELTA@ / tests)::INT END AS passes
   FROM counted, m),
 chosen AS (
   SELECT stratum, rule, arg_min(cutoff, step) AS cutoff
@@ -182,3 +194,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
 FROM feats
 """
+
+
+def oracle(alpha: float = ALPHA, delta: float = DELTA) -> str:
+    """The query in DuckDB's SQL."""
+    return SQL.replace("@ALPHA@", repr(alpha)).replace("@DELTA@", repr(delta))
+
+
+ORACLE = oracle()

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mentionforge.llm.common import cut, whole
+from mentionforge.llm.common import cut, quoted, whole
 
 CAPACITY = 4096
 END = 1
@@ -137,7 +137,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                 cols = [b.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
                 yield pa.record_batch(cols, names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    texts = docs.select(docs[id_col].alias("doc_id"), whole(docs[text_col]).alias("text"))
+    texts = docs.select(docs[quoted(id_col)].alias("doc_id"), whole(docs[quoted(text_col)]).alias("text"))
     return texts.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 

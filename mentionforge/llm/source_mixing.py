@@ -7,8 +7,9 @@ threshold does not fit; what it leaves open is a smaller budget, for which the n
 behind it that are small enough, and so on (nested budgets).
 All steps are DataFrame operations.
 
-Edge cases: a null text has size 0; a null source is a source of its own and comes last; a null id is hashed as the
-empty text; rows that share an id share a hash and are taken or left together; an empty table gives an empty result.
+Edge cases: a null text has size 0; texts are counted whole, however long; a null source is a source of its own and comes
+last; a null id is hashed as the empty text; rows that share an id share a hash and are taken or left together; other
+columns may have any name and stay as they are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mentionforge.llm.common import cut, join_counted, word_count
+from mentionforge.llm.common import cut, join_counted, quoted, word_count
 
 BITS = 15
 LEVELS = 4
@@ -107,7 +108,7 @@ def thresholds(base: DataFrame, targets: DataFrame, rounds: int) -> DataFrame:
 
 def plan_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "mix", rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
     """The sizes (doc_id, source, size, hash) of all rows, and each source's thresholds."""
-    base = cut(docs.select(docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"), word_count(docs[text_col]).alias("size"), mix_hash(docs[id_col], seed).alias("hash")))
+    base = cut(docs.select(docs[quoted(id_col)].alias("doc_id"), docs[quoted(source_col)].cast("string").alias("source"), word_count(docs[quoted(text_col)]).alias("size"), mix_hash(docs[quoted(id_col)], seed).alias("hash")))
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = cut(source_targets(sizes, weights, share, cap))
     return base, thresholds(base, targets, rounds)
@@ -128,7 +129,7 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 def mix_rows(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
     _, ends = plan_mix(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[source_col].cast("string").alias("source"), word_count(docs[text_col]).alias("size"), mix_hash(docs[id_col], seed).alias("hash"))
+    keyed = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"), docs[quoted(source_col)].cast("string").alias("source"), word_count(docs[quoted(text_col)]).alias("size"), mix_hash(docs[quoted(id_col)], seed).alias("hash"))
     many = join_counted(keyed, ends, ["source"]).withColumn("times", taken_copies()).filter("times > 0")
     return many.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 

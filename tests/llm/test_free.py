@@ -435,6 +435,86 @@ def test_quality_odd_rows(spark):
     assert pu_quality.keep_good(odd(spark), labels).columns == odd(spark).columns
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_proportions_and_sets_are_brute_force(seed):
+    """EM against a grid over all shares; the chosen set against all sets."""
+    rng = np.random.default_rng(seed)
+    like = rng.random((60, 3)) ** 3
+    like[:, 2] *= 0.2
+    share, fit = language_mixture.proportions(like, rounds=2000)
+    grid = [(a, b, 1 - a - b) for a in np.linspace(0, 1, 101) for b in np.linspace(0, 1 - a, 101)]
+    values = [np.log(np.maximum(like @ np.array(g), 1e-300)).sum() for g in grid]
+    assert fit >= max(values) - 0.05 and np.abs(share - grid[int(np.argmax(values))]).max() < 0.08
+    langs, grams = ["aa", "bb", "cc"], rng.normal(-8, 2, (language_mixture.BUCKETS, 3)).astype(np.float32)
+    words = [f"w{x}" for x in rng.integers(0, 10**6, 30)]
+    text = " ".join(words)
+    logs = np.concatenate([np.add.reduceat(grams[g], starts, axis=0) for g, starts in language_mixture.trigrams(text)]).astype(float)
+    rel = np.exp(logs - logs.max(1, keepdims=True))
+    best = {}
+    for mask in range(1, 8):
+        own = [i for i in range(3) if mask >> i & 1]
+        grid = [g for g in np.ndindex(*[41] * len(own)) if sum(g) == 40]
+        best[tuple(own)] = max(np.log(np.maximum(rel[:, own] @ (np.array(g) / 40), 1e-300)).sum() for g in grid) - 4.0 * math.log(len(logs) + 1) * (len(own) - 1)
+    name, score, found = language_mixture.identify(text, langs, grams, 4.0)
+    wanted = max(best.values())
+    assert best[tuple(sorted(langs.index(x) for x in found))] >= wanted - 0.5 and name in found and 0 < score <= 1
+
+
+def test_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language_mixture, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="languages"):
+        language_mixture.learn(docs(spark))
+
+
+def test_risk_and_its_gradient():
+    rng = np.random.default_rng(2)
+    zp, zu = rng.normal(1, 1, 7), rng.normal(-1, 2, 9)
+    loss = lambda z, y: np.log(1 + np.exp(-y * z)).mean()
+    for prior in (0.3, 0.9):
+        own, rest = pu_quality.pu_risks(zp, zu, prior)
+        assert own == pytest.approx(prior * loss(zp, 1)) and rest == pytest.approx(loss(zu, -1) - prior * loss(zp, -1))
+        sign = 1 if rest >= 0 else -1
+        value = lambda p, u: sum(pu_quality.pu_risks(p, u, prior)) if sign > 0 else -pu_quality.pu_risks(p, u, prior)[1]  # noqa: E731, B023
+        gp, gu = pu_quality.pu_gradient(zp, zu, prior)
+        for i in range(7):
+            e = np.eye(7)[i] * 1e-6
+            assert gp[i] == pytest.approx((value(zp + e, zu) - value(zp - e, zu)) / 2e-6, abs=1e-6)
+        for i in range(9):
+            e = np.eye(9)[i] * 1e-6
+            assert gu[i] == pytest.approx((value(zp, zu + e) - value(zp, zu - e)) / 2e-6, abs=1e-6)
+
+
+def test_descent_finds_the_least_risk():
+    """Two features of two bins each: the minimised risk against a grid of weights."""
+    rng = np.random.default_rng(3)
+    at_p, at_u = rng.integers(0, 2, (40, 1)), rng.integers(0, 2, (60, 1)) * (rng.random((60, 1)) < 0.5)
+    prior = 0.4
+    total = lambda w, b: (lambda r: r[0] + max(0.0, r[1]))(pu_quality.pu_risks(w[at_p].sum(1) + b, w[at_u].sum(1) + b, prior))
+    w, b = pu_quality.descend(at_p, at_u, 2, lambda p, u: pu_quality.pu_gradient(p, u, prior), 2000, 0.05, 0.0)
+    least = min(total(np.array([x, y]), 0.0) for x in np.linspace(-6, 6, 121) for y in np.linspace(-6, 6, 121))
+    assert total(w, b) <= least + 0.01
+
+
+def test_calibration_is_monotone_and_matches_densities():
+    rng = np.random.default_rng(4)
+    zp, zu = rng.normal(1, 1, 5000), np.concatenate([rng.normal(1, 1, 3000), rng.normal(-2, 1, 7000)])
+    x, y = pu_quality.calibration(zp, zu, 0.3, bins=40)
+    assert (np.diff(y) >= 0).all() and y.min() >= 0 and y.max() <= 1
+    density = lambda z, m: np.exp(-((z - m) ** 2) / 2)
+    for z in (-1.5, -0.5, 0.0, 1.0):
+        assert np.interp(z, x, y) == pytest.approx(0.3 * density(z, 1) / (0.3 * density(z, 1) + 0.7 * density(z, -2)), abs=0.1)
+
+
+def test_free_operators_take_columns_of_any_name(spark):
+    d = odd(spark).withColumns({"a.b": F.lit(1), "row": F.lit(2)})
+    labels = spark.createDataFrame([(3, 1, 0)], "doc_id long, quality int, toxic int")
+    assert language_mixture.keep_identified(d).columns == d.columns and pu_quality.keep_good(d, labels).columns == d.columns
+    assert simhash_tiles.keep_first(d).columns == d.columns
+    named = d.withColumnsRenamed({"doc_id": "the.id", "text": "the.text"})
+    assert license_scan.scan(named, id_col="the.id", text_col="the.text").count() == len(ODD)
+    assert pitman_yor_lm.score_corpus(named, id_col="the.id", text_col="the.text").count() == len(ODD)
+
+
 # Language model
 
 def test_language_model_counts_and_gain(spark):
