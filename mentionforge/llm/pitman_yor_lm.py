@@ -5,9 +5,9 @@ over words, whose base is uniform over the learned words and one unknown. Custom
 sampled by Gibbs: in each sweep the customers of a dish leave their restaurant and are seated anew, one after the other,
 by the Chinese-restaurant rule. A new table sends a customer to the parent. Within a sweep all dishes are seated side by
 side: what they share (a context's tables, a word's customers in the parent, the parent's sums) is as the sweep before
-left it, less the dish's own. The first STEPS customers are seated one by one; how many more follow until the next new
-table is then drawn at once, from its exact distribution, so a dish of any size takes as many draws as it has tables.
-The predictive probabilities of the kept sweeps are averaged, and a text's score is the sum of their logarithms.
+left it, less the dish's own. Customers are seated by runs of one RUN-th of those that sit already (the first 2 RUN of
+them one by one): how many of a run open tables is one binomial draw at the probability of the run's middle, so a dish of
+any size takes a number of draws that grows with the logarithm of its customers. The predictive probabilities of the kept sweeps are averaged, and a text's score is the sum of their logarithms.
 
 Nothing depends on how rows lie: counts and tables are whole numbers, every draw is a hash of the word, its context, the
 sweep and the customer, and logarithms are added as fixed-point numbers.
@@ -51,8 +51,8 @@ GROUP_WORDS = 1 << 20
 SWEEPS = 4
 BURN_IN = 1
 STRENGTH = 1.0
-#: Customers of a dish that are seated one by one.
-STEPS = 16
+#: Customers that are seated at a time, as a part of those that sit.
+RUN = 16
 #: Logarithms are added in units of 2^-32.
 UNIT = float(1 << 32)
 START_HASH, END_HASH = 0, 1
@@ -142,43 +142,67 @@ def even_keys(spark: SparkSession, parts: int, rounds: int) -> np.ndarray:
 
 # Seating
 
-def log_rise(x: np.ndarray, a: np.ndarray) -> np.ndarray:
-    """log(gamma(x + a) / gamma(x)) for x from 1 on."""
-    low = np.zeros(np.broadcast(x, a).shape)
-    for j in range(8):
-        low += np.log1p(a / (x + j))
-    x = x + 8
-    z = x + a
-    return (x - 0.5) * np.log1p(a / x) + a * np.log(z) - a + (1 / z - 1 / x) / 12 - (1 / z**3 - 1 / x**3) / 360 - low
+def log_factorial(n: np.ndarray) -> np.ndarray:
+    z = n + 5.0
+    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) - np.log((n + 1.0) * (n + 2.0) * (n + 3.0) * (n + 4.0))
+
+
+def binomial(n: np.ndarray, p: np.ndarray, key: np.ndarray, sweep: int, i: int) -> np.ndarray:
+    """Binomial numbers, drawn by hashes: where few are expected by inversion, else by transformed rejection with squeeze
+    (Hoermann's BTRS), which takes a bounded number of tries on average whatever the size."""
+    q = np.minimum(p, 1 - p)
+    out = np.zeros(len(n), np.int64)
+    few = np.flatnonzero(n * q < 10)
+    u, m, odds = uniform(key[few], sweep, i), n[few], q[few] / (1 - q[few])
+    mass = (1 - q[few]) ** m
+    below, k, on = mass.copy(), 0, np.arange(len(few))
+    while len(on := on[(u[on] > below[on]) & (m[on] > k)]):
+        k += 1
+        mass[on] *= (m[on] - k + 1) / k * odds[on]
+        below[on] += mass[on]
+        out[few[on]] = k
+    on = np.flatnonzero(n * q >= 10)
+    tries = 0
+    while len(on):
+        m, x = n[on], q[on]
+        sd = np.sqrt(m * x * (1 - x))
+        wide = 1.15 + 2.53 * sd
+        slope = -0.0873 + 0.0248 * wide + 0.01 * x
+        u, v = (uniform(key[on] ^ np.uint64(salt), sweep, i + (tries << 32)) for salt in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
+        u = u - 0.5
+        edge = np.maximum(0.5 - np.abs(u), 1e-300)
+        k = np.floor((2 * slope / edge + wide) * u + m * x + 0.5)
+        inside = (k >= 0) & (k <= m)
+        k = np.clip(k, 0, m)
+        mode = np.floor((m + 1) * x)
+        height = log_factorial(mode) + log_factorial(m - mode) - log_factorial(k) - log_factorial(m - k) + (k - mode) * np.log(x / (1 - x))
+        taken = inside & (((edge >= 0.07) & (v <= 0.92 - 4.2 / wide)) | (np.log(v * (2.83 + 5.1 / wide) * sd / (slope / edge**2 + wide)) <= height))
+        out[on[taken]] = k[taken].astype(np.int64)
+        on = on[~taken]
+        tries += 1
+    return np.where(p > 0.5, n - out, out)
 
 
 def seat(c: np.ndarray, weight: Callable[[np.ndarray, np.ndarray], np.ndarray], discount: float, key: np.ndarray, sweep: int) -> np.ndarray:
     """Tables of dishes with c customers. With i customers at t tables the next one opens a table with probability
-    w / (w + i - discount * t), where w is weight(dishes, t)."""
+    w / (w + i - discount * t), where w is weight(dishes, t). As many as a RUN-th of those seated are seated at a time, at
+    their middle one's probability."""
     t = np.minimum(c, 1).astype(np.int64)
-    for i in range(1, STEPS):
-        on = np.flatnonzero(c > i)
-        if not len(on):
-            return t
+    i = 1
+    order = np.argsort(-c, kind="stable")
+    least = -c[order]
+    while len(on := order[: np.searchsorted(least, -i, "left")]):  # those with more than i customers
+        run = max(1, i // RUN)
         a = weight(on, t[on])
-        t[on] += uniform(key[on], sweep, i) * (a + i - discount * t[on]) <= a
-    on = np.flatnonzero(c > STEPS)
-    i = np.full(len(on), STEPS, np.int64)
-    while len(on):
-        # With q customers at old tables: log P(q or more) = rise(i - discount t) - rise(i + q - discount t).
-        a, x = weight(on, t[on]), i - discount * t[on]
-        least = np.log(uniform(key[on], sweep, i)) - log_rise(x, a)
-        low, high = np.zeros(len(on), np.int64), c[on] - i
-        opens = -log_rise(x + high, a) < least  # else all that are left sit at old tables
-        on, i, a, x, least, low, high = (v[opens] for v in (on, i, a, x, least, low, high))
-        while (high - low > 1).any():
-            half = (low + high) // 2
-            holds = -log_rise(x + half, a) >= least
-            low, high = np.where(holds, half, low), np.where(holds, high, half)
-        t[on] += 1
-        i = i + low + 1
-        left = c[on] > i
-        on, i = on[left], i[left]
+        p = a / (a + i - discount * t[on])
+        if run == 1:
+            t[on] += uniform(key[on], sweep, i) <= p
+        else:
+            n = np.minimum(run, c[on] - i)
+            half = t[on] + p * (n - 1) / 2
+            a = weight(on, half)
+            t[on] += binomial(n, np.clip(a / (a + i + (n - 1) / 2 - discount * half), 0.0, 1.0), key[on], sweep, i)
+        i += run
     return t
 
 
