@@ -5,7 +5,7 @@ struct(doc_id, role, codes, dense_score, bm25_score, rerank_score))."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,8 +87,8 @@ def cluster_gaps(dump: DataFrame) -> DataFrame:
 
 def verdict(dump: DataFrame) -> DataFrame:
     """kb, need, allow, safe: whether the median floor of the margin lies under the median ceiling."""
-    need = margin_floor(dump).filter("need IS NOT NULL").groupBy("kb").agg(F.median("need").alias("need"))
-    allow = margin_ceiling(dump).groupBy("kb").agg(F.median("gap").alias("allow"))
+    need = five_numbers(margin_floor(dump).filter("need IS NOT NULL"), ["kb"], "need").select("kb", F.col("median").alias("need"))
+    allow = five_numbers(margin_ceiling(dump), ["kb"], "gap").select("kb", F.col("median").alias("allow"))
     return need.join(allow, "kb").withColumn("safe", F.col("need") < F.col("allow"))
 
 
@@ -119,6 +119,13 @@ def with_gold_kind(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"gold_kind": known, "distractor": F.coalesce(other, F.array().cast("array<string>"))})
 
 
+def counts_by_kind(rows: DataFrame, kinds: Sequence[str] = ("single", *MULTI_KINDS)) -> DataFrame:
+    """gold_kind, n in the order of kinds; kinds that do not occur count 0."""
+    wanted = rows.sparkSession.createDataFrame(list(enumerate(kinds)), "i int, gold_kind string")
+    n = rows.groupBy(gold_kind(F.col("kb"), F.col("gold")).alias("gold_kind")).agg(F.count("*").alias("n"))
+    return wanted.join(n, "gold_kind", "left").orderBy("i").select("gold_kind", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def report(dumps: Mapping[str, DataFrame | None]) -> dict[str, dict[str, DataFrame]]:
     """The tables of the distribution report by query variant: recall, score summaries, floors and ceilings of the
     margin, cluster gaps, verdicts, and the histograms' bins. A variant without a dump is left out."""

@@ -126,15 +126,21 @@ def column_gap(spark: SparkSession, d: str) -> DataFrame:
     return code_tables.column_split(words)
 
 
-SQL_NOTED = "CASE doc_id % 4 WHEN 0 THEN lang || ' name Excl.: ' || source WHEN 1 THEN 'Bao gồm: ' || source WHEN 2 THEN lang || ' [See ' || source ELSE source END"
+SQL_NOTED = "CASE doc_id % 4 WHEN 0 THEN text || ' name Excl.: ' || source WHEN 1 THEN 'Bao gồm: ' || text WHEN 2 THEN lang || ' [See ' || text ELSE text END"
+
+
+def sql_edge(x: str) -> str:
+    """Without white space at the ends; null where nothing is left."""
+    return f"nullif(regexp_replace({x}, '^{SQL_SPACE}|{SQL_SPACE}$', '', 'g'), '')"
+
 
 
 @query(f"""WITH t AS (SELECT doc_id, {SQL_NOTED} AS t FROM documents),
 m AS (SELECT *, regexp_extract(t, '(?s)^(.*?)(Bao gồm\\s*:|Excl\\.?\\s*:?|\\[See)(.*)$', 1) AS a, regexp_extract(t, '(?s)(Bao gồm\\s*:|Excl\\.?\\s*:?|\\[See).*$', 0) AS z FROM t)
-SELECT doc_id, nullif(trim(CASE WHEN z = '' THEN t ELSE a END), '') AS head, nullif(trim(z), '') AS tail FROM m""")
+SELECT doc_id, {sql_edge("CASE WHEN z = '' THEN t ELSE a END")} AS head, {sql_edge('z')} AS tail FROM m""")
 def head_tail(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("doc_id") % 4
-    noted = F.when(k == 0, F.concat("lang", F.lit(" name Excl.: "), "source")).when(k == 1, F.concat(F.lit("Bao gồm: "), "source")).when(k == 2, F.concat("lang", F.lit(" [See "), "source")).otherwise(F.col("source"))
+    noted = F.when(k == 0, F.concat("text", F.lit(" name Excl.: "), "source")).when(k == 1, F.concat(F.lit("Bao gồm: "), "text")).when(k == 2, F.concat("lang", F.lit(" [See "), "text")).otherwise(F.col("text"))
     return table(spark, d, "documents").select("doc_id", text.split_head_tail(noted).alias("s")).select("doc_id", "s.*")
 
 
@@ -556,10 +562,7 @@ def knowledge_union(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {DUMP_SQL}, c AS (SELECT kb, CASE WHEN len(list_distinct(gold)) = 1 THEN 'single' WHEN kb = 'icd' THEN 'multi_sibling' ELSE 'multi_solving' END AS k FROM rec)
 SELECT kinds.k AS gold_kind, count(c.k) AS n FROM (SELECT unnest(['single', 'multi_sibling', 'multi_solving', 'none']) AS k) kinds LEFT JOIN c ON c.k = kinds.k GROUP BY kinds.k""")
 def kind_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Counts by kind in a fixed order, kinds that do not occur as 0."""
-    kinds = spark.createDataFrame([(i, k) for i, k in enumerate(("single", "multi_sibling", "multi_solving", "none"))], "i int, gold_kind string")
-    n = dump(spark, d).groupBy(arrays.gold_kind(F.col("kb"), F.col("gold")).alias("gold_kind")).agg(F.count("*").alias("n"))
-    return kinds.join(n, "gold_kind", "left").orderBy("i").select("gold_kind", F.coalesce("n", F.lit(0)).alias("n"))
+    return measures.counts_by_kind(dump(spark, d), ("single", "multi_sibling", "multi_solving", "none"))
 
 
 @query(f"WITH {DUMP_SQL}, w AS (SELECT kb, sum(j * w) / sum(w) AS score FROM (SELECT kb, len(gold) + 1 AS w, len(list_intersect(gold, coalesce(pred, []))) / len(list_distinct(list_concat(gold, coalesce(pred, [])))) AS j FROM rec LEFT JOIN (SELECT record_id, list_distinct(flatten(list(codes))) AS pred {sql_predicted('1.49', '0.399')} GROUP BY record_id) USING (record_id)) GROUP BY kb) SELECT kb, round(score, 6) AS score FROM w")
