@@ -45,7 +45,8 @@ from mentionforge.llm.common import cut, fold, partitions, quoted, whole
 
 #: Words with about this share of the tokens, one in HOT, are dealt by context.
 HOT = 1 << 14
-HOLDER_TOKENS = 1 << 22
+HOLDER_TOKENS = 1 << 21
+LEAST_HOLDERS = 8
 GROUP_DOCS = 1024
 GROUP_WORDS = 1 << 20
 SWEEPS = 4
@@ -131,12 +132,15 @@ def find(sorted_hashes: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(sorted_hashes[at] == h, at, -1)
 
 
-def even_keys(spark: SparkSession, parts: int, rounds: int) -> np.ndarray:
-    """Keys of holders, ``rounds`` for each of the hash partitions."""
-    n = parts * rounds
+def even_keys(spark: SparkSession, parts: int, tokens: int, holder_tokens: int) -> np.ndarray:
+    """Keys of the holders, spread evenly over the hash partitions. Each has about holder_tokens; how many there are
+    follows from the tokens, not from the partitions, since every holder may write to every other."""
+    wanted = -(-tokens // holder_tokens)
+    rounds = max(1, round(wanted / parts))
+    n = parts * rounds if wanted >= parts else max(wanted, min(parts, LEAST_HOLDERS))
     many = spark.range(int(parts * (math.log(parts + 1) + 12) * (rounds + 3))).select(F.col("id").cast("int").alias("key"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("to"))
     found = many.groupBy("to").agg(F.slice(F.sort_array(F.collect_list("key")), 1, rounds).alias("keys")).orderBy("to").collect()
-    keys = [k for r in found for k in r["keys"]]
+    keys = [r["keys"][i] for i in range(rounds) for r in found]
     return np.array(keys[:n], np.int32)
 
 
@@ -660,8 +664,7 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     held = fold(id_of) == 1
     d = docs.select(id_of.alias("doc_id"), whole(docs[quoted(text_col)]).cast("binary").alias("text"), (~held).alias("train"), held.alias("held_out"))
     hot, tokens = frequent_words(d, most)
-    parts = partitions(docs)
-    keys = even_keys(docs.sparkSession, parts, max(1, -(-tokens // (holder_tokens * parts))))
+    keys = even_keys(docs.sparkSession, partitions(docs), tokens, holder_tokens)
     steps, kept, fixed = train(d, hot, keys)
     g = steps[0]
     each = math.log10(g.tokens + 0.5 * (g.words + 1))
