@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from mentionforge.functions.arrays import at_share, gold_weight, jaccard
 from mentionforge.operators.measures import all_codes, by_score, candidates_score, leak_rate, predicted
-from mentionforge.operators.ranks import at_shares, before, index
+from mentionforge.operators.ranks import at_shares, before, counted_values, index
+from mentionforge.operators.rows import materialized
 
 GRID_STEPS = 41
 CLIP = 0.99
@@ -29,7 +30,7 @@ def score_axes(dump: DataFrame, steps: int = GRID_STEPS, clip: float = CLIP) ->
     if steps < 2:
         raise ValueError("an axis needs two steps or more")
     scores = dump.select(F.explode("candidates.rerank_score").alias("s"))
-    ends = at_shares(scores, [], "s", {"lo": F.lit(0), "hi": index(clip)}).select("lo", "hi")
+    ends = at_shares(counted_values(scores, [], "s"), [], "s", {"lo": F.lit(0), "hi": index(clip)}).select("lo", "hi")
     span = F.when(F.col("hi") == F.col("lo"), F.lit(1.0)).otherwise(F.col("hi") - F.col("lo"))
     part = span * F.col("i") / (steps - 1)
     return ends.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("i")).select("i", (F.col("lo") + part).alias("floor"), part.alias("margin"))
@@ -51,6 +52,7 @@ def grid_scores(cells: DataFrame, keys: list[str]) -> DataFrame:
 def slices(scores: DataFrame, keys: list[str]) -> DataFrame:
     """Of a heat map (grid_scores) the row and the column through the best cell: keys, axis (floor, margin: what varies),
     value, score."""
+    scores = materialized(scores)
     best = best_pair(scores, keys).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("floor").alias("__floor"), F.col("margin").alias("__margin"))
     d = scores.join(F.broadcast(best), [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])  # one row a knowledge base
     cut = lambda varies, stays: d.filter(F.col(stays) == F.col(f"__{stays}")).select(*keys, F.lit(varies).alias("axis"), F.col(varies).alias("value"), "score")
@@ -107,14 +109,13 @@ BUCKET_RECORDS = 4096
 ROWS_AT_ONCE = 512
 
 
-def best_cells(dump: DataFrame, axes: DataFrame, resamples: int | None = None, seed: int = 20260728) -> DataFrame:
-    """kb, sample, floor, margin, score: the best cell of each knowledge base, once with every record counted once, or
-    for each of a number of samples with replacement, as many records as there are.
+def cell_sums(dump: DataFrame, points: list, resamples: int | None = None, seed: int = 20260728) -> DataFrame:
+    """kb, sample, sums: of each task, weighted similarities by cell of the axes' points, and the weights' sum behind them;
+    once with every record counted once, or for each of a number of samples with replacement, as many records as there are.
 
     A sample is drawn in two steps: how many of its draws fall to each bucket of records (by hash) is drawn at once, a
     few numbers a bucket; which records they are, where the bucket lies. Sums by sample and cell are products of matrices
     in the tasks, which send one row a sample."""
-    points = axes.orderBy("i").collect()
     floors, margins = (np.array([p[c] for p in points]) for c in ("floor", "margin"))
     samples = resamples or 1
     n = dump.count()
@@ -159,16 +160,40 @@ def best_cells(dump: DataFrame, axes: DataFrame, resamples: int | None = None, s
         for kb, sums in totals.items():
             yield pa.record_batch([pa.array([kb] * samples, pa.string()), pa.array(np.arange(samples)), pa.array(list(sums), pa.list_(pa.float64()))], names=["kb", "sample", "sums"])
 
+    dealt = rows.repartition("kb", "bucket").sortWithinPartitions("kb", "bucket")
+    return dealt.select("record_id", "kb", "bucket", "w", "scores", "j").mapInArrow(add, "kb string, sample long, sums array<double>")
+
+
+def cell_table(key, table, points: list) -> pa.Table:
+    """kb, sample, floor, margin, score of all cells, from a knowledge base's and sample's sums."""
+    floors, margins = (np.array([p[c] for p in points]) for c in ("floor", "margin"))
+    sums = np.sum(padded(table.column("sums").combine_chunks(), 0.0), 0)
+    score = np.round(sums[:-1] / sums[-1] if sums[-1] else 0 * sums[:-1], DIGITS)
+    f, m = np.divmod(np.arange(len(score)), len(margins))
+    n = len(score)
+    return pa.table({"kb": pa.array([key[0].as_py()] * n, pa.string()), "sample": [key[1].as_py()] * n, "floor": floors[f], "margin": margins[m], "score": score})
+
+
+CELL = "kb string, sample long, floor double, margin double, score double"
+
+
+def heat_map(dump: DataFrame, axes: DataFrame) -> DataFrame:
+    """kb, floor, margin, score of every cell."""
+    points = axes.orderBy("i").collect()
+    cells = cell_sums(dump, points).groupBy("kb", "sample").applyInArrow(lambda key, table: cell_table(key, table, points), CELL)
+    return cells.drop("sample")
+
+
+def best_cells(dump: DataFrame, axes: DataFrame, resamples: int | None = None, seed: int = 20260728) -> DataFrame:
+    """kb, sample, floor, margin, score: the best cell (best_pair) of each knowledge base, or of each of its samples."""
+    points = axes.orderBy("i").collect()
+
     def choose(key, table):
-        sums = np.sum(padded(table.column("sums").combine_chunks(), 0.0), 0)
-        score = np.round(sums[:-1] / sums[-1] if sums[-1] else 0 * sums[:-1], DIGITS)
-        f, m = np.divmod(np.arange(len(score)), len(margins))
-        best = np.lexsort((-floors[f], margins[m], -score))[0]
-        return pa.table({"kb": pa.array([key[0].as_py()], pa.string()), "sample": [key[1].as_py()], "floor": [floors[f[best]]], "margin": [margins[m[best]]], "score": [score[best]]})
+        cells = cell_table(key, table, points)
+        score, floor, margin = (cells.column(c).to_numpy() for c in ("score", "floor", "margin"))
+        return cells.slice(int(np.lexsort((-floor, margin, -score))[0]), 1)
 
-    dealt = rows.repartition("kb", "bucket").sortWithinPartitions("kb", "bucket")
-    sums = dealt.select("record_id", "kb", "bucket", "w", "scores", "j").mapInArrow(add, "kb string, sample long, sums array<double>")
-    return sums.groupBy("kb", "sample").applyInArrow(choose, "kb string, sample long, floor double, margin double, score double")
+    return cell_sums(dump, points, resamples, seed).groupBy("kb", "sample").applyInArrow(choose, CELL)
 
 
 def spread(winners: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from mentionforge.operators.rows import materialized
+
 BUCKETS = 256
 
 
@@ -39,10 +41,15 @@ def value_bucket(rows: DataFrame, value: str) -> Column:
     return F.size(F.filter(every, lambda b: b <= F.col(value))) if bounds else F.lit(0)
 
 
-def at_shares(rows: DataFrame, keys: list[str], value: str, indexes: dict[str, Column]) -> DataFrame:
-    """A row a key: n (values, without null) and, by name, the values at the indexes, expressions over n, of the ascending
-    values. Equal values are counted first, so none repeats in a task."""
-    counted = rows.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__c"))
+def counted_values(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """How often each value (and null) occurs by key (__c), computed once."""
+    return materialized(rows.groupBy(*keys, value).agg(F.count("*").alias("__c")))
+
+
+def at_shares(counted: DataFrame, keys: list[str], value: str, indexes: dict[str, Column]) -> DataFrame:
+    """A row a key of counted_values: n (values, without null) and, by name, the values at the indexes, expressions over
+    n, of the ascending values. Equal values are counted before, so none repeats in a task."""
+    counted = counted.filter(F.col(value).isNotNull())
     placed = before(counted, keys, value_bucket(counted, value), [value], F.col("__c")).withColumn("n", F.col("total"))
     here = lambda i: (F.col("before") <= i) & (i < F.col("before") + F.col("__c"))
     return placed.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(here(i), F.col(value))).alias(name) for name, i in indexes.items()])
@@ -56,7 +63,8 @@ def index(share: float) -> Column:
 def five_numbers(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """keys, n, min, q25, median, q75, max: arrays.five_numbers of each key."""
     at = {"min": F.lit(0), "q25": index(0.25), "__low": F.floor((F.col("n") - 1) / 2), "__high": F.floor(F.col("n") / 2), "q75": index(0.75), "max": F.col("n") - 1}
-    found = at_shares(rows, keys, value, at)
+    counted = counted_values(rows, keys, value)
+    found = at_shares(counted, keys, value, at)
     found = found.select(*[F.col(k).alias(f"__{k}") for k in keys], "n", "min", "q25", (F.col("__low") * 0.5 + F.col("__high") * 0.5).alias("median"), "q75", "max")
-    every = rows.select(*keys).distinct()  # a key without values has a row, too
+    every = counted.select(*keys).distinct()  # a key without values has a row, too
     return every.join(found, same(every, found, keys), "left").select(*keys, F.coalesce("n", F.lit(0).cast("long")).alias("n"), "min", "q25", "median", "q75", "max")

@@ -629,5 +629,6 @@ best AS (SELECT kb, floor AS bf, margin AS bm FROM g QUALIFY row_number() OVER (
 SELECT kb, 'floor' AS axis, round(floor, 6) AS value, round(score, 6) AS score FROM g JOIN best USING (kb) WHERE margin = bm
 UNION ALL SELECT kb, 'margin', round(margin, 6), round(score, 6) FROM g JOIN best USING (kb) WHERE floor = bf""")
 def grid_slices(spark: SparkSession, d: str) -> DataFrame:
-    found = calibration.slices(calibration.grid_scores(grid_cells(spark, d), ["kb"]), ["kb"])
+    records = dump(spark, d)
+    found = calibration.slices(calibration.heat_map(records, calibration.score_axes(records, STEPS)), ["kb"])
     return found.select("kb", "axis", F.round("value", 6).alias("value"), F.round("score", 6).alias("score"))
