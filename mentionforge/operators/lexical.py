@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mentionforge.functions.text import tokens
-from mentionforge.operators.rows import materialized
+from mentionforge.operators.rows import materialized, spread
 
 K1 = 1.5
 B = 0.75
@@ -36,7 +36,7 @@ class LexicalIndex:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: DataFrame | None = None) -> LexicalIndex:
     """The index of a whole corpus, or of its tokens that are among ``vocabulary`` (tok), which are those of the queries
     where an index serves one search. Texts are tokenised once: a row without token carries each document's length."""
-    d = docs.select(docs[id_col].alias("doc_id"), tokens(docs[text_col]).alias("t"))
+    d = spread(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))).select("doc_id", tokens(F.col("text")).alias("t"))
     d = d.select("doc_id", F.size("t").alias("doc_len"), F.explode(F.concat(F.array(F.lit(None).cast("string")), "t")).alias("tok"))
     if vocabulary is not None:
         known = materialized(vocabulary.select(F.col("tok").alias("known")).distinct())

@@ -78,6 +78,13 @@ def neighbours(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return touched.join(g, "group_id").groupBy("key").agg(F.sort_array(F.collect_set("code")).alias("neighbours"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """An input in fewer parts than the cluster has cores (one small file) is dealt over all cores before costly work;
+    others stay as they lie."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """Computed once: a checkpoint where the session has a folder for it, else blocks on disk."""
     if df.sparkSession.sparkContext.getCheckpointDir() is not None:
