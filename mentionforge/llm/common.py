@@ -78,13 +78,15 @@ def partitions(df: DataFrame) -> int:
 
 def join_counted(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Joins on keys where null equals null. ``small`` (one row a key) is counted: up to BROADCAST_ROWS rows
-    are broadcast; beyond it, its rows are copied to SALTS salts, over which a hot key of ``big`` is dealt."""
+    are broadcast; beyond it, its rows are copied to SALTS salts, over which a hot key of ``big`` is dealt by the hash of
+    its rows' plain columns, so that a repeated task gives the same salts."""
     renamed = small.withColumnsRenamed({k: f"__{k}" for k in keys})
     same = F.lit(True)
     if small.count() <= BROADCAST_ROWS:
         renamed = F.broadcast(renamed)
     else:
-        big = big.withColumn("__salt", F.floor(F.rand(17) * SALTS).cast("int"))
+        plain = [F.col(quoted(c)) for c, kind in big.dtypes if not kind.startswith(("array", "map", "struct", "variant"))]
+        big = big.withColumn("__salt", F.pmod(F.xxhash64(F.lit(17), *plain), F.lit(SALTS)).cast("int"))
         renamed = renamed.withColumn("__salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         same = F.col("__salt") == F.col("__salt_of")
     for k in keys:
