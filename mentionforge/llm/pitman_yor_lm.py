@@ -61,6 +61,8 @@ START_HASH, END_HASH = 0, 1
 #: of all its contexts, of those that sweeps change, and of hot words; what owners keep and reply; sums by text; totals.
 PAIRS, DOCS, FIXED, SEATS, ASK_ALL, ASK, ASK_WORDS, OWN, REPLY, REPLY_WORDS, SCORES, TOTALS = range(12)
 SCHEMA = "to int, sender long, kind int, at long, data binary, x double"
+#: Sums over the corpus, which pass 2^32; their high bytes are planes of zeros, which compress to nothing.
+SUM = "<i8"
 RARE = 0xFFFF
 
 
@@ -124,6 +126,11 @@ def owner(h: np.ndarray, n: int) -> np.ndarray:
     return ((mix(h) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
+def place_of(batch: int, n: int) -> int:
+    """Which holder keeps a batch's texts: by a hash, since batch numbers of all partitions begin alike."""
+    return int(owner(np.array([batch], np.uint64), n)[0])
+
+
 def find(sorted_hashes: np.ndarray, h: np.ndarray) -> np.ndarray:
     """The place of each hash among those in order, or -1."""
     if not len(sorted_hashes):
@@ -358,7 +365,7 @@ def encode(docs: DataFrame, hot: np.ndarray, keys: np.ndarray, by_text: bool) ->
                     sink = pa.BufferOutputStream()
                     with pa.ipc.new_stream(sink, info.schema) as out:
                         out.write_batch(info)
-                    rows.append(message(int(keys[batch % n_keys]), batch, DOCS, 0, sink.getvalue().to_pybytes()))
+                    rows.append(message(int(keys[place_of(batch, n_keys)]), batch, DOCS, 0, sink.getvalue().to_pybytes()))
                 yield record(rows)
 
     return docs.mapInArrow(run, SCHEMA)
@@ -412,7 +419,7 @@ def ask(key: int, kind: int, h: np.ndarray, values: list[np.ndarray], keys: np.n
     cuts = np.searchsorted(to[order], np.arange(len(keys) + 1))
     for p in np.flatnonzero(np.diff(cuts)).tolist():
         at = order[cuts[p] : cuts[p + 1]]
-        yield message(int(keys[p]), key, kind, p, squeeze(h[at], *(v[at].astype("<u4") for v in values)))
+        yield message(int(keys[p]), key, kind, p, squeeze(h[at], *(v[at].astype(SUM) for v in values)))
 
 
 def replies(rows: list[tuple], h: np.ndarray, n: int, n_keys: int) -> list[np.ndarray]:
@@ -422,7 +429,7 @@ def replies(rows: list[tuple], h: np.ndarray, n: int, n_keys: int) -> list[np.nd
     order = np.argsort(to, kind="stable")
     cuts = np.searchsorted(to[order], np.arange(n_keys + 1))
     for _, p, data in rows:
-        for o, v in zip(out, unsqueeze(data, *["<u4"] * n), strict=True):
+        for o, v in zip(out, unsqueeze(data, *[SUM] * n), strict=True):
             o[order[cuts[p] : cuts[p + 1]]] = v
     return out
 
@@ -438,7 +445,7 @@ def added(h: np.ndarray, asked: list[list[np.ndarray]]) -> list[np.ndarray]:
 
 
 def asked_in(rows: list[tuple], n: int) -> list[list[np.ndarray]]:
-    return [unsqueeze(data, "<u8", *["<u4"] * n) for _, _, data in rows]
+    return [unsqueeze(data, "<u8", *[SUM] * n) for _, _, data in rows]
 
 
 def distinct(asked: list[list[np.ndarray]]) -> np.ndarray:
@@ -453,7 +460,7 @@ def answer_words(key: int, rows: list[tuple]) -> Iterator[tuple]:
     new = np.ones(len(h), np.int64)
     for (sender, at, _), (a, *_rest) in zip(rows, asked, strict=True):
         place = np.searchsorted(h, a)
-        yield message(sender, key, REPLY_WORDS, at, squeeze(*(v[place].astype("<u4") for v in (*total, new))))
+        yield message(sender, key, REPLY_WORDS, at, squeeze(*(v[place].astype(SUM) for v in (*total, new))))
         new[place] = 0
 
 
@@ -469,7 +476,7 @@ class Holder:
     context: np.ndarray  # by such a pair
     c: np.ndarray
 
-    KINDS = ("<u8", "<u4", "<u4", "<u8", "<u4", "<u4", "<u4")
+    KINDS = ("<u8", SUM, SUM, "<u8", SUM, "<u4", SUM)
 
     def pack(self) -> bytes:
         arrays = (self.words, self.single, self.tokens, self.contexts, self.runs, self.context, self.c)
@@ -501,7 +508,7 @@ def sums(rows: DataFrame) -> dict[int, float]:
 
 def seats(rows: list[tuple]) -> dict[int, tuple[np.ndarray, ...]]:
     """Seatings by sweep: tables by pair, and by word its customers and tables in the parent."""
-    return {at: tuple(a.astype(np.int64) for a in unsqueeze(data, "<u4", "<u4", "<u4")) for _, at, data in rows}
+    return {at: tuple(a.astype(np.int64) for a in unsqueeze(data, SUM, SUM, SUM)) for _, at, data in rows}
 
 
 def train(docs: DataFrame, hot: np.ndarray, keys: np.ndarray, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> tuple[list[Totals], DataFrame, DataFrame]:
@@ -529,7 +536,7 @@ def train(docs: DataFrame, hot: np.ndarray, keys: np.ndarray, sweeps: int = SWEE
         """Pairs of one customer by context that sweeps change; sums over hot words."""
         h = distinct(asked_in(rows.get(ASK, []), 1))
         single = added(h, [a[:1] + a[2:] for a in asked_in(rows.get(ASK_ALL, []), 2)] or [[h, np.zeros(len(h), np.int64)]])[0]
-        yield message(key, key, OWN, 0, squeeze(h, single.astype("<u4")))
+        yield message(key, key, OWN, 0, squeeze(h, single.astype(SUM)))
         asked = asked_in(rows.get(ASK_WORDS, []), 2)
         tokens = added(distinct(asked), asked)[1] if asked else np.empty(0)
         for i, x in enumerate((np.count_nonzero(tokens), (tokens == 1).sum(), (tokens == 2).sum()), 4):
@@ -537,11 +544,11 @@ def train(docs: DataFrame, hot: np.ndarray, keys: np.ndarray, sweeps: int = SWEE
 
     def answer(key: int, rows: Rows) -> Iterator[tuple]:
         if ASK in rows:
-            h, single = unsqueeze(rows[OWN][0][2], "<u8", "<u4")
+            h, single = unsqueeze(rows[OWN][0][2], "<u8", SUM)
             asked = asked_in(rows[ASK], 1)
             total = single + added(h, asked)[0]
             for (sender, at, _), (a, _values) in zip(rows[ASK], asked, strict=True):
-                yield message(sender, key, REPLY, at, squeeze(total[np.searchsorted(h, a)].astype("<u4")))
+                yield message(sender, key, REPLY, at, squeeze(total[np.searchsorted(h, a)].astype(SUM)))
         yield from answer_words(key, rows.get(ASK_WORDS, []))
 
     # The holders' messages of all sorts lie in one checkpoint; what each step reads of it is filtered by kind.
@@ -564,7 +571,7 @@ def train(docs: DataFrame, hot: np.ndarray, keys: np.ndarray, sweeps: int = SWEE
             tables = replies(rows.get(REPLY, []), s.contexts, 1, n_keys)[0]
             root_t = seat_parent(parent, root_t, g, s.words, sweep)
             t = seat_pairs(s.c, t, tables[s.context], parent[word], root_t[word], g, both(s.words[word], s.contexts[s.context]), sweep)
-            yield message(key, key, SEATS, sweep, squeeze(*(v.astype("<u4") for v in (t, parent, root_t))))
+            yield message(key, key, SEATS, sweep, squeeze(*(v.astype(SUM) for v in (t, parent, root_t))))
             yield from s.out(key, t, hot, keys)
             yield message(0, key, TOTALS, 1, None, float(root_t[~is_hot].sum() + root_t[is_hot] @ mine))
 
@@ -591,7 +598,7 @@ def score(docs: DataFrame, steps: list[Totals], kept: DataFrame, fixed: DataFram
             tables = [single + (added(h, found)[0] if (found := asked_in([r for r in rows.get(ASK, []) if r[1] // n_keys == s], 1)) else 0) for s in sweeps]
             for (sender, at, _), (a, *_values) in zip(rows[ASK_ALL], asked, strict=True):
                 place = np.searchsorted(h, a)
-                yield message(sender, key, REPLY, at, squeeze(*(v[place].astype("<u4") for v in (customers, *tables))))
+                yield message(sender, key, REPLY, at, squeeze(*(v[place].astype(SUM) for v in (customers, *tables))))
         yield from answer_words(key, rows.get(ASK_WORDS, []))
 
     def run(key: int, rows: Rows) -> Iterator[tuple]:
@@ -631,7 +638,7 @@ def score(docs: DataFrame, steps: list[Totals], kept: DataFrame, fixed: DataFram
             out = [np.zeros(len(texts), np.int64) for _ in range(4)]
             for o, v in zip(out, (n * model[e], n * base[e], n * known[e], n), strict=True):
                 np.add.at(o, of, v)
-            yield message(int(keys[batch % n_keys]), batch, SCORES, key, squeeze(texts, *(o.astype("<i8") for o in out[:2]), *(o.astype("<u4") for o in out[2:])))
+            yield message(int(keys[place_of(batch, n_keys)]), batch, SCORES, key, squeeze(texts, *(o.astype("<i8") for o in out[:2]), *(o.astype("<u4") for o in out[2:])))
 
     def gather(key, table):
         texts: dict[int, pa.RecordBatch] = {}

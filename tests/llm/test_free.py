@@ -705,3 +705,28 @@ def test_each_word_has_its_own_restaurant(spark):
     held = [r.score for r in pitman_yor_lm.score_corpus(pairs, most=16).collect() if r.held_out]
     # log10 of 1 in 3,000 for the first word; the second and the end are nearly certain.
     assert len(held) > 2000 and sum(held) / len(held) > -3.9
+
+
+def test_sums_pass_32_bits():
+    """What holders send, owners add and reply, and states keep, beyond 2^32."""
+    m = pitman_yor_lm
+    keys, h = np.arange(3), np.sort(np.array([5, 1 << 63, 77, 123456789], np.uint64))
+    big = np.array([5_000_000_000, 3, 1 << 40, 2**32], np.int64)
+    rows = [r for sender in (0, 1) for r in m.ask(sender, m.ASK_WORDS, h, [big, big + 1], keys)]
+    answered = [r for key in keys for r in m.answer_words(int(key), [(r[1], r[3], r[4]) for r in rows if r[0] == key])]
+    for sender, first in ((0, 1), (1, 0)):
+        customers, tokens, new = m.replies([(r[1], r[3], r[4]) for r in answered if r[0] == sender], h, 3, 3)
+        assert customers.tolist() == (2 * big).tolist() and tokens.tolist() == (2 * big + 2).tolist() and set(new.tolist()) == {first}
+    one = np.array([1, 1, 2], np.int64)
+    holder = m.Holder(h, big, big, h[:2], np.array([3, 0, 0, 0]), np.array([0, 1, 0]), big[:3])
+    again = m.Holder.of(holder.pack())
+    assert again.c.tolist() == big[:3].tolist() and again.single.tolist() == again.tokens.tolist() == big.tolist()
+    assert again.parent(one << 33).tolist() == (big + np.array([4 << 33, 0, 0, 0])).tolist()
+    assert m.seats([(0, 1, m.squeeze(*(v.astype(m.SUM) for v in (big, big, big))))])[1][0].tolist() == big.tolist()
+
+
+@pytest.mark.parametrize("n", [1000, 1024, 4096])
+def test_batches_are_spread_over_holders(n):
+    batches = np.array([part << 32 | k for part in range(4000) for k in range(20)], np.uint64)
+    most = np.bincount(pitman_yor_lm.owner(batches, n), minlength=n).max()
+    assert most <= 2 * len(batches) / n + 1 and pitman_yor_lm.place_of(int(batches[77]), n) == pitman_yor_lm.owner(batches, n)[77]
