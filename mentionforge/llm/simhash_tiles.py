@@ -223,14 +223,14 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = named(sigs, n, o["radius"], o["tile"], o["parts"]).select("first.doc_id", "first.twin").distinct()
     copies = sigs.groupBy("doc_id", "twin").agg(F.count("*").alias("copies"))
     kept = cut(first.join(copies, first["doc_id"].eqNullSafe(copies["doc_id"]) & (first["twin"] == copies["twin"])).select(first["doc_id"].alias("__first"), first["twin"].alias("__first_twin"), "copies"), n)
-    id_of, text = docs[quoted(id_col)], docs[quoted(text_col)]
-    chosen = lambda some: docs.join(some, id_of.eqNullSafe(some["__first"]) & (twin(text) == some["__first_twin"]), "left_semi")
-    once = chosen(kept.filter("copies = 1"))
+    # The rows go as one struct, whose fields may have any names.
+    keyed = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"), docs[quoted(id_col)].alias("id"), twin(docs[quoted(text_col)]).alias("twin"))
+    chosen = lambda some: keyed.join(some, keyed["id"].eqNullSafe(some["__first"]) & (keyed["twin"] == some["__first_twin"]), "left_semi")
+    once = chosen(kept.filter("copies = 1")).select("row.*")
     if kept.filter("copies > 1").isEmpty():
         return once
     # Only rows that occur more than once are gathered to pick one of them.
-    several = chosen(kept.filter("copies > 1")).withColumns({"__id": id_of, "__twin": twin(text)})
-    return once.union(several.dropDuplicates(["__id", "__twin"]).drop("__id", "__twin"))
+    return once.union(chosen(kept.filter("copies > 1")).dropDuplicates(["id", "twin"]).select("row.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
