@@ -1,6 +1,6 @@
 """Mixing sources to target weights, with hash-threshold histograms.
 
-Each row gets a 60-bit hash of its id. Words are summed by source and by the hash's first 15 bits; the bucket in
+Each row gets a 60-bit hash of its id and its text. Words are summed by source and by the hash's first 15 bits; the bucket in
 which a source's budget ends is refined by the next 15 bits, and so on, until one hash value is left. A row is in
 the mix if its hash is below its source's threshold: nothing is sorted by hash and no row is gathered. The row at the
 threshold does not fit; what it leaves open is a smaller budget, for which the next threshold is found among the rows
@@ -8,8 +8,8 @@ behind it that are small enough, and so on (nested budgets).
 All steps are DataFrame operations.
 
 Edge cases: a null text has size 0; texts are counted whole, however long; a null source is a source of its own and comes
-last; a null id is hashed as the empty text; rows that share an id share a hash and are taken or left together; other
-columns may have any name and stay as they are; an empty table gives an empty result.
+last; a null id is hashed as the empty text; rows that share an id and a text share a hash and are taken or left together;
+other columns may have any name and stay as they are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mentionforge.llm.common import cut, join_counted, quoted, word_count
+from mentionforge.llm.common import cut, join_counted, quoted, whole, word_count
 
 BITS = 15
 LEVELS = 4
@@ -29,10 +29,10 @@ TOP = 1 << (BITS * LEVELS)
 ROUNDS = 3
 
 
-def mix_hash(doc_id: Column, seed: str = "mix") -> Column:
-    """The first 60 bits of md5(seed:id)."""
-    text = F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")))
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+def mix_hash(doc_id: Column, text: Column, seed: str = "mix") -> Column:
+    """The first 60 bits of md5(seed:id:md5(text)), so that rows without ids are dealt, too."""
+    key = F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(whole(text).cast("binary")))
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -108,7 +108,7 @@ def thresholds(base: DataFrame, targets: DataFrame, rounds: int) -> DataFrame:
 
 def plan_mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "mix", rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
     """The sizes (doc_id, source, size, hash) of all rows, and each source's thresholds."""
-    base = cut(docs.select(docs[quoted(id_col)].alias("doc_id"), docs[quoted(source_col)].cast("string").alias("source"), word_count(docs[quoted(text_col)]).alias("size"), mix_hash(docs[quoted(id_col)], seed).alias("hash")))
+    base = cut(docs.select(docs[quoted(id_col)].alias("doc_id"), docs[quoted(source_col)].cast("string").alias("source"), word_count(docs[quoted(text_col)]).alias("size"), mix_hash(docs[quoted(id_col)], docs[quoted(text_col)], seed).alias("hash")))
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = cut(source_targets(sizes, weights, share, cap))
     return base, thresholds(base, targets, rounds)
@@ -129,7 +129,7 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 def mix_rows(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it is taken."""
     _, ends = plan_mix(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    keyed = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"), docs[quoted(source_col)].cast("string").alias("source"), word_count(docs[quoted(text_col)]).alias("size"), mix_hash(docs[quoted(id_col)], seed).alias("hash"))
+    keyed = docs.select(F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"), docs[quoted(source_col)].cast("string").alias("source"), word_count(docs[quoted(text_col)]).alias("size"), mix_hash(docs[quoted(id_col)], docs[quoted(text_col)], seed).alias("hash"))
     many = join_counted(keyed, ends, ["source"]).withColumn("times", taken_copies()).filter("times > 0")
     return many.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
@@ -142,7 +142,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH base AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS hash
   FROM documents),
 src AS (SELECT source, sum(size)::BIGINT AS source_size FROM base GROUP BY source),
 ranked AS (
