@@ -4,8 +4,8 @@ Each learned language has a likelihood for hashed letter trigrams. A text is a m
 expectation-maximisation estimates its proportions, first over all languages, then over the sets of its 1, 2, ...
 likeliest ones; the set with the best penalised likelihood is taken, and of it the language with the largest share.
 
-Learned from a bounded sample of labelled texts (about ``per_language`` whole texts of each language, by hash of the
-id). The table that is collected and broadcast has BUCKETS numbers a language; more than MOST_LANGUAGES languages are an
+Learned from a bounded sample of labelled texts (about ``per_language`` whole texts of each language, by hash of id and
+text; rows that are equal in both are one). The table that is collected and broadcast has BUCKETS numbers a language; more than MOST_LANGUAGES languages are an
 error, so that its size is bounded (64 MB).
 
 Edge cases: null, empty and letterless texts are ``und`` with score 0, and so is all if nothing could be learned;
@@ -58,11 +58,12 @@ def trigrams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
     """The languages and the logarithms of their trigram probabilities (BUCKETS x languages)."""
-    d = docs.select(docs[quoted(lang_col)].cast("string").alias("lang"), docs[quoted(text_col)].cast("string").alias("text"), F.pmod(F.xxhash64(F.lit("sample"), docs[quoted(id_col)]), F.lit(1 << 30)).alias("at")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = cut(d.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*") * (1 << 30)).alias("below")), few=True)
+    d = docs.select(docs[quoted(lang_col)].cast("string").alias("lang"), docs[quoted(text_col)].cast("string").alias("text"), F.pmod(F.xxhash64(F.lit("sample"), docs[quoted(id_col)], docs[quoted(text_col)].cast("string")), F.lit(1 << 60)).alias("at")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    counts = cut(d.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*") * (1 << 60)).alias("below")), few=True)
     if (n := counts.count()) > MOST_LANGUAGES:
         raise ValueError(f"{n} languages; at most {MOST_LANGUAGES} can be learned")
-    sample = join_counted(d, counts, ["lang"], "inner").filter("at < below").select("lang", "text")
+    # Rows that repeat an id and a text are one here, so no number of them can swell the sample.
+    sample = join_counted(d, counts, ["lang"], "inner").filter("at < below").dropDuplicates(["lang", "at"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -75,11 +76,17 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, id_col: str = "doc_
             at = np.flatnonzero(total)
             yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(total[at])], names=["lang", "bucket", "n"])
 
-    seen = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(seen["lang"].unique())
-    table = np.zeros((BUCKETS, len(langs)), np.float64)
-    table[seen["bucket"].to_numpy(np.int64), np.searchsorted(langs, seen["lang"].to_numpy(str)) if langs else []] = seen["n"].to_numpy(np.float64)
-    return [str(x) for x in langs], np.log((table + 0.5) / (table.sum(0) + 0.5 * BUCKETS)).astype(np.float32)
+    def column(key, table):
+        n = np.zeros(BUCKETS, np.float64)
+        n[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+        logs = np.log((n + 0.5) / (n.sum() + 0.5 * BUCKETS)).astype("<f4")
+        return pa.table({"lang": [key[0].as_py()], "logs": pa.array([logs.tobytes()], pa.binary())})
+
+    # The driver gets one row of 4 BUCKETS bytes a language.
+    seen = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    found = sorted((r["lang"], bytes(r["logs"])) for r in seen.groupBy("lang").applyInArrow(column, "lang string, logs binary").collect())
+    table = np.stack([np.frombuffer(logs, "<f4") for _, logs in found], 1) if found else np.zeros((BUCKETS, 0), np.float32)
+    return [lang for lang, _ in found], np.ascontiguousarray(table)
 
 
 def proportions(like: np.ndarray, rounds: int = 20) -> tuple[np.ndarray, float]:
