@@ -4,11 +4,17 @@ Trusted positives are texts labelled good; everything else is unlabelled web tex
 of positives among the unlabelled (class prior) is estimated by the best-bin rule: the smallest ratio of the
 unlabelled's to the positives' mass above a score, with the bins' confidence bounds added. With it the non-negative
 unbiased risk, prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives)), is minimised by a logistic
-model over binned surface features of the whole text; its scores are made probabilities by the monotone ratio of the
+model over binned features of the whole text; its scores are made probabilities by the monotone ratio of the
 positives' density, times the prior, to the unlabelled's.
 
-Fitted on a bounded sample (``positives`` and ``unlabelled`` texts at most, by hash of the id, one row an id) on the
-driver; every text is scored in its partition.
+Features are surface counts, and five of the words: by hash, how much commoner a text's words, and its pairs of words,
+are among the positives than among the unlabelled; how likely the pairs of its words' shapes are among the positives
+(a shape is how a word begins and ends), how much likelier than in any other order; and how many of its pairs no positive
+has. A text that the model is fitted on is measured against the counts of the half that it is not in. Some unlabelled
+texts are shown to the fit once more with their words in another order, so that it learns what order is worth.
+
+Fitted on a bounded sample (``positives`` and ``unlabelled`` texts at most, by hash of id and text, equal rows being one)
+on the driver, which gets 21 numbers a text and the tables of counts; every text is scored in its partition.
 
 Edge cases: null and empty texts have the features of the empty text and a score; texts are measured whole, however
 long; without trusted positives every score is the default prior; of several labels of a document the best counts;
@@ -20,10 +26,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,11 +48,57 @@ LETTERS = bytes([*range(65, 91), *range(97, 123)])
 DIGITS = b"0123456789"
 MARKS = b"!?\"'();:,.-_/\\[]{}=+~^`@"
 
-FEATURES = ("words", "word_length", "symbols", "capitals", "digits", "marks", "shouts", "bars", "distinct", "top_word", "neighbours", "same_lines", "line_words", "repeats", "wide", "odd_ends")
-
-
-def features(text: str | None) -> tuple[float, ...]:
-    """Surface features of the whole text, as FEATURES names them."""
+#: Buckets of words, and of pairs of words; classes of a word's first and last byte, and pairs of shapes.
+WORD_BITS = 18
+CLASSES = 6
+SHAPES = CLASSES**2
+SIZES = {"words": 1 << WORD_BITS, "pairs": 1 << WORD_BITS, "shapes": SHAPES**2}
+BYTE_CLASS = np.array([5 if c > 127 else 0 if chr(c).islower() else 1 if chr(c).isupper() else 2 if chr(c).isdigit() else 3 if chr(c) in ".!?" else 4 for c in range(256)])
+WORD_FEATURES = ("word_ratio", "pair_ratio", "shape_pairs", "new_pairs", "order")
+#: Of the unlabelled texts one in so many is also shown to the fit with its words in another order.
+SALAD = 4
+FEATURES = ("words", "word_length", "symbols", "capitals", "digits", "marks", "shouts", "bars", "distinct", "top_word", "neighbours", "same_lines", "line_words", "repeats", "wide", "odd_ends", *WORD_FEATURES)
+
+
+def buckets(tokens: list[bytes]) -> dict[str, np.ndarray]:
+    """The buckets of a text's words and pairs, A-Z lower-cased, and of its pairs of shapes."""
+    h = np.fromiter(map(xxhash.xxh64_intdigest, b" ".join(tokens).lower().split()), np.uint64, len(tokens))
+    pairs = (h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xD6E8FEB86659FD93)
+    shape = CLASSES * BYTE_CLASS[list(map(itemgetter(0), tokens))] + BYTE_CLASS[list(map(itemgetter(-1), tokens))]
+    shift = np.uint64(64 - WORD_BITS)
+    return {"words": (h >> shift).astype(np.int64), "pairs": (pairs >> shift).astype(np.int64), "shapes": SHAPES * shape[:-1] + shape[1:]}
+
+
+def word_tables(p: dict[str, np.ndarray], u: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Counts by bucket among positives and unlabelled to the logarithms that features add up, and which pairs are new."""
+    share = lambda n: np.log((n + 1.0) / (n.sum() + len(n)))
+    return {
+        "words": (share(p["words"]) - share(u["words"])).astype(np.float32), "pairs": (share(p["pairs"]) - share(u["pairs"])).astype(np.float32),
+        "shapes": share(p["shapes"]).astype(np.float32), "new": p["pairs"] == 0,
+    }
+
+
+def word_features(tokens: list[bytes], tables: dict[str, np.ndarray] | None) -> tuple[float, ...]:
+    """As WORD_FEATURES names them; mean logarithms are raised by 20, so that none is below 0. order is what the pairs of
+    shapes are likelier than those of the same words in any order would be on average."""
+    if tables is None or len(tokens) < 2:
+        return (0.0,) * len(WORD_FEATURES)
+    b = buckets(tokens)
+    mean = lambda name: max(1e-6, 20.0 + float(tables[name][b[name]].mean(dtype=np.float64)))
+    first, last = (np.bincount(x, minlength=SHAPES) / len(b["shapes"]) for x in np.divmod(b["shapes"], SHAPES))
+    any_order = 20.0 + float(first @ tables["shapes"].reshape(SHAPES, SHAPES).astype(np.float64) @ last)
+    shapes = mean("shapes")
+    return mean("words"), mean("pairs"), shapes, float(tables["new"][b["pairs"]].mean()), max(1e-6, 1.0 + shapes - any_order)
+
+
+def in_other_order(text: str) -> str:
+    """The words of a text in the order of their hashes."""
+    tokens = text.split()
+    return " ".join(tokens[i] for i in np.argsort([xxhash.xxh64_intdigest(f"{i}:{w}") for i, w in enumerate(tokens)], kind="stable"))
+
+
+def features(text: str | None, tables: dict[str, np.ndarray] | None = None) -> tuple[float, ...]:
+    """Features of the whole text, as FEATURES names them."""
     raw = (text or "").encode("utf-8", "replace")
     tokens = raw.split()
     n, size = len(tokens), max(1, len(raw))
@@ -59,20 +113,52 @@ def features(text: str | None) -> tuple[float, ...]:
         np.log1p(n), (size - n) / n, without(SYMBOLS) / n, without(UPPER) / letters, without(DIGITS) / n, without(MARKS) / n, raw.count(b"!") / n, raw.count(b"|") / n,
         len(counts) / n**0.9, max(counts.values()) / n, sum(map(bytes.__eq__, tokens, tokens[1:])) / n, 1 - len(set(lines)) / max(1, len(lines)), n / max(1, len(lines)),
         1 - len(windows) / max(1, n - 2), 1 - len(raw.decode("utf-8", "replace")) / size, sum(t[-1] in SYMBOLS for t in tokens) / n,
+        *word_features(tokens, tables),
     )
 
 
-def feature_rows(docs: DataFrame) -> DataFrame:
-    """Replaces docs' column text by x, its features."""
+def counted_words(sample: DataFrame) -> dict[tuple[int, int], dict[str, np.ndarray]]:
+    """sample (trusted, half, text) to counts by bucket of each (trusted, half). The driver gets one row of at most
+    2^WORD_BITS numbers for each of them and kind of bucket."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int, str], np.ndarray] = {}
+        for b in batches:
+            for trusted, half, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                for kind, at in buckets((text.as_py() or "").encode("utf-8", "replace").split()).items():
+                    total = sums.setdefault((trusted, half, kind), np.zeros(SIZES[kind], np.int64))
+                    np.add.at(total, at, 1)
+        for (trusted, half, kind), total in sums.items():
+            at = np.flatnonzero(total)
+            yield pa.record_batch([pa.repeat(pa.scalar(x, t), len(at)) for x, t in ((trusted, pa.int32()), (half, pa.int32()), (kind, pa.string()))] + [pa.array(at), pa.array(total[at])], names=["trusted", "half", "kind", "bucket", "n"])
+
+    def one_row(key, table):
+        n = np.zeros(SIZES[key[2].as_py()], "<i8")
+        n[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
+        return pa.table({"trusted": pa.array([key[0].as_py()], pa.int32()), "half": pa.array([key[1].as_py()], pa.int32()), "kind": [key[2].as_py()], "n": pa.array([n.tobytes()], pa.binary())})
+
+    keys = ["trusted", "half", "kind"]
+    found = sample.select("trusted", "half", "text").mapInArrow(count, "trusted int, half int, kind string, bucket long, n long").groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
+    rows = found.groupBy(*keys).applyInArrow(one_row, "trusted int, half int, kind string, n binary").collect()
+    out = {(t, h): {kind: np.zeros(size, np.int64) for kind, size in SIZES.items()} for t in (0, 1) for h in (0, 1)}
+    for r in rows:
+        out[r["trusted"], r["half"]][r["kind"]] = np.frombuffer(bytes(r["n"]), "<i8")
+    return out
+
+
+def feature_rows(sample: DataFrame, tables: list[dict[str, np.ndarray]]) -> DataFrame:
+    """sample (trusted, half, text, at) to trusted, at, x, its features by the tables of its half. Of one in SALAD of the
+    unlabelled texts there is a second row, with trusted 2, of its words in another order."""
+    shared = sample.sparkSession.sparkContext.broadcast(tables)  # two tables of 2^WORD_BITS entries, of words and pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = pa.array([features(t.as_py()) for t in b.column("text")], pa.list_(pa.float64()))
-            rest = b.drop_columns(["text"])
-            yield pa.record_batch([*rest.columns, x], names=[*rest.schema.names, "x"])
+            rows = [(trusted, at, features(t.as_py(), shared.value[half]), half, t) for trusted, half, t, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True)]
+            rows += [(2, at, features(in_other_order(t.as_py() or ""), shared.value[half]), half, t) for trusted, at, _, half, t in rows if trusted == 0 and at // 2 % SALAD == 0]
+            kinds = (pa.int32(), pa.int64(), pa.list_(pa.float64()))
+            yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["trusted", "at", "x"])
 
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in docs.dtypes if c != "text"), "x array<double>"])
-    return docs.mapInArrow(run, schema)
+    return sample.select("trusted", "half", "text", "at").mapInArrow(run, "trusted int, at long, x array<double>")
 
 
 def spans(x: np.ndarray, bins: int) -> list[np.ndarray]:
@@ -153,20 +239,23 @@ def pu_gradient(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarra
     return prior * (sigmoid(zp) - 1) / len(zp) - prior * sigmoid(zp) / len(zp), sigmoid(zu) / len(zu)
 
 
-def fit(x_p: np.ndarray, x_u: np.ndarray, bins: int = BINS, rounds: int = 500, rate: float = 0.05, decay: float = 1e-4) -> dict:
-    """The model: edges, weights, bias, prior."""
+def fit(x_p: np.ndarray, x_u: np.ndarray, x_salad: np.ndarray | None = None, bins: int = BINS, rounds: int = 500, rate: float = 0.05, decay: float = 1e-4) -> dict:
+    """The model: edges, weights, bias, prior. x_salad, features of texts without an order, count among the unlabelled
+    while the risk is minimised and scores are calibrated; the prior is that of x_u."""
     if not len(x_p) or not len(x_u):
         return {"edges": [], "weights": np.zeros(0), "bias": float(np.log(DEFAULT_PRIOR / (1 - DEFAULT_PRIOR))), "prior": DEFAULT_PRIOR}
-    edges = spans(np.concatenate([x_p, x_u]), bins)
+    salad = x_u[:0] if x_salad is None else x_salad
+    edges = spans(np.concatenate([x_p, x_u, salad]), bins)
     width = sum(len(e) + 1 for e in edges)
-    at_p, at_u = one_hot(x_p, edges), one_hot(x_u, edges)
+    at_p, at_u, at_all = one_hot(x_p, edges), one_hot(x_u, edges), one_hot(np.concatenate([x_u, salad]), edges)
     # Positives against unlabelled, on halves: the other halves estimate the prior.
     w, b = descend(at_p[::2], at_u[::2], width, lambda zp, zu: ((sigmoid(zp) - 1) / len(zp), sigmoid(zu) / len(zu)), rounds // 2, rate, decay)
     score = lambda at: w[at].sum(1) + b
     prior = estimate_prior(score(at_p[1::2]), score(at_u[1::2])) if len(x_p) > 1 and len(x_u) > 1 else DEFAULT_PRIOR
 
-    w, b = descend(at_p, at_u, width, lambda zp, zu: pu_gradient(zp, zu, prior), rounds, rate, decay)
-    return {"edges": edges, "weights": w, "bias": b, "prior": prior, "points": calibration(score(at_p), score(at_u), prior)}
+    share = prior * len(at_u) / len(at_all)
+    w, b = descend(at_p, at_all, width, lambda zp, zu: pu_gradient(zp, zu, share), rounds, rate, decay)
+    return {"edges": edges, "weights": w, "bias": b, "prior": prior, "points": calibration(score(at_p), score(at_all), share)}
 
 
 def scores(model: dict, x: np.ndarray) -> np.ndarray:
@@ -179,23 +268,27 @@ def scores(model: dict, x: np.ndarray) -> np.ndarray:
 
 def trained(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> dict:
     """Learns from docs (doc_id, text) and labels (doc_id, quality)."""
-    at = lambda c, salt: F.pmod(F.xxhash64(F.lit(salt), c), F.lit(1 << 30))
-    good = labels.groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").alias("q")).filter("q = 1 AND id IS NOT NULL").select("id")
-    n_good = good.count()
-    some = cut(good.filter(at(F.col("id"), "good") < F.lit(positives / max(1, n_good) * (1 << 30))), few=True)
-    n = docs.count()
-    d = docs.select("doc_id", "text")
-    with_p = join_counted(d.withColumnRenamed("doc_id", "id"), some, ["id"], "inner").select("id", F.lit(1).alias("trusted"), "text")
-    with_u = d.filter(at(F.col("doc_id"), "web") < F.lit(unlabelled / max(1, n) * (1 << 30))).select(F.col("doc_id").alias("id"), F.lit(0).alias("trusted"), "text")
-    every = feature_rows(with_p.union(with_u)).groupBy("id", "trusted").agg(F.min("x").alias("x"))  # one row an id
-    most = lambda t, n, salt: every.filter(F.col("trusted") == t).orderBy(at(F.col("id"), salt), "id").limit(n)
-    x = most(1, positives, "good").union(most(0, unlabelled, "web")).toPandas()  # len(FEATURES) numbers a row
+    below = lambda wanted, n: F.lit(min(1.0, wanted / max(1, n)) * (1 << 60))
+    good = labels.groupBy(F.col("doc_id").alias("of")).agg(F.max("quality").alias("q")).filter("q = 1 AND of IS NOT NULL").select("of")
+    at_id = F.pmod(F.xxhash64(F.lit("good"), "of"), F.lit(1 << 60))
+    some = cut(good.filter(at_id < below(positives, good.count())).select(F.col("of").alias("doc_id"), F.lit(True).alias("good")), few=True)
+    d = docs.select("doc_id", "text").withColumn("at", F.pmod(F.xxhash64(F.lit("web"), "doc_id", "text"), F.lit(1 << 60)))
+    d = join_counted(d, some, ["doc_id"]).withColumn("web", F.col("at") < below(unlabelled, docs.count())).filter("good OR web")
+    # A text may be in both samples. Rows that repeat an id and a text are one.
+    both = F.filter(F.array(F.when(F.col("good"), 1), F.when(F.col("web"), 0)), lambda x: x.isNotNull())
+    sample = d.select(F.explode(both).alias("trusted"), (F.col("at") % 2).cast("int").alias("half"), "at", "text").dropDuplicates(["trusted", "at"])
+    # An id's rows that have many texts may all be good: the bound holds for them, too.
+    most = lambda t, n: sample.filter(F.col("trusted") == t).orderBy("at").limit(n)
+    sample = cut(most(1, positives).union(most(0, unlabelled)))
+    counts = counted_words(sample)
+    add = lambda a, b: {kind: a[kind] + b[kind] for kind in a}
+    x = feature_rows(sample, [word_tables(counts[1, 1 - half], counts[0, 1 - half]) for half in (0, 1)]).toPandas()  # len(FEATURES) numbers a row
     rows = np.array(x["x"].tolist(), np.float64).reshape(len(x), len(FEATURES))
     order = np.lexsort([*rows.T, x["trusted"].to_numpy()])  # the same order in every run
-    rows, trusted = rows[order], x["trusted"].to_numpy()[order] == 1
+    rows, kind = rows[order], x["trusted"].to_numpy()[order]
     shuffle = np.random.default_rng(7).permutation(len(rows))
-    rows, trusted = rows[shuffle], trusted[shuffle]
-    return fit(rows[trusted], rows[~trusted])
+    rows, kind = rows[shuffle], kind[shuffle]
+    return fit(*(rows[kind == k] for k in (1, 0, 2))) | {"tables": word_tables(add(counts[1, 0], counts[1, 1]), add(counts[0, 0], counts[0, 1]))}
 
 
 #: Rows of a batch that are worked on, and sent back, at a time.
@@ -204,7 +297,7 @@ STEP = 512
 
 def score_texts(rows: DataFrame, model: dict, text: tuple[str, ...], keep: list[str]) -> DataFrame:
     """The columns ``keep`` of rows with quality_score; text is the path to a string column."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers, and tables of 2^WORD_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +306,7 @@ def score_texts(rows: DataFrame, model: dict, text: tuple[str, ...], keep: list[
                 texts = b.column(text[0])
                 for field in text[1:]:
                     texts = pc.struct_field(texts, field)
-                x = np.array([features(t.as_py()) for t in texts], np.float64).reshape(len(b), len(FEATURES))
+                x = np.array([features(t.as_py(), shared.value["tables"]) for t in texts], np.float64).reshape(len(b), len(FEATURES))
                 yield pa.record_batch([*(b.column(c) for c in keep), pa.array(scores(shared.value, x))], names=[*keep, "quality_score"])
 
     return rows.mapInArrow(run, T.StructType([*(rows.schema[c] for c in keep), T.StructField("quality_score", T.DoubleType())]))

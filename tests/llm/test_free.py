@@ -730,3 +730,62 @@ def test_batches_are_spread_over_holders(n):
     batches = np.array([part << 32 | k for part in range(4000) for k in range(20)], np.uint64)
     most = np.bincount(pitman_yor_lm.owner(batches, n), minlength=n).max()
     assert most <= 2 * len(batches) / n + 1 and pitman_yor_lm.place_of(int(batches[77]), n) == pitman_yor_lm.owner(batches, n)[77]
+
+
+def test_word_salads_score_lower(spark):
+    """Good texts with their words in another order, among texts that the model has not seen."""
+    sf = SF.replace("0.001", "0.01")
+    d, labels = (spark.read.parquet(f"{sf}/{t}.parquet").select(*c) for t, c in (("documents", ("doc_id", "text")), ("labels", ("doc_id", "quality"))))
+    model = pu_quality.trained(d.filter(~pu_quality.held_out(F.col("doc_id"))), labels.filter(~pu_quality.held_out(F.col("doc_id"))))
+    good = [r.text for r in d.join(labels.filter("quality = 1"), "doc_id").filter(pu_quality.held_out(F.col("doc_id"))).collect() if len(r.text.split()) >= 50]
+    rng = random.Random(4)
+    salad = [" ".join(rng.sample(t.split(), len(t.split()))) for t in good]
+    score = lambda texts: pu_quality.scores(model, np.array([pu_quality.features(t, model["tables"]) for t in texts]))
+    own, mixed = score(good), score(salad)
+    assert len(good) >= 20 and (own >= 0.3).mean() > 0.9 and (mixed < own).mean() > 0.9 and (mixed >= 0.3).mean() < 0.2
+
+
+def test_word_features_are_brute_force():
+    texts = [b"The cat. A cat!", b"x y", b"the CAT"]
+    h = lambda w: xxhash.xxh64_intdigest(w.lower())
+    for t in texts:
+        tokens = t.split()
+        got = pu_quality.buckets(tokens)
+        assert got["words"].tolist() == [h(w) >> 46 for w in tokens]
+        assert got["pairs"].tolist() == [(h(a) * 0x9E3779B97F4A7C15 + h(b)) * 0xD6E8FEB86659FD93 % 2**64 >> 46 for a, b in zip(tokens, tokens[1:])]
+        kind = lambda c: 0 if chr(c).islower() else 1 if chr(c).isupper() else 3 if chr(c) in ".!?" else 4
+        shape = [6 * kind(w[0]) + kind(w[-1]) for w in tokens]
+        assert got["shapes"].tolist() == [36 * a + b for a, b in zip(shape, shape[1:])]
+    p = {k: np.bincount(np.concatenate([pu_quality.buckets(t.split())[k] for t in texts[:2]]), minlength=n) for k, n in pu_quality.SIZES.items()}
+    u = {k: np.bincount(pu_quality.buckets(texts[2].split())[k], minlength=n) for k, n in pu_quality.SIZES.items()}
+    tables = pu_quality.word_tables(p, u)
+    share = lambda n, of, size: math.log((n + 1) / (of + size))
+    want = [share(2, 6, 1 << 18) - share(1, 2, 1 << 18) if w == b"cat" else share(1, 6, 1 << 18) - share(1, 2, 1 << 18) for w in (b"the", b"cat")]
+    assert pu_quality.word_features([b"the", b"cat"], tables)[0] == pytest.approx(20 + (share(1, 6, 1 << 18) + share(1, 6, 1 << 18) - 2 * share(1, 2, 1 << 18)) / 2, abs=0.5)
+    assert len(want) == 2 and pu_quality.word_features([b"x", b"y"], tables)[3] == 0.0 and pu_quality.word_features([b"y", b"x"], tables)[3] == 1.0
+
+
+def test_samples_do_not_depend_on_ids(spark):
+    """Rows without ids, and rows that share one: samples are drawn by text as well, and stay bounded."""
+    d = docs(spark)
+    for odd_id in (F.lit(None).cast("long"), F.lit(7).cast("long")):
+        langs, _ = language_mixture.learn(d.withColumn("doc_id", odd_id), 5)
+        assert langs == ["de", "en", "es", "fr"]
+    same = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 2000).cast("string")).alias("text"))
+    labels = spark.createDataFrame([(7, 1)], "doc_id long, quality int")
+    seen = []
+    fit = pu_quality.fit
+    try:
+        pu_quality.fit = lambda p, u, s: seen.append((len(p), len(u))) or fit(p, u, s)
+        pu_quality.trained(same, labels, 50, 100)
+        pu_quality.trained(same.withColumn("doc_id", F.lit(None).cast("long")), labels, 50, 100)
+    finally:
+        pu_quality.fit = fit
+    assert seen[0][0] == 50 and seen[1][0] == 0 and all(20 < u <= 100 for _, u in seen)
+
+
+def test_repeated_rows_with_helpers_names(spark):
+    names = ["__id", "__twin", "id", "twin", "row", "__first", "copies"]
+    d = odd(spark, [(1, "a b c"), (1, "a b c"), (2, "a b c"), (None, "z"), (None, "z")]).withColumns({n: F.lit(1) for n in names})
+    kept = simhash_tiles.keep_first(d)
+    assert kept.columns == d.columns and sorted(map(str, (r.doc_id for r in kept.collect()))) == ["1", "None"]

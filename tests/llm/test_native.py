@@ -216,3 +216,13 @@ def test_very_long_texts(spark):
     feats = {r.doc_id: r for r in quality_rules.features(d).collect()}
     assert feats[0].n_words == 300_000 and feats[0].n_repeat_words == 300_000 and feats[1].word_chars == 500_000
     assert {r.doc_id: r.size for r in source_mixing.mix_report(d).collect()} == {0: 300_000, 1: 1, 2: 1}
+
+
+@pytest.mark.parametrize("ids", ["null", "few"])
+def test_mix_without_ids(spark, ids):
+    """Rows are dealt by their texts, too: sources meet their targets where ids are null or shared."""
+    own = F.lit(None).cast("long") if ids == "null" else F.col("id") % 3
+    d = spark.range(3000).select(own.alias("doc_id"), F.concat_ws(" ", F.col("id").cast("string"), F.array_repeat(F.lit("w"), (F.col("id") % 20).cast("int"))).alias("text"), F.concat(F.lit("s"), (F.col("id") % 7).cast("string")).alias("source"))
+    got = source_mixing.mix_report(d).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(got) == 7 and all(r.target - 21 <= r.taken <= r.target for r in got)
+    assert source_mixing.mix_rows(d).groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect() and source_mixing.mix_rows(d).columns == d.columns
