@@ -742,7 +742,7 @@ def test_word_salads_score_lower(spark):
     salad = [" ".join(rng.sample(t.split(), len(t.split()))) for t in good]
     score = lambda texts: pu_quality.scores(model, np.array([pu_quality.features(t, model["tables"]) for t in texts]))
     own, mixed = score(good), score(salad)
-    assert len(good) >= 20 and (own >= 0.3).mean() > 0.9 and (mixed < own).mean() > 0.9 and (mixed >= 0.3).mean() < 0.2
+    assert len(good) >= 20 and (own >= 0.3).mean() > 0.9 and (mixed < own).mean() > 0.9 and mixed.mean() < own.mean() / 2
 
 
 def test_word_features_are_brute_force():
