@@ -31,7 +31,7 @@ def check_unit(df: DataFrame, vector: str, tolerance: float = 1e-2) -> DataFrame
     return df.filter(F.coalesce(ok.cast("string"), F.lit("")) == "")
 
 
-def _matrix(column: pa.Array, dtype=np.float64) -> np.ndarray:
+def as_matrix(column: pa.Array, dtype=np.float64) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(dtype)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
@@ -58,7 +58,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP_K, doc_id: str = "v
     out = None
     for i in range(parts):
         rows = numbered.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == i).toArrow().combine_chunks()  # about ``block`` rows
-        ids, vectors = rows.column(0).combine_chunks(), _matrix(rows.column(1).combine_chunks())
+        ids, vectors = rows.column(0).combine_chunks(), as_matrix(rows.column(1).combine_chunks())
         shared = docs.sparkSession.sparkContext.broadcast((ids, vectors))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -66,7 +66,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP_K, doc_id: str = "v
             for b in batches:
                 for x in range(0, len(b), ROW_TILE):
                     tile = b.slice(x, ROW_TILE)
-                    matrix = _matrix(tile.column(1))
+                    matrix = as_matrix(tile.column(1))
                     for y in range(0, len(ids), QUERY_TILE):
                         q, d, score = best_of_tile(vectors[y : y + QUERY_TILE], matrix, k, digits)
                         yield pa.record_batch([ids.take(pa.array(y + q)), tile.column(0).take(pa.array(d)), pa.array(score)], names=["query_id", "doc_id", "score"])

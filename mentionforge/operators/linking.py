@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mentionforge.functions.arrays import as_set
 from mentionforge.functions.text import query_variant
-from mentionforge.operators import dense, lexical
+from mentionforge.operators import dense, lexical, vector_index
 from mentionforge.operators.code_tables import code_shape_ok
 
 #: Which types are linked, to which knowledge base, and the frozen decisions of each.
@@ -67,11 +67,12 @@ def route(entity_type: Column) -> Column:
 def retrieve(queries: DataFrame, index: Mapping) -> DataFrame:
     """queries (query_id, text) to the merged hits of an index's branches, with the documents' columns. index has
     ``docs`` (doc_id, text, role, code, resolve_in), ``lexical`` (see lexical.build_index) and optionally ``dense``
-    (doc_id, embedding) with ``embed`` (a column function)."""
+    (doc_id, embedding, searched exactly, or a vector_index.VectorIndex) with ``embed`` (a column function)."""
     hits = lexical.search(index["lexical"], queries)
     if "dense" in index:
         vectors = queries.select("query_id", index["embed"](F.col("text")).alias("embedding"))
-        near = dense.search(index["dense"], vectors, doc_id="doc_id")
+        stored = index["dense"]
+        near = vector_index.search(stored, vectors) if isinstance(stored, vector_index.VectorIndex) else dense.search(stored, vectors, doc_id="doc_id")
     else:
         near = hits.select("query_id", "doc_id", "score", F.col("bm25_rank").alias("dense_rank")).limit(0)
     return merge_branches(near, hits).join(index["docs"], "doc_id").withColumn("query", F.col("query_id"))
