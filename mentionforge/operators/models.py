@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: The types of entities, what may be asserted of a mention, and the types of which it may.
 ENTITY_TYPES = ["TRIỆU_CHỨNG", "TÊN_XÉT_NGHIỆM", "KẾT_QUẢ_XÉT_NGHIỆM", "CHẨN_ĐOÁN", "THUỐC"]
 ASSERTIONS = ["isNegated", "isFamily", "isHistorical"]
 TYPES_WITH_ASSERTIONS = ["CHẨN_ĐOÁN", "THUỐC", "TRIỆU_CHỨNG"]
@@ -78,17 +79,6 @@ def endpoint_extractor(url: str, model: str, instructions: str = INSTRUCTIONS, m
     return extract
 
 
-def lexicon_extractor(terms: dict[str, str]) -> Callable[[str], list[dict]]:
-    """A stand-in without a model: the given terms (term to type), where they occur."""
-
-    def extract(text: str) -> list[dict]:
-        low = text.casefold()
-        at = sorted((low.find(t.casefold()), t) for t in terms if t.casefold() in low)
-        return [{"text": t, "type": terms[t], "assertions": []} for _, t in at]
-
-    return extract
-
-
 def preflight(extract: Callable[[str], list[dict]], probe: str = "ping") -> None:
     """One call on the driver before a job starts; its failure is the job's."""
     extract(probe)
@@ -170,6 +160,11 @@ def reranked(pairs: DataFrame, name: str, load: Callable[[], Callable[[str, list
     return pairs.withColumn(score, run(F.col(query), F.col(text)))
 
 
+def as_scorer(name: str, load: Callable[[], Callable[[str, list[tuple[str, str]]], list[float]]], instruction: str, batch: int = 8) -> Callable[[DataFrame], DataFrame]:
+    """A reranker as linking takes it: pairs with query and text get a rerank_score."""
+    return lambda pairs: reranked(pairs, name, load, instruction, batch)
+
+
 def prompted_embedding(name: str, load: Callable[[], Callable[[list[str]], np.ndarray]], batch: int = 64) -> Callable[[Column, str], Column]:
     """An embedder as a function (text, prompt) to a column of unit vectors. load gives an encoder of a list of texts, run
     once a worker; queries and documents have prompts of their own, which are put before their texts."""
