@@ -9,7 +9,7 @@ from mentionforge.functions.arrays import as_set, gold_kind, repeated
 from mentionforge.functions.text import collapse
 from mentionforge.operators.models import ENTITY_TYPES, TYPES_WITH_ASSERTIONS
 from mentionforge.operators.linking import KB_OF_TYPE
-from mentionforge.operators.rows import neighbours, superset_groups, with_first_line
+from mentionforge.operators.rows import near_pairs, superset_groups, with_first_line
 
 #: The closed field set of evaluation rows, and the knowledge bases.
 REQUIRED = ["mention", "kb", "gold", "noise", "gold_kind"]
@@ -121,9 +121,9 @@ def check_clusters(rows: DataFrame, blocks: DataFrame, groups: DataFrame, key: s
     other = d.select("key", "kb", F.col(key).alias("row_id"), F.explode("distractor").alias("code"))
     near_blocks = gold.filter("kb = 'icd'").join(blocks.filter("block IS NOT NULL"), "code").select("key", "block").distinct()
     icd = other.filter("kb = 'icd'").join(blocks, "code", "left").join(near_blocks, ["key", "block"], "left_anti").select("key", "row_id", "code")
-    by_key = gold.filter("kb <> 'icd'").groupBy("key").agg(F.collect_set("code").alias("codes"))
-    near_codes = neighbours(by_key, groups).select("key", F.explode("neighbours").alias("code"))
-    drugs = other.filter("kb <> 'icd'").join(near_codes, ["key", "code"], "left_anti").select("key", "row_id", "code")
+    of_drugs = other.filter("kb <> 'icd'")
+    near = near_pairs(of_drugs.select("key", "code"), gold.filter("kb <> 'icd'").select("key", "code"), groups)
+    drugs = of_drugs.join(near, ["key", "code"], "left_anti").select("key", "row_id", "code")
     far = icd.union(drugs).groupBy("row_id").agg(F.array_join(F.sort_array(F.collect_set("code")), ",").alias("detail"))
     far = far.select("row_id", F.lit("error").alias("level"), F.lit("distractor is not near").alias("rule"), "detail")
     used = d.filter("kb = 'icd'").select("key", F.explode(F.concat(F.coalesce("gold", F.array().cast("array<string>")), F.coalesce("distractor", F.array().cast("array<string>")))).alias("code"))

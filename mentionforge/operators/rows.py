@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+import re
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -63,19 +66,52 @@ def drop_nested(spans: DataFrame, keys: list[str], start: str = "span_start", en
     return d.filter(~F.coalesce(inside, F.lit(False))).drop("__reach")
 
 
+def code_sets(df: DataFrame) -> DataFrame:
+    """set, size, code: the distinct sets of codes, a row a code."""
+    d = df.select(F.array_sort(F.array_distinct("codes")).alias("set")).distinct()
+    return d.select("set", F.size("set").alias("size"), F.explode("set").alias("code"))
+
+
+def containment_candidates(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """own, set: the pairs of distinct sets that are compared. A set of rows is looked up by its code of the fewest groups
+    alone (its prefix: a group that holds the set holds that code), among groups that are no smaller."""
+    listed = materialized(code_sets(groups))
+    often = materialized(listed.groupBy("code").agg(F.count(F.lit(1)).alias("n")))
+    own = code_sets(rows).withColumnsRenamed({"set": "own", "size": "need"}).join(often, "code", "left")
+    rarest = own.groupBy("own", "need").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "code")).alias("r"))
+    rarest = rarest.filter("r.n > 0").select("own", "need", F.col("r.code").alias("code"))
+    # A set of one code is in any group that has the code: the first is enough.
+    one = listed.groupBy("code").agg(F.min("set").alias("set"))
+    alone = rarest.filter("need = 1").join(one, "code").select("own", "set")
+    return alone.unionAll(rarest.filter("need > 1").join(listed, "code").filter("size >= need").select("own", "set"))
+
+
 def superset_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """rows (row_id, codes array), groups (group_id, codes array): the row_ids of which some group has all codes."""
-    r = rows.select("row_id", F.array_distinct("codes").alias("own")).withColumn("need", F.size("own"))
-    g = groups.select("group_id", F.explode(F.array_distinct("codes")).alias("code"))
-    hits = r.select("row_id", "need", F.explode("own").alias("code")).join(g, "code").groupBy("row_id", "group_id", "need").count()
-    return hits.filter("count = need").select("row_id").distinct()
+    """rows (row_id, codes array), groups (group_id, codes array): the row_ids of which some group has all codes; a row
+    without codes has none."""
+    found = containment_candidates(rows, groups).filter(F.size(F.array_except("own", "set")) == 0).select(F.col("own").alias("__set")).distinct()
+    keyed = rows.select("row_id", F.array_sort(F.array_distinct("codes")).alias("__own"))
+    return keyed.join(found, F.col("__own") == F.col("__set"), "left_semi").select("row_id").distinct()
+
 
+def near_candidates(pairs: DataFrame, gold: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, code, other): for each pair (key, code) the key's gold codes, or the codes that share a group with it, whichever
+    are fewer; with them what each of the two still has to be looked up in."""
+    listed = code_sets(groups)
+    shared = materialized(listed.select("code", F.explode("set").alias("other")).distinct())  # codes that share a group
+    degree = shared.groupBy("code").agg(F.count(F.lit(1)).alias("degree"))
+    many = gold.groupBy("key").agg(F.count(F.lit(1)).alias("many"))
+    sized = materialized(pairs.join(degree, "code").join(many, "key"))
+    by_gold = sized.filter("many <= degree").select("key", "code").join(gold.withColumnRenamed("code", "other"), "key")
+    by_group = sized.filter("many > degree").select("key", "code").join(shared, "code").select("key", "code", "other")
+    return by_gold.join(shared, ["code", "other"], "left_semi").select("key", "code"), by_group.join(gold.withColumnRenamed("code", "other"), ["key", "other"], "left_semi").select("key", "code")
 
-def neighbours(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """rows (key, codes), groups (group_id, codes): per key the codes of all groups that share a code with it."""
-    g = groups.select("group_id", F.explode(F.array_distinct("codes")).alias("code"))
-    touched = rows.select("key", F.explode("codes").alias("code")).join(g, "code").select("key", "group_id").distinct()
-    return touched.join(g, "group_id").groupBy("key").agg(F.sort_array(F.collect_set("code")).alias("neighbours"))
+
+def near_pairs(pairs: DataFrame, gold: DataFrame, groups: DataFrame) -> DataFrame:
+    """pairs (key, code), gold (key, code), groups (group_id, codes): the pairs whose code lies in a group that has a gold
+    code of the key."""
+    by_gold, by_group = near_candidates(pairs.distinct(), gold.distinct(), groups)
+    return by_gold.unionAll(by_group).distinct()
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -86,7 +122,21 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """Computed once: a checkpoint where the session has a folder for it, else blocks on disk."""
-    if df.sparkSession.sparkContext.getCheckpointDir() is not None:
-        return df.checkpoint()
-    return df.persist(StorageLevel.DISK_ONLY)
+    """Computed once: a checkpoint in the folder that all executors see (see shared_folder)."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; where none is set a local session gets one of its own."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
