@@ -21,12 +21,13 @@ BROADCAST_ROWS = 500_000
 @dataclass
 class LexicalIndex:
     """Postings (doc_id, tok, tf, doc_len), frequencies (tok, df), and how many documents there are and how long they
-    are in sum. Documents without tokens count in both."""
+    are in sum. Documents without tokens count in both. lengths (doc_id, doc_len) has all documents, where it is known."""
 
     postings: DataFrame
     frequencies: DataFrame
     n_docs: int
     length: int
+    lengths: DataFrame | None = None
 
     @property
     def mean_length(self) -> float:
@@ -47,7 +48,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A row without token counts its document as often as the corpus has it.
     whole = rows.filter("tok IS NULL").agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("tf") * F.col("doc_len")), F.lit(0)).alias("length")).first()
     posts = rows.filter("tok IS NOT NULL").select("doc_id", "tok", "tf", "doc_len")
-    return LexicalIndex(posts, posts.groupBy("tok").agg(F.count("*").alias("df")), whole["n"], whole["length"])
+    return LexicalIndex(posts, posts.groupBy("tok").agg(F.count("*").alias("df")), whole["n"], whole["length"], rows.filter("tok IS NULL").select("doc_id", "doc_len"))
 
 
 def extended(index: LexicalIndex, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LexicalIndex:
