@@ -54,11 +54,3 @@ def at_share(ordered: Column, share: float) -> Column:
     """The value at index floor(share * n), the last at most, of an ascending array."""
     n = F.size(ordered)
     return F.get(ordered, F.least(n - 1, F.floor(n * F.lit(share))).cast("int"))
-
-
-def five_numbers(value: Column) -> Column:
-    """An aggregate: struct(n, min, q25, median, q75, max); quartiles by index, the median between neighbours."""
-    s = F.array_sort(F.collect_list(value))
-    return F.struct(
-        F.count(value).alias("n"), F.min(value).alias("min"), at_share(s, 0.25).alias("q25"), F.median(value).alias("median"), at_share(s, 0.75).alias("q75"), F.max(value).alias("max"),
-    )

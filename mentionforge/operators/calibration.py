@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 
 from mentionforge.functions.arrays import at_share, gold_weight, jaccard
 from mentionforge.operators.measures import all_codes, by_score, candidates_score, leak_rate, predicted
-from mentionforge.operators.ranks import at_shares, before, counted_values, index
-from mentionforge.operators.rows import materialized
+from mentionforge.operators.ranks import before, index, order_values
+from mentionforge.operators.rows import keep_first, materialized
 
 GRID_STEPS = 41
 CLIP = 0.99
@@ -30,27 +31,14 @@ def score_axes(dump: DataFrame, steps: int = GRID_STEPS, clip: float = CLIP) ->
     if steps < 2:
         raise ValueError("an axis needs two steps or more")
     scores = dump.select(F.explode("candidates.rerank_score").alias("s"))
-    ends = at_shares(counted_values(scores, [], "s"), [], "s", {"lo": F.lit(0), "hi": index(clip)}).select("lo", "hi")
+    ends = order_values(scores, [], "s", {"hi": (clip, index(clip))}).select(F.col("min").alias("lo"), "hi")
     span = F.when(F.col("hi") == F.col("lo"), F.lit(1.0)).otherwise(F.col("hi") - F.col("lo"))
     part = span * F.col("i") / (steps - 1)
     return ends.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("i")).select("i", (F.col("lo") + part).alias("floor"), part.alias("margin"))
 
 
-def cell_scores(dump: DataFrame, axes: DataFrame) -> DataFrame:
-    """A row a record and pair of axis values: its Jaccard similarity and weight. The axes are a parameter of a few
-    dozen rows; their values are exploded beside each record, so nothing is joined."""
-    points = axes.orderBy("i").collect()
-    values = lambda c: F.explode(F.array(*[F.lit(p[c]) for p in points]))
-    d = dump.withColumn("floor", values("floor")).withColumn("margin", values("margin"))
-    return d.select("record_id", "kb", "floor", "margin", gold_weight(F.col("gold")).alias("w"), jaccard(F.col("gold"), predicted(F.col("candidates"), F.col("floor"), F.col("margin"))).alias("j"))
-
-
-def grid_scores(cells: DataFrame, keys: list[str]) -> DataFrame:
-    return cells.groupBy(*keys, "floor", "margin").agg(F.round(F.coalesce(F.sum(F.col("j") * F.col("w")) / F.sum("w"), F.lit(0.0)), DIGITS).alias("score"))
-
-
 def slices(scores: DataFrame, keys: list[str]) -> DataFrame:
-    """Of a heat map (grid_scores) the row and the column through the best cell: keys, axis (floor, margin: what varies),
+    """Of a heat map the row and the column through the best cell: keys, axis (floor, margin: what varies),
     value, score."""
     scores = materialized(scores)
     best = best_pair(scores, keys).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("floor").alias("__floor"), F.col("margin").alias("__margin"))
@@ -65,13 +53,6 @@ def best_pair(scores: DataFrame, keys: list[str]) -> DataFrame:
     return scores.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
 
 
-def bootstrap(cells: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, sample, floor, margin, score: each sample's best cell; similarities are computed once, not per sample."""
-    d = cells.join(counts, "record_id")
-    scores = d.groupBy(*keys, "sample", "floor", "margin").agg(F.round(F.coalesce(F.sum(F.col("times") * F.col("w") * F.col("j")) / F.nullif(F.sum(F.col("times") * F.col("w")), F.lit(0)), F.lit(0.0)), DIGITS).alias("score"))
-    return best_pair(scores, [*keys, "sample"])
-
-
 def prefix_scores(dump: DataFrame) -> DataFrame:
     """record_id, kb, w, scores (descending) and j, where j[n] is the similarity with the n best candidates predicted.
     A cell keeps the candidates from max(floor, best - margin) on, so its similarity is that of the shorter of two
@@ -99,6 +80,18 @@ def cell_matrix(scores: np.ndarray, j: np.ndarray, floors: np.ndarray, margins:
     return np.take_along_axis(j, kept, 1)
 
 
+def bucket_share(total: int, before: np.ndarray, bucket: int, samples: int, seed: list[int]) -> np.ndarray:
+    """How many of each sample's ``total`` draws fall to a bucket; before[b] records lie in the buckets before b. Buckets
+    are halved again and again, and each half's draws are a binomial with a seed of its own, so every task that asks for a
+    bucket computes the same tree, of which it needs one path."""
+    low, high, n = 0, len(before) - 1, np.full(samples, total, np.int64)
+    while high - low > 1:
+        middle = (low + high) // 2
+        drawn = np.random.default_rng([*seed, low, high]).binomial(n, (before[middle] - before[low]) / max(1, before[high] - before[low]))
+        low, high, n = (low, middle, drawn) if bucket < middle else (middle, high, n - drawn)
+    return n
+
+
 def drawn_times(n: np.ndarray, size: int, seed: int, bucket: int) -> np.ndarray:
     """How often each of a bucket's records is drawn in each sample, where the bucket is drawn n times."""
     return np.random.default_rng([seed, bucket]).multinomial(n, np.full(size, 1.0 / size))
@@ -107,28 +100,36 @@ def drawn_times(n: np.ndarray, size: int, seed: int, bucket: int) -> np.ndarray:
 #: Records that are resampled in one piece, about.
 BUCKET_RECORDS = 4096
 ROWS_AT_ONCE = 512
+#: Counts of samples: of records' ids, in order, a matrix of how often each sample (row) has each record (column).
+Times = Callable[[pa.Array], np.ndarray]
 
 
-def cell_sums(dump: DataFrame, points: list, resamples: int | None = None, seed: int = 20260728) -> DataFrame:
+def cell_sums(dump: DataFrame, points: list, resamples: int | None = None, seed: int = 20260728, times: Times | None = None) -> DataFrame:
     """kb, sample, sums: of each task, weighted similarities by cell of the axes' points, and the weights' sum behind them;
-    once with every record counted once, or for each of a number of samples with replacement, as many records as there are.
+    once with every record counted once, or for each of a number of samples with replacement, as many records as there are,
+    or with the counts that ``times`` gives.
 
-    A sample is drawn in two steps: how many of its draws fall to each bucket of records (by hash) is drawn at once, a
-    few numbers a bucket; which records they are, where the bucket lies. Sums by sample and cell are products of matrices
-    in the tasks, which send one row a sample."""
+    A sample is drawn in two steps: how many of its draws fall to each bucket of records (by hash), and which records they
+    are, both where the bucket lies. Sums by sample and cell are products of matrices in the tasks, which send one row a
+    sample. The dump is computed once."""
     floors, margins = (np.array([p[c] for p in points]) for c in ("floor", "margin"))
-    samples = resamples or 1
-    n = dump.count()
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "record_id"), F.lit(max(1, n // BUCKET_RECORDS))).cast("int")
-    rows = prefix_scores(dump).withColumn("bucket", bucket)
+    rows = materialized(prefix_scores(dump))
+    n = rows.count()
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "record_id"), F.lit(max(1, n // BUCKET_RECORDS))).cast("int"))
     sizes: dict = {}
-    for r in dump.select("kb", bucket.alias("bucket")).groupBy("kb", "bucket").agg(F.count("*").alias("n")).orderBy("kb", "bucket").collect():
-        sizes.setdefault(r["kb"], {})[r["bucket"]] = r["n"]
-    shares = {}
-    for i, (kb, of) in enumerate(sizes.items()):
-        total = sum(of.values())
-        drawn = np.random.default_rng([seed, 1 << 31, i]).multinomial(total, np.array(list(of.values())) / total, samples)
-        shares[kb] = {b: (drawn[:, x], seed + i) for x, b in enumerate(of)}
+    if resamples and not times:
+        for r in rows.groupBy("kb", "bucket").agg(F.count("*").alias("n")).collect():  # a number for BUCKET_RECORDS records
+            sizes.setdefault(r["kb"], np.zeros(max(1, n // BUCKET_RECORDS) + 1, np.int64))[r["bucket"] + 1] = r["n"]
+    before = {kb: np.cumsum(of) for kb, of in sizes.items()}
+    number = {kb: i for i, kb in enumerate(sorted(before, key=lambda kb: (kb is not None, kb)))}
+
+    def counts(kb, bucket: int, ids: pa.Array) -> np.ndarray:
+        if times:
+            return times(ids)
+        if not resamples:
+            return np.ones((1, len(ids)))
+        share = bucket_share(int(before[kb][-1]), before[kb], bucket, resamples, [seed, number[kb]])
+        return drawn_times(share, len(ids), seed + number[kb], bucket)
 
     def add(batches):
         totals: dict = {}
@@ -137,12 +138,12 @@ def cell_sums(dump: DataFrame, points: list, resamples: int | None = None, seed:
         def close() -> None:
             part = pa.Table.from_batches(held).sort_by("record_id").combine_chunks()
             kb, bucket = part.column("kb")[0].as_py(), part.column("bucket")[0].as_py()
-            times = drawn_times(shares[kb][bucket][0], len(part), shares[kb][bucket][1], bucket) if resamples else np.ones((1, len(part)))
-            sums = totals.setdefault(kb, np.zeros((samples, len(floors) * len(margins) + 1)))
+            often = counts(kb, bucket, part.column("record_id").combine_chunks())
+            sums = totals.setdefault(kb, np.zeros((len(often), len(floors) * len(margins) + 1)))
             for at in range(0, len(part), ROWS_AT_ONCE):
                 some = part.slice(at, ROWS_AT_ONCE)
                 scores, j = (padded(some.column(c).combine_chunks(), x) for c, x in (("scores", -np.inf), ("j", 0.0)))
-                weights = times[:, at : at + len(some)] * some.column("w").to_numpy()
+                weights = often[:, at : at + len(some)] * some.column("w").to_numpy()
                 sums[:, :-1] += weights @ cell_matrix(scores, j, floors, margins)
                 sums[:, -1] += weights.sum(1)
             held.clear()
@@ -158,7 +159,7 @@ def cell_sums(dump: DataFrame, points: list, resamples: int | None = None, seed:
         if held:
             close()
         for kb, sums in totals.items():
-            yield pa.record_batch([pa.array([kb] * samples, pa.string()), pa.array(np.arange(samples)), pa.array(list(sums), pa.list_(pa.float64()))], names=["kb", "sample", "sums"])
+            yield pa.record_batch([pa.array([kb] * len(sums), pa.string()), pa.array(np.arange(len(sums))), pa.array(list(sums), pa.list_(pa.float64()))], names=["kb", "sample", "sums"])
 
     dealt = rows.repartition("kb", "bucket").sortWithinPartitions("kb", "bucket")
     return dealt.select("record_id", "kb", "bucket", "w", "scores", "j").mapInArrow(add, "kb string, sample long, sums array<double>")
@@ -184,7 +185,7 @@ def heat_map(dump: DataFrame, axes: DataFrame) -> DataFrame:
     return cells.drop("sample")
 
 
-def best_cells(dump: DataFrame, axes: DataFrame, resamples: int | None = None, seed: int = 20260728) -> DataFrame:
+def best_cells(dump: DataFrame, axes: DataFrame, resamples: int | None = None, seed: int = 20260728, times: Times | None = None) -> DataFrame:
     """kb, sample, floor, margin, score: the best cell (best_pair) of each knowledge base, or of each of its samples."""
     points = axes.orderBy("i").collect()
 
@@ -193,7 +194,7 @@ def best_cells(dump: DataFrame, axes: DataFrame, resamples: int | None = None, s
         score, floor, margin = (cells.column(c).to_numpy() for c in ("score", "floor", "margin"))
         return cells.slice(int(np.lexsort((-floor, margin, -score))[0]), 1)
 
-    return cell_sums(dump, points, resamples, seed).groupBy("kb", "sample").applyInArrow(choose, CELL)
+    return cell_sums(dump, points, resamples, seed, times).groupBy("kb", "sample").applyInArrow(choose, CELL)
 
 
 def spread(winners: DataFrame, keys: list[str]) -> DataFrame:
@@ -216,7 +217,7 @@ def split(rows: DataFrame, dev_ratio: float = DEV_RATIO, seed: str = "20260728")
     unit = F.when(clustered, F.concat_ws("::", F.lit("cluster"), name(F.col("kb")), "cluster_name")).otherwise(F.concat_ws("::", F.lit("row"), name(F.col("kb")), name(F.col("mention"))))
     d = rows.withColumn("unit", unit)
     strata = d.groupBy("unit", "noise", "gold_kind").agg(F.count("*").alias("c"), F.min("row_no").alias("first"))
-    units = strata.groupBy("unit").agg(F.max_by(F.struct("noise", "gold_kind"), F.struct(F.col("c"), -F.col("first"))).alias("stratum"), F.sum("c").alias("n"))
+    units = strata.groupBy("unit").agg(F.min_by(F.struct("noise", "gold_kind"), F.struct(-F.col("c"), F.col("first"))).alias("stratum"), F.sum("c").alias("n"))
     units = units.withColumn("md5", F.md5(F.concat_ws("|", F.lit(seed), "unit").cast("binary")))
     placed = before(units, ["stratum"], F.substring("md5", 1, 3), ["md5", "unit"], F.col("n"))
     return d.join(placed.select("unit", (F.col("before") < F.bround(F.col("total") * F.lit(dev_ratio))).alias("is_dev")), "unit")
@@ -238,17 +239,21 @@ def sweep(dump: DataFrame, is_dev: DataFrame, steps: int = GRID_STEPS, resamples
     }
 
 
+def without_repeats(dump: DataFrame) -> DataFrame:
+    """Of rows with the same mention and knowledge base the first: a row that is evaluated twice counts once."""
+    return keep_first(dump, ["mention", "kb"], ["row_no"])
+
+
 def sweep_all(dump: DataFrame, variant: str, instructions: str, today: str, steps: int = GRID_STEPS, resamples: int = RESAMPLES, dev_ratio: float = DEV_RATIO, seed: int = 20260728) -> tuple[dict, dict]:
-    """Thresholds by knowledge base with metadata, and the split, both as JSON-able objects. The split is made over all
-    knowledge bases together. dump has row_no and record_id; evaluation sets are small."""
-    parts = split(dump, dev_ratio, str(seed)).persist()
-    try:
-        thresholds = {r["kb"]: sweep(dump.filter(F.col("kb") == r["kb"]), parts, steps, resamples, seed) for r in dump.select("kb").distinct().orderBy("kb").collect()}
-        sides = {side: [r["mention"] for r in parts.filter(F.col("is_dev") == dev).orderBy("row_no").select("mention").collect()] for side, dev in (("sweep", False), ("dev", True))}
-    finally:
-        parts.unpersist()
-    thresholds["metadata"] = {"variant": variant, "seed": seed, "date": today, "grid_steps": steps, "bootstrap_resamples": resamples, "reranker_instruction": instructions}
-    return thresholds, {"seed": seed, "dev_ratio": dev_ratio, "variant": variant, **sides}
+    """Thresholds by knowledge base with metadata, and the split, both as JSON-able objects. Repeated rows are removed
+    first; the split is made over all knowledge bases together. dump has row_no and record_id; evaluation sets are small."""
+    once = materialized(without_repeats(dump))
+    repeats = dump.count() - once.count()
+    parts = materialized(split(once, dev_ratio, str(seed)))
+    thresholds = {r["kb"]: sweep(once.filter(F.col("kb") == r["kb"]), parts, steps, resamples, seed) for r in once.select("kb").distinct().orderBy("kb").collect()}
+    sides = {side: [r["mention"] for r in parts.filter(F.col("is_dev") == dev).orderBy("row_no").select("mention").collect()] for side, dev in (("sweep", False), ("dev", True))}
+    thresholds["metadata"] = {"variant": variant, "seed": seed, "date": today, "grid_steps": steps, "bootstrap_resamples": resamples, "reranker_instruction": instructions, "repeats_removed": repeats}
+    return thresholds, {"seed": seed, "dev_ratio": dev_ratio, "variant": variant, "deduped": True, **sides}
 
 
 def save_json(value: dict, path: str) -> None:

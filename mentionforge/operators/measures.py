@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mentionforge.functions.arrays import as_set, gold_kind, gold_weight, is_subset, jaccard, weighted_mean
-from mentionforge.operators.ranks import five_numbers
-from mentionforge.operators.rows import histogram
+from mentionforge.operators.ranks import five_numbers, same
+from mentionforge.operators.rows import histogram, materialized
 
 MULTI_KINDS = ["multi_sibling", "multi_solving"]
 
@@ -81,8 +81,13 @@ def margin_ceiling(dump: DataFrame) -> DataFrame:
 
 
 def cluster_gaps(dump: DataFrame) -> DataFrame:
-    d = margin_ceiling(dump).groupBy("kb", "cluster_name").agg(F.count("*").alias("n"), F.median("gap").alias("median_gap"), F.min("gap").alias("min_gap"), F.count_if(F.col("gap") <= 0).alias("n_lost"))
-    return d.orderBy(F.round("median_gap", 3), "kb", "cluster_name")
+    """kb, cluster_name, n, median_gap, min_gap, n_lost, in order of the median."""
+    gaps = materialized(margin_ceiling(dump))
+    keys = ["kb", "cluster_name"]
+    lost = gaps.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.count_if(F.col("gap") <= 0).alias("n_lost"))
+    d = five_numbers(gaps, keys, "gap")
+    d = d.join(lost, same(d, lost, keys)).select(*keys, "n", F.col("median").alias("median_gap"), F.col("min").alias("min_gap"), "n_lost")
+    return d.orderBy(F.round("median_gap", 3), *keys)
 
 
 def verdict(dump: DataFrame) -> DataFrame:

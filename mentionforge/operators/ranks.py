@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mentionforge.operators.rows import materialized
+from mentionforge.operators.rows import BROADCAST_ROWS, materialized
 
-BUCKETS = 256
+#: Of the sketches, and how many of their errors wide a bracket is to each side.
+ACCURACY = 10_000
+MARGIN = 4
 
 
 def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
@@ -34,37 +36,42 @@ def before(rows: DataFrame, keys: list[str], bucket: Column, order: list, n: Col
     return d.withColumn("before", F.col("__earlier") + F.col("__within")).select(*rows.columns, "before", "total")
 
 
-def value_bucket(rows: DataFrame, value: str) -> Column:
-    """A bucket of values, between bounds that hold about equal shares; the bounds, a bounded sketch's, are collected."""
-    bounds = rows.agg(F.percentile_approx(value, [i / BUCKETS for i in range(1, BUCKETS)]).alias("b")).first()["b"]
-    every = F.array(*[F.lit(b) for b in sorted(set(bounds or []))])
-    return F.size(F.filter(every, lambda b: b <= F.col(value))) if bounds else F.lit(0)
-
-
-def counted_values(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """How often each value (and null) occurs by key (__c), computed once."""
-    return materialized(rows.groupBy(*keys, value).agg(F.count("*").alias("__c")))
-
-
-def at_shares(counted: DataFrame, keys: list[str], value: str, indexes: dict[str, Column]) -> DataFrame:
-    """A row a key of counted_values: n (values, without null) and, by name, the values at the indexes, expressions over
-    n, of the ascending values. Equal values are counted before, so none repeats in a task."""
-    counted = counted.filter(F.col(value).isNotNull())
-    placed = before(counted, keys, value_bucket(counted, value), [value], F.col("__c")).withColumn("n", F.col("total"))
-    here = lambda i: (F.col("before") <= i) & (i < F.col("before") + F.col("__c"))
-    return placed.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(here(i), F.col(value))).alias(name) for name, i in indexes.items()])
-
-
 def index(share: float) -> Column:
     """floor(share * n), the last at most."""
     return F.least(F.col("n") - 1, F.floor(F.col("n") * F.lit(share)))
 
 
+def order_values(rows: DataFrame, keys: list[str], value: str, at: dict[str, tuple[float, Column]]) -> DataFrame:
+    """A row a key: n (values, without null), min, max and, by name, the values at places in ascending order: at has for
+    each a share, near which the place is, and the place itself, an expression over n.
+
+    A mergeable sketch of each key brackets the places: its ranks are wrong by a part of 1 / ACCURACY at most. One more
+    pass counts what lies below each bracket and the values in it, which are a few thousandths of a key's; only those are
+    put in order, so no key's values meet in one task."""
+    d = materialized(rows.select(*keys, F.col(value).alias("__v")))
+    names, wide = list(at), MARGIN / ACCURACY
+    shares = [x for p, _ in at.values() for x in (max(0.0, p - wide), min(1.0, p + wide))]
+    sketch = d.groupBy(*keys).agg(F.count("__v").alias("n"), F.min("__v").alias("min"), F.max("__v").alias("max"), F.percentile_approx("__v", shares, ACCURACY).alias("__q"))
+    sketch = materialized(sketch)
+    end = lambda i, share, edge: F.col(edge) if share in (0.0, 1.0) else F.get("__q", F.lit(i))
+    # A place lies within one rank of its share of n.
+    brackets = F.array(*[F.struct(F.lit(j).alias("j"), at[name][1].cast("long").alias("place"), end(2 * j, shares[2 * j], "min").alias("lo"), end(2 * j + 1, shares[2 * j + 1], "max").alias("hi")) for j, name in enumerate(names)])
+    own = sketch.select(*[F.col(k).alias(f"__{k}") for k in keys], brackets.alias("__b"))
+    own = F.broadcast(own) if own.count() <= BROADCAST_ROWS else own
+    met = d.filter("__v IS NOT NULL").join(own, same(d, own, keys)).select(*keys, "__v", F.explode(F.filter("__b", lambda b: F.col("__v") <= b["hi"])).alias("__b"))
+    counted = met.groupBy(*keys, "__b.j", "__b.place", F.when(F.col("__v") >= F.col("__b.lo"), F.col("__v")).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    upto = F.sum("__c").over(W.partitionBy(*keys, "j").orderBy(F.asc_nulls_first("__v")))
+    hit = counted.withColumn("__upto", upto).filter((F.col("place") < F.col("__upto")) & (F.col("place") >= F.col("__upto") - F.col("__c")))
+    found = hit.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(*[F.max(F.when(F.col("j") == j, F.col("__v"))).alias(f"__at{j}") for j in range(len(names))])
+    out = sketch.drop("__q").join(found, same(sketch, found, keys), "left")
+    missed = F.raise_error(F.lit("a quantile sketch was wrong by more than its bound"))
+    sure = lambda j: F.when((F.col("n") > 0) & F.col(f"__at{j}").isNull(), missed.cast(dict(d.dtypes)["__v"])).otherwise(F.col(f"__at{j}"))
+    return out.select(*keys, "n", "min", "max", *[sure(j).alias(name) for j, name in enumerate(names)])
+
+
 def five_numbers(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """keys, n, min, q25, median, q75, max: arrays.five_numbers of each key."""
-    at = {"min": F.lit(0), "q25": index(0.25), "__low": F.floor((F.col("n") - 1) / 2), "__high": F.floor(F.col("n") / 2), "q75": index(0.75), "max": F.col("n") - 1}
-    counted = counted_values(rows, keys, value)
-    found = at_shares(counted, keys, value, at)
-    found = found.select(*[F.col(k).alias(f"__{k}") for k in keys], "n", "min", "q25", (F.col("__low") * 0.5 + F.col("__high") * 0.5).alias("median"), "q75", "max")
-    every = counted.select(*keys).distinct()  # a key without values has a row, too
-    return every.join(found, same(every, found, keys), "left").select(*keys, F.coalesce("n", F.lit(0).cast("long")).alias("n"), "min", "q25", "median", "q75", "max")
+    """keys, n, min, q25, median, q75, max: quartiles by index, the median between neighbours; a key without values has a
+    row, too."""
+    at = {"q25": (0.25, index(0.25)), "__low": (0.5, F.floor((F.col("n") - 1) / 2)), "__high": (0.5, F.floor(F.col("n") / 2)), "q75": (0.75, index(0.75))}
+    found = order_values(rows, keys, value, at)
+    return found.select(*keys, "n", "min", "q25", (F.col("__low") * 0.5 + F.col("__high") * 0.5).alias("median"), "q75", "max")
