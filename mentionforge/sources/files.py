@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Iterator
+from collections.abc import Callable
 
 from pyarrow import fs
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from mentionforge.operators.rows import keep_first
+from mentionforge.sources.document_files import DocumentFiles
 
 ICD_SCHEMA = "doc_id string, code string, text string, name_vi string, name_en string, note_vi string, note_en string, chapter string, block string, kb string, role string, vi_glyph_ok boolean"
 CONCEPT_SCHEMA = "doc_id string, text string, code string, role string, synonyms array<string>"
@@ -24,21 +24,24 @@ def read_json_lines(spark: SparkSession, path: str, schema: str | StructType) ->
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def read_in_order(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """read_json_lines with ``place``, by which rows have the order of the files' names and of their lines."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    d = read_json_lines(spark, path, schema)
+    return d.select("*", at.alias("place"))
+
+
 def numbered_lines(spark: SparkSession, path: str, blank_too: bool = False) -> DataFrame:
-    """line_no, value of a text file: the number among its non-blank lines, or among all. A file is numbered by
-    its own reader's order (monotonically_increasing_id, made dense per file)."""
-    d = spark.read.text(path).withColumn("__at", F.monotonically_increasing_id())
-    d = d.withColumn("__part", F.shiftright("__at", 33))
-    kept = d if blank_too else d.filter(F.trim("value") != "")
-    counts = {r["__part"]: r["n"] for r in kept.groupBy("__part").agg(F.count("*").alias("n")).collect()}  # one row a split
-    base, total = {}, 0
-    for p in sorted(counts):
-        base[p], total = total, total + counts[p]
-    from pyspark.sql import Window as W
-
-    starts = spark.createDataFrame([(p, n) for p, n in base.items()], "__part long, __base long")
-    own = F.row_number().over(W.partitionBy("__part").orderBy("__at"))
-    return kept.withColumn("__rn", own).join(F.broadcast(starts), "__part").select((F.col("__base") + F.col("__rn")).alias("line_no"), "value")
+    """file, line_no, value of a text file, or of each one of a folder: the number among the file's non-blank lines, or
+    among all. A file may be read in several pieces: lines are counted piece by piece, in order of where they begin."""
+    d = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__at"))
+    d = d if blank_too else d.filter(F.trim("value") != "")
+    pieces = d.groupBy(F.col("file").alias("__file"), F.col("__block").alias("__of")).agg(F.count("*").alias("__n"))
+    earlier = W.partitionBy("__file").orderBy("__of").rowsBetween(W.unboundedPreceding, -1)  # the pieces of one file
+    pieces = pieces.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    within = F.row_number().over(W.partitionBy("file", "__block").orderBy("__at"))  # one task's piece
+    d = d.withColumn("__k", within).join(pieces, (F.col("file") == F.col("__file")) & (F.col("__block") == F.col("__of")))
+    return d.select("file", (F.col("__before") + F.col("__k")).alias("line_no"), "value")
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -53,9 +56,17 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return d.orderBy(F.when(F.col("doc_id").rlike(r"^\d+$"), F.expr("try_cast(doc_id AS decimal(38,0))")).otherwise(0), "doc_id")
 
 
-def read_table(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    """A table of a relational database; filters and columns are pushed down."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+def read_table(spark: SparkSession, url: str, table: str, key: str | None = None, parts: int = 8, **options: str) -> DataFrame:
+    """A table of a relational database; filters and columns are pushed down. With ``key``, a column of numbers, dates or
+    times, the table is read by ``parts`` queries at once, each of a range of the key between its least and greatest
+    value, which one query asks for first; rows without a key are in the first."""
+    reader = lambda **more: spark.read.format("jdbc").options(url=url, **options, **more)
+    if key is None:
+        return reader(dbtable=table).load()
+    ends = reader(query=f"SELECT min({key}) AS low_end, max({key}) AS high_end FROM {table}").load().first()
+    if ends[0] is None:
+        return reader(dbtable=table).load()
+    return reader(dbtable=table, partitionColumn=key, lowerBound=str(ends[0]), upperBound=str(ends[1]), numPartitions=str(parts)).load()
 
 
 def whole_documents(records: DataFrame) -> DataFrame:
@@ -63,9 +74,14 @@ def whole_documents(records: DataFrame) -> DataFrame:
     return records.filter("doc_id <> '' AND text <> ''")
 
 
+def first_documents(records: DataFrame) -> DataFrame:
+    """Of read_in_order's rows the documents that count, one row an id."""
+    return keep_first(whole_documents(records), ["doc_id"], ["place"]).drop("place")
+
+
 def in_order(records: DataFrame, otherwise: list[str]) -> list[str]:
     """What "first" means: the line number (numbered_lines) where the input has one, else an order of values."""
-    return ["line_no"] if "line_no" in records.columns else otherwise
+    return [c for c in ("file", "line_no") if c in records.columns] if "line_no" in records.columns else otherwise
 
 
 def code_documents(records: DataFrame) -> DataFrame:
@@ -91,6 +107,21 @@ def document_counts(records: DataFrame) -> DataFrame:
     return d.agg(total("n").alias("n_read"), total(F.col("n") - F.col("ok")).alias("n_incomplete"), total(F.col("ok") - kept).alias("n_repeated"), total(kept).alias("n_kept"))
 
 
+def counted_documents(records: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """What ``keep`` makes of records (one row an id), and a function that gives the counts of document_counts once a job
+    over it has run: they are gathered on the way, so the input is not read again for them."""
+    read, kept = Observation(), Observation()
+    ok = F.coalesce(F.col("doc_id") != "", F.lit(False)) & F.coalesce(F.col("text") != "", F.lit(False))
+    seen = records.observe(read, F.count(F.lit(1)).alias("n_read"), F.count_if(~ok).alias("n_incomplete"))
+    out = keep(seen).observe(kept, F.count(F.lit(1)).alias("n_kept"))
+
+    def counts() -> dict[str, int]:
+        n = read.get | kept.get
+        return {"n_read": n["n_read"], "n_incomplete": n["n_incomplete"], "n_repeated": n["n_read"] - n["n_incomplete"] - n["n_kept"], "n_kept": n["n_kept"]}
+
+    return out, counts
+
+
 def pending(docs: DataFrame, done: DataFrame, key: str = "doc_id") -> DataFrame:
     """Documents without an output yet."""
     return docs.join(done.select(key).distinct(), key, "left_anti")
@@ -101,18 +132,15 @@ def write_per_document(per_document: DataFrame, path: str) -> None:
     per_document.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("doc_id").text(path)
 
 
-def write_json_files(per_document: DataFrame, path: str) -> None:
-    """doc_id, json to one file <doc_id>.json a document, indented, in the folder of a path or address that pyarrow's file
-    systems know. A file appears whole: it is written under another name and moved."""
+def write_json_files(per_document: DataFrame, path: str, mode: str = "append") -> None:
+    """doc_id, json to one file <doc_id>.json a document; if the job fails none is there (see document_files)."""
+    per_document.sparkSession.dataSource.register(DocumentFiles)
+    per_document.select("doc_id", "json").write.format("document_files").mode(mode).save(path)
 
-    def write(rows: Iterator[Row]) -> None:
-        store, folder = fs.FileSystem.from_uri(path)
-        store.create_dir(folder, recursive=True)
-        for r in rows:
-            text = json.dumps(json.loads(r["json"]), ensure_ascii=False, indent=2)
-            part = f"{folder}/.{r['doc_id']}.{uuid.uuid4().hex}"
-            with store.open_output_stream(part) as out:
-                out.write(text.encode())
-            store.move(part, f"{folder}/{r['doc_id']}.json")
 
-    per_document.select("doc_id", "json").foreachPartition(write)
+def written_documents(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id of the files that are there, for pending()."""
+    store, folder = fs.FileSystem.from_uri(path)
+    there = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+    ids = [(i.base_name.removesuffix(".json"),) for i in there if i.is_file and i.base_name.endswith(".json")]
+    return spark.createDataFrame(ids, "doc_id string")
