@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mentionforge.operators.linking import KB_OF_TYPE, link
+from mentionforge.operators.linking import DECISIONS, KB_OF_TYPE, link
 from mentionforge.operators.models import TYPES_WITH_ASSERTIONS, extract_entities
 from mentionforge.operators.spans import align
 
@@ -20,13 +20,13 @@ def shape_records(spans: DataFrame) -> DataFrame:
     return spans.withColumns({"candidates": F.sort_array(own(KB_OF_TYPE, "candidates")), "assertions": own(TYPES_WITH_ASSERTIONS, "assertions"), "position": F.array("span_start", "span_end")})
 
 
-def run(docs: DataFrame, extract: Callable[[str], list[dict]], indexes: Mapping[str, Mapping], scorer: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def run(docs: DataFrame, extract: Callable[[str], list[dict]], indexes: Mapping[str, Mapping], scorer: Callable[[DataFrame], DataFrame], decisions: Mapping[str, Mapping] = DECISIONS) -> tuple[DataFrame, DataFrame]:
     """docs (doc_id, text) to records (doc_id, ord, text, type, candidates, assertions, position), and errors
     (doc_id, error) of documents that give no records at all."""
     found = extract_entities(docs, extract)
     good = found.filter("result.ok").select("doc_id", "text", F.col("result.entities").alias("entities"))
     spans = align(good).withColumn("mention_id", F.concat_ws(":", F.col("doc_id").cast("string"), F.col("ord").cast("string")))
-    records = shape_records(link(spans, indexes, scorer))
+    records = shape_records(link(spans, indexes, scorer, decisions))
     errors = found.filter("NOT result.ok").select("doc_id", F.col("result.error").alias("error"))
     return records.select("doc_id", "ord", *RECORD), errors
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mentionforge.functions import arrays, text
-from mentionforge.operators import calibration, code_tables, dense, drug_tables, gates, lexical, linking, measures, models, rows, spans
+from mentionforge.operators import calibration, code_tables, dense, dictionary, drug_tables, gates, intervals, lexical, linking, measures, models, pruned_search, rows, segments, spans, vector_index
 from mentionforge.plans.standins import CONSO_SQL, DUMP_SQL, conso, dump, rel, table
 from mentionforge.sources import files
 
@@ -348,15 +349,14 @@ p AS (SELECT record_id, floor, margin, list_distinct(flatten(list(codes) FILTER
 cells AS (SELECT record_id, kb, floor, margin, len(gold) + 1 AS w, len(list_intersect(gold, coalesce(pred, []))) / len(list_distinct(list_concat(gold, coalesce(pred, [])))) AS j FROM p JOIN rec USING (record_id))"""
 
 
-def grid_cells(spark: SparkSession, d: str) -> DataFrame:
-    records = dump(spark, d)
-    return calibration.cell_scores(records, calibration.score_axes(records, STEPS))
+def dump_once(spark: SparkSession, d: str) -> DataFrame:
+    return rows.materialized(dump(spark, d))
 
 
 @query(f"""{SQL_GRID}, g AS (SELECT kb, floor, margin, round(sum(j * w) / sum(w), 12) AS score FROM cells GROUP BY ALL)
 SELECT kb, round(floor, 6) AS floor, round(margin, 6) AS margin, round(score, 6) AS score FROM g QUALIFY row_number() OVER (PARTITION BY kb ORDER BY score DESC, margin, floor DESC) = 1""")
 def grid_best_small(spark: SparkSession, d: str) -> DataFrame:
-    records = dump(spark, d)
+    records = dump_once(spark, d)
     found = calibration.best_cells(records, calibration.score_axes(records, STEPS))
     return found.select("kb", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
 
@@ -366,17 +366,16 @@ g AS (SELECT kb, sample, floor, margin, coalesce(round(sum(times * w * j) / null
 SELECT kb, sample, round(floor, 6) AS floor, round(margin, 6) AS margin, round(score, 6) AS score FROM g QUALIFY row_number() OVER (PARTITION BY kb, sample ORDER BY score DESC, margin, floor DESC) = 1""")
 def bootstrap_small(spark: SparkSession, d: str) -> DataFrame:
     """The samples' counts are a function of the record here, so that both engines have the same."""
-    cells = grid_cells(spark, d)
-    ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"))
-    counts = ids.select("record_id", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("sample")).withColumn("times", (F.col("record_id") * (F.col("sample") + 3)) % 4)
-    found = calibration.bootstrap(cells, counts, ["kb"])
-    return found.select("kb", F.col("sample").cast("long").alias("sample"), *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
+    records = dump_once(spark, d)
+    times = lambda ids: np.stack([ids.to_numpy() * (sample + 3) % 4 for sample in range(3)])
+    found = calibration.best_cells(records, calibration.score_axes(records, STEPS), times=times)
+    return found.select("kb", "sample", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
 
 
 @query()
 def grid_best(spark: SparkSession, d: str) -> DataFrame:
     """The whole grid; grid_best_small has the same in few steps, cell by cell, and is compared with SQL."""
-    records = dump(spark, d)
+    records = dump_once(spark, d)
     found = calibration.best_cells(records, calibration.score_axes(records))
     return found.select("kb", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
 
@@ -384,7 +383,7 @@ def grid_best(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def bootstrap(spark: SparkSession, d: str) -> DataFrame:
     """The whole grid, all samples, and drawn counts."""
-    records = dump(spark, d)
+    records = dump_once(spark, d)
     found = calibration.best_cells(records, calibration.score_axes(records), calibration.RESAMPLES)
     return found.select("kb", "sample", *[F.round(c, 6).alias(c) for c in ("floor", "margin", "score")])
 
@@ -413,6 +412,14 @@ def drop_nested(spark: SparkSession, d: str) -> DataFrame:
 SQL_BEHIND = "CASE WHEN strpos(substr(text, {at} + 1), {w}) > 0 THEN {at} + strpos(substr(text, {at} + 1), {w}) - 1 ELSE strpos(text, {w}) - 1 END"
 
 
+def turns_with_entities(spark: SparkSession, d: str) -> DataFrame:
+    """Every turn's first two words, changed in case, and its last word are looked for in it."""
+    w = F.split(F.trim("text"), "\\s+")
+    pick = lambda t, k: F.struct(t.alias("text"), F.lit(k).alias("type"), F.array().cast("array<string>").alias("assertions"))
+    entities = F.array(pick(F.upper(F.array_join(F.slice(w, 1, 2), " ")), "CHẨN_ĐOÁN"), pick(F.element_at(w, 1), "CHẨN_ĐOÁN"), pick(F.element_at(w, -1), "THUỐC"))
+    return table(spark, d, "conversations").select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("doc_id"), "text", entities.alias("entities"))
+
+
 @query(f"""WITH t AS (SELECT conv_id || '/' || turn AS doc_id, text, string_split_regex(text, '\\s+') AS w FROM conversations),
 a AS (SELECT *, w[1] AS w1, w[-1] AS w3, length(array_to_string(w[1:2], ' ')) AS n1, CASE WHEN contains(text, upper(array_to_string(w[1:2], ' '))) THEN strpos(text, upper(array_to_string(w[1:2], ' '))) - 1 ELSE 0 END AS s1 FROM t),
 b AS (SELECT *, {SQL_BEHIND.format(at='(s1 + n1)', w='w1')} AS s2 FROM a),
@@ -423,12 +430,14 @@ UNION ALL SELECT doc_id, text, 1, 'CHẨN_ĐOÁN', s2, s2 + length(w1) FROM e WH
 UNION ALL SELECT doc_id, text, 2, 'THUỐC', s3, s3 + length(w3) FROM e)
 SELECT doc_id, ord, regexp_replace(substr(text, span_start + 1, span_end - span_start), '\\s+', ' ', 'g') AS text, type, span_start, span_end FROM found""")
 def align_spans(spark: SparkSession, d: str) -> DataFrame:
-    """Every turn's first two words, changed in case, and its last word are looked for in it."""
-    w = F.split(F.trim("text"), "\\s+")
-    pick = lambda t, k: F.struct(t.alias("text"), F.lit(k).alias("type"), F.array().cast("array<string>").alias("assertions"))
-    entities = F.array(pick(F.upper(F.array_join(F.slice(w, 1, 2), " ")), "CHẨN_ĐOÁN"), pick(F.element_at(w, 1), "CHẨN_ĐOÁN"), pick(F.element_at(w, -1), "THUỐC"))
-    docs = table(spark, d, "conversations").select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("doc_id"), "text", entities.alias("entities"))
-    return spans.align(docs).drop("assertions")
+    return spans.align(turns_with_entities(spark, d)).drop("assertions")
+
+
+@query(ORACLES["align_spans"])
+def align_spans_in_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The same by the table function."""
+    spans.register(spark)
+    return spark.sql("SELECT t.doc_id, s.ord, s.text, s.type, s.span_start, s.span_end FROM {turns} t, LATERAL align_spans(t.text, t.entities) s", turns=turns_with_entities(spark, d))
 
 
 def eval_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -613,15 +622,55 @@ def knowledge_counts(spark: SparkSession, d: str) -> DataFrame:
 SQL_SET = "list_distinct(list_filter(string_split_regex(lower(coalesce({}, '')), '[ \\t\\n\\r\\x0b\\x0c]+'), lambda x: x <> ''))"
 
 
-@query(f"""SELECT item_id, doc_id, round(len(list_intersect(q, t)) / greatest(1, len(q)), 6) AS score
-FROM (SELECT item_id, doc_id, {SQL_SET.format('b.text')} AS q, {SQL_SET.format('d.text')} AS t FROM benchmark b JOIN documents d ON b.item_id % 50 = d.doc_id % 50 AND regexp_full_match(b.text || d.text, '[\x00-\x7f]*'))""")
+@query(f"""WITH {SQL_BM25} SELECT item_id, doc_id, round(len(list_intersect(q, t)) / greatest(1, len(q)), 6) AS score
+FROM (SELECT item_id, doc_id, {SQL_SET.format('b.text')} AS q, {SQL_SET.format('d.text')} AS t FROM hits JOIN benchmark b USING (item_id) JOIN documents d USING (doc_id))""")
 def rerank_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """A scorer of (query, text) pairs, loaded once a worker, with a frozen instruction; ASCII texts, so that both engines lower alike."""
-    items = table(spark, d, "benchmark").select("item_id", F.col("text").alias("query"))
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    pairs = items.join(docs, items["item_id"] % 50 == docs["doc_id"] % 50).filter(F.concat("query", "text").rlike("^[\\x00-\\x7f]*$"))
+    """A scorer of (query, text) pairs, loaded once a worker, with a frozen instruction, over the retrieved pairs."""
+    items = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    pairs = bm25_hits(spark, d).select("query_id", "doc_id").join(items, "query_id").join(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
     found = models.reranked(pairs, "shared words", lambda: models.shared_words_scorer, "Which text names the mention?")
-    return found.select("item_id", "doc_id", F.round("rerank_score", 6).alias("score"))
+    return found.select(F.col("query_id").alias("item_id"), "doc_id", F.round("rerank_score", 6).alias("score"))
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+SQL_LETTERS = "list_transform(range(1, 27), lambda i: (length(lower({t})) - length(replace(lower({t}), '" + LETTERS + "'[i], '')))::DOUBLE)"
+
+
+def letter_embedding(t, prompt: str = ""):
+    """A stand-in embedder that SQL can express: how often each letter occurs, of unit length."""
+    low = F.lower(t)
+    n = F.array(*[(F.length(low) - F.length(F.replace(low, F.lit(c), F.lit("")))).cast("double") for c in LETTERS])
+    norm = lambda v: F.greatest(F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)), F.lit(1e-12))
+    return F.get(F.transform(F.array(n), lambda v: F.transform(v, lambda x: x / norm(v))), F.lit(0))  # letters are counted once
+
+
+HYBRID = {kb: {"floor": 0.3, "margin": margin, "variant": "raw"} for kb, margin in (("icd", 0.15), ("rxnorm", 0.0))}
+
+
+@query(f"""WITH {SQL_BM25},
+dv AS (SELECT doc_id, list_transform(e, lambda x: x / greatest(sqrt(list_inner_product(e, e)), 1e-12)) AS e FROM (SELECT doc_id, {SQL_LETTERS.format(t='text')} AS e FROM documents)),
+qv AS (SELECT item_id, list_transform(e, lambda x: x / greatest(sqrt(list_inner_product(e, e)), 1e-12)) AS e FROM (SELECT item_id, {SQL_LETTERS.format(t='text')} AS e FROM benchmark)),
+near AS (SELECT item_id, doc_id FROM (SELECT item_id, doc_id, list_inner_product(q.e, d.e) AS score FROM qv q, dv d) QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) <= 30),
+u AS (SELECT item_id, doc_id FROM hits UNION SELECT item_id, doc_id FROM near),
+s AS (SELECT item_id, doc_id, len(list_intersect(q, t)) / greatest(1, len(q)) AS score
+      FROM (SELECT item_id, doc_id, {SQL_SET.format('b.text')} AS q, {SQL_SET.format('d.text')} AS t FROM u JOIN benchmark b USING (item_id) JOIN documents d USING (doc_id))),
+k AS (SELECT * FROM (SELECT *, max(score) OVER (PARTITION BY item_id) AS best FROM s) WHERE score >= greatest(0.3, best - CASE WHEN item_id % 2 = 0 THEN 0.15 ELSE 0.0 END))
+SELECT b.item_id, CASE WHEN b.item_id % 3 < 2 THEN coalesce(string_agg(DISTINCT CASE WHEN b.item_id % 2 = 0 THEN 'S' || (doc_id % 100) ELSE doc_id::VARCHAR END, ',' ORDER BY CASE WHEN b.item_id % 2 = 0 THEN 'S' || (doc_id % 100) ELSE doc_id::VARCHAR END), '') END AS candidates
+FROM benchmark b LEFT JOIN k USING (item_id) GROUP BY b.item_id""")
+def hybrid_linking(spark: SparkSession, d: str) -> DataFrame:
+    """The whole linker: items as mentions of two knowledge bases (a third of them of a type that is not linked), both
+    branches, a reranker, floor and margin, expansion. Documents stand for codes of either base."""
+    docs = table(spark, d, "documents").select("doc_id", "text", F.lit("candidate").alias("role"), F.lit(None).cast("array<string>").alias("resolve_in"))
+    items = table(spark, d, "benchmark")
+    type_ = F.when(F.col("item_id") % 3 == 2, "TRIỆU_CHỨNG").when(F.col("item_id") % 2 == 0, "CHẨN_ĐOÁN").otherwise("THUỐC")
+    mentions = items.select(F.col("item_id").alias("mention_id"), "text", type_.alias("type"))
+    words = lexical.build_index(docs, vocabulary=lexical.query_tokens(items, "item_id", "text"))
+    codes = {"icd": F.concat(F.lit("S"), (F.col("doc_id") % 100).cast("string")), "rxnorm": F.col("doc_id").cast("string")}
+    vectors = rows.materialized(docs.select("doc_id", letter_embedding(F.col("text")).alias("embedding")))
+    indexes = {kb: {"docs": docs.withColumn("code", code), "lexical": words, "dense": vectors, "embed": letter_embedding} for kb, code in codes.items()}
+    scorer = models.as_scorer("shared words", lambda: models.shared_words_scorer, "Which text names the mention?")
+    linked = linking.link(mentions, indexes, scorer, HYBRID)
+    return linked.select(F.col("mention_id").alias("item_id"), F.array_join("candidates", ",").alias("candidates"))
 
 
 @query(f"""{SQL_GRID}, g AS (SELECT kb, floor, margin, round(sum(j * w) / sum(w), 12) AS score FROM cells GROUP BY ALL),
@@ -629,6 +678,103 @@ best AS (SELECT kb, floor AS bf, margin AS bm FROM g QUALIFY row_number() OVER (
 SELECT kb, 'floor' AS axis, round(floor, 6) AS value, round(score, 6) AS score FROM g JOIN best USING (kb) WHERE margin = bm
 UNION ALL SELECT kb, 'margin', round(margin, 6), round(score, 6) FROM g JOIN best USING (kb) WHERE floor = bf""")
 def grid_slices(spark: SparkSession, d: str) -> DataFrame:
-    records = dump(spark, d)
+    records = dump_once(spark, d)
     found = calibration.slices(calibration.heat_map(records, calibration.score_axes(records, STEPS)), ["kb"])
     return found.select("kb", "axis", F.round("value", 6).alias("value"), F.round("score", 6).alias("score"))
+
+
+@query(f"WITH {SQL_DENSE} SELECT query_id, doc_id, round(score, 4) AS score, dense_rank FROM near")
+def ivf_topk(spark: SparkSession, d: str) -> DataFrame:
+    """An inverted file, and its nearest cells searched, then those that could still hold a better hit."""
+    vectors = table(spark, d, "embeddings")
+    index = vector_index.build(vectors, rows.scratch(spark, "vectors"))
+    hits = vector_index.search(index, vectors.filter("vec_id % 20 = 0"), query_id="vec_id", exact=True)
+    return hits.withColumn("score", F.round("score", 4))
+
+
+SQL_TERMS = "terms AS (SELECT item_id * 2 + unnest([0, 1]) AS term_id, unnest([w[1], w[1] || ' ' || w[2]]) AS term FROM (SELECT item_id, string_split_regex(trim(text), '\\s+') AS w FROM benchmark) WHERE len(w) > 1)"
+#: A term as a pattern over lower-cased text: ß folds to ss, and white space to a blank.
+SQL_TERM_PATTERN = "replace(replace(regexp_escape(replace(lower(term), 'ß', 'ss')), '\\ ', '\\s'), 'ss', '(?:ss|ß)')"
+
+
+@query(f"""WITH {SQL_TERMS}, p AS (SELECT term_id, {SQL_TERM_PATTERN} AS p FROM terms),
+f AS (SELECT doc_id, term_id, lower(text) AS t, string_split_regex(lower(text), p) AS parts, regexp_extract_all(lower(text), p) AS found FROM documents, p WHERE regexp_matches(lower(text), p)),
+o AS (SELECT doc_id, term_id, t, unnest(range(1, len(found) + 1)) AS i, parts, found FROM f),
+s AS (SELECT doc_id, term_id, t, list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS a, length(found[i]) AS n FROM o)
+SELECT doc_id, term_id, a::BIGINT AS span_start, (a + n)::BIGINT AS span_end FROM s
+WHERE NOT (regexp_matches(substr(t, (a + 1)::BIGINT, 1), '[\\p{{L}}\\p{{N}}]') AND a > 0 AND regexp_matches(substr(t, a::BIGINT, 1), '[\\p{{L}}\\p{{N}}]'))
+  AND NOT (regexp_matches(substr(t, (a + n)::BIGINT, 1), '[\\p{{L}}\\p{{N}}]') AND regexp_matches(substr(t, (a + n + 1)::BIGINT, 1), '[\\p{{L}}\\p{{N}}]'))""")
+def dictionary_occurrences(spark: SparkSession, d: str) -> DataFrame:
+    """Every occurrence in all documents of the first word, and the first two words, of each item."""
+    w = F.split(F.trim("text"), "\\s+")
+    terms = table(spark, d, "benchmark").filter(F.size(w) > 1).select(F.posexplode(F.array(F.get(w, F.lit(0)), F.array_join(F.slice(w, 1, 2), " "))).alias("k", "term"), "item_id")
+    return dictionary.occurrences(table(spark, d, "documents"), terms.select((F.col("item_id") * 2 + F.col("k")).alias("term_id"), "term"))
+
+
+SQL_TIMES = "e AS (SELECT event_id, event_type, floor(epoch(ts))::BIGINT AS at, floor(epoch(ts))::BIGINT + (value * 20000)::BIGINT AS z FROM events)"
+
+
+def event_intervals(spark: SparkSession, d: str) -> DataFrame:
+    """Events as intervals, of seconds, whose length follows their value."""
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    return table(spark, d, "events").select("event_id", "event_type", at.alias("at"), (at + F.round(F.col("value") * 20000).cast("long")).alias("z"))
+
+
+@query(f"""WITH {SQL_TIMES}
+SELECT p.event_id, count(i.event_id) AS n, min(i.event_id) AS first FROM e p LEFT JOIN (SELECT * FROM e WHERE event_type = 'purchase') i ON i.at <= p.at AND p.at < i.z GROUP BY p.event_id""")
+def interval_join(spark: SparkSession, d: str) -> DataFrame:
+    """In how many purchases' intervals each event lies, and the first of them."""
+    e = event_intervals(spark, d)
+    found = intervals.points_in_intervals(e.select("event_id", "at"), e.filter("event_type = 'purchase'"), low="at", high="z")
+    n = found.groupBy("event_id").agg(F.count("*").alias("n"), F.min("interval.event_id").alias("first"))
+    return e.select("event_id").join(n, "event_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+@query(f"""WITH {SQL_TIMES} SELECT a.event_id, count(*) AS n_over FROM e a JOIN e b ON a.event_type = b.event_type AND a.event_id <> b.event_id AND a.at < b.z AND b.at < a.z WHERE a.event_type = 'error' GROUP BY a.event_id""")
+def interval_overlap(spark: SparkSession, d: str) -> DataFrame:
+    """With how many others of its type each error's interval overlaps."""
+    e = event_intervals(spark, d).filter("event_type = 'error'")
+    pairs = intervals.overlapping(e, e, ["event_type"], "at", "z").filter("a.event_id <> b.event_id")
+    return pairs.groupBy("a.event_id").agg(F.count("*").alias("n_over"))
+
+
+@query(f"WITH {SQL_BM25} SELECT item_id, doc_id, round(score, 4) AS score, bm25_rank FROM hits")
+def bm25_pruned(spark: SparkSession, d: str) -> DataFrame:
+    """The same hits as bm25_topk, without the postings that cannot matter."""
+    docs, items = table(spark, d, "documents"), table(spark, d, "benchmark")
+    index = lexical.build_index(docs, vocabulary=lexical.query_tokens(items, "item_id", "text"))
+    found = pruned_search.search(index, items, id_col="item_id")
+    return found.select(F.col("query_id").alias("item_id"), "doc_id", F.round("score", 4).alias("score"), "bm25_rank")
+
+
+SQL_CHANGED = f"""changed AS (SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN (SELECT any_value(text) FROM benchmark WHERE item_id = doc_id % 40) ELSE text END AS text FROM documents WHERE doc_id % 10 <> 7),
+{SQL_BM25.replace('FROM documents)', 'FROM changed)', 1)}"""
+
+
+@query(f"WITH {SQL_CHANGED} SELECT item_id, doc_id, round(score, 4) AS score, bm25_rank FROM hits")
+def bm25_segments(spark: SparkSession, d: str) -> DataFrame:
+    """An index that was written in four parts, of which a tenth of the documents were deleted and a tenth replaced by
+    items' texts: the hits are those of an index of what is left."""
+    docs, items = table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark").select("item_id", "text")
+    index = segments.Segments(spark, rows.scratch(spark, "segments"))
+    for part in range(3):
+        index.add(docs.filter(F.col("doc_id") % 3 == part))
+    index.delete(docs.filter("doc_id % 10 = 7"))
+    of_item = docs.filter("doc_id % 10 = 3").select("doc_id", (F.col("doc_id") % 40).alias("item_id"))
+    index.add(of_item.join(items, "item_id").select("doc_id", "text"))
+    found = lexical.search(index.index(), items, id_col="item_id")
+    return found.select(F.col("query_id").alias("item_id"), "doc_id", F.round("score", 4).alias("score"), "bm25_rank")
+
+
+SQL_ONCE = """once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mention, kb ORDER BY record_id) AS r FROM (SELECT *, (record_id % 5000)::VARCHAR AS mention FROM rec)) WHERE r = 1),
+r AS (SELECT *, CASE WHEN cluster_name IS NOT NULL THEN 'cluster::' || kb || '::' || cluster_name ELSE 'row::' || kb || '::' || mention END AS unit FROM once),
+st AS (SELECT unit, noise, gold_kind, count(*) AS c, min(record_id) AS first FROM r GROUP BY ALL),
+u AS (SELECT unit, arg_max(noise || '/' || gold_kind, {'c': c, 'f': -first}) AS stratum, sum(c) AS n FROM st GROUP BY unit),
+o AS (SELECT unit, coalesce(sum(n) OVER (PARTITION BY stratum ORDER BY md5('20260728|' || unit), unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER (PARTITION BY stratum) AS total FROM u)"""
+
+
+@query(f"WITH {DUMP_SQL}, {SQL_ONCE} SELECT record_id, mention, kb, unit, before < round_even(total * 0.25, 0) AS is_dev FROM r JOIN o USING (unit)")
+def sweep_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of a sweep over a dump in which mentions repeat: each once, on its side of the split."""
+    repeated = dump(spark, d).withColumns({"mention": (F.col("record_id") % 5000).cast("string"), "row_no": F.col("record_id")})
+    return calibration.split(calibration.without_repeats(repeated)).select("record_id", "mention", "kb", "unit", "is_dev")

@@ -161,16 +161,23 @@ def test_best_cells_are_brute_force(spark, monkeypatch):
     monkeypatch.setattr(calibration, "BUCKET_RECORDS", 20)
     monkeypatch.setattr(calibration, "ROWS_AT_ONCE", 7)
     axes = calibration.score_axes(dump, 5)
-    cells = calibration.cell_scores(dump, axes).collect()
+    points = sorted((r.floor, r.margin) for r in axes.collect())
+    floors, margins = [f for f, _ in points], [m for _, m in points]
     bucket = {r.record_id: r.b for r in dump.select("record_id", F.pmod(F.xxhash64(F.lit(5), "record_id"), F.lit(4)).cast("int").alias("b")).collect()}
 
+    def similarity(gold, found, floor, margin):
+        top = max((c["rerank_score"] for c in found), default=0)
+        codes = {x for c in found if c["rerank_score"] >= max(floor, top - margin) for x in c["codes"]}
+        return len(codes & set(gold)) / len(codes | set(gold))
+
     def best(kb, times):
         sums = {}
-        for r in cells:
-            if r.kb == kb:
-                x = sums.setdefault((r.floor, r.margin), [0, 0])
-                x[0] += times[r.record_id] * r.w * r.j
-                x[1] += times[r.record_id] * r.w
+        for i, of, gold, found in data:
+            for f in floors if of == kb else []:
+                for m in margins:
+                    x = sums.setdefault((f, m), [0, 0])
+                    x[0] += times[i] * 2 * similarity(gold, found, f, m)
+                    x[1] += times[i] * 2
         score, margin, floor = max((round(x / w, 12), -m, f) for (f, m), (x, w) in sums.items())
         return pytest.approx((floor, -margin, score))
 
@@ -178,14 +185,37 @@ def test_best_cells_are_brute_force(spark, monkeypatch):
     got = {(r.kb, r.sample): (r.floor, r.margin, r.score) for r in calibration.best_cells(dump, axes, 6, 5).collect()}
     assert len(got) == 12
     for i, kb in enumerate(("icd", "rxnorm")):
-        own = [r for r in range(90) if r % 2 == (kb == "icd")]
-        of = {b: [r for r in own if bucket[r] == b] for b in sorted({bucket[r] for r in own})}
-        drawn = np.random.default_rng([5, 1 << 31, i]).multinomial(45, [len(x) / 45 for x in of.values()], 6)
+        of = [[r for r in range(90) if r % 2 == (kb == "icd") and bucket[r] == b] for b in range(4)]
+        before = np.cumsum([0, *map(len, of)])
         times = np.zeros((6, 90), int)
-        for n, (b, ids) in zip(drawn.T, of.items()):
-            times[:, ids] = calibration.drawn_times(n, len(ids), 5 + i, b)
+        for b, ids in enumerate(of):
+            if ids:
+                times[:, ids] = calibration.drawn_times(calibration.bucket_share(45, before, b, 6, [5, i]), len(ids), 5 + i, b)
         assert (times.sum(1) == 45).all() and times.max() > 1 and len({tuple(t) for t in times}) == 6
         assert all(got[kb, b] == best(kb, times[b]) for b in range(6))
+    given = lambda ids: np.stack([ids.to_numpy() % 3, ids.to_numpy() % 2 + 1])
+    got = {(r.kb, r.sample): (r.floor, r.margin, r.score) for r in calibration.best_cells(dump, axes, times=given).collect()}
+    assert got == {(kb, s): best(kb, {i: (i % 3, i % 2 + 1)[s] for i in range(90)}) for kb in ("icd", "rxnorm") for s in (0, 1)}
+
+
+def test_shares_of_buckets_are_a_multinomial():
+    before = np.cumsum([0, 5, 0, 15, 20, 1, 59])
+    shares = np.array([calibration.bucket_share(100, before, b, 4000, [3]) for b in range(6)])
+    assert (shares.sum(0) == 100).all() and (shares[1] == 0).all()
+    p = np.diff(before) / 100
+    assert np.allclose(shares.mean(1), 100 * p, atol=0.5) and np.allclose(shares.var(1), 100 * p * (1 - p), rtol=0.15, atol=0.1)
+    assert np.corrcoef(shares[3], shares[5])[0, 1] == pytest.approx(-np.sqrt(p[3] * p[5] / ((1 - p[3]) * (1 - p[5]))), abs=0.05)
+
+
+def test_repeated_rows_count_once_in_a_sweep(spark):
+    pick = lambda i: [{"doc_id": "a", "role": "candidate", "codes": [str(i % 3)], "dense_score": 0.0, "bm25_score": 0.0, "rerank_score": float(i % 4)}]
+    data = [(i % 20, i, f"m{i % 20}", "icd", "mild", "single", None, [str(i % 20 % 3)], [], pick(i % 20)) for i in range(24)]
+    d = spark.createDataFrame(data, "record_id long, row_no int, mention string, kb string, noise string, gold_kind string, cluster_name string, gold array<string>, distractor array<string>, candidates array<struct<doc_id:string,role:string,codes:array<string>,dense_score:double,bm25_score:double,rerank_score:double>>")
+    thresholds, sides = calibration.sweep_all(d, "raw", "x", "2000-01-01", 4, 3)
+    assert thresholds["icd"]["n_sweep"] + thresholds["icd"]["n_dev"] == 20 and thresholds["metadata"]["repeats_removed"] == 4
+    assert len(sides["sweep"]) + len(sides["dev"]) == 20 and sides["deduped"]
+    again, _ = calibration.sweep_all(d.filter("row_no < 20"), "raw", "x", "2000-01-01", 4, 3)
+    assert again["icd"] == thresholds["icd"]
 
 
 def test_grid_and_bootstrap_are_whole(spark, monkeypatch):
@@ -199,16 +229,27 @@ def test_grid_and_bootstrap_are_whole(spark, monkeypatch):
     assert asked == [(41, None), (41, 300)]
 
 
-def test_order_statistics_without_lists(spark):
-    from mentionforge.functions import arrays
+def brute_five(values):
+    v = sorted(x for x in values if x is not None)
+    n = len(v)
+    if not n:
+        return (0, None, None, None, None, None)
+    at = lambda p: v[min(n - 1, int(p * n))]
+    return (n, v[0], at(0.25), (v[(n - 1) // 2] + v[n // 2]) / 2, at(0.75), v[-1])
+
+
+def test_order_statistics_without_lists(spark, monkeypatch):
     from mentionforge.operators import ranks
 
     rng = random.Random(0)
     data = [(k, None if k == "c" or rng.random() < 0.1 else float(rng.randrange(-9, 9)) if k == "a" else rng.random()) for k in ("a", "b", "c", None) for _ in range(1001)]
+    data += [(f"n{n}", rng.random()) for n in range(1, 30) for _ in range(n)]
     d = spark.createDataFrame(data, "k string, v double")
-    want = d.groupBy("k").agg(arrays.five_numbers("v").alias("s")).select("k", "s.*").collect()
-    found = ranks.five_numbers(d, ["k"], "v")
-    assert sorted(found.collect(), key=str) == sorted(want, key=str)
+    want = {k: brute_five([v for kk, v in data if kk == k]) for k in {k for k, _ in data}}
+    for accuracy in (10_000, 50):  # the second: sketches that are wrong by some ranks
+        monkeypatch.setattr(ranks, "ACCURACY", accuracy)
+        found = ranks.five_numbers(d, ["k"], "v")
+        assert {r.k: tuple(r)[1:] for r in found.collect()} == want
     assert "collect_list" not in found._jdf.queryExecution().toString()
     rows = [(i, f"m{i}", "icd", "mild", "single", None) for i in range(300)]
     split = calibration.split(spark.createDataFrame(rows, "row_no int, mention string, kb string, noise string, gold_kind string, cluster_name string"))

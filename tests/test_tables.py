@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mentionforge.operators import code_tables, dense, drug_tables, lexical, linking, models, pipeline, rows
+from mentionforge.operators import code_tables, dense, dictionary, drug_tables, lexical, linking, models, pipeline, rows
 from mentionforge.sources import files
 from mentionforge.streaming import documents
 
@@ -79,7 +79,7 @@ def test_thresholds_and_expansion(spark):
 
 def test_pipeline(spark):
     docs = spark.createDataFrame([(1, "Bệnh nhân viêm phổi nặng, dùng paracetamol 500mg."), (2, "fail"), (3, "")], "doc_id int, text string")
-    lexicon = models.lexicon_extractor({"viêm phổi": "CHẨN_ĐOÁN", "paracetamol 500mg": "THUỐC", "Bệnh nhân": "TRIỆU_CHỨNG"})
+    lexicon = dictionary.extractor({"viêm phổi": "CHẨN_ĐOÁN", "paracetamol 500mg": "THUỐC", "Bệnh nhân": "TRIỆU_CHỨNG"})
 
     def extract(text):
         if text == "fail":
@@ -163,7 +163,7 @@ def test_models_are_loaded_once_and_keep_order(spark):
     dense.check_asymmetric(spark, embed, ("query: ", "document: "), ["đau bụng"])
     with pytest.raises(ValueError, match="prompts"):
         dense.check_asymmetric(spark, embed, ("same ", "same "), ["đau bụng"])
-    out = models.extract_entities(d.limit(2), load=("lexicon", lambda: models.lexicon_extractor({"a": "THUỐC"}))).collect()
+    out = models.extract_entities(d.limit(2), load=("lexicon", lambda: dictionary.extractor({"a": "THUỐC"}))).collect()
     assert all(r.result.ok and r.result.entities[0].text == "a" for r in out)
 
 
