@@ -277,9 +277,13 @@ def trained(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unla
     # A text may be in both samples. Rows that repeat an id and a text are one.
     both = F.filter(F.array(F.when(F.col("good"), 1), F.when(F.col("web"), 0)), lambda x: x.isNotNull())
     sample = d.select(F.explode(both).alias("trusted"), (F.col("at") % 2).cast("int").alias("half"), "at", "text").dropDuplicates(["trusted", "at"])
-    # An id's rows that have many texts may all be good: the bound holds for them, too.
-    most = lambda t, n: sample.filter(F.col("trusted") == t).orderBy("at").limit(n)
-    sample = cut(most(1, positives).union(most(0, unlabelled)))
+    sample = cut(sample)
+    # An id's rows that have many texts may all be good: the bound holds for them, too. Only numbers meet in one task.
+    inside = F.lit(False)
+    for kind, n in ((1, positives), (0, unlabelled)):
+        last = sample.filter(F.col("trusted") == kind).select("at").orderBy("at").limit(n).agg(F.max("at")).first()[0]
+        inside = inside | ((F.col("trusted") == kind) & (F.col("at") <= F.lit(last)))
+    sample = sample.filter(inside)
     counts = counted_words(sample)
     add = lambda a, b: {kind: a[kind] + b[kind] for kind in a}
     x = feature_rows(sample, [word_tables(counts[1, 1 - half], counts[0, 1 - half]) for half in (0, 1)]).toPandas()  # len(FEATURES) numbers a row
