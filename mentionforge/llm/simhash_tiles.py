@@ -4,7 +4,9 @@ Every text gets a 64-bit fingerprint. Distinct fingerprints are cut into tiles b
 ``parts`` equal parts (four quarters by default): two fingerprints differ in at least as many bits as these counts
 differ in sum, so tile pairs whose counts differ beyond the radius are skipped, and all others are compared exactly with
 numpy's exclusive-or and bit counts. A tile has a bounded number of fingerprints; each tile pair gives only a spanning
-forest of its links, which keeps all connections without listing all pairs of a group. Components follow by minimum
+forest of its links, which keeps all connections without listing all pairs of a group. Where the radius is so wide that
+counts skip little (keep_first), the tiles are of fingerprints that agree in some blocks of bits, as all within the radius
+do in one choice of blocks or more; so the compared pairs do not grow with the square of the corpus. Components follow by minimum
 labels over the (few) links. Classes are named by fingerprints while they are found, and by ids only at the end.
 
 Edge cases: null and empty texts have fingerprint zero and are linked like any other; texts are read whole, however long
@@ -15,7 +17,8 @@ order; only the id and the text are read, so other columns of any name do no har
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -157,6 +160,41 @@ def links(reps: DataFrame, radius: int = RADIUS, tile: int = TILE, rows: int | N
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def agreeing_blocks(radius: int, agree: int) -> list[int]:
+    """Masks of 64 bits: of radius + agree blocks all choices of ``agree``. Of two fingerprints that differ in ``radius`` bits
+    at most, that many blocks at most differ, so they agree under one mask or more."""
+    parts = radius + agree
+    ends = [64 * i // parts for i in range(parts + 1)]
+    block = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(ends, ends[1:])]
+    return [sum(chosen) for chosen in combinations(block, agree)]
+
+
+def block_links(reps: DataFrame, radius: int, tile: int = TILE, agree: int = 2, compared: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
+    """As links(), for radii at which population counts skip little: tiles hold the fingerprints that agree in some blocks
+    of bits. A value under a mask that more than ``tile`` fingerprints share is cut into blocks by hash, of which each pair is
+    a tile. ``compared`` sees the tiles (members, a, b)."""
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    keys = F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("value")) for i, m in enumerate(agreeing_blocks(radius, agree))])
+    d = reps.select("fp", F.explode(keys).alias("k")).select("fp", "k.mask", "k.value")
+    many = cut(d.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > tile).select("mask", "value", F.ceil(F.col("n") / tile).alias("blocks")))
+    d = join_counted(d, many, ["mask", "value"]).withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    d = d.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    d = d.groupBy("mask", "value", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")).agg(F.collect_list(F.struct("fp", "own")).alias("members"))
+    tiles = compared(d.filter(F.size("members") > 1).select("members", "a", "b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[np.ndarray, np.ndarray]] = []
+            for members, a, b in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                fps, own = (members.values.field(c).to_numpy() for c in ("fp", "own"))
+                left, right = fps[own == a], fps[own == b]
+                out.append(tile_links(left.view(np.uint64), left, right.view(np.uint64), right, a == b, radius))
+            left, right = (np.concatenate([o[i] for o in out]) if out else np.empty(0, np.int64) for i in (0, 1))
+            yield pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+    return tiles.mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """Links a, b to node, label: the smallest node that each node of a link is connected with.
 
@@ -187,11 +225,12 @@ def sum_of(links: DataFrame) -> tuple[int, int]:
     return row["n"], int(row["s"] or 0)
 
 
-def named(sigs: DataFrame, n: int, radius: int, tile: int, parts: int) -> DataFrame:
+def named(sigs: DataFrame, n: int, radius: int, tile: int, parts: int, agree: int = 0) -> DataFrame:
     """One row a fingerprint: of, first (struct of is_null, doc_id, twin: the first row of its class by these)."""
     own = F.struct(F.col("doc_id").isNull().alias("is_null"), "doc_id", "twin")
     reps = cut(sigs.groupBy("fp").agg(F.min(own).alias("first")), n)
-    found = components(links(reps.select("fp"), radius, tile, n, parts), n)
+    found = block_links(reps.select("fp"), radius, tile, agree) if agree else links(reps.select("fp"), radius, tile, n, parts)
+    found = components(found, n)
     found = found.union(found.select(F.col("label").alias("node"), "label").distinct())
     linked = cut(found.join(reps, found["node"] == reps["fp"]).select("node", "label", "first"), n)
     labels = linked.groupBy("label").agg(F.min("first").alias("least"))
@@ -210,17 +249,18 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rad
 
 
 #: Fixed by measurement, for keep_first: fingerprints of distinct words, of which near copies (a similarity of 0.8 of
-#: five-word shingles) differ in at most six bits in 96 of 100 cases, and unrelated texts in about thirty.
-LOOSE = {"radius": 6, "width": 1, "distinct": True, "parts": 2}
+#: five-word shingles) differ in at most six bits in 96 of 100 cases, and unrelated texts in about thirty. At this radius
+#: tiles are of fingerprints that agree in two of eight blocks.
+LOOSE = {"radius": 6, "width": 1, "distinct": True, "agree": 2}
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of each class of docs: that with the smallest id, of several that with the least hash of its text, and of
     rows that are equal in both one. Options as of classes(), from LOOSE on."""
-    o = {"seed": SEED, "tile": TILE} | LOOSE | options
+    o = {"seed": SEED, "tile": TILE, "parts": PARTS} | LOOSE | options
     sigs = cut(signatures(docs, id_col, text_col, o["width"], o["seed"], o["distinct"]))
     n = sigs.count()
-    first = named(sigs, n, o["radius"], o["tile"], o["parts"]).select("first.doc_id", "first.twin").distinct()
+    first = named(sigs, n, o["radius"], o["tile"], o["parts"], o["agree"]).select("first.doc_id", "first.twin").distinct()
     copies = sigs.groupBy("doc_id", "twin").agg(F.count("*").alias("copies"))
     kept = cut(first.join(copies, first["doc_id"].eqNullSafe(copies["doc_id"]) & (first["twin"] == copies["twin"])).select(first["doc_id"].alias("__first"), first["twin"].alias("__first_twin"), "copies"), n)
     # The rows go as one struct, whose fields may have any names.

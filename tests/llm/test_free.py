@@ -789,3 +789,34 @@ def test_repeated_rows_with_helpers_names(spark):
     d = odd(spark, [(1, "a b c"), (1, "a b c"), (2, "a b c"), (None, "z"), (None, "z")]).withColumns({n: F.lit(1) for n in names})
     kept = simhash_tiles.keep_first(d)
     assert kept.columns == d.columns and sorted(map(str, (r.doc_id for r in kept.collect()))) == ["1", "None"]
+
+
+@pytest.mark.parametrize("tile", [4096, 8])
+def test_tiles_of_agreeing_blocks_find_all_links(spark, tile):
+    """Fingerprints around a few centres, many of which share most of their bits."""
+    rng = random.Random(tile)
+    centres = [rng.getrandbits(64) for _ in range(20)] + [0, (1 << 64) - 1]
+    fps = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(0, 12))) for c in centres for _ in range(25)}
+    fps |= {rng.getrandbits(64) & 0xFFFF00000000FFFF for _ in range(150)} | {rng.getrandbits(64) for _ in range(1500)}
+    signed = lambda f: f - (1 << 64) if f >> 63 else f
+    d = spark.createDataFrame([(signed(f),) for f in fps], "fp long")
+    seen = []
+    found = simhash_tiles.block_links(d, 6, tile, compared=lambda t: seen.append(t) or t).collect()
+    links = [(r.a & (1 << 64) - 1, r.b & (1 << 64) - 1) for r in found]
+    assert all((a ^ b).bit_count() <= 6 for a, b in links)
+    every = sorted(fps)
+    true = [(a, b) for i, a in enumerate(every) for b in every[i + 1 :] if (a ^ b).bit_count() <= 6]
+    assert len(true) > 500 and components_of(every, links) == components_of(every, true)
+    pairs = seen[0].selectExpr("sum(size(members) * (size(members) - 1) / 2) AS n").first().n
+    assert tile < 4096 or pairs < len(every) ** 2 / 2 / 5
+
+
+def test_any_two_within_the_radius_share_a_mask():
+    rng = random.Random(8)
+    for radius, agree in ((6, 2), (6, 3), (2, 1)):
+        masks = simhash_tiles.agreeing_blocks(radius, agree)
+        assert len(masks) == math.comb(radius + agree, agree) and sum(m.bit_count() for m in masks) == 64 * len(masks) * agree // (radius + agree)
+        for _ in range(300):
+            a = rng.getrandbits(64)
+            b = a ^ sum(1 << x for x in rng.sample(range(64), rng.randrange(radius + 1)))
+            assert any(a & m == b & m for m in masks)
