@@ -6,15 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-
-from mentionforge.operators.rows import materialized
+from pyspark.sql.types import ArrayType, StructType
 
 TOP_K = 30
-#: Query vectors that are compared with the corpus in one pass, and the tiles in which a task compares.
+#: Query vectors of a block, the tiles in which a task compares, and the query vectors up to which all are sent to the corpus.
 QUERY_BLOCK = 16_384
+BROADCAST_VECTORS = 100_000
 QUERY_TILE = 512
 ROW_TILE = 8192
 
@@ -45,40 +45,58 @@ def best_of_tile(vectors: np.ndarray, rows: np.ndarray, k: int, digits: int) ->
     return q, d, scores[q, d]
 
 
+def best_of_pairs(pairs: DataFrame, k: int, digits: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (ids, vectors, query_ids, query_vectors, and ``keep``; vectors one after the other) to the k best of each query
+    in each row: query_id, doc_id, score, and ``keep``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in range(len(b)):
+                ids, vectors, query_ids, query_vectors = (c[row].values for c in b.columns[:4])
+                m, q = (v.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(i), -1) for i, v in ((ids, vectors), (query_ids, query_vectors)))
+                for y in range(0, len(q), QUERY_TILE):
+                    at, doc, score = best_of_tile(q[y : y + QUERY_TILE], m, k, digits)
+                    kept = [pa.repeat(c[row], len(at)) for c in b.columns[4:]]
+                    yield pa.record_batch([query_ids.take(pa.array(y + at)), ids.take(pa.array(doc)), pa.array(score), *kept], names=["query_id", "doc_id", "score", *keep])
+
+    element = lambda c: pairs.schema[c].dataType.elementType
+    schema = StructType().add("query_id", element("query_ids")).add("doc_id", element("ids")).add("score", "double")
+    for c in keep:
+        schema = schema.add(pairs.schema[c])
+    return pairs.select("ids", "vectors", "query_ids", "query_vectors", *keep).mapInArrow(run, schema)
+
+
+def query_blocks(queries: DataFrame, keys: list[str], blocks: Column) -> DataFrame:
+    """queries (query_id, v, keys) to keys, block, query_ids, query_vectors: dealt by hash to ``blocks`` blocks a key."""
+    d = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), blocks))
+    d = d.groupBy(*keys, "block").agg(F.collect_list(F.struct("query_id", "v")).alias("q"))
+    return d.select(*keys, "block", F.col("q.query_id").alias("query_ids"), F.flatten("q.v").alias("query_vectors"))
+
+
 def search(docs: DataFrame, queries: DataFrame, k: int = TOP_K, doc_id: str = "vec_id", query_id: str = "query_id", vector: str = "embedding", digits: int = 6, block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, doc_id, score, dense_rank: the k documents with the greatest dot product, ties by id.
 
-    Queries go to the tasks in blocks of about ``block`` vectors, one block at a time: a block's best are computed before
-    the next one is sent, and its copy is dropped. A task compares tiles of QUERY_TILE queries and ROW_TILE rows, and keeps
-    the k best of each, so what is shuffled is k rows a query and tile."""
-    numbered = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("v")).filter("v IS NOT NULL")
-    parts = max(1, -(-numbered.count() // block))
-    kinds = dict(docs.dtypes)[doc_id], dict(queries.dtypes)[query_id]
+    Queries are dealt to blocks of about ``block`` vectors, and the corpus is cut, where it lies, to tiles of ROW_TILE.
+    Each tile meets each block by a join on the block's number: the blocks are sent to the tiles where there are few of
+    them, else both are shuffled. Of each pair the k best of a query are kept, so what is ranked is k rows a query and tile."""
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("v")).filter("v IS NOT NULL")
+    n = q.count()
+    parts = max(1, -(-n // block))
+    blocks = query_blocks(q, [], F.lit(parts))
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(vector).alias("v")).filter("v IS NOT NULL")
+
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in range(0, len(b), ROW_TILE):
+                tile = b.slice(x, ROW_TILE)
+                ids, vectors = tile.column(0), tile.column(1).flatten()
+                yield pa.record_batch([pa.ListArray.from_arrays([0, len(ids)], ids), pa.ListArray.from_arrays([0, len(vectors)], vectors)], names=["ids", "vectors"])
+
+    packed = rows.mapInArrow(tiles, StructType().add("ids", ArrayType(rows.schema["id"].dataType)).add("vectors", rows.schema["v"].dataType))
+    packed = packed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    pairs = packed.join(F.broadcast(blocks) if n <= BROADCAST_VECTORS else blocks, "block")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.round("score", digits).desc(), "doc_id"))
-    out = None
-    for i in range(parts):
-        rows = numbered.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == i).toArrow().combine_chunks()  # about ``block`` rows
-        ids, vectors = rows.column(0).combine_chunks(), as_matrix(rows.column(1).combine_chunks())
-        shared = docs.sparkSession.sparkContext.broadcast((ids, vectors))
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ids, vectors = shared.value
-            for b in batches:
-                for x in range(0, len(b), ROW_TILE):
-                    tile = b.slice(x, ROW_TILE)
-                    matrix = as_matrix(tile.column(1))
-                    for y in range(0, len(ids), QUERY_TILE):
-                        q, d, score = best_of_tile(vectors[y : y + QUERY_TILE], matrix, k, digits)
-                        yield pa.record_batch([ids.take(pa.array(y + q)), tile.column(0).take(pa.array(d)), pa.array(score)], names=["query_id", "doc_id", "score"])
-
-        found = docs.select(F.col(doc_id).alias("doc_id"), vector).filter(F.col(vector).isNotNull()).mapInArrow(run, f"query_id {kinds[1]}, doc_id {kinds[0]}, score double")
-        found = found.withColumn("dense_rank", rank).filter(F.col("dense_rank") <= k)
-        if parts > 1:
-            found = materialized(found)
-            found.count()
-            shared.unpersist()
-        out = found if out is None else out.union(found)
-    return out
+    return best_of_pairs(pairs, k, digits).withColumn("dense_rank", rank).filter(F.col("dense_rank") <= k)
 
 
 def check_asymmetric(spark: SparkSession, embed, prompts: tuple[str, str], sample: list[str], tolerance: float = 1e-3) -> None:

@@ -26,20 +26,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from mentionforge.operators.dense import QUERY_TILE, TOP_K, as_matrix, best_of_tile
+from mentionforge.operators.dense import BROADCAST_VECTORS, QUERY_TILE, TOP_K, as_matrix, best_of_pairs, query_blocks
 from mentionforge.operators.rows import materialized
 
 TILE = 4096
 #: Vectors that centroids are fitted on at most, about; and centroids at most, which every task holds.
 SAMPLE = 200_000
 MOST_CELLS = 16_384
-ROUNDS = 8
+ROUNDS = 5
 #: The share of exact hits that probes are chosen for, and queries on which it is measured, about.
 RECALL = 0.96
 TUNING = 256
-#: Query vectors (one a probed cell) up to which they are sent to the tiles where they lie.
-BROADCAST_VECTORS = 100_000
-
 
 @dataclass
 class VectorIndex:
@@ -207,23 +204,11 @@ def hits(index: VectorIndex, pairs: DataFrame, k: int, digits: int) -> DataFrame
     sizes = pairs.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERY_TILE).alias("blocks"), F.count(F.lit(1)).alias("n"))
     sizes = materialized(sizes)  # a row a probed cell
     known = sizes.select("cell", "n").collect()
-    blocks = pairs.join(F.broadcast(sizes.select("cell", "blocks")), "cell").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")))
-    blocks = blocks.groupBy("cell", "block").agg(F.collect_list(F.struct("query_id", "v")).alias("q")).select("cell", F.col("q.query_id").alias("query_ids"), F.flatten("q.v").alias("query_vectors"))
+    blocks = query_blocks(pairs.join(F.broadcast(sizes.select("cell", "blocks")), "cell"), ["cell"], F.col("blocks"))
     if sum(r["n"] for r in known) <= BROADCAST_VECTORS:
         blocks = F.broadcast(blocks)
     tiles = index.tiles.filter(F.col("cell").isin([r["cell"] for r in known]))  # only these folders are listed and read
-    pairs_of_tiles = tiles.join(blocks, "cell").select("cell", "ids", "vectors", "query_ids", "query_vectors")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in range(len(b)):
-                ids, vectors, query_ids, query_vectors = (c[row].values for c in b.columns[1:])
-                m, q = (v.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(i), -1) for i, v in ((ids, vectors), (query_ids, query_vectors)))
-                at, doc, score = best_of_tile(q, m, k, digits)
-                yield pa.record_batch([query_ids.take(pa.array(at)), ids.take(pa.array(doc)), pa.array(score), pa.repeat(b.column(0)[row], len(at))], names=["query_id", "doc_id", "score", "cell"])
-
-    element = lambda d, c: d.schema[c].dataType.elementType.simpleString()
-    return pairs_of_tiles.mapInArrow(run, f"query_id {element(pairs_of_tiles, 'query_ids')}, doc_id {element(pairs_of_tiles, 'ids')}, score double, cell int")
+    return best_of_pairs(tiles.join(blocks, "cell"), k, digits, ("cell",))
 
 
 def search(index: VectorIndex, queries: DataFrame, k: int = TOP_K, probes: int | None = None, query_id: str = "query_id", vector: str = "embedding", digits: int = 6, exact: bool = False, with_cell: bool = False) -> DataFrame:
