@@ -10,7 +10,8 @@ positives' density, times the prior, to the unlabelled's.
 Features are surface counts, and five of the words: by hash, how much commoner a text's words, and its pairs of words,
 are among the positives than among the unlabelled; how likely the pairs of its words' shapes are among the positives
 (a shape is how a word begins and ends), how much likelier than in any other order; and how many of its pairs no positive
-has. A text that the model is fitted on is measured against the counts of the half that it is not in. Some unlabelled
+has. Texts are in two halves, by a hash of the text, and each is measured against the counts of the half that it is not
+in, so that no text is judged by its own words. Some unlabelled
 texts are shown to the fit once more with their words in another order, so that it learns what order is worth.
 
 Fitted on a bounded sample (``positives`` and ``unlabelled`` texts at most, by hash of id and text, equal rows being one)
@@ -55,8 +56,10 @@ SHAPES = CLASSES**2
 SIZES = {"words": 1 << WORD_BITS, "pairs": 1 << WORD_BITS, "shapes": SHAPES**2}
 BYTE_CLASS = np.array([5 if c > 127 else 0 if chr(c).islower() else 1 if chr(c).isupper() else 2 if chr(c).isdigit() else 3 if chr(c) in ".!?" else 4 for c in range(256)])
 WORD_FEATURES = ("word_ratio", "pair_ratio", "shape_pairs", "new_pairs", "order")
-#: Of the unlabelled texts one in so many is also shown to the fit with its words in another order.
-SALAD = 4
+#: Of the unlabelled texts one in so many is also shown to the fit with its words in another order, if it has so many words;
+#: in fewer an order cannot be told.
+SALAD = 8
+ORDERED = 40
 FEATURES = ("words", "word_length", "symbols", "capitals", "digits", "marks", "shouts", "bars", "distinct", "top_word", "neighbours", "same_lines", "line_words", "repeats", "wide", "odd_ends", *WORD_FEATURES)
 
 
@@ -78,6 +81,11 @@ def word_tables(p: dict[str, np.ndarray], u: dict[str, np.ndarray]) -> dict[str,
     }
 
 
+def half_of(raw: bytes) -> int:
+    """By the text alone, so that equal texts are in one half."""
+    return xxhash.xxh64_intdigest(raw, 1) & 1
+
+
 def word_features(tokens: list[bytes], tables: dict[str, np.ndarray] | None) -> tuple[float, ...]:
     """As WORD_FEATURES names them; mean logarithms are raised by 20, so that none is below 0. order is what the pairs of
     shapes are likelier than those of the same words in any order would be on average."""
@@ -88,7 +96,7 @@ def word_features(tokens: list[bytes], tables: dict[str, np.ndarray] | None) ->
     first, last = (np.bincount(x, minlength=SHAPES) / len(b["shapes"]) for x in np.divmod(b["shapes"], SHAPES))
     any_order = 20.0 + float(first @ tables["shapes"].reshape(SHAPES, SHAPES).astype(np.float64) @ last)
     shapes = mean("shapes")
-    return mean("words"), mean("pairs"), shapes, float(tables["new"][b["pairs"]].mean()), max(1e-6, 1.0 + shapes - any_order)
+    return mean("words"), mean("pairs"), shapes, float(tables["new"][b["pairs"]].mean()), max(1e-6, 1.0 + shapes - any_order) if len(tokens) >= ORDERED else 0.0
 
 
 def in_other_order(text: str) -> str:
@@ -97,8 +105,8 @@ def in_other_order(text: str) -> str:
     return " ".join(tokens[i] for i in np.argsort([xxhash.xxh64_intdigest(f"{i}:{w}") for i, w in enumerate(tokens)], kind="stable"))
 
 
-def features(text: str | None, tables: dict[str, np.ndarray] | None = None) -> tuple[float, ...]:
-    """Features of the whole text, as FEATURES names them."""
+def features(text: str | None, tables: list[dict[str, np.ndarray]] | None = None, half: int | None = None) -> tuple[float, ...]:
+    """Features of the whole text, as FEATURES names them. tables has for each half those that are counted on the other."""
     raw = (text or "").encode("utf-8", "replace")
     tokens = raw.split()
     n, size = len(tokens), max(1, len(raw))
@@ -113,20 +121,21 @@ def features(text: str | None, tables: dict[str, np.ndarray] | None = None) -> t
         np.log1p(n), (size - n) / n, without(SYMBOLS) / n, without(UPPER) / letters, without(DIGITS) / n, without(MARKS) / n, raw.count(b"!") / n, raw.count(b"|") / n,
         len(counts) / n**0.9, max(counts.values()) / n, sum(map(bytes.__eq__, tokens, tokens[1:])) / n, 1 - len(set(lines)) / max(1, len(lines)), n / max(1, len(lines)),
         1 - len(windows) / max(1, n - 2), 1 - len(raw.decode("utf-8", "replace")) / size, sum(t[-1] in SYMBOLS for t in tokens) / n,
-        *word_features(tokens, tables),
+        *word_features(tokens, tables and tables[half_of(raw) if half is None else half]),
     )
 
 
 def counted_words(sample: DataFrame) -> dict[tuple[int, int], dict[str, np.ndarray]]:
-    """sample (trusted, half, text) to counts by bucket of each (trusted, half). The driver gets one row of at most
+    """sample (trusted, text) to counts by bucket of each (trusted, half). The driver gets one row of at most
     2^WORD_BITS numbers for each of them and kind of bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int, str], np.ndarray] = {}
         for b in batches:
-            for trusted, half, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                for kind, at in buckets((text.as_py() or "").encode("utf-8", "replace").split()).items():
-                    total = sums.setdefault((trusted, half, kind), np.zeros(SIZES[kind], np.int64))
+            for trusted, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                raw = (text.as_py() or "").encode("utf-8", "replace")
+                for kind, at in buckets(raw.split()).items():
+                    total = sums.setdefault((trusted, half_of(raw), kind), np.zeros(SIZES[kind], np.int64))
                     np.add.at(total, at, 1)
         for (trusted, half, kind), total in sums.items():
             at = np.flatnonzero(total)
@@ -138,7 +147,7 @@ def counted_words(sample: DataFrame) -> dict[tuple[int, int], dict[str, np.ndarr
         return pa.table({"trusted": pa.array([key[0].as_py()], pa.int32()), "half": pa.array([key[1].as_py()], pa.int32()), "kind": [key[2].as_py()], "n": pa.array([n.tobytes()], pa.binary())})
 
     keys = ["trusted", "half", "kind"]
-    found = sample.select("trusted", "half", "text").mapInArrow(count, "trusted int, half int, kind string, bucket long, n long").groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
+    found = sample.select("trusted", "text").mapInArrow(count, "trusted int, half int, kind string, bucket long, n long").groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
     rows = found.groupBy(*keys).applyInArrow(one_row, "trusted int, half int, kind string, n binary").collect()
     out = {(t, h): {kind: np.zeros(size, np.int64) for kind, size in SIZES.items()} for t in (0, 1) for h in (0, 1)}
     for r in rows:
@@ -147,18 +156,21 @@ def counted_words(sample: DataFrame) -> dict[tuple[int, int], dict[str, np.ndarr
 
 
 def feature_rows(sample: DataFrame, tables: list[dict[str, np.ndarray]]) -> DataFrame:
-    """sample (trusted, half, text, at) to trusted, at, x, its features by the tables of its half. Of one in SALAD of the
-    unlabelled texts there is a second row, with trusted 2, of its words in another order."""
+    """sample (trusted, text, at) to trusted, x, its features. Of one in SALAD of the unlabelled texts there is a second row,
+    with trusted 2, of its words in another order."""
     shared = sample.sparkSession.sparkContext.broadcast(tables)  # two tables of 2^WORD_BITS entries, of words and pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(trusted, at, features(t.as_py(), shared.value[half]), half, t) for trusted, half, t, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True)]
-            rows += [(2, at, features(in_other_order(t.as_py() or ""), shared.value[half]), half, t) for trusted, at, _, half, t in rows if trusted == 0 and at // 2 % SALAD == 0]
-            kinds = (pa.int32(), pa.int64(), pa.list_(pa.float64()))
-            yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["trusted", "at", "x"])
+            rows = []
+            for trusted, text, at in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+                t = text.as_py() or ""
+                rows.append((trusted, features(t, shared.value)))
+                if trusted == 0 and at // 2 % SALAD == 0 and len(t.split()) >= ORDERED:
+                    rows.append((2, features(in_other_order(t), shared.value, half_of(t.encode("utf-8", "replace")))))
+            yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int32(), pa.list_(pa.float64())))], names=["trusted", "x"])
 
-    return sample.select("trusted", "half", "text", "at").mapInArrow(run, "trusted int, at long, x array<double>")
+    return sample.select("trusted", "text", "at").mapInArrow(run, "trusted int, x array<double>")
 
 
 def spans(x: np.ndarray, bins: int) -> list[np.ndarray]:
@@ -276,7 +288,7 @@ def trained(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unla
     d = join_counted(d, some, ["doc_id"]).withColumn("web", F.col("at") < below(unlabelled, docs.count())).filter("good OR web")
     # A text may be in both samples. Rows that repeat an id and a text are one.
     both = F.filter(F.array(F.when(F.col("good"), 1), F.when(F.col("web"), 0)), lambda x: x.isNotNull())
-    sample = d.select(F.explode(both).alias("trusted"), (F.col("at") % 2).cast("int").alias("half"), "at", "text").dropDuplicates(["trusted", "at"])
+    sample = d.select(F.explode(both).alias("trusted"), "at", "text").dropDuplicates(["trusted", "at"])
     sample = cut(sample)
     # An id's rows that have many texts may all be good: the bound holds for them, too. Only numbers meet in one task.
     inside = F.lit(False)
@@ -285,14 +297,14 @@ def trained(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unla
         inside = inside | ((F.col("trusted") == kind) & (F.col("at") <= F.lit(last)))
     sample = sample.filter(inside)
     counts = counted_words(sample)
-    add = lambda a, b: {kind: a[kind] + b[kind] for kind in a}
-    x = feature_rows(sample, [word_tables(counts[1, 1 - half], counts[0, 1 - half]) for half in (0, 1)]).toPandas()  # len(FEATURES) numbers a row
+    tables = [word_tables(counts[1, 1 - half], counts[0, 1 - half]) for half in (0, 1)]
+    x = feature_rows(sample, tables).toPandas()  # len(FEATURES) numbers a row
     rows = np.array(x["x"].tolist(), np.float64).reshape(len(x), len(FEATURES))
     order = np.lexsort([*rows.T, x["trusted"].to_numpy()])  # the same order in every run
     rows, kind = rows[order], x["trusted"].to_numpy()[order]
     shuffle = np.random.default_rng(7).permutation(len(rows))
     rows, kind = rows[shuffle], kind[shuffle]
-    return fit(*(rows[kind == k] for k in (1, 0, 2))) | {"tables": word_tables(add(counts[1, 0], counts[1, 1]), add(counts[0, 0], counts[0, 1]))}
+    return fit(*(rows[kind == k] for k in (1, 0, 2))) | {"tables": tables}
 
 
 #: Rows of a batch that are worked on, and sent back, at a time.

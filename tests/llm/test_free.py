@@ -734,15 +734,16 @@ def test_batches_are_spread_over_holders(n):
 
 def test_word_salads_score_lower(spark):
     """Good texts with their words in another order, among texts that the model has not seen."""
-    sf = SF.replace("0.001", "0.01")
+    sf = SF.replace("0.001", "0.1")
     d, labels = (spark.read.parquet(f"{sf}/{t}.parquet").select(*c) for t, c in (("documents", ("doc_id", "text")), ("labels", ("doc_id", "quality"))))
     model = pu_quality.trained(d.filter(~pu_quality.held_out(F.col("doc_id"))), labels.filter(~pu_quality.held_out(F.col("doc_id"))))
-    good = [r.text for r in d.join(labels.filter("quality = 1"), "doc_id").filter(pu_quality.held_out(F.col("doc_id"))).collect() if len(r.text.split()) >= 50]
+    good = [r.text for r in d.join(labels.filter("quality = 1"), "doc_id").filter(pu_quality.held_out(F.col("doc_id"))).collect()]
+    long = [t for t in good if len(t.split()) >= 50]
     rng = random.Random(4)
-    salad = [" ".join(rng.sample(t.split(), len(t.split()))) for t in good]
+    salad = [" ".join(rng.sample(t.split(), len(t.split()))) for t in long]
     score = lambda texts: pu_quality.scores(model, np.array([pu_quality.features(t, model["tables"]) for t in texts]))
-    own, mixed = score(good), score(salad)
-    assert len(good) >= 20 and (own >= 0.3).mean() > 0.9 and (mixed < own).mean() > 0.9 and mixed.mean() < own.mean() / 2
+    own, mixed = score(long), score(salad)
+    assert len(long) >= 500 and (score(good) >= 0.3).mean() > 0.99 and (mixed < own).mean() > 0.95 and (mixed >= 0.3).mean() < 0.2
 
 
 def test_word_features_are_brute_force():
@@ -763,6 +764,12 @@ def test_word_features_are_brute_force():
     want = [share(2, 6, 1 << 18) - share(1, 2, 1 << 18) if w == b"cat" else share(1, 6, 1 << 18) - share(1, 2, 1 << 18) for w in (b"the", b"cat")]
     assert pu_quality.word_features([b"the", b"cat"], tables)[0] == pytest.approx(20 + (share(1, 6, 1 << 18) + share(1, 6, 1 << 18) - 2 * share(1, 2, 1 << 18)) / 2, abs=0.5)
     assert len(want) == 2 and pu_quality.word_features([b"x", b"y"], tables)[3] == 0.0 and pu_quality.word_features([b"y", b"x"], tables)[3] == 1.0
+    many = [b"The", b"cat."] * 30
+    at = pu_quality.buckets(many)["shapes"].tolist()
+    firsts, lasts = [a // 36 for a in at], [a % 36 for a in at]
+    any_order = np.mean([tables["shapes"][36 * a + b] for a in firsts for b in lasts], dtype=float)
+    assert pu_quality.word_features(many, tables)[4] == pytest.approx(1 + np.mean(tables["shapes"][at], dtype=float) - any_order)
+    assert pu_quality.word_features(many[:30], tables)[4] == 0.0 and pu_quality.word_features([b"cat"] * 60, tables)[4] == pytest.approx(1.0)
 
 
 def test_samples_do_not_depend_on_ids(spark):
