@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mentionforge.operators.linking import DECISIONS, KB_OF_TYPE, link
 from mentionforge.operators.models import TYPES_WITH_ASSERTIONS, extract_entities
+from mentionforge.operators.rows import materialized
 from mentionforge.operators.spans import align
 
 RECORD = ["text", "type", "candidates", "assertions", "position"]
@@ -23,7 +24,8 @@ def shape_records(spans: DataFrame) -> DataFrame:
 def run(docs: DataFrame, extract: Callable[[str], list[dict]], indexes: Mapping[str, Mapping], scorer: Callable[[DataFrame], DataFrame], decisions: Mapping[str, Mapping] = DECISIONS) -> tuple[DataFrame, DataFrame]:
     """docs (doc_id, text) to records (doc_id, ord, text, type, candidates, assertions, position), and errors
     (doc_id, error) of documents that give no records at all."""
-    found = extract_entities(docs, extract)
+    # Extraction is the dear part: each document is sent to it once, and no filter on its result is pushed below docs' own.
+    found = materialized(extract_entities(docs, extract))
     good = found.filter("result.ok").select("doc_id", "text", F.col("result.entities").alias("entities"))
     spans = align(good).withColumn("mention_id", F.concat_ws(":", F.col("doc_id").cast("string"), F.col("ord").cast("string")))
     records = shape_records(link(spans, indexes, scorer, decisions))
