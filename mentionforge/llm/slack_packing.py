@@ -33,9 +33,14 @@ from mentionforge.llm.common import cut, quoted, whole
 
 CAPACITY = 4096
 END = 1
-#: Words, and pieces of words, whose ids are kept by a worker at most.
-CACHE_WORDS = 300_000
-CACHE_PIECES = 700_000
+#: Words, and pieces of words, whose ids are kept by a worker at most, besides those of the texts at hand.
+CACHE_WORDS = 150_000
+CACHE_PIECES = 300_000
+#: Marks of what was met once (a byte each), and how many of them are set at most.
+MARKS_BITS = 21
+MOST_MARKS = 1 << 20
+#: Texts that are encoded, and sent back, at a time.
+STEP = 256
 #: A word of Latin letters, each composed and lowered by itself, with marks behind it that the tokenizer parts from
 #: them (no apostrophe, which can open a part of its own); or any other word.
 WORD = re.compile("(?:([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?|$%&*#]*)|([^\n]+))\n")
@@ -52,6 +57,34 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Repeated:
+    """Ids of what was met more than once, ``most`` at most; most words of a corpus are met once, and would only fill it.
+    Marks are by hash, so that now and then something is kept at once."""
+
+    def __init__(self, most: int):
+        self.most, self.ids, self.marks, self.marked = most, {}, bytearray(1 << MARKS_BITS), 0
+
+    def missing(self, wanted: set) -> set:
+        """Those without ids, which the caller adds to ``ids``."""
+        new = wanted.difference(self.ids)
+        if len(self.ids) > self.most:  # those at hand stay, and so do the frequent ones
+            self.ids = {x: self.ids[x] for x in wanted.difference(new)}
+        return new
+
+    def forget(self, new: set) -> None:
+        """Of those that were added, what was met for the first time goes again."""
+        ids, marks, last = self.ids, self.marks, (1 << MARKS_BITS) - 1
+        if self.marked > MOST_MARKS:
+            marks, self.marked = bytearray(1 << MARKS_BITS), 0
+            self.marks = marks
+        for x in new:
+            at = hash(x) & last
+            if not marks[at]:
+                marks[at] = 1
+                self.marked += 1
+                del ids[x]
+
+
 class WordIds:
     """Token ids (little-endian unsigned 32-bit) of whole texts. The tokenizer splits at white space and drops it,
     so a text's ids are those of the parts between its ASCII white space; frequent ones are remembered. It also lowers
@@ -63,28 +96,24 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.known_pieces: dict[str, bytes] = {}
+        self.known, self.known_pieces = Repeated(CACHE_WORDS), Repeated(CACHE_PIECES)
 
     def of(self, texts: list[str]) -> list[bytes]:
         lists = [t.encode().split() for t in texts]
-        every = set().union(*lists)
-        new = every.difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:  # those of this batch stay, and so do the frequent ones
-            self.known = {w: self.known[w] for w in every.difference(new)}
+        new = self.known.missing(set().union(*lists))
         self.learn(new)
-        find = self.known.__getitem__
-        return [b"".join(map(find, ws)) for ws in lists]
+        find = self.known.ids.__getitem__
+        out = [b"".join(map(find, ws)) for ws in lists]
+        self.known.forget(new)
+        return out
 
     def learn(self, new: set[bytes]) -> None:
-        words, known = list(new), self.known_pieces
+        words = list(new)
         found = WORD.findall((b"\n".join(words) + b"\n").decode()) if words else []
         parts = [(letters.lower(), marks) if letters else (other, "") for letters, marks, other in found]
         others = {other for letters, _, other in found if not letters}
-        every = set().union(*parts)
-        unknown = every.difference(known)
-        if len(known) + len(unknown) > CACHE_PIECES:
-            known = self.known_pieces = {p: known[p] for p in every.difference(unknown)}
+        unknown = self.known_pieces.missing(set().union(*parts))
+        known = self.known_pieces.ids
         plain, whole_words = unknown.difference(others), list(unknown & others)
         # A run of letters, or of marks, is one unit of the model, whose characters stand for bytes.
         tokenize = self.tokenizer.model.tokenize
@@ -93,7 +122,8 @@ class WordIds:
             known[p] = struct.pack(f"<{len(ids)}I", *ids)
         for p, e in zip(whole_words, self.tokenizer.encode_batch_fast(whole_words, add_special_tokens=False) if whole_words else [], strict=True):
             known[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
-        self.known.update(zip(words, [known[a] + known[b] for a, b in parts], strict=True))
+        self.known.ids.update(zip(words, [known[a] + known[b] for a, b in parts], strict=True))
+        self.known_pieces.forget(unknown)
 
 
 #: One for each tokenizer and worker process, so that what one task has learned serves the next.
@@ -122,8 +152,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
     def cut_texts(batches: Iterator[pa.RecordBatch], word_ids: WordIds, last: bytes) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                b = batch.slice(at, 512)
+            for at in range(0, len(batch), STEP):
+                b = batch.slice(at, STEP)
                 rows, piece, start, length, crc = [], [], [], [], []
                 for i, ids in enumerate(word_ids.of(b.column(1).to_pylist())):
                     ids += last
@@ -136,6 +166,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
                         crc.append(zlib.crc32(part))
                 cols = [b.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
                 yield pa.record_batch(cols, names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            batch = b = None  # before the next one is read
 
     texts = docs.select(docs[quoted(id_col)].alias("doc_id"), whole(docs[quoted(text_col)]).alias("text"))
     return texts.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")

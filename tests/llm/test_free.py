@@ -210,6 +210,39 @@ def test_word_ids_are_the_tokenizers():
         assert own.of(texts) == [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
 
 
+def test_words_met_once_fill_no_memory():
+    import random
+    import tracemalloc
+
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(500)) for _ in range(120)]
+    own = slack_packing.WordIds(slack_packing.default_tokenizer())
+    own.of(texts[:1])
+    tracemalloc.start()
+    try:
+        for t in texts:
+            own.of([t])
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 6e6  # before: 60,000 words and as many pieces, 13 MB and more
+
+
+def test_word_ids_do_not_depend_on_what_is_remembered(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(slack_packing, "CACHE_WORDS", 3)
+    monkeypatch.setattr(slack_packing, "CACHE_PIECES", 2)
+    monkeypatch.setattr(slack_packing, "MOST_MARKS", 4)
+    t, own = Tokenizer.from_file(slack_packing.default_tokenizer()), slack_packing.WordIds(slack_packing.default_tokenizer())
+    texts = ["One word, two words.", "", "one Word, \u00c4rger <|endoftext|> two", "two two words? \u4f60\u597d", "One word, two words."]
+    for _ in range(3):
+        for at in range(0, len(texts), 2):
+            some = texts[at : at + 2]
+            assert own.of(some) == [np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in some]
+
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_fullest_is_exact(seed):
     rng = random.Random(seed)
