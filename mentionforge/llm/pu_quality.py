@@ -298,10 +298,10 @@ def trained(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unla
     sample = sample.filter(inside)
     counts = counted_words(sample)
     tables = [word_tables(counts[1, 1 - half], counts[0, 1 - half]) for half in (0, 1)]
-    x = feature_rows(sample, tables).toPandas()  # len(FEATURES) numbers a row
-    rows = np.array(x["x"].tolist(), np.float64).reshape(len(x), len(FEATURES))
-    order = np.lexsort([*rows.T, x["trusted"].to_numpy()])  # the same order in every run
-    rows, kind = rows[order], x["trusted"].to_numpy()[order]
+    x = feature_rows(sample, tables).toArrow()  # len(FEATURES) numbers a row, as numbers all the way
+    rows, kind = x.column("x").combine_chunks().flatten().to_numpy().reshape(len(x), len(FEATURES)), x.column("trusted").to_numpy()
+    order = np.lexsort([*rows.T, kind])  # the same order in every run
+    rows, kind = rows[order], kind[order]
     shuffle = np.random.default_rng(7).permutation(len(rows))
     rows, kind = rows[shuffle], kind[shuffle]
     return fit(*(rows[kind == k] for k in (1, 0, 2))) | {"tables": tables}
