@@ -228,6 +228,47 @@ def test_words_met_once_fill_no_memory():
     assert held < 6e6  # before: 60,000 words and as many pieces, 13 MB and more
 
 
+def test_only_distinct_pieces_of_words_take_calls():
+    import sys
+    from itertools import product
+
+    letters = ["".join(x) for x in product("abcdef", repeat=3)]
+    texts = [" ".join(w + m for w in letters) for m in ("", ".", ",", "!", "?", "...", "$", "#", ";;", "|")] * 30
+    own, calls = slack_packing.WordIds(slack_packing.default_tokenizer()), []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        own.of(texts)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 3 * len(letters) + len(texts) + 300  # before: several calls for each of 2,160 words
+
+
+def test_texts_are_encoded_in_steps_of_bounded_size(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(slack_packing, "STEP_BYTES", 10)
+    monkeypatch.setattr(slack_packing, "STEP", 3)
+    monkeypatch.setattr(slack_packing, "STEP_RUNS", 2)
+    sizes = [0, 0, 0, 0, 4, 5, 1, 1, 30, 30, 2, 9]
+    texts = pa.array(["x" * 7, *("a " * (n // 2) + "." * (n % 2) for n in sizes)])[1:]
+    steps = list(slack_packing.steps(texts))
+    assert steps == [(0, 3), (3, 3), (6, 2), (8, 1), (9, 1), (10, 1), (11, 1)]
+    own = slack_packing.WordIds(slack_packing.default_tokenizer())
+    want = own.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)
+    assert [x for at, n in steps for x in own.of(texts.slice(at, n))] == [np.array(e.ids, "<u4").tobytes() for e in want]
+    assert list(slack_packing.steps(texts[:0])) == [] and own.of([]) == []
+
+
+def test_each_sign_in_a_word_has_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    t, own = Tokenizer.from_file(slack_packing.default_tokenizer()), slack_packing.WordIds(slack_packing.default_tokenizer())
+    for form in ("{}", "a{}", "{}b.", "Ab{}.,", "x{} y"):
+        texts = [form.format(chr(c)) for c in [*range(0x3100), *range(0xFE00, 0x10000), *range(0x1F600, 0x1F610)]]
+        want = t.encode_batch_fast(texts, add_special_tokens=False)
+        assert [x for x, e, ids in zip(texts, want, own.of(texts), strict=True) if np.array(e.ids, "<u4").tobytes() != ids] == []
+
+
 def test_word_ids_do_not_depend_on_what_is_remembered(monkeypatch):
     from tokenizers import Tokenizer
 
