@@ -3,13 +3,17 @@
 A bin of level v holds 2^v consecutive whole numbers. An interval is the disjoint union of at most two bins a level, a
 logarithmic number of them; a point meets it in exactly one of them or not at all. So points and intervals are joined on
 (keys, level, bin), which Spark shuffles or broadcasts like any equality and whose hot keys it can split, and no pair
-appears twice. Points are copied only to the levels that occur."""
+appears twice. Points are copied only to the levels that occur.
+
+Where only numbers are asked for, no pair is made: bins are summed before points meet them (``held``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mentionforge.operators.rows import BROADCAST_ROWS, materialized
+
 LEVELS = 63
 
 
@@ -29,18 +33,51 @@ def dyadic_bins(low: Column, high: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, step, lambda s: s["bins"])
 
 
+def _binned(intervals: DataFrame, columns: list[Column], keys: list[str], low: str, high: str) -> DataFrame:
+    """A row a bin of each interval: columns, the keys as __key, level, bin."""
+    d = intervals.select(*columns, *[F.col(k).alias(f"__{k}") for k in keys], F.explode(dyadic_bins(F.col(low), F.col(high))).alias("__of"))
+    return d.withColumns({"__of_level": F.col("__of.level"), "__of_bin": F.col("__of.bin")}).drop("__of")
+
+
+def _sizes(binned: DataFrame) -> dict[int, int]:
+    """How many bins each level has, the widest first; LEVELS rows at most."""
+    return {r[0]: r[1] for r in binned.groupBy("__of_level").agg(F.count(F.lit(1))).orderBy(F.desc("__of_level")).collect()}
+
+
+def _meet(points: DataFrame, binned: DataFrame, levels: list[int], few: bool, keys: list[str], point: str) -> DataFrame:
+    """Points, copied to ``levels``, with the bins that hold them; bins that are not few are never broadcast, whatever
+    their size is taken for."""
+    copied = points.withColumn("__level", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")))
+    copied = copied.withColumn("__bin", F.expr(f"shiftright(CAST(`{point}` AS BIGINT), __level)"))
+    same = (F.col("__level") == F.col("__of_level")) & (F.col("__bin") == F.col("__of_bin"))
+    for k in keys:
+        same = same & (copied[k] == F.col(f"__{k}"))
+    return copied.join(F.broadcast(binned) if few else binned.hint("merge"), same)
+
+
 def points_in_intervals(points: DataFrame, intervals: DataFrame, keys: list[str] = (), point: str = "at", low: str = "low", high: str = "high") -> DataFrame:
     """Each point with each interval that holds it (low <= point < high, whole numbers; null keys meet nothing): the
     columns of points, and a struct ``interval`` of those of intervals."""
+    binned = _binned(intervals, [F.struct("*").alias("interval")], keys, low, high)
+    sizes = _sizes(binned)
+    return _meet(points, binned, list(sizes), sum(sizes.values()) <= BROADCAST_ROWS, keys, point).select(*points.columns, "interval")
+
+
+def held(points: DataFrame, intervals: DataFrame, first: Column, keys: list[str] = (), point: str = "at", low: str = "low", high: str = "high") -> DataFrame:
+    """keys, point, n, first: each distinct point that lies in some interval, with how many there are and the least of
+    ``first`` among them. Bins are summed first, so a point meets a row a level, however many intervals hold it. Wide bins,
+    of which there are few, are sent to the points."""
+    binned = _binned(intervals, [first.alias("first")], keys, low, high)
     own = [f"__{k}" for k in keys]
-    binned = intervals.select(F.struct("*").alias("interval"), *[F.col(k).alias(o) for k, o in zip(keys, own, strict=True)], F.explode(dyadic_bins(F.col(low), F.col(high))).alias("__of"))
-    levels = [r[0] for r in binned.select("__of.level").distinct().orderBy("level").collect()]  # LEVELS at most
-    copied = points.withColumn("__level", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")))
-    copied = copied.withColumn("__bin", F.expr(f"shiftright(CAST(`{point}` AS BIGINT), __level)"))
-    same = (F.col("__level") == F.col("__of.level")) & (F.col("__bin") == F.col("__of.bin"))
-    for k, o in zip(keys, own, strict=True):
-        same = same & (copied[k] == F.col(o))
-    return copied.join(binned, same).select(*points.columns, "interval")
+    binned = materialized(binned.groupBy(*own, "__of_level", "__of_bin").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first")))
+    wide, narrow, many = [], [], 0
+    for level, n in _sizes(binned).items():
+        many += n
+        (wide if many <= BROADCAST_ROWS else narrow).append(level)
+    distinct = points.select(*keys, point).distinct()
+    met = lambda levels, few: _meet(distinct, binned.filter(F.col("__of_level").isin(levels)), levels, few, keys, point)
+    found = met(wide, True).unionByName(met(narrow, False)) if narrow else met(wide, True)
+    return found.groupBy(*keys, point).agg(F.sum("n").alias("n"), F.min("first").alias("first"))
 
 
 def first_interval(points: DataFrame, intervals: DataFrame, order: list[str], keys: list[str] = (), point: str = "at", low: str = "low", high: str = "high") -> DataFrame:

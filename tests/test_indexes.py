@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mentionforge.operators import dense, dictionary, intervals, lexical, pruned_search, rows, segments, spans, vector_index
+from mentionforge.plans import catalogue
 from mentionforge.sources import files
 
 SF = "/root/testdata/sf0.001"
@@ -283,3 +284,29 @@ def test_lines_are_numbered_by_file(spark, tmp_path):
         assert {r.line_no for r in files.numbered_lines(spark, str(tmp_path / "l" / "a.txt"), blank_too=True).collect()} == {1, 2, 3}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_interval_counts_are_brute_force(spark, seed, monkeypatch):
+    """Counts without pairs, with empty and reversed intervals, repeated rows, null keys and ends, wide and narrow bins."""
+    rng = random.Random(seed)
+    span = lambda: (a := rng.randrange(-50, 50), a + rng.choice([-3, -1, 0, 0, 1, 5, 40]))
+    ivs = [(i, rng.choice(["a", "b", None]), *span()) for i in range(50)] + [(60, "a", 3, 9), (61, "a", 3, 9), (62, "a", None, 9)]
+    points = [(rng.choice(["a", "b", None]), rng.randrange(-60, 100)) for _ in range(60)] + [("a", None)]
+    iv = spark.createDataFrame(ivs, "i int, k string, low long, high long")
+    pt = spark.createDataFrame(points, "k string, at long")
+    for few in (100_000, 30):
+        monkeypatch.setattr(intervals, "BROADCAST_ROWS", few)
+        inside = {(k, at): [i for i, kk, lo, hi in ivs if None not in (k, at, lo) and k == kk and lo <= at < hi] for k, at in points}
+        got = {(r.k, r.at): (r.n, r.first) for r in intervals.held(pt, iv, F.col("i"), ["k"]).collect()}
+        assert got == {p: (len(i), min(i)) for p, i in inside.items() if i}
+
+
+def test_interval_queries_make_no_pairs(spark, tmp_path):
+    """20,000 events that all hold each other: their pairs are counted only."""
+    e = spark.range(20_000).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 997) AS ts", "1L AS user_id", "IF(id % 2 = 0, 'error', 'purchase') AS event_type", "1.0D AS value")
+    e.write.parquet(f"{tmp_path}/events.parquet")
+    joined = catalogue.QUERIES["interval_join"](spark, str(tmp_path))
+    assert joined.agg(F.max("n"), F.min("first")).first() == (10_000, 1)
+    assert joined.filter("event_id = 0").first().n == sum(i % 997 == 0 for i in range(1, 20_000, 2))
+    assert "interval" not in joined.columns and "BroadcastNestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
