@@ -5,11 +5,13 @@ logarithmic number of them; a point meets it in exactly one of them or not at al
 (keys, level, bin), which Spark shuffles or broadcasts like any equality and whose hot keys it can split, and no pair
 appears twice. Points are copied only to the levels that occur.
 
-Where only numbers are asked for, no pair is made: bins are summed before points meet them (``held``)."""
+Where only numbers are asked for, no pair is made: bins are summed before points meet them (``held``), and overlaps are
+differences of running counts (``overlap_counts``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from mentionforge.operators.rows import BROADCAST_ROWS, materialized
@@ -96,3 +98,44 @@ def overlapping(a: DataFrame, b: DataFrame, keys: list[str] = (), low: str = "lo
     begins_in_b = points_in_intervals(row(a, "a"), full(b), keys, "__at", low, high).select("a", F.col("interval").alias("b"))
     begins_in_a = points_in_intervals(row(b, "b"), full(a), keys, "__at", low, high).select(F.col("interval").alias("a"), "b")
     return begins_in_b.unionByName(begins_in_a.filter(F.col(f"a.{low}") < F.col(f"b.{low}")))
+
+
+def _running(d: DataFrame, keys: list[str], at: str, sums: list[str]) -> DataFrame:
+    """d (keys, at, one row each) with ``sums`` replaced by their running sums in order of ``at``. Rows are cut to ranges of
+    (keys, at), so a hot key lies in many; a range adds what the ranges before it have in sum."""
+    own = keys or [F.lit(0)]
+    parts = materialized(d.repartitionByRange(*keys, at).withColumn("__part", F.spark_partition_id()))
+    before = W.partitionBy(*own).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    whole = parts.groupBy(*keys, "__part").agg(*[F.sum(c).alias(c) for c in sums])
+    whole = whole.select(*keys, "__part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__{c}") for c in sums])
+    inside = W.partitionBy(*keys, "__part").orderBy(at).rowsBetween(W.unboundedPreceding, 0)
+    return parts.join(whole, [*keys, "__part"]).withColumns({c: F.sum(c).over(inside) + F.col(f"__{c}") for c in sums}).drop("__part", *[f"__{c}" for c in sums])
+
+
+def overlap_counts(intervals: DataFrame, keys: list[str] = (), low: str = "low", high: str = "high") -> DataFrame:
+    """Each row of intervals with n_over: the rows of its keys that overlap it, which are those with a low below its high and
+    a high above its low (itself too, unless it is empty; an empty one overlaps those around it; null keys and ends overlap
+    nothing and are left out). Counted, not paired: those that begin before its end, without those that end before its
+    start. Only reversed intervals (high < low), which what encloses them overlaps, are paired."""
+    keys, own = list(keys), [f"__{k}" for k in keys]
+    full = intervals.dropna(subset=[*keys, low, high])
+    named = [F.col(k).alias(o) for k, o in zip(keys, own, strict=True)]
+    d = materialized(full.groupBy(*named, F.col(low).cast("long").alias("__a"), F.col(high).cast("long").alias("__z")).agg(F.count(F.lit(1)).alias("n")))
+    proper, reversed_ = d.filter("__a <= __z"), d.filter("__a > __z")
+    ends = proper.select(*own, F.col("__a").alias("at"), F.col("n").alias("begun"), F.lit(0).alias("ended"), F.when(F.col("__a") == F.col("__z"), F.col("n")).otherwise(0).alias("empty"))
+    ends = ends.union(proper.select(*own, "__z", F.lit(0), "n", F.lit(0))).groupBy(*own, "at").agg(*[F.sum(c).alias(c) for c in ("begun", "ended", "empty")])
+    marks = materialized(_running(ends.withColumn("begins", F.col("begun")), own, "at", ["begun", "ended"]))
+    at_end = marks.select(*own, F.col("at").alias("__z"), (F.col("begun") - F.col("begins")).alias("begun"))
+    at_start = marks.select(*own, F.col("at").alias("__a"), "ended", "empty")
+    # What is empty at the start of an empty one has not begun before its end, so it is not taken away either.
+    n = F.col("begun") - F.col("ended") + F.when(F.col("__a") == F.col("__z"), F.col("empty")).otherwise(0)
+    found = proper.join(at_end, [*own, "__z"]).join(at_start, [*own, "__a"]).select(*own, "__a", "__z", n.alias("n_over"))
+    if not reversed_.isEmpty():
+        pairs = points_in_intervals(reversed_, proper.withColumn("__from", F.col("__a") + 1), own, "__z", "__from", "__z").filter(F.col("interval.__z") > F.col("__a"))
+        around = pairs.select(*own, F.col("interval.__a").alias("__a"), F.col("interval.__z").alias("__z"), F.col("n").alias("n_over"))
+        found = found.union(around).union(pairs.select(*own, "__a", "__z", "interval.n")).union(reversed_.select(*own, "__a", "__z", F.lit(0)))
+        found = found.groupBy(*own, "__a", "__z").agg(F.sum("n_over").alias("n_over"))
+    same = (full[low].cast("long") == F.col("__a")) & (full[high].cast("long") == F.col("__z"))
+    for k, o in zip(keys, own, strict=True):
+        same = same & (full[k] == F.col(o))
+    return full.join(found, same).select(*[full[c] for c in intervals.columns], "n_over")

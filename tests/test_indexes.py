@@ -300,12 +300,17 @@ def test_interval_counts_are_brute_force(spark, seed, monkeypatch):
         inside = {(k, at): [i for i, kk, lo, hi in ivs if None not in (k, at, lo) and k == kk and lo <= at < hi] for k, at in points}
         got = {(r.k, r.at): (r.n, r.first) for r in intervals.held(pt, iv, F.col("i"), ["k"]).collect()}
         assert got == {p: (len(i), min(i)) for p, i in inside.items() if i}
+        over = {r.i: r.n_over for r in intervals.overlap_counts(iv, ["k"]).collect()}
+        assert over == {i: sum(k == kk and None not in (b, y) and a < y and b < z for _, kk, b, y in ivs) for i, k, a, z in ivs if None not in (k, a, z)}
+    assert {r.i: r.n_over for r in intervals.overlap_counts(iv.drop("k")).collect()}[0] == sum(None not in (b, y) and ivs[0][2] < y and b < ivs[0][3] for _, _, b, y in ivs)
 
 
 def test_interval_queries_make_no_pairs(spark, tmp_path):
-    """20,000 events that all hold each other: their pairs are counted only."""
+    """20,000 events that all hold each other: the 400 million pairs of each query are counted only."""
     e = spark.range(20_000).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 997) AS ts", "1L AS user_id", "IF(id % 2 = 0, 'error', 'purchase') AS event_type", "1.0D AS value")
     e.write.parquet(f"{tmp_path}/events.parquet")
+    n = catalogue.QUERIES["interval_overlap"](spark, str(tmp_path)).agg(F.count("*"), F.min("n_over"), F.max("n_over")).first()
+    assert tuple(n) == (10_000, 9_999, 9_999)
     joined = catalogue.QUERIES["interval_join"](spark, str(tmp_path))
     assert joined.agg(F.max("n"), F.min("first")).first() == (10_000, 1)
     assert joined.filter("event_id = 0").first().n == sum(i % 997 == 0 for i in range(1, 20_000, 2))
