@@ -12,6 +12,7 @@ from mentionforge.functions.arrays import as_set
 from mentionforge.functions.text import query_variant
 from mentionforge.operators import dense, lexical, vector_index
 from mentionforge.operators.code_tables import code_shape_ok
+from mentionforge.operators.rows import BROADCAST_ROWS, materialized
 
 #: Which types are linked, to which knowledge base, and the frozen decisions of each.
 KB_OF_TYPE = {"CHẨN_ĐOÁN": "icd", "THUỐC": "rxnorm"}
@@ -75,7 +76,9 @@ def retrieve(queries: DataFrame, index: Mapping) -> DataFrame:
         near = vector_index.search(stored, vectors) if isinstance(stored, vector_index.VectorIndex) else dense.search(stored, vectors, doc_id="doc_id")
     else:
         near = hits.select("query_id", "doc_id", "score", F.col("bm25_rank").alias("dense_rank")).limit(0)
-    return merge_branches(near, hits).join(index["docs"], "doc_id").withColumn("query", F.col("query_id"))
+    found = materialized(merge_branches(near, hits))  # the best of each query: they go to the documents, whose texts stay
+    found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    return index["docs"].join(found, "doc_id").withColumn("query", F.col("query_id"))
 
 
 def score_dump(rows: DataFrame, index: Mapping, scorer, variant: str) -> DataFrame:

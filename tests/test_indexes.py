@@ -315,3 +315,38 @@ def test_interval_queries_make_no_pairs(spark, tmp_path):
     assert joined.agg(F.max("n"), F.min("first")).first() == (10_000, 1)
     assert joined.filter("event_id = 0").first().n == sum(i % 997 == 0 for i in range(1, 20_000, 2))
     assert "interval" not in joined.columns and "BroadcastNestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_search_beyond_a_batch_and_ties(spark, monkeypatch):
+    """Scores by blocks of documents are those of the join, for long documents, equal ones, repeated and null ids, and
+    queries whose ids are texts."""
+    rng = random.Random(5)
+    word = lambda: f"w{int(rng.paretovariate(0.5)) % 300}"
+    texts = [" ".join(word() for _ in range(rng.choice([0, 3, 40, 900]))) for _ in range(120)] + ["w1 w2 w3"] * 50
+    docs = spark.createDataFrame([(None if i == 7 else i % 160, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    queries = spark.createDataFrame([(t, t) for t in {" ".join(word() for _ in range(6)) for _ in range(30)}], "query_id string, text string")
+    index = lexical.build_index(docs)
+    with monkeypatch.context() as m:
+        m.setattr(lexical, "BROADCAST_ROWS", 0)
+        joined = sorted((r.query_id, r.bm25_rank, str(r.doc_id), round(r.score, 6)) for r in lexical.search(index, queries, 10).collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    monkeypatch.setattr(lexical, "CELLS", 200)
+    try:
+        found = lexical.search(index, queries, 10)
+        assert sorted((r.query_id, r.bm25_rank, str(r.doc_id), round(r.score, 6)) for r in found.collect()) == joined
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    scored = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "MapInArrow" in line]
+    assert scored and not any("query_id" in line for line in scored)  # a query's text goes with no posting and no pair
+
+
+def test_segments_read_known_tokens_only(spark, corpus, tmp_path):
+    docs, queries = corpus
+    index = segments.Segments(spark, str(tmp_path / "i"))
+    index.add(docs.filter("doc_id % 2 = 0"))
+    index.add(docs.filter("doc_id % 2 = 1"))
+    index.delete(docs.filter("doc_id % 5 = 0"))
+    known = lexical.query_tokens(queries, queries.columns[0], "text")
+    some, whole = index.index(known), index.index()
+    assert (some.n_docs, some.length) == (whole.n_docs, whole.length) and some.postings.count() < whole.postings.count()
+    assert hits_of(lexical.search(some, queries, id_col=queries.columns[0])) == hits_of(lexical.search(whole, queries, id_col=queries.columns[0]))
