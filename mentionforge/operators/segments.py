@@ -16,7 +16,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mentionforge.operators.lexical import LexicalIndex, build_index
+from mentionforge.operators.lexical import BROADCAST_ROWS, LexicalIndex, build_index
 from mentionforge.operators.rows import materialized
 
 FANOUT = 4
@@ -52,9 +52,11 @@ class Segments:
     def _read(self, segment: Segment, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{segment.name}/{table}")
 
-    def _live(self, segment: Segment, table: str, gone: bool = False) -> DataFrame:
-        """A segment's rows without, or only (gone), those of deleted documents."""
+    def _live(self, segment: Segment, table: str, gone: bool = False, known: DataFrame | None = None) -> DataFrame:
+        """A segment's rows without, or only (gone), those of deleted documents; of postings only those of known tokens."""
         d = self._read(segment, table)
+        if known is not None:
+            d = d.join(known, "tok", "left_semi")
         if not segment.gone:
             return d.limit(0) if gone else d
         ids = self.spark.read.parquet(*[f"{self.path}/{g}" for g in segment.gone]).select("doc_id").distinct()
@@ -108,12 +110,18 @@ class Segments:
             out = out.unionByName(p)
         return out
 
-    def index(self) -> LexicalIndex:
-        """All live documents, for lexical.search. Frequencies are those of postings that are still there."""
+    def index(self, vocabulary: DataFrame | None = None) -> LexicalIndex:
+        """All live documents, for lexical.search. Frequencies are those of postings that are still there. With a vocabulary
+        (tok) only its tokens' postings are read, before any is looked up among the deleted: enough for a search."""
         if not self.segments:
             raise ValueError(f"the index in {self.path} is empty")
+        known = None
+        if vocabulary is not None:
+            known = materialized(vocabulary.select("tok").distinct())
+            known = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
         lengths = self._union([self._live(s, "lengths") for s in self.segments])
-        postings = self._union([self._live(s, "postings") for s in self.segments])
+        postings = self._union([self._live(s, "postings", known=known) for s in self.segments])
+        postings = postings if known is None else materialized(postings)
         n, total = lengths.agg(F.count(F.lit(1)), F.coalesce(F.sum("doc_len"), F.lit(0))).first()
         frequencies = materialized(postings.groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
         return LexicalIndex(postings, frequencies, n, total, lengths)
